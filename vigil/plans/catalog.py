@@ -306,3 +306,11 @@ QUERIES = {
     "clean_features": q_clean_features,
     "finite_rows": q_finite_rows,
 }
+
+
+def _register_streams():
+    from vigil.plans.streams import STREAM_QUERIES
+    QUERIES.update(STREAM_QUERIES)
+
+
+_register_streams()

@@ -234,3 +234,42 @@ FROM {_PLANTED}""",
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(q, 9) AS q, round(e, 9) AS e
 FROM {_PLANTED} WHERE {_f32ok('q')} AND {_f32ok('e')}""",
 }
+
+
+def _window_sql(size_sql: str, tail: str = "", extra: str = "") -> str:
+    return f"""
+SELECT {extra}strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(w + INTERVAL {size_sql}, '%Y-%m-%d %H:%M:%S') AS window_end,
+       CAST(sum(CAST(fp_b AS INTEGER)) AS BIGINT) AS fp,
+       CAST(sum(CAST(fn_b AS INTEGER)) AS BIGINT) AS fn,
+       CAST(sum(CAST(tp_b AS INTEGER)) AS BIGINT) AS tp,
+       CAST(sum(CAST(tn_b AS INTEGER)) AS BIGINT) AS tn,
+       count(*) AS total,
+       round(sum(CAST(fp_b AS INTEGER)) / count(*), 9) AS fp_rate,
+       round(sum(CAST(fn_b AS INTEGER)) / count(*), 9) AS fn_rate,
+       round(sum(CAST(is_attack_true AS INTEGER)) / count(*), 9) AS attack_true_rate,
+       round(sum(CAST(is_attack_pred AS INTEGER)) / count(*), 9) AS attack_pred_rate
+FROM (SELECT *, time_bucket(INTERVAL {size_sql}, kafka_ts) AS w FROM {_SCORED_EVENTS})
+GROUP BY w {tail}"""
+
+
+_CLOSED = "HAVING w + INTERVAL {s} <= (SELECT max(ts) FROM events) - INTERVAL 5 MINUTE"
+
+SQL["confusion_window_stream"] = _window_sql("1 HOUR", _CLOSED.format(s="1 HOUR"))
+SQL["daily_metrics"] = _window_sql("1 MINUTE", _CLOSED.format(s="1 MINUTE"),
+                                   extra="strftime(w, '%Y.%m.%d') AS day, ")
+SQL["stream_dedup"] = f"""
+SELECT topic || ':' || CAST("partition" AS VARCHAR) || ':' || CAST("offset" AS VARCHAR) AS event_id,
+       topic, "partition", "offset", f1
+FROM {_ENV}"""
+SQL["daily_upsert"] = f"""
+WITH writes AS (
+  SELECT kafka_ts, topic, "partition", "offset", f1, 0 AS v FROM {_ENV}
+  UNION ALL
+  SELECT kafka_ts, topic, "partition", "offset", f1 * 2, 1 AS v FROM {_ENV} WHERE topic = 'error')
+SELECT strftime(kafka_ts, '%Y.%m.%d') AS day,
+       topic || ':' || CAST("partition" AS VARCHAR) || ':' || CAST("offset" AS VARCHAR) AS event_id,
+       topic, "partition", "offset", f1
+FROM (SELECT *, row_number() OVER (PARTITION BY topic, "partition", "offset" ORDER BY v DESC) AS rn
+      FROM writes)
+WHERE rn = 1"""
