@@ -309,8 +309,10 @@ QUERIES = {
 
 
 def _register_streams():
+    from vigil.plans.staged import STAGED_QUERIES
     from vigil.plans.streams import STREAM_QUERIES
     QUERIES.update(STREAM_QUERIES)
+    QUERIES.update(STAGED_QUERIES)
 
 
 _register_streams()

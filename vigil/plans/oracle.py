@@ -273,3 +273,20 @@ SELECT strftime(kafka_ts, '%Y.%m.%d') AS day,
 FROM (SELECT *, row_number() OVER (PARTITION BY topic, "partition", "offset" ORDER BY v DESC) AS rn
       FROM writes)
 WHERE rn = 1"""
+
+SQL["positional_label_join"] = """
+SELECT CAST(row_number() OVER (ORDER BY event_id) - 1 AS BIGINT) AS pos, event_id, value,
+       CAST(event_type = 'error' AS INTEGER) AS label
+FROM events"""
+SQL["label_parse_guard"] = """
+SELECT 'A' AS layout, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS pos,
+       quality AS label FROM labels
+UNION ALL
+SELECT 'B' AS layout, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS pos,
+       toxic AS label FROM labels"""
+SQL["build_dataset"] = """
+SELECT value AS f0, CAST(json_extract(props, '$.k') AS DOUBLE) AS f1,
+       CAST(value > 100 AS INTEGER) AS label, event_type AS attack_name
+FROM events"""
+SQL["source_counts"] = """
+SELECT event_type AS attack_name, count(*) AS n FROM events GROUP BY 1"""
