@@ -309,10 +309,12 @@ QUERIES = {
 
 
 def _register_streams():
+    from vigil.plans.models import MODEL_QUERIES
     from vigil.plans.staged import STAGED_QUERIES
     from vigil.plans.streams import STREAM_QUERIES
     QUERIES.update(STREAM_QUERIES)
     QUERIES.update(STAGED_QUERIES)
+    QUERIES.update(MODEL_QUERIES)
 
 
 _register_streams()
