@@ -145,3 +145,30 @@ def _scale(scaler: ArrayScaler, x: DataFrame) -> DataFrame:
     out = ArrayScaler(scaler.model, "__x").transform(x)
     return out.withColumn("__zx", _vec_to_arr(scaler.model.getOutputCol())).drop(
         scaler.model.getOutputCol())
+
+
+def save_ensemble(spark, model: EnsembleModel, path: str) -> None:
+    """Every artifact as a Spark model folder (no joblib files)."""
+    from vigil.ml.bundle import write_json
+    d = path.rstrip("/")
+    model.scaler.model.write().overwrite().save(f"{d}/scaler")
+    model.iforest.save(spark, f"{d}/iso_forest")
+    if model.lr is not None:
+        model.lr.write().overwrite().save(f"{d}/attack_classifier_lr")
+    if model.gbt is not None:
+        model.gbt.write().overwrite().save(f"{d}/attack_classifier_gbt")
+    write_json(spark, f"{d}/classes.json", {"classes": model.classes,
+                                            "has_lr": model.lr is not None,
+                                            "has_gbt": model.gbt is not None})
+
+
+def load_ensemble(spark, path: str, array_col: str = "features") -> EnsembleModel:
+    from pyspark.ml.feature import StandardScalerModel
+    from vigil.ml.bundle import read_json
+    d = path.rstrip("/")
+    meta = read_json(spark, f"{d}/classes.json")
+    scaler = ArrayScaler(StandardScalerModel.load(f"{d}/scaler"), array_col)
+    iso = IsolationForestModel.load(spark, f"{d}/iso_forest")
+    lr = PipelineModel.load(f"{d}/attack_classifier_lr") if meta["has_lr"] else None
+    gbt = PipelineModel.load(f"{d}/attack_classifier_gbt") if meta["has_gbt"] else None
+    return EnsembleModel(scaler, iso, lr, gbt, meta["classes"])
