@@ -77,3 +77,24 @@ def test_label_vocab_matches_string_indexer(spark):
                           stringOrderType="alphabetAsc").fit(df).labels
     assert [k for k, _ in sorted(vocab.items(), key=lambda kv: kv[1][0])] == list(freq)
     assert [k for k, _ in sorted(vocab.items(), key=lambda kv: kv[1][1])] == list(alpha)
+
+
+def test_hash_prefix_falls_back_when_cut_is_short(spark):
+    # u is not uniform here (all near 1), so the cut keeps nothing: the
+    # check must notice and keep every row of the affected groups
+    df = spark.range(5000).select("id", (F.col("id") % 2).alias("g"),
+                                  (F.lit(0.999) + F.col("id") / 1e9).alias("u"))
+    pre = sample.hash_prefix(df, "u", 100, "g")
+    assert pre.count() == 5000
+    assert sample.hash_prefix(df, "u", 100).count() == 5000
+    got = sample.class_capped_sample(df, "g", 100, ["u", "id"])
+    assert sorted(r.id for r in got.filter("g = 0").collect()) == list(range(0, 200, 2))
+
+
+def test_hash_prefix_null_group(spark):
+    df = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, None)
+                                  .otherwise(F.lit("a")).alias("g"))
+    df = df.withColumn("u", sample.uniform_from_key(F.col("id")))
+    got = sample.class_capped_sample(df, "g", 50, ["u", "id"])
+    counts = {r.g: r["count"] for r in got.groupBy("g").count().collect()}
+    assert counts == {None: 50, "a": 50}

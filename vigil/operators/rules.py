@@ -11,14 +11,19 @@ from vigil.functions.columns import argmax, class_lookup
 from vigil.schema import BENIGN, FALLBACK_ATTACK, UNKNOWN_ATTACK
 
 
-def threshold_rule(df: DataFrame, feature: str = "f1", threshold: float = 1500.0,
-                   out: str = "rule_alert") -> DataFrame:
-    """1 when ``feature > threshold`` else 0 (a null feature gives 0).
+def threshold_predicate(feature: str = "f1", threshold: float = 1500.0) -> Column:
+    """R1's condition; null (missing or non-numeric feature) means no alert.
 
-    Text features are coerced leniently, so a bad value never raises.
+    Text features are coerced leniently, so a bad value never raises; on a
+    numeric column the cast disappears and the comparison reaches the scan.
     """
-    x = F.col(feature).try_cast("double")
-    return df.withColumn(out, F.when(x > F.lit(float(threshold)), 1).otherwise(0))
+    return F.col(feature).try_cast("double") > F.lit(float(threshold))
+
+
+def threshold_rule(df: DataFrame, feature: str = "f1", threshold: float = 1500.0,
+                   out: str = "rule_alert") -> DataFrame:
+    """1 when ``feature > threshold`` else 0 (a null feature gives 0)."""
+    return df.withColumn(out, F.when(threshold_predicate(feature, threshold), 1).otherwise(0))
 
 
 def any_rule(df: DataFrame, predicates: Sequence[str | Column],
@@ -121,6 +126,14 @@ def decision_cascade(df: DataFrame, iso_col: str = "iso_is_anom",
         F.coalesce(F.col(gbt_col), F.col(lr_col), F.lit(FALLBACK_ATTACK))))
 
 
-def alerts_only(df: DataFrame, rule_col: str = "rule_alert") -> DataFrame:
-    """Rows that raised the rule."""
+def alerts_only(df: DataFrame, rule_col: str = "rule_alert",
+                predicate: Column | None = None) -> DataFrame:
+    """Rows that raised the rule.
+
+    Given the rule's own predicate, filter on it instead of on the 0/1
+    column: a plain comparison is pushed into the Parquet scan (row-group
+    skipping), while ``CASE ... END = 1`` is not.
+    """
+    if predicate is not None:
+        return df.filter(predicate)
     return df.filter(F.col(rule_col) == 1)

@@ -11,11 +11,15 @@ Two families:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Above this many groups the threshold table is shuffle-joined, not broadcast.
+BROADCAST_GROUPS_MAX = 100_000
+
 from vigil.functions.columns import hash_uniform
 
 
@@ -62,16 +66,72 @@ def ordered_limit(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def _threshold(n: Column | int, cap: int):
+    """Hash cut keeping about cap + 6 sigma rows of n uniform draws (1.0 = all)."""
+    margin = cap + 6.0 * math.sqrt(cap) + 16.0
+    if isinstance(n, int):
+        return 1.0 if n <= cap else min(1.0, margin / n)
+    return F.when(n <= cap, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.lit(margin) / n))
+
+
+def hash_prefix(df: DataFrame, u_col: str, cap: int, group_col: str | None = None) -> DataFrame:
+    """Rows that can be among the first ``cap`` (per group) in ``u_col`` order.
+
+    ``u_col`` is uniform on [0, 1) (a hash), so the first ``cap`` rows of a
+    group of n lie below about cap / n.  One small aggregate gives n per
+    group, a filter keeps u <= cut (cap + 6 sigma rows expected), and a
+    second count proves every group kept at least min(cap, n) rows; a group
+    that did not (probability ~1e-9) keeps all its rows.  The result is
+    exact, and what follows sorts about ``cap`` rows per group instead of
+    the whole input.
+    """
+    u = F.col(u_col)
+    if group_col is None:
+        n = df.count()
+        cut = _threshold(n, cap)
+        if cut >= 1.0:
+            return df
+        pre = df.filter(u <= F.lit(cut))
+        return pre if pre.count() >= cap else df
+    g = F.col(group_col)
+    th = df.groupBy(g.alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
+    th = th.withColumn("_cut", _threshold(F.col("_n"), cap)).persist()
+    n_groups = th.count()
+
+    def keep(table: DataFrame) -> DataFrame:
+        side = F.broadcast(table) if n_groups <= BROADCAST_GROUPS_MAX else table
+        return (df.join(side, g.eqNullSafe(F.col("_g")))
+                .filter(u <= F.col("_cut")))
+
+    pre = keep(th)
+    kept = pre.groupBy(F.col("_g").alias("_kg")).agg(F.count(F.lit(1)).alias("_k"))
+    short = (th.join(kept, F.col("_g").eqNullSafe(F.col("_kg")), "left")
+             .filter(F.coalesce(F.col("_k"), F.lit(0)) < F.least(F.col("_n"), F.lit(cap)))
+             .select("_g"))
+    if short.limit(1).count() > 0:
+        short_keys = short.select(F.col("_g").alias("_sg"), F.lit(True).alias("_short"))
+        fixed = th.join(short_keys, F.col("_g").eqNullSafe(F.col("_sg")), "left").withColumn(
+            "_cut", F.when(F.col("_short"), F.lit(1.0)).otherwise(F.col("_cut")))
+        pre = keep(fixed.select("_g", "_n", "_cut"))
+    return pre.drop("_g", "_n", "_cut")
+
+
 def class_capped_sample(df: DataFrame, class_col: str, cap: int,
-                        order: Sequence[str], salts: int = 64) -> DataFrame:
+                        order: Sequence[str], salts: int = 64,
+                        uniform_first: bool = True) -> DataFrame:
     """At most ``cap`` rows per class, the first ones in hash ``order``.
 
+    With ``uniform_first`` (``order[0]`` is a [0, 1) hash) the input is first
+    cut to about ``cap`` rows per class by :func:`hash_prefix`, so the
+    shuffle below moves a few ``cap`` rows per class, not the whole input.
     A class may hold a third of all rows, so it is never sorted in one task:
     stage 1 splits every class into ``salts`` sub-groups and keeps the first
-    ``cap`` of each (Spark runs this limit map-side too, WindowGroupLimit);
-    stage 2 ranks the at most ``salts * cap`` survivors per class.  Exact,
-    because a row among a class's first ``cap`` is among its sub-group's.
+    ``cap`` of each (map-side too when Spark plans WindowGroupLimit); stage 2
+    ranks the at most ``salts * cap`` survivors per class.  Exact, because a
+    row among a class's first ``cap`` is among its sub-group's.
     """
+    if uniform_first:
+        df = hash_prefix(df, order[0], cap, class_col)
     ordering = [F.col(c) for c in order]
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(salts))
     w1 = Window.partitionBy(class_col, "_salt").orderBy(*ordering)
@@ -88,11 +148,15 @@ def benign_cap(df: DataFrame, cap: int, order: Sequence[str], label: str = "labe
     """The first ``cap`` benign rows in hash order, failing below ``min_rows``.
 
     The reference takes the first rows in file order, which biases towards
-    the first capture; hash order gives an unbiased, reproducible cap.  The
-    count guard runs as one extra aggregate over the capped rows only.
+    the first capture; hash order gives an unbiased, reproducible cap.
+    ``order[0]`` must be a [0, 1) hash: :func:`hash_prefix` first cuts the
+    input to about ``cap`` rows, so the final ordered limit never merges
+    ``cap`` rows from every partition in one task.  The count guard runs
+    over the capped rows only.
     """
     from vigil.operators.clean import benign_only
-    capped = ordered_limit(benign_only(df, label), cap, order)
+    benign = hash_prefix(benign_only(df, label), order[0], cap)
+    capped = ordered_limit(benign, cap, order)
     n = capped.count()
     if n < min_rows:
         raise ValueError(f"not enough benign rows for the isolation forest (seen={n}, "

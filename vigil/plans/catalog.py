@@ -48,7 +48,8 @@ def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_rule_alert_simple(spark, sf_dir):
     ev = rules.threshold_rule(events_envelope(spark, sf_dir), "f1", R1_THRESHOLD)
-    return rules.alerts_only(ev).select("offset", "topic", "f1", "rule_alert")
+    hit = rules.threshold_predicate("f1", R1_THRESHOLD)
+    return rules.alerts_only(ev, predicate=hit).select("offset", "topic", "f1", "rule_alert")
 
 
 def q_rule_alert_compound(spark, sf_dir):
