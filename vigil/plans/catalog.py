@@ -208,6 +208,21 @@ def q_standardize(spark, sf_dir):
                     _r("v.z").alias("z_center"), _r("v.s").alias("z_scale"))
 
 
+def q_score_quantile(spark, sf_dir):
+    """The 1 % quantile of the anomaly score (interpolated, exact)."""
+    q = metrics.score_quantile(soft_scored(spark, sf_dir), "anomaly_score", 0.01)
+    return q.select(_r("quantile").alias("quantile"))
+
+
+def q_label_domain(spark, sf_dir):
+    """A8 + P7: the distinct values of the label columns."""
+    lab = read_table(spark, sf_dir, "labels")
+    return (metrics.distinct_values(lab.select(F.col("quality").alias("label")), "label")
+            .unionByName(metrics.distinct_values(lab.select(F.col("toxic").alias("label")),
+                                                 "label"))
+            .distinct())
+
+
 # --------------------------------------------------------------- sampling
 def _lineitem_keyed(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem")
@@ -298,6 +313,8 @@ QUERIES = {
     "pair_metrics": q_pair_metrics,
     "decision_cascade": q_decision_cascade,
     "feature_stats": q_feature_stats,
+    "score_quantile": q_score_quantile,
+    "label_domain": q_label_domain,
     "standardize": q_standardize,
     "hash_sample": q_hash_sample,
     "hash_split": q_hash_split,

@@ -61,8 +61,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     c.add_argument("--artifacts", required=True)
     c.add_argument("--checkpoint", required=True)
     c.add_argument("--bootstrap_servers")
-    c.add_argument("--topic_in", default="kitsune")
-    c.add_argument("--topic_out", default="kitsune_enriched")
+    c.add_argument("--topic_in", default="events")
+    c.add_argument("--topic_out", default="events_enriched")
     c.add_argument("--input")
     c.add_argument("--output")
     a = ap.parse_args(argv)

@@ -290,3 +290,11 @@ SELECT value AS f0, CAST(json_extract(props, '$.k') AS DOUBLE) AS f1,
 FROM events"""
 SQL["source_counts"] = """
 SELECT event_type AS attack_name, count(*) AS n FROM events GROUP BY 1"""
+
+SQL["union_tagged_sources"] = """
+SELECT value AS f0, CAST(json_extract(props, '$.k') AS DOUBLE) AS f1, event_type AS attack_name
+FROM events"""
+SQL["score_quantile"] = f"""
+SELECT round(quantile_cont(anomaly_score, 0.01), 9) AS quantile FROM {_SOFT}"""
+SQL["label_domain"] = """
+SELECT quality AS label FROM labels UNION SELECT toxic FROM labels"""

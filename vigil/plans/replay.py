@@ -32,7 +32,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--input", required=True)
     ap.add_argument("--format", choices=["csv", "parquet"], default="csv")
     ap.add_argument("--bootstrap_servers")
-    ap.add_argument("--topic", default="kitsune")
+    ap.add_argument("--topic", default="events")
     ap.add_argument("--output")
     ap.add_argument("--features_only", action="store_true")
     a = ap.parse_args(argv)

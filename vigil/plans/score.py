@@ -40,18 +40,18 @@ class ScoreJob:
     checkpoint_dir: str
     source: str = "kafka"
     bootstrap_servers: str = "kafka:29092"
-    topic_in: str = "kitsune"
-    topic_out: str = "kitsune_enriched"
+    topic_in: str = "events"
+    topic_out: str = "events_enriched"
     input: str | None = None
     output: str | None = None
     starting_offsets: str = "latest"
     max_offsets_per_trigger: int = 20000
     anomaly_threshold: float = 0.70
     confidence_threshold: float = 0.70
-    model_version: str = "kitsune_rf_v1"
+    model_version: str = "rf_v1"
     pred_logic: str = "predicted_attack"
     enable_metrics: bool = False
-    topic_metrics: str = "kitsune_metrics"
+    topic_metrics: str = "events_metrics"
     metrics_window: str = "1 minute"
     watermark: str = "5 minutes"
     n_features: int = 115
@@ -64,19 +64,19 @@ def parse_args(argv: Sequence[str] | None = None) -> ScoreJob:
     ap.add_argument("--checkpoint_dir", required=True)
     ap.add_argument("--source", choices=["kafka", "files"], default="kafka")
     ap.add_argument("--bootstrap_servers", default="kafka:29092")
-    ap.add_argument("--topic_in", default="kitsune")
-    ap.add_argument("--topic_out", default="kitsune_enriched")
+    ap.add_argument("--topic_in", default="events")
+    ap.add_argument("--topic_out", default="events_enriched")
     ap.add_argument("--input")
     ap.add_argument("--output")
     ap.add_argument("--starting_offsets", choices=["latest", "earliest"], default="latest")
     ap.add_argument("--max_offsets_per_trigger", type=int, default=20000)
     ap.add_argument("--anomaly_threshold", type=float, default=0.70)
     ap.add_argument("--confidence_threshold", type=float, default=0.70)
-    ap.add_argument("--model_version", default="kitsune_rf_v1")
+    ap.add_argument("--model_version", default="rf_v1")
     ap.add_argument("--pred_logic", choices=["predicted_attack", "suspect"],
                     default="predicted_attack")
     ap.add_argument("--enable_metrics", action="store_true")
-    ap.add_argument("--topic_metrics", default="kitsune_metrics")
+    ap.add_argument("--topic_metrics", default="events_metrics")
     ap.add_argument("--metrics_window", default="1 minute")
     ap.add_argument("--watermark", default="5 minutes")
     ap.add_argument("--n_features", type=int, default=115)

@@ -109,6 +109,14 @@ def built_table(spark, sf_dir) -> DataFrame:
     return spark.read.parquet(f"{base}/global")
 
 
+def q_union_tagged_sources(spark, sf_dir):
+    """U1 + P4 on its own: the per-type capture files unioned with their tags."""
+    from vigil.operators.align import union_tagged
+    sources, _ = _stage_build(spark, sf_dir)
+    parts = [(name, read_features(spark, fx, 2, name)) for name, fx, _ in sources]
+    return union_tagged(parts).select("f0", "f1", "attack_name")
+
+
 def q_build_dataset(spark, sf_dir):
     return built_table(spark, sf_dir).select("f0", "f1", "label", "attack_name")
 
@@ -120,6 +128,7 @@ def q_source_counts(spark, sf_dir):
 STAGED_QUERIES = {
     "positional_label_join": q_positional_label_join,
     "label_parse_guard": q_label_parse_guard,
+    "union_tagged_sources": q_union_tagged_sources,
     "build_dataset": q_build_dataset,
     "source_counts": q_source_counts,
 }
