@@ -7,11 +7,15 @@ which is the case in unit tests.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
+_SHIPPED: set[str] = set()
+
 
 def get_spark(app: str = "vigil", master: str | None = None,
               shuffle_partitions: int | None = None,
@@ -34,7 +38,9 @@ def get_spark(app: str = "vigil", master: str | None = None,
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
-    return b.getOrCreate()
+    spark = b.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -64,3 +70,30 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/vigil/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``vigil`` importable in Python workers (what ``--py-files`` does).
+
+    Pandas UDFs and ``applyInPandas`` functions refer to this package, so the
+    workers need it too.  The package is zipped once per SparkContext and
+    added with ``addPyFile``, which distributes it to every executor.
+    """
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Connect)
+        return
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="vigil-pyfiles-"), "vigil.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
