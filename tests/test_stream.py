@@ -9,7 +9,8 @@ from vigil.operators import metrics
 from vigil.session import scratch_path
 from vigil.streaming.dedup import dedup_events
 from vigil.streaming.run import read_sink, run_available_now, run_foreach_batch
-from vigil.streaming.store import daily_upsert_sink, last_write_wins
+from vigil.streaming.store import (compact_days, daily_store_sink, daily_upsert_sink,
+                                   last_write_wins, read_store)
 
 SCHEMA = "id long, ts timestamp, fp int, fn int, tp int, tn int, " \
          "is_attack_true boolean, is_attack_pred boolean"
@@ -102,3 +103,25 @@ def test_foreach_batch_restart(spark):
     run_foreach_batch(spark.readStream.schema(SCHEMA).parquet(f"{base}/in"),
                       lambda df, bid: seen.append((bid, df.count())), f"{base}/ck")
     assert seen == [(0, 2)]
+
+
+def test_daily_store_merge_on_read_and_compaction(spark):
+    base = scratch_path(spark, "t_store")
+    table = f"{base}/table"
+    keys = ["topic", "partition", "offset"]
+    rows = spark.createDataFrame(
+        [("t", 0, 1, dt.datetime(2024, 1, 1, 1), 1.0), ("t", 0, 2, dt.datetime(2024, 1, 2, 1), 2.0)],
+        "topic string, partition int, offset long, kafka_ts timestamp, f1 double")
+    sink = daily_store_sink(table, "kafka_ts")
+    sink(rows, 0)
+    sink(rows, 0)                                        # re-run of the same batch
+    sink(rows.filter("offset = 1").withColumn("f1", F.lit(9.0)), 1)
+    assert spark.read.parquet(table).count() == 5        # appended, not rewritten
+    got = {r.offset: (r.f1, r.day) for r in read_store(spark, table, keys).collect()}
+    assert got == {1: (9.0, "2024.01.01"), 2: (2.0, "2024.01.02")}
+    assert read_store(spark, table, keys, days=["2024.01.02"]).count() == 1
+    compact_days(spark, table, keys, ["2024.01.01"], f"{base}/staging")
+    assert spark.read.parquet(table).filter("day = '2024.01.01'").count() == 1
+    assert spark.read.parquet(table).filter("day = '2024.01.02'").count() == 2
+    again = {r.offset: r.f1 for r in read_store(spark, table, keys).collect()}
+    assert again == {1: 9.0, 2: 2.0}

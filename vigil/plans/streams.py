@@ -17,7 +17,7 @@ from vigil.sources.stream import file_event_source
 from vigil.sources.tables import decode_props, events_envelope, read_table
 from vigil.streaming.dedup import dedup_events
 from vigil.streaming.run import read_sink, run_available_now, run_foreach_batch
-from vigil.streaming.store import daily_upsert_sink
+from vigil.streaming.store import daily_store_sink, read_store
 
 WATERMARK = "5 minutes"
 METRICS_WINDOW = "1 hour"
@@ -102,9 +102,10 @@ def _replay_errors(ev: DataFrame) -> DataFrame:
 
 
 def q_daily_upsert(spark, sf_dir):
-    """K8 + F14: two micro-batches (original, then a replay) merged into a
-    day-partitioned table by record key; the second run restarts from the
-    first run's checkpoint and sees only the replay files."""
+    """K8 + F14: two micro-batches (original, then a replay) appended to a
+    day-partitioned store and read back last-write-wins per record key; the
+    second run restarts from the first run's checkpoint and sees only the
+    replay files."""
     base = scratch_path(spark, "daily_upsert")
     src = f"{base}/input"
     ev = read_table(spark, sf_dir, "events")
@@ -115,15 +116,14 @@ def q_daily_upsert(spark, sf_dir):
         s = _events_stream(spark, src, schema)
         s = s.withColumn("event_id", event_key("topic", "partition", "offset"))
         s = s.select("event_id", "topic", "partition", "offset", "kafka_ts", "f1")
-        run_foreach_batch(s, daily_upsert_sink(table, ["topic", "partition", "offset"],
-                                               "kafka_ts", f"{base}/staging"), ckpt)
+        run_foreach_batch(s, daily_store_sink(table, "kafka_ts"), ckpt)
 
     ev.write.mode("append").parquet(src)
     run()
     _replay_errors(ev).write.mode("append").parquet(src)
     run()
-    return read_sink(spark, table).select("day", "event_id", "topic", "partition",
-                                          "offset", "f1")
+    return read_store(spark, table, ["topic", "partition", "offset"]).select(
+        "day", "event_id", "topic", "partition", "offset", "f1")
 
 
 def q_daily_metrics(spark, sf_dir):
@@ -135,9 +135,8 @@ def q_daily_metrics(spark, sf_dir):
     m = metrics.confusion_by_window(scored, "kafka_ts", DAILY_WINDOW, watermark=WATERMARK)
     base = scratch_path(spark, "daily_metrics")
     table = f"{base}/table"
-    run_foreach_batch(m, daily_upsert_sink(table, ["window_start"], "window_start",
-                                           f"{base}/staging"), f"{base}/checkpoint")
-    return _metrics_text(read_sink(spark, table), extra=["day"])
+    run_foreach_batch(m, daily_store_sink(table, "window_start"), f"{base}/checkpoint")
+    return _metrics_text(read_store(spark, table, ["window_start"]), extra=["day"])
 
 
 STREAM_QUERIES = {

@@ -1,11 +1,21 @@
 """Replay-safe daily stores (K8, K9).
 
-The reference relies on a search index with a per-record id so a replay
+The reference relies on a search index with a per-record id, so a replay
 overwrites instead of duplicating.  Here the store is a Parquet table
-partitioned by ``day``; each micro-batch is merged into the days it
-touches, keeping the last write per key, and only those day partitions
-are rewritten (dynamic partition overwrite).  The merge is idempotent, so
-a micro-batch re-run after a failure leaves the same table.
+partitioned by ``day`` with merge-on-read:
+
+* every micro-batch is *appended* to the days it touches, each row tagged
+  with ``_version`` = batch id (a re-run of a failed batch appends the
+  same rows with the same version: harmless);
+* readers see :func:`read_store`: the last write per record key, over the
+  days they ask for (partition pruning first, then a shuffle on the key,
+  which is unique per record so no task holds more than one record's
+  copies);
+* :func:`compact_days` rewrites closed days to one row per key, off the
+  streaming path, so a micro-batch never rewrites a whole day.
+
+``upsert_days`` is the eager variant (merge the batch into its days and
+overwrite them, dynamic partition overwrite); it suits small stores.
 """
 
 from __future__ import annotations
@@ -29,7 +39,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def last_write_wins(df: DataFrame, keys: Sequence[str], version: str = VERSION) -> DataFrame:
-    """Batch form of K8: keep the highest-version row per key.
+    """Keep the highest-version row per key.
 
     The window is partitioned by the record key, which is unique per event,
     so no partition holds more than the copies of one record.
@@ -39,12 +49,46 @@ def last_write_wins(df: DataFrame, keys: Sequence[str], version: str = VERSION)
             .drop("_rn"))
 
 
+def tag_batch(batch: DataFrame, time_col: str, version) -> DataFrame:
+    return batch.withColumns({"day": to_day(F.col(time_col)),
+                              VERSION: F.lit(version).cast("bigint")})
+
+
+def append_batch(batch: DataFrame, table: str, time_col: str, version) -> None:
+    """K8 write side: append the batch to its day partitions."""
+    tag_batch(batch, time_col, version).write.mode("append").partitionBy("day").parquet(table)
+
+
+def read_store(spark: SparkSession, table: str, keys: Sequence[str],
+               days: Sequence[str] | None = None, keep_version: bool = False) -> DataFrame:
+    """K8 read side: one row per key (the last write), optionally for some days."""
+    df = spark.read.parquet(table)
+    if days is not None:
+        df = df.filter(F.col("day").isin(list(days)))
+    out = last_write_wins(df, keys)
+    return out if keep_version else out.drop(VERSION)
+
+
+def compact_days(spark: SparkSession, table: str, keys: Sequence[str],
+                 days: Sequence[str], staging: str) -> None:
+    """Rewrite the given (closed) days to one row per key.
+
+    Spark cannot overwrite a path it is reading, so the result is staged,
+    then swapped in with dynamic partition overwrite (other days untouched).
+    """
+    if not days:
+        return
+    read_store(spark, table, keys, days, keep_version=True) \
+        .write.mode("overwrite").partitionBy("day").parquet(staging)
+    (spark.read.parquet(staging).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(table))
+
+
 def upsert_days(batch: DataFrame, table: str, keys: Sequence[str], time_col: str,
                 version, staging: str) -> None:
-    """Merge one batch into a day-partitioned table, last write per key wins."""
+    """Eager merge of one batch into its days (small stores)."""
     spark = batch.sparkSession
-    batch = batch.withColumns({"day": to_day(F.col(time_col)),
-                               VERSION: F.lit(version).cast("bigint")})
+    batch = tag_batch(batch, time_col, version)
     # the days one micro-batch touches: a handful of values
     days = [r[0] for r in batch.select("day").distinct().collect()]
     if not days:
@@ -53,15 +97,20 @@ def upsert_days(batch: DataFrame, table: str, keys: Sequence[str], time_col: str
     if _exists(spark, table):
         old = spark.read.parquet(table).filter(F.col("day").isin(days))
         merged = batch.unionByName(old.select(*batch.columns))
-    merged = last_write_wins(merged, keys)
-    # Spark cannot overwrite a path it is reading: stage, then swap days in.
-    merged.write.mode("overwrite").partitionBy("day").parquet(staging)
+    last_write_wins(merged, keys).write.mode("overwrite").partitionBy("day").parquet(staging)
     (spark.read.parquet(staging).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(table))
 
 
+def daily_store_sink(table: str, time_col: str):
+    """foreachBatch function for K8 / K9 (append, merge-on-read)."""
+    def _fn(batch_df: DataFrame, batch_id: int) -> None:
+        append_batch(batch_df, table, time_col, batch_id)
+    return _fn
+
+
 def daily_upsert_sink(table: str, keys: Sequence[str], time_col: str, staging: str):
-    """foreachBatch function for K8 / K9; the batch id orders the writes."""
+    """foreachBatch function for the eager variant; the batch id orders writes."""
     def _fn(batch_df: DataFrame, batch_id: int) -> None:
         upsert_days(batch_df, table, keys, time_col, batch_id, f"{staging}/current")
     return _fn
