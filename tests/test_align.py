@@ -107,3 +107,25 @@ def test_discover_features():
         discover_features(["f0", "attack_name"])
     with pytest.raises(ValueError, match="expected 115"):
         discover_features(["f0", "label", "attack_name"], 115)
+
+
+@pytest.mark.parametrize("bad", ["1,2", "1,2,3,4", "1,x,3"])
+def test_strict_row_guard(spark, tmp, bad):
+    p = f"{tmp}/s.csv"
+    _write(p, ["1,2,3", bad, "4,5,6"])
+    assert read_features(spark, p, 3, "cap").count() == 3
+    with pytest.raises(ValueError, match=r"\[cap\] malformed row"):
+        read_features(spark, p, 3, "cap", strict=True)
+
+
+def test_strict_guard_passes_clean_rows(spark, tmp):
+    p = f"{tmp}/ok.csv"
+    _write(p, ["1,2,3", "4,5,6", ",,"])
+    assert read_features(spark, p, 3, "cap", strict=True).count() == 3
+
+
+def test_build_fails_on_malformed_capture(spark, tmp):
+    _write(f"{tmp}/A_x.csv", ["1,2", "3,x"])
+    _write(f"{tmp}/A_y.csv", ["0", "1"])
+    with pytest.raises(ValueError, match=r"\[A\] malformed row: '3,x'"):
+        build_global(spark, [("A", f"{tmp}/A_x.csv", f"{tmp}/A_y.csv")], n_features=2)

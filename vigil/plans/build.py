@@ -10,13 +10,15 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.operators.align import positional_join
 from vigil.schema import REFERENCE_SOURCES, feature_names
-from vigil.sources.capture import file_position_columns, read_features
+from vigil.sources.capture import (file_position_columns, malformed_rows, raise_if_malformed,
+                                   read_features)
 from vigil.sources.labels import read_labels
 
 
@@ -29,12 +31,17 @@ def read_capture_pair(spark: SparkSession, name: str, features_path: str,
 
 
 def build_global(spark: SparkSession, sources: Sequence[tuple], n_features: int = 115,
-                 label: str = "label") -> DataFrame:
+                 label: str = "label", strict: bool = True) -> DataFrame:
     """sources: (capture, features_path, labels_path[, label_layout]) tuples.
 
     All captures go through one plan: the feature scans are unioned, the
     label scans are unioned, and a single positional join aligns them.
+    ``strict`` first fails on any malformed feature row (one job for all
+    captures), as the reference's reader does.
     """
+    if strict:
+        checks = [malformed_rows(spark, src[1], n_features, src[0]) for src in sources]
+        raise_if_malformed(reduce(lambda a, b: a.unionByName(b), checks))
     xs, ys = [], []
     for src in sources:
         name, fp, lp = src[:3]

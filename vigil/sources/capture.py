@@ -34,21 +34,59 @@ def csv_width(spark: SparkSession, path: str, source: str | None = None) -> int:
     return len(first_line(spark, path, source).split(","))
 
 
+def _capture_schema(spark: SparkSession, path: str, n_features: int, source: str | None):
+    width = csv_width(spark, path, source)
+    if width == n_features:
+        return width, feature_schema(n_features)
+    if width == n_features + 1:
+        return width, feature_schema(n_features, prefix_index=True)
+    raise ValueError(f"[{source or path}] unexpected column count: {width} "
+                     f"(expected {n_features} or {n_features + 1})")
+
+
+def malformed_rows(spark: SparkSession, path: str, n_features: int = 115,
+                   source: str | None = None) -> DataFrame:
+    """(source, line) of rows with another width or a non-numeric field.
+
+    Every column is parsed (Spark only flags malformed rows in the columns
+    it parses), so this is a full pass over the file.
+    """
+    _, schema = _capture_schema(spark, path, n_features, source)
+    schema = schema.add("_corrupt_record", "string")
+    df = (spark.read.schema(schema).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", "_corrupt_record").csv(path))
+    bad = df.filter(F.col("_corrupt_record").isNotNull())
+    every = [F.col(c) for c in schema.fieldNames()]
+    return bad.select(F.lit(source or path).alias("source"),
+                      F.col("_corrupt_record").alias("line"),
+                      F.array(*every[:-1]).alias("_parsed"))
+
+
+def raise_if_malformed(bad: DataFrame) -> None:
+    """P3 per row: one job over all given captures; the first bad line is quoted."""
+    hit = bad.limit(1).collect()  # keep _parsed: it makes Spark parse every column
+    if hit:
+        raise ValueError(f"[{hit[0]['source']}] malformed row: {hit[0]['line']!r}")
+
+
+def validate_rows(spark: SparkSession, path: str, n_features: int = 115,
+                  source: str | None = None) -> None:
+    raise_if_malformed(malformed_rows(spark, path, n_features, source))
+
+
 def read_features(spark: SparkSession, path: str, n_features: int = 115,
-                  source: str | None = None) -> DataFrame:
+                  source: str | None = None, strict: bool = False) -> DataFrame:
     """S2 + P1 + P2 + P3: headerless capture -> f0..f{n-1} DOUBLE.
 
     Width n is taken as is, n+1 drops the leading index column (pruned from
-    the scan), anything else raises naming the source.
+    the scan), anything else raises naming the source.  With ``strict`` a
+    row of another width or with a non-numeric field raises too (one
+    validation pass, :func:`validate_rows`); otherwise such rows are read
+    leniently (missing or bad fields become null).
     """
-    width = csv_width(spark, path, source)
-    if width == n_features:
-        schema = feature_schema(n_features)
-    elif width == n_features + 1:
-        schema = feature_schema(n_features, prefix_index=True)
-    else:
-        raise ValueError(f"[{source or path}] unexpected column count: {width} "
-                         f"(expected {n_features} or {n_features + 1})")
+    width, schema = _capture_schema(spark, path, n_features, source)
+    if strict:
+        validate_rows(spark, path, n_features, source)
     df = spark.read.schema(schema).option("header", "false").option("mode", "PERMISSIVE").csv(path)
     return df.drop("_index") if width == n_features + 1 else df
 
