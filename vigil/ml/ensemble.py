@@ -14,9 +14,10 @@ Training data, as in the reference:
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsRest)
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.ml.functions import array_to_vector
@@ -32,6 +33,9 @@ from vigil.operators.clean import zero_nonfinite_array
 from vigil.schema import BENIGN
 
 
+ROWS_PER_PARTITION = 100_000
+
+
 @dataclass(frozen=True)
 class EnsembleConfig:
     n_trees: int = 200
@@ -85,24 +89,30 @@ def fit_ensemble(df: DataFrame, features_col: str, key_col: str,
         .otherwise(F.coalesce(F.col(attack), F.lit("unknown"))))
     train = sample.class_capped_sample(labelled, "class_name", cfg.per_class, ["u", key_col])
     train = train.withColumn("features", array_to_vector("__zx")).select(
-        "features", "class_name").persist()
+        "features", "class_name")
+    # the capped set is bounded (per_class x classes): size its partitions to
+    # about 100k rows so the iterative fits do not schedule empty tasks
+    n_train = train.count()
+    train = train.coalesce(max(1, math.ceil(n_train / ROWS_PER_PARTITION))).persist()
+    # M2: alphabetical class index, fitted once and shared by both models
     indexer = StringIndexer(inputCol="class_name", outputCol="y",
-                            stringOrderType="alphabetAsc")
+                            stringOrderType="alphabetAsc").fit(train)
+    model.classes = list(indexer.labels)
+    indexed = indexer.transform(train)
     if with_lr:
         lr = LogisticRegression(featuresCol="features", labelCol="y", family="multinomial",
                                 maxIter=cfg.lr_max_iter, standardization=False,
-                                regParam=1.0 / max(train.count(), 1))
-        model.lr = Pipeline(stages=[indexer, lr]).fit(train)
-        model.classes = list(model.lr.stages[0].labels)
+                                regParam=1.0 / max(n_train, 1))
+        model.lr = PipelineModel(stages=[indexer, lr.fit(indexed)])
     if with_gbt:
         gbt = GBTClassifier(featuresCol="features", labelCol="y", maxIter=cfg.gbt_rounds,
                             maxDepth=cfg.gbt_depth, stepSize=cfg.gbt_step,
                             subsamplingRate=cfg.gbt_subsample,
                             featureSubsetStrategy=str(cfg.gbt_subsample), seed=cfg.seed)
+        # one binary booster per class, fitted side by side (bounded by 16)
         ovr = OneVsRest(classifier=gbt, featuresCol="features", labelCol="y",
-                        parallelism=4)
-        model.gbt = Pipeline(stages=[indexer, ovr]).fit(train)
-        model.classes = list(model.gbt.stages[0].labels)
+                        parallelism=max(1, min(len(model.classes), 16)))
+        model.gbt = PipelineModel(stages=[indexer, ovr.fit(indexed)])
     train.unpersist()
     return model
 
