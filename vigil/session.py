@@ -32,6 +32,11 @@ def get_spark(app: str = "vigil", master: str | None = None,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # dynamic partition overwrite is what the replay-safe daily store needs
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # window / dedup state of long-running streams lives in RocksDB on
+        # local disk (bounded JVM heap), checkpointed as change logs
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
