@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions.columns import to_day
@@ -41,12 +41,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def last_write_wins(df: DataFrame, keys: Sequence[str], version: str = VERSION) -> DataFrame:
     """Keep the highest-version row per key.
 
-    The window is partitioned by the record key, which is unique per event,
-    so no partition holds more than the copies of one record.
+    An aggregate, not a window: ``max_by`` has a map-side partial step, so
+    even a record replayed millions of times is reduced to one copy per
+    input partition before the shuffle.  Equal versions are broken by a hash
+    of the row, so the choice does not depend on arrival order.
     """
-    w = Window.partitionBy(*keys).orderBy(F.col(version).desc())
-    return (df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
-            .drop("_rn"))
+    rest = [c for c in df.columns if c not in keys]
+    order = F.struct(F.col(version), F.xxhash64(*[F.col(c) for c in rest]))
+    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in rest]),
+                                            order).alias("_last"))
+    return picked.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest]).select(
+        *df.columns)
 
 
 def tag_batch(batch: DataFrame, time_col: str, version) -> DataFrame:
