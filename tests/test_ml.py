@@ -73,3 +73,14 @@ def test_multiclass_metrics_equal_evaluator(spark):
     ev = MulticlassClassificationEvaluator()
     assert abs(m.weighted_f1 - ev.setMetricName("f1").evaluate(df)) < 1e-12
     assert abs(m.accuracy - ev.setMetricName("accuracy").evaluate(df)) < 1e-12
+
+
+def test_iforest_pooled_subsamples_are_full(spark):
+    rng = np.random.default_rng(3)
+    data = [(i, [float(v) for v in rng.normal(size=3)]) for i in range(20000)]
+    df = spark.createDataFrame(data, "k long, x array<double>")
+    model = fit_iforest(df, "x", "k", n_trees=10, contamination=0.02, seed=5)
+    roots = model.nodes[model.nodes["node"] == 0]
+    assert len(roots) == 10 and (roots["size"] == 256).all()
+    share = score_iforest(df, model, "x").agg(F.avg("iso_is_anom")).first()[0]
+    assert 0.01 <= share <= 0.03

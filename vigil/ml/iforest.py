@@ -3,10 +3,10 @@
 Liu, Ting & Zhou, "Isolation Forest", ICDM 2008.
 
 fit:
-  1. every fit row draws a hash per tree; per tree the ``psi`` rows with the
-     smallest hash form its subsample (a filter keeps about 2*psi
-     candidates per tree, then a per-tree row_number limit, which Spark
-     runs map-side before the shuffle);
+  1. a hash keeps a pool of about 4 * trees * psi fit rows; every pooled row
+     draws a hash per tree and per tree the ``psi`` rows with the smallest
+     hash form its subsample (a filter keeps about 2*psi candidates per
+     tree, then a per-tree row_number limit);
   2. ``groupBy(tree).applyInPandas`` grows one tree per group (<= 2*psi rows,
      whatever the data size) and emits its node table;
   3. the node table (trees x (2*psi - 1) rows at most, independent of the
@@ -157,9 +157,15 @@ def fit_iforest(df: DataFrame, features_col: str, key_col: str, n_trees: int = 2
         raise ValueError("isolation forest needs at least one row")
     psi = int(min(max_samples, n))
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
-    keep = min(1.0, 2.0 * psi / n + 64.0 / n)
-    cand = (df.select(F.col(key_col).alias("_key"), F.col(features_col).alias("x"))
-            .withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
+    # a pool of about 4 * trees * psi rows holds every tree's candidates, so
+    # only the pool is exploded per tree, however large the fit set is
+    pool = min(1.0, 4.0 * n_trees * psi / n)
+    keep = min(1.0, (2.0 * psi + 64.0) / (n * pool))
+    base = df.select(F.col(key_col).alias("_key"), F.col(features_col).alias("x"))
+    if pool < 1.0:
+        base = base.filter(F.abs(F.xxhash64("_key", F.lit(-1), F.lit(seed)))
+                           / F.lit(float(2 ** 63)) < F.lit(pool))
+    cand = (base.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
             .withColumn("_h", F.xxhash64("_key", "tree", F.lit(seed)))
             .filter(F.abs(F.col("_h")) / F.lit(float(2 ** 63)) < F.lit(keep)))
     w = Window.partitionBy("tree").orderBy("_h", "_key")
