@@ -30,7 +30,9 @@ from vigil.ml.scaling import ArrayScaler, fit_scaler
 from vigil.operators import rules, sample
 from vigil.functions.columns import f32_finite
 from vigil.operators.clean import zero_nonfinite_array
-from vigil.schema import BENIGN
+from vigil.schema import (BENIGN, BENIGN_CAP, BENIGN_MIN, COMPOUND_RULE_F1, COMPOUND_RULE_F2,
+                          GBT_DEPTH, GBT_ROUNDS, GBT_STEP, GBT_SUBSAMPLE, ISO_CONTAMINATION,
+                          ISO_MAX_SAMPLES, ISO_TREES, LR_MAX_ITER, PER_CLASS_CAP, RF_SEED)
 
 
 ROWS_PER_PARTITION = 100_000
@@ -38,18 +40,19 @@ ROWS_PER_PARTITION = 100_000
 
 @dataclass(frozen=True)
 class EnsembleConfig:
-    n_trees: int = 200
-    contamination: float = 0.01
-    benign_cap: int = 300_000
-    benign_min: int = 10_000
-    per_class: int = 80_000
-    lr_max_iter: int = 2000
-    gbt_rounds: int = 300
-    gbt_depth: int = 8
-    gbt_step: float = 0.1
-    gbt_subsample: float = 0.8
-    seed: int = 42
-    rule_predicates: tuple = ("f1 > 1400", "f2 > 100000")
+    n_trees: int = ISO_TREES
+    contamination: float = ISO_CONTAMINATION
+    max_samples: int = ISO_MAX_SAMPLES
+    benign_cap: int = BENIGN_CAP
+    benign_min: int = BENIGN_MIN
+    per_class: int = PER_CLASS_CAP
+    lr_max_iter: int = LR_MAX_ITER
+    gbt_rounds: int = GBT_ROUNDS
+    gbt_depth: int = GBT_DEPTH
+    gbt_step: float = GBT_STEP
+    gbt_subsample: float = GBT_SUBSAMPLE
+    seed: int = RF_SEED
+    rule_predicates: tuple = (f"f1 > {COMPOUND_RULE_F1}", f"f2 > {COMPOUND_RULE_F2}")
 
 
 @dataclass
@@ -78,7 +81,7 @@ def fit_ensemble(df: DataFrame, features_col: str, key_col: str,
     # isolation forest on benign rows, capped
     benign = sample.benign_cap(scaled, cfg.benign_cap, ["u", key_col], label,
                                cfg.benign_min)
-    iso = fit_iforest(benign, "__zx", key_col, cfg.n_trees, 256, cfg.contamination,
+    iso = fit_iforest(benign, "__zx", key_col, cfg.n_trees, cfg.max_samples, cfg.contamination,
                       cfg.seed)
     model = EnsembleModel(scaler, iso)
     if not (with_lr or with_gbt):
@@ -142,7 +145,7 @@ def score_ensemble(df: DataFrame, model: EnsembleModel, features_col: str,
     """X1-X4 + R2 + R9: rule, iso score / flag, LR and GBT classes, final decision."""
     x = _prepared(df, features_col)
     x = _scale(model.scaler, x)
-    preds = rule_predicates or (f"{f1} > 1400", f"{f2} > 100000")
+    preds = rule_predicates or (f"{f1} > {COMPOUND_RULE_F1}", f"{f2} > {COMPOUND_RULE_F2}")
     x = rules.any_rule(x, list(preds))
     x = score_iforest(x, model.iforest, "__zx")
     x = _predict_names(model.lr, x, "pred_lr")

@@ -20,14 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.operators import metrics, rules
-from vigil.schema import BENIGN
+from vigil.schema import (ANOMALY_THRESHOLD, BENIGN, CONFIDENCE_THRESHOLD, RF_MAX_DEPTH,
+                          RF_NUM_TREES, RF_SEED)
 
 
 @dataclass(frozen=True)
 class ForestConfig:
-    num_trees: int = 80
-    max_depth: int = 12
-    seed: int = 42
+    num_trees: int = RF_NUM_TREES
+    max_depth: int = RF_MAX_DEPTH
+    seed: int = RF_SEED
     sample_frac: float = 1.0
     limit_rows: int = 0
     class_col: str = "class_name"
@@ -74,7 +75,8 @@ def bundle_metadata(cfg: ForestConfig, source: str, scores: dict, n_features: in
 
 
 def score_events(df: DataFrame, model, labels: Sequence[str],
-                 anomaly_threshold: float = 0.70, confidence_threshold: float = 0.70,
+                 anomaly_threshold: float = ANOMALY_THRESHOLD,
+                 confidence_threshold: float = CONFIDENCE_THRESHOLD,
                  pred_logic: str = "predicted_attack") -> DataFrame:
     """M7 + R3-R8: pipeline inference then the alert and truth layers.
 

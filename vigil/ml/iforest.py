@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StructField,
                                StructType)
 
+from vigil.schema import ISO_CONTAMINATION, ISO_MAX_SAMPLES, ISO_TREES, RF_SEED  # noqa: E402
+
 EULER_GAMMA = 0.5772156649015329
 
 NODE_SCHEMA = StructType([
@@ -147,9 +149,9 @@ def raw_scores(x: np.ndarray, arrays, psi: int) -> np.ndarray:
     return -np.power(2.0, -mean_len / average_path_length([psi])[0])
 
 
-def fit_iforest(df: DataFrame, features_col: str, key_col: str, n_trees: int = 200,
-                max_samples: int = 256, contamination: float = 0.01,
-                seed: int = 42) -> IsolationForestModel:
+def fit_iforest(df: DataFrame, features_col: str, key_col: str, n_trees: int = ISO_TREES,
+                max_samples: int = ISO_MAX_SAMPLES, contamination: float = ISO_CONTAMINATION,
+                seed: int = RF_SEED) -> IsolationForestModel:
     """Fit on ``df`` (already cleaned, scaled and capped by the caller)."""
     spark = df.sparkSession
     n = df.count()

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigil.schema import METRICS_WINDOW
+
 
 def alert_counts(df: DataFrame, rule_col: str = "rule_alert") -> DataFrame:
     """A1: total rows and alerted rows in one pass."""
@@ -43,7 +45,7 @@ def add_rates(df: DataFrame) -> DataFrame:
 
 
 def confusion_by_window(df: DataFrame, time_col: str = "kafka_ts",
-                        size: str = "1 minute", watermark: str | None = None,
+                        size: str = METRICS_WINDOW, watermark: str | None = None,
                         keep_counts: bool = False) -> DataFrame:
     """A2 + A3 + W1 + W2: tumbling-window confusion metrics.
 

@@ -8,10 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.columns import argmax, class_lookup
-from vigil.schema import BENIGN, FALLBACK_ATTACK, UNKNOWN_ATTACK
+from vigil.schema import (ALERT_HIGH, ALERT_LOW, ALERT_NONE, ANOMALY_THRESHOLD, BENIGN,
+                          COMPOUND_RULE_F1, COMPOUND_RULE_F2, CONFIDENCE_THRESHOLD,
+                          FALLBACK_ATTACK, SEVERITY_HIGH, SEVERITY_MEDIUM, SEVERITY_NONE,
+                          SIMPLE_RULE_F1, UNKNOWN_ATTACK)
 
 
-def threshold_predicate(feature: str = "f1", threshold: float = 1500.0) -> Column:
+def threshold_predicate(feature: str = "f1", threshold: float = SIMPLE_RULE_F1) -> Column:
     """R1's condition; null (missing or non-numeric feature) means no alert.
 
     Text features are coerced leniently, so a bad value never raises; on a
@@ -20,7 +23,7 @@ def threshold_predicate(feature: str = "f1", threshold: float = 1500.0) -> Colum
     return F.col(feature).try_cast("double") > F.lit(float(threshold))
 
 
-def threshold_rule(df: DataFrame, feature: str = "f1", threshold: float = 1500.0,
+def threshold_rule(df: DataFrame, feature: str = "f1", threshold: float = SIMPLE_RULE_F1,
                    out: str = "rule_alert") -> DataFrame:
     """1 when ``feature > threshold`` else 0 (a null feature gives 0)."""
     return df.withColumn(out, F.when(threshold_predicate(feature, threshold), 1).otherwise(0))
@@ -37,7 +40,8 @@ def any_rule(df: DataFrame, predicates: Sequence[str | Column],
 
 
 def compound_rule(df: DataFrame, f1: str = "f1", f2: str = "f2",
-                  f1_threshold: float = 1400.0, f2_threshold: float = 100000.0,
+                  f1_threshold: float = COMPOUND_RULE_F1,
+                  f2_threshold: float = COMPOUND_RULE_F2,
                   out: str = "rule_alert") -> DataFrame:
     """R2: ``CASE WHEN f1 > a OR f2 > b THEN 1 ELSE 0 END``."""
     return any_rule(df, [F.col(f1) > F.lit(float(f1_threshold)),
@@ -46,8 +50,8 @@ def compound_rule(df: DataFrame, f1: str = "f1", f2: str = "f2",
 
 def alert_layer(df: DataFrame, prob_col: str, vocab: Sequence[str],
                 prediction_col: str | None = None,
-                anomaly_threshold: float = 0.70,
-                confidence_threshold: float = 0.70,
+                anomaly_threshold: float = ANOMALY_THRESHOLD,
+                confidence_threshold: float = CONFIDENCE_THRESHOLD,
                 benign: str = BENIGN) -> DataFrame:
     """R3-R6 + J2 on a probability array.
 
@@ -74,12 +78,12 @@ def alert_layer(df: DataFrame, prob_col: str, vocab: Sequence[str],
     out = out.withColumn("suspect", suspect)
     hi = F.col("suspect") & (F.col("confidence") >= F.lit(float(confidence_threshold)))
     lo = F.col("suspect") & (F.col("confidence") < F.lit(float(confidence_threshold)))
-    rule = (F.when(hi, F.lit("ALERT_HIGH")).when(lo, F.lit("ALERT_LOW"))
-            .otherwise(F.lit("BENIGN")))
+    rule = (F.when(hi, F.lit(ALERT_HIGH)).when(lo, F.lit(ALERT_LOW))
+            .otherwise(F.lit(ALERT_NONE)))
     out = out.withColumn("rule_alert", rule)
-    sev = (F.when(F.col("rule_alert") == "ALERT_HIGH", F.lit("high"))
-           .when(F.col("rule_alert") == "ALERT_LOW", F.lit("medium"))
-           .otherwise(F.lit("none")))
+    sev = (F.when(F.col("rule_alert") == ALERT_HIGH, F.lit(SEVERITY_HIGH))
+           .when(F.col("rule_alert") == ALERT_LOW, F.lit(SEVERITY_MEDIUM))
+           .otherwise(F.lit(SEVERITY_NONE)))
     return out.withColumn("severity", sev)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.operators.align import positional_join
-from vigil.schema import REFERENCE_SOURCES, feature_names
+from vigil.schema import N_FEATURES_DEFAULT, REFERENCE_SOURCES, feature_names
 from vigil.sources.capture import (file_position_columns, malformed_rows, raise_if_malformed,
                                    read_features)
 from vigil.sources.labels import read_labels
@@ -83,7 +83,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--data_dir", required=True)
     ap.add_argument("--out", required=True)
     ap.add_argument("--format", choices=["parquet", "csv"], default="parquet")
-    ap.add_argument("--n_features", type=int, default=115)
+    ap.add_argument("--n_features", type=int, default=N_FEATURES_DEFAULT)
     args = ap.parse_args(argv)
     spark = get_spark("vigil-build")
     df = build_global(spark, reference_sources(args.data_dir), args.n_features)

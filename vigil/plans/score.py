@@ -29,7 +29,10 @@ from vigil.ml.bundle import load_bundle
 from vigil.ml.forest import score_events
 from vigil.operators import metrics
 from vigil.operators.clean import fill_features
-from vigil.schema import ENRICHED_COLUMNS, METRICS_COLUMNS, feature_names, raw_event_schema
+from vigil.schema import (ANOMALY_THRESHOLD, CONFIDENCE_THRESHOLD, ENRICHED_COLUMNS,
+                          MAX_OFFSETS_PER_TRIGGER, METRICS_COLUMNS, METRICS_WINDOW,
+                          N_FEATURES_DEFAULT, WATERMARK_DELAY, feature_names,
+                          raw_event_schema)
 from vigil.sinks.kafka import encode_events
 from vigil.sources.stream import decode_payload, envelope, kafka_source
 
@@ -45,16 +48,16 @@ class ScoreJob:
     input: str | None = None
     output: str | None = None
     starting_offsets: str = "latest"
-    max_offsets_per_trigger: int = 20000
-    anomaly_threshold: float = 0.70
-    confidence_threshold: float = 0.70
+    max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER
+    anomaly_threshold: float = ANOMALY_THRESHOLD
+    confidence_threshold: float = CONFIDENCE_THRESHOLD
     model_version: str = "rf_v1"
     pred_logic: str = "predicted_attack"
     enable_metrics: bool = False
     topic_metrics: str = "events_metrics"
-    metrics_window: str = "1 minute"
-    watermark: str = "5 minutes"
-    n_features: int = 115
+    metrics_window: str = METRICS_WINDOW
+    watermark: str = WATERMARK_DELAY
+    n_features: int = N_FEATURES_DEFAULT
     available_now: bool = False
 
 
@@ -69,17 +72,17 @@ def parse_args(argv: Sequence[str] | None = None) -> ScoreJob:
     ap.add_argument("--input")
     ap.add_argument("--output")
     ap.add_argument("--starting_offsets", choices=["latest", "earliest"], default="latest")
-    ap.add_argument("--max_offsets_per_trigger", type=int, default=20000)
-    ap.add_argument("--anomaly_threshold", type=float, default=0.70)
-    ap.add_argument("--confidence_threshold", type=float, default=0.70)
+    ap.add_argument("--max_offsets_per_trigger", type=int, default=MAX_OFFSETS_PER_TRIGGER)
+    ap.add_argument("--anomaly_threshold", type=float, default=ANOMALY_THRESHOLD)
+    ap.add_argument("--confidence_threshold", type=float, default=CONFIDENCE_THRESHOLD)
     ap.add_argument("--model_version", default="rf_v1")
     ap.add_argument("--pred_logic", choices=["predicted_attack", "suspect"],
                     default="predicted_attack")
     ap.add_argument("--enable_metrics", action="store_true")
     ap.add_argument("--topic_metrics", default="events_metrics")
-    ap.add_argument("--metrics_window", default="1 minute")
-    ap.add_argument("--watermark", default="5 minutes")
-    ap.add_argument("--n_features", type=int, default=115)
+    ap.add_argument("--metrics_window", default=METRICS_WINDOW)
+    ap.add_argument("--watermark", default=WATERMARK_DELAY)
+    ap.add_argument("--n_features", type=int, default=N_FEATURES_DEFAULT)
     ap.add_argument("--available_now", action="store_true")
     a = ap.parse_args(argv)
     if a.source == "files" and not (a.input and a.output):

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from vigil.ml.bundle import save_bundle
 from vigil.ml.forest import ForestConfig, bundle_metadata, train_forest
 from vigil.operators.clean import class_name, fill_attack_name, fill_features
-from vigil.schema import feature_names
+from vigil.schema import (N_FEATURES_DEFAULT, RF_MAX_DEPTH, RF_NUM_TREES, RF_SEED,
+                          feature_names)
 from vigil.sources.capture import read_labelled
 
 
@@ -25,7 +26,7 @@ class TrainJob:
     input: str
     model_dir: str
     fmt: str = "csv"
-    n_features: int = 115
+    n_features: int = N_FEATURES_DEFAULT
     forest: ForestConfig = ForestConfig()
 
 
@@ -36,10 +37,10 @@ def parse_args(argv: Sequence[str] | None = None) -> TrainJob:
     ap.add_argument("--format", choices=["csv", "parquet"], default="csv")
     ap.add_argument("--sample_frac", type=float, default=1.0)
     ap.add_argument("--limit_rows", type=int, default=0)
-    ap.add_argument("--num_trees", type=int, default=80)
-    ap.add_argument("--max_depth", type=int, default=12)
-    ap.add_argument("--seed", type=int, default=42)
-    ap.add_argument("--n_features", type=int, default=115)
+    ap.add_argument("--num_trees", type=int, default=RF_NUM_TREES)
+    ap.add_argument("--max_depth", type=int, default=RF_MAX_DEPTH)
+    ap.add_argument("--seed", type=int, default=RF_SEED)
+    ap.add_argument("--n_features", type=int, default=N_FEATURES_DEFAULT)
     a = ap.parse_args(argv)
     return TrainJob(a.input, a.model_dir, a.format, a.n_features,
                     ForestConfig(a.num_trees, a.max_depth, a.seed, a.sample_frac, a.limit_rows))

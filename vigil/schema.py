@@ -6,7 +6,9 @@ from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType,
                                LongType, StringType, StructField, StructType,
                                TimestampType)
 
-# Fixed values of the data model that must equal the reference's.
+# ---------------------------------------------------------------------------
+# These must equal the reference's for the same results.
+# ---------------------------------------------------------------------------
 N_FEATURES_DEFAULT = 115
 BENIGN = "benign"
 UNKNOWN_ATTACK = "unknown"
@@ -28,6 +30,27 @@ REFERENCE_SOURCES = [
     ("SSDP_Flood", "SSDP_Flood_dataset.csv", "SSDP_Flood_labels.csv"),
     ("Active_Wiretap", "Active_Wiretap_dataset.csv", "Active_Wiretap_labels.csv"),
 ]
+# Rules and alert layer.
+SIMPLE_RULE_F1 = 1500.0                 # rule_alert = f1 > 1500
+COMPOUND_RULE_F1 = 1400.0               # rule_alert = f1 > 1400 or f2 > 100000
+COMPOUND_RULE_F2 = 100000.0
+ANOMALY_THRESHOLD = 0.70                # suspect = 1 - p(benign) >= 0.70
+CONFIDENCE_THRESHOLD = 0.70             # ALERT_HIGH when max probability >= 0.70
+ALERT_HIGH, ALERT_LOW, ALERT_NONE = "ALERT_HIGH", "ALERT_LOW", "BENIGN"
+SEVERITY_HIGH, SEVERITY_MEDIUM, SEVERITY_NONE = "high", "medium", "none"
+# Streaming.
+METRICS_WINDOW = "1 minute"
+WATERMARK_DELAY = "5 minutes"
+MAX_OFFSETS_PER_TRIGGER = 20000
+# Random forest.
+RF_NUM_TREES, RF_MAX_DEPTH, RF_SEED = 80, 12, 42
+# Isolation forest / ensemble.
+ISO_TREES, ISO_CONTAMINATION, ISO_MAX_SAMPLES = 200, 0.01, 256
+BENIGN_CAP, BENIGN_MIN = 300_000, 10_000
+PER_CLASS_CAP = 80_000
+LR_MAX_ITER = 2000
+GBT_ROUNDS, GBT_DEPTH, GBT_STEP, GBT_SUBSAMPLE = 300, 8, 0.1, 0.8
+# ---------------------------------------------------------------------------
 
 
 def feature_names(n: int = N_FEATURES_DEFAULT) -> list[str]:

@@ -14,9 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from vigil.schema import MAX_OFFSETS_PER_TRIGGER
+
 
 def kafka_source(spark: SparkSession, servers: str, topic: str,
-                 starting_offsets: str = "latest", max_offsets_per_trigger: int = 20000,
+                 starting_offsets: str = "latest",
+                 max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER,
                  fail_on_data_loss: bool = False) -> DataFrame:
     """Subscribe one topic (needs the Kafka connector on the classpath)."""
     return (spark.readStream.format("kafka")

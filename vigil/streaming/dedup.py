@@ -6,9 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from vigil.schema import WATERMARK_DELAY
+
 
 def dedup_events(df: DataFrame, keys: Sequence[str], time_col: str,
-                 delay: str = "5 minutes") -> DataFrame:
+                 delay: str = WATERMARK_DELAY) -> DataFrame:
     """Drop repeats of the same key that arrive within the watermark delay.
 
     State is kept per key only until the watermark passes the first
