@@ -18,13 +18,18 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+import os
+
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return v if EXACT else round(v, 6)
     if isinstance(v, bool):
         return int(v)
     if hasattr(v, "item"):
