@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from vigil.operators.align import positional_join
 from vigil.plans.build import build_global
-from vigil.sources.capture import (discover_features, file_position_columns, read_features)
+from vigil.sources.capture import (discover_features, file_position_columns, read_features,
+                                   validate_rows)
 from vigil.sources.labels import label_layout, read_labels
 
 
@@ -114,18 +115,20 @@ def test_strict_row_guard(spark, tmp, bad):
     p = f"{tmp}/s.csv"
     _write(p, ["1,2,3", bad, "4,5,6"])
     assert read_features(spark, p, 3, "cap").count() == 3
+    with pytest.raises(Exception, match=r"\[cap\] malformed row"):
+        read_features(spark, p, 3, "cap", strict=True).collect()
     with pytest.raises(ValueError, match=r"\[cap\] malformed row"):
-        read_features(spark, p, 3, "cap", strict=True)
+        validate_rows(spark, p, 3, "cap")
 
 
 def test_strict_guard_passes_clean_rows(spark, tmp):
     p = f"{tmp}/ok.csv"
     _write(p, ["1,2,3", "4,5,6", ",,"])
-    assert read_features(spark, p, 3, "cap", strict=True).count() == 3
+    assert len(read_features(spark, p, 3, "cap", strict=True).collect()) == 3
 
 
 def test_build_fails_on_malformed_capture(spark, tmp):
     _write(f"{tmp}/A_x.csv", ["1,2", "3,x"])
     _write(f"{tmp}/A_y.csv", ["0", "1"])
-    with pytest.raises(ValueError, match=r"\[A\] malformed row: '3,x'"):
-        build_global(spark, [("A", f"{tmp}/A_x.csv", f"{tmp}/A_y.csv")], n_features=2)
+    with pytest.raises(Exception, match=r"\[A\] malformed row: 3,x"):
+        build_global(spark, [("A", f"{tmp}/A_x.csv", f"{tmp}/A_y.csv")], n_features=2).collect()

@@ -57,16 +57,20 @@ def capture_counts(offsets: DataFrame, capture: str = "capture") -> dict:
 
 
 def positional_join(features: DataFrame, labels: DataFrame, capture: str = "capture",
-                    check_counts: bool = True) -> DataFrame:
+                    check_counts: bool = True,
+                    feature_counts: DataFrame | None = None) -> DataFrame:
     """J1 + P22: feature row i <-> label row i within each capture.
 
     Both inputs must carry the scan-stage position columns
     (``sources.capture.file_position_columns``) and a capture column.
     Raises when a capture's feature and label counts differ.
+    ``feature_counts`` is an optional lighter read of the same feature files
+    (same splits, so the same row ids) used only to count rows per split.
     """
     # the split tables are tiny (one row per file split); keep them for
     # the count check and the offset joins instead of scanning twice more
-    xo = split_offsets(features, capture).persist()
+    xo = split_offsets(feature_counts if feature_counts is not None else features,
+                       capture).persist()
     yo = split_offsets(labels, capture).persist()
     nx, ny = capture_counts(xo, capture), capture_counts(yo, capture)
     if check_counts:

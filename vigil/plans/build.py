@@ -17,17 +17,23 @@ from pyspark.sql import functions as F
 
 from vigil.operators.align import positional_join
 from vigil.schema import N_FEATURES_DEFAULT, REFERENCE_SOURCES, feature_names
-from vigil.sources.capture import (file_position_columns, malformed_rows, raise_if_malformed,
-                                   read_features)
+from vigil.sources.capture import csv_width, file_position_columns, read_features
 from vigil.sources.labels import read_labels
 
 
 def read_capture_pair(spark: SparkSession, name: str, features_path: str,
                       labels_path: str, n_features: int,
-                      label_layout: str | None = None) -> tuple[DataFrame, DataFrame]:
-    x = file_position_columns(read_features(spark, features_path, n_features, name))
+                      label_layout: str | None = None, strict: bool = True):
+    """-> (features, feature split-count read, labels), all tagged with the capture."""
+    tag = F.lit(name)
+    width = csv_width(spark, features_path, name)
+    x = file_position_columns(read_features(spark, features_path, n_features, name, strict,
+                                            width))
+    xc = file_position_columns(read_features(spark, features_path, n_features, name,
+                                             width=width))
     y = read_labels(spark, labels_path, name, label_layout)
-    return x.withColumn("capture", F.lit(name)), y.withColumn("capture", F.lit(name))
+    return (x.withColumn("capture", tag), xc.withColumn("capture", tag),
+            y.withColumn("capture", tag))
 
 
 def build_global(spark: SparkSession, sources: Sequence[tuple], n_features: int = 115,
@@ -36,25 +42,23 @@ def build_global(spark: SparkSession, sources: Sequence[tuple], n_features: int
 
     All captures go through one plan: the feature scans are unioned, the
     label scans are unioned, and a single positional join aligns them.
-    ``strict`` first fails on any malformed feature row (one job for all
-    captures), as the reference's reader does.
+    Feature files are read twice: once counting rows per split (no column
+    parsed) and once for the data, where ``strict`` fails the job on any
+    malformed row, as the reference's reader does.
     """
-    if strict:
-        checks = [malformed_rows(spark, src[1], n_features, src[0]) for src in sources]
-        raise_if_malformed(reduce(lambda a, b: a.unionByName(b), checks))
-    xs, ys = [], []
+    xs, xcs, ys = [], [], []
     for src in sources:
         name, fp, lp = src[:3]
         layout = src[3] if len(src) > 3 else None
-        x, y = read_capture_pair(spark, name, fp, lp, n_features, layout)
+        x, xc, y = read_capture_pair(spark, name, fp, lp, n_features, layout, strict)
         xs.append(x)
+        xcs.append(xc)
         ys.append(y)
-    x_all, y_all = xs[0], ys[0]
-    for x in xs[1:]:
-        x_all = x_all.unionByName(x)
-    for y in ys[1:]:
-        y_all = y_all.unionByName(y)
-    joined = positional_join(x_all, y_all, "capture")
+
+    def union(dfs):
+        return reduce(lambda a, b: a.unionByName(b), dfs)
+
+    joined = positional_join(union(xs), union(ys), "capture", feature_counts=union(xcs))
     return joined.select(*feature_names(n_features), F.col("label").alias(label),
                          F.col("capture").alias("attack_name"))
 

@@ -34,8 +34,9 @@ def csv_width(spark: SparkSession, path: str, source: str | None = None) -> int:
     return len(first_line(spark, path, source).split(","))
 
 
-def _capture_schema(spark: SparkSession, path: str, n_features: int, source: str | None):
-    width = csv_width(spark, path, source)
+def _capture_schema(spark: SparkSession, path: str, n_features: int, source: str | None,
+                    width: int | None = None):
+    width = width if width is not None else csv_width(spark, path, source)
     if width == n_features:
         return width, feature_schema(n_features)
     if width == n_features + 1:
@@ -75,19 +76,28 @@ def validate_rows(spark: SparkSession, path: str, n_features: int = 115,
 
 
 def read_features(spark: SparkSession, path: str, n_features: int = 115,
-                  source: str | None = None, strict: bool = False) -> DataFrame:
+                  source: str | None = None, strict: bool = False,
+                  width: int | None = None) -> DataFrame:
     """S2 + P1 + P2 + P3: headerless capture -> f0..f{n-1} DOUBLE.
 
     Width n is taken as is, n+1 drops the leading index column (pruned from
     the scan), anything else raises naming the source.  With ``strict`` a
-    row of another width or with a non-numeric field raises too (one
-    validation pass, :func:`validate_rows`); otherwise such rows are read
+    row of another width or with a non-numeric field fails the job that
+    reads it (a ``raise_error`` filter fused into the scan stage, no extra
+    pass); the result must then be used with all its feature columns, since
+    Spark only checks the columns it parses.  Otherwise such rows are read
     leniently (missing or bad fields become null).
     """
-    width, schema = _capture_schema(spark, path, n_features, source)
+    width, schema = _capture_schema(spark, path, n_features, source, width)
     if strict:
-        validate_rows(spark, path, n_features, source)
-    df = spark.read.schema(schema).option("header", "false").option("mode", "PERMISSIVE").csv(path)
+        schema = schema.add("_corrupt_record", "string")
+    df = (spark.read.schema(schema).option("header", "false").option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", "_corrupt_record").csv(path))
+    if strict:
+        bad = F.col("_corrupt_record")
+        df = df.filter(F.when(bad.isNotNull(), F.raise_error(F.concat(
+            F.lit(f"[{source or path}] malformed row: "), bad))).otherwise(F.lit(True)))
+        df = df.drop("_corrupt_record")
     return df.drop("_index") if width == n_features + 1 else df
 
 
