@@ -84,3 +84,16 @@ def test_iforest_pooled_subsamples_are_full(spark):
     assert len(roots) == 10 and (roots["size"] == 256).all()
     share = score_iforest(df, model, "x").agg(F.avg("iso_is_anom")).first()[0]
     assert 0.01 <= share <= 0.03
+
+
+
+def test_exact_quantile_matches_percentile(spark, monkeypatch):
+    import vigil.operators.metrics as M
+    rng = np.random.default_rng(9)
+    vals = np.concatenate([rng.normal(size=5000), np.full(3000, 0.25)])
+    df = spark.createDataFrame([(float(v),) for v in vals] + [(None,)], "s double")
+    monkeypatch.setattr(M, "QUANTILE_BAND_MAX", 50)   # force the refinement loop
+    for q in [0.0, 0.01, 0.37, 0.5, 0.99, 1.0]:
+        got = M.exact_quantile(df, "s", q, accuracy=100).first()["quantile"]
+        want = df.agg(F.percentile("s", F.lit(q))).first()[0]
+        assert abs(got - want) <= 1e-12 * max(1.0, abs(want)), (q, got, want)

@@ -33,7 +33,6 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StructField,
 from vigil.schema import ISO_CONTAMINATION, ISO_MAX_SAMPLES, ISO_TREES, RF_SEED  # noqa: E402
 
 EULER_GAMMA = 0.5772156649015329
-EXACT_QUANTILE_MAX_ROWS = 2_000_000
 
 NODE_SCHEMA = StructType([
     StructField("tree", IntegerType()), StructField("node", IntegerType()),
@@ -190,13 +189,9 @@ def fit_iforest(df: DataFrame, features_col: str, key_col: str, n_trees: int = I
              .applyInPandas(_grow, NODE_SCHEMA).toPandas())
     model = IsolationForestModel(nodes, psi, 0.0, n_trees)
     scored = score_iforest(df, model, features_col, spark=spark)
-    # exact (interpolated) quantile, as the reference computes it, while the
-    # fit set is small enough for one aggregation buffer; approximate beyond
-    if n <= EXACT_QUANTILE_MAX_ROWS:
-        q_expr = F.percentile("iso_raw", F.lit(contamination))
-    else:
-        q_expr = F.percentile_approx("iso_raw", contamination, 100_000)
-    q = scored.agg(q_expr.alias("q")).first()["q"]
+    # exact interpolated quantile, as the reference computes it
+    from vigil.operators.metrics import exact_quantile
+    q = exact_quantile(scored, "iso_raw", contamination).first()["quantile"]
     model.offset = float(q)
     return model
 

@@ -6,9 +6,10 @@ shuffle carries one row per group per input partition, whatever the skew.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.schema import METRICS_WINDOW
@@ -114,6 +115,73 @@ def feature_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def score_quantile(df: DataFrame, col: str, q: float, exact: bool = True) -> DataFrame:
-    """The q-quantile of a score (interpolated if exact, else approximate)."""
-    f = F.percentile(F.col(col), F.lit(q)) if exact else F.percentile_approx(col, q, 100000)
-    return df.agg(f.alias("quantile"))
+    """The q-quantile of a score, interpolated between the two nearest
+    ranks (exact) or approximate; one row, column ``quantile``."""
+    if exact:
+        return exact_quantile(df, col, q)
+    return df.agg(F.percentile_approx(col, q, 100000).alias("quantile"))
+
+
+QUANTILE_BAND_MAX = 1_000_000
+
+
+def exact_quantile(df: DataFrame, col: str, q: float, accuracy: int = 10_000) -> DataFrame:
+    """Exact interpolated quantile without holding all values in one buffer.
+
+    Spark's ``percentile`` keeps every distinct value of the group in one
+    aggregation buffer.  Here ``percentile_approx`` (rank error below
+    n / accuracy) brackets the two target ranks, a count pass proves the
+    bracket holds them (widening it otherwise), the bracket is narrowed again
+    while it holds more than QUANTILE_BAND_MAX rows, and only the rows inside
+    it are ranked.  Each step is one aggregate pass; the ranking sorts at
+    most QUANTILE_BAND_MAX rows.  Interpolation follows Spark's
+    ``percentile``: position (n - 1) * q between the neighbouring ranks.
+    """
+    spark = df.sparkSession
+    x = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    margin = 3.0 / accuracy
+    first = x.agg(F.count(F.lit(1)).alias("n"),
+                  F.percentile_approx("x", [max(0.0, q - margin), min(1.0, q + margin)],
+                                      accuracy).alias("b")).first()
+    n = first["n"]
+    if n == 0:
+        return spark.createDataFrame([(None,)], "quantile double")
+    pos = (n - 1) * q
+    k0, k1 = int(math.floor(pos)), int(math.ceil(pos))
+    lo, hi = first["b"]
+    inf = float("inf")
+    while True:
+        st = x.agg(F.count_if(F.col("x") < F.lit(lo)).alias("below"),
+                   F.count_if(F.col("x").between(F.lit(lo), F.lit(hi))).alias("band")).first()
+        below, band = st["below"], st["band"]
+        if below > k0:
+            lo = -inf
+            continue
+        if below + band <= k1:
+            hi = inf
+            continue
+        if band <= QUANTILE_BAND_MAX:
+            break
+        inner = x.filter(F.col("x").between(F.lit(lo), F.lit(hi)))
+        f0, f1 = (k0 - below) / band, (k1 - below) / band
+        new = inner.agg(F.percentile_approx(
+            "x", [max(0.0, f0 - margin), min(1.0, f1 + margin)], accuracy).alias("b")).first()
+        if [new["b"][0], new["b"][1]] == [lo, hi]:
+            break
+        lo, hi = new["b"]
+    # rank distinct values with their counts: ties (even a third of all rows
+    # on one value) collapse in the partial aggregate before any sorting
+    counts = (x.filter(F.col("x").between(F.lit(lo), F.lit(hi)))
+              .groupBy("x").agg(F.count(F.lit(1)).alias("c")))
+    w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.withColumn("end", F.sum("c").over(w) + F.lit(below)) \
+        .withColumn("start", F.col("end") - F.col("c"))
+
+    def at(k):
+        return F.max(F.when((F.col("start") <= k) & (F.lit(k) < F.col("end")), F.col("x")))
+
+    v0, v1 = at(k0), at(k1)
+    frac = pos - k0
+    value = F.when(v0 == v1, v0).otherwise(
+        F.lit(k1 - pos) * v0 + F.lit(frac) * v1) if k1 != k0 else v0
+    return ranked.agg(value.alias("quantile"))
