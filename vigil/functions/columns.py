@@ -55,11 +55,19 @@ def hash_uniform(key, seed: int = 0) -> Column:
 
 
 def softmax(arr, k: int, scale: float = 1.0) -> Column:
-    """Softmax over the first ``k`` entries of a numeric array column."""
-    head = F.slice(_c(arr), 1, k)
-    ex = F.transform(head, lambda x: F.exp(F.lit(float(scale)) * x.cast("double")))
-    total = F.aggregate(ex, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(ex, lambda x: x / total)
+    """Softmax over the first ``k`` entries of a numeric array column.
+
+    ``k`` is known when the plan is built, so the function is spelled out
+    element by element: plain expressions stay inside whole-stage codegen
+    (lambda functions would not), and common sub-expressions are shared.
+    The sum runs left to right.  The array must hold at least ``k`` entries.
+    """
+    a = _c(arr)
+    ex = [F.exp(F.lit(float(scale)) * F.get(a, i).cast("double")) for i in range(k)]
+    total = ex[0]
+    for e in ex[1:]:
+        total = total + e
+    return F.array(*[e / total for e in ex])
 
 
 def argmax(arr) -> Column:

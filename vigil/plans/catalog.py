@@ -154,7 +154,8 @@ def q_label_vocab(spark, sf_dir):
 
 def q_multiclass_metrics(spark, sf_dir):
     e = read_table(spark, sf_dir, "embeddings").withColumn(
-        "prediction", argmax(softmax("embedding", SOFTMAX_K, SOFTMAX_SCALE)))
+        "prob", softmax("embedding", SOFTMAX_K, SOFTMAX_SCALE)).withColumn(
+        "prediction", argmax("prob"))
     m = metrics.multiclass_metrics(e, "label", "prediction")
     return m.select(_r("accuracy").alias("accuracy"), _r("weighted_f1").alias("weighted_f1"),
                     "n")
@@ -169,7 +170,8 @@ def q_pair_metrics(spark, sf_dir):
 
 def q_decision_cascade(spark, sf_dir):
     s = soft_scored(spark, sf_dir, plant_nulls=False)
-    lr_prob = softmax(F.slice("embedding", 11, SOFTMAX_K), SOFTMAX_K, SOFTMAX_SCALE)
+    s = s.withColumn("lr_prob", softmax(F.slice("embedding", 11, SOFTMAX_K), SOFTMAX_K,
+                                        SOFTMAX_SCALE))
     s = s.withColumns({
         "iso_is_anom": F.col("suspect").cast("int"),
         "f1": F.get("embedding", 1).cast("double"),
@@ -177,7 +179,7 @@ def q_decision_cascade(spark, sf_dir):
         "pred_xgb": F.when(F.col("vec_id") % 3 == 0, F.lit(None).cast("string"))
         .otherwise(F.col("predicted_attack")),
         "pred_lr": F.when(F.col("vec_id") % 5 == 0, F.lit(None).cast("string"))
-        .otherwise(class_lookup(EMBEDDING_VOCAB, argmax(lr_prob))),
+        .otherwise(class_lookup(EMBEDDING_VOCAB, argmax("lr_prob"))),
     })
     s = rules.compound_rule(s, f1_threshold=0.1, f2_threshold=0.1)
     s = rules.decision_cascade(s)
