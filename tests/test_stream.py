@@ -125,3 +125,13 @@ def test_daily_store_merge_on_read_and_compaction(spark):
     assert spark.read.parquet(table).filter("day = '2024.01.02'").count() == 2
     again = {r.offset: r.f1 for r in read_store(spark, table, keys).collect()}
     assert again == {1: 9.0, 2: 2.0}
+
+
+def test_labelled_total_counts_known_truth(spark):
+    df = spark.createDataFrame(
+        [(dt.datetime(2024, 1, 1), 1, 0, 0, 0, True, True),
+         (dt.datetime(2024, 1, 1), None, 0, None, 0, None, True)],
+        "ts timestamp, fp int, fn int, tp int, tn int, is_attack_true boolean, "
+        "is_attack_pred boolean")
+    r = metrics.confusion_by_window(df, "ts", "1 hour", keep_counts=True).first()
+    assert (r.total, r.labelled_total, r.fp) == (2, 1, 1)

@@ -22,7 +22,11 @@ def alert_counts(df: DataFrame, rule_col: str = "rule_alert") -> DataFrame:
 
 
 def confusion_sums(df: DataFrame, keys: Sequence) -> DataFrame:
-    """A2: fp, fn, tp, tn sums, total and the two attack counts per group."""
+    """A2: fp, fn, tp, tn sums, total and the two attack counts per group.
+
+    ``labelled_total`` counts rows whose truth is known; flag sums skip the
+    unknown ones, so rates over it are the labelled-only rates.
+    """
     return df.groupBy(*keys).agg(
         F.sum("fp").cast("bigint").alias("fp"),
         F.sum("fn").cast("bigint").alias("fn"),
@@ -31,11 +35,13 @@ def confusion_sums(df: DataFrame, keys: Sequence) -> DataFrame:
         F.count(F.lit(1)).alias("total"),
         F.sum(F.col("is_attack_true").cast("int")).cast("bigint").alias("attack_true_cnt"),
         F.sum(F.col("is_attack_pred").cast("int")).cast("bigint").alias("attack_pred_cnt"),
+        F.count(F.col("is_attack_true")).alias("labelled_total"),
     )
 
 
 def add_rates(df: DataFrame) -> DataFrame:
-    """A3: rates over the window total (not over class size, as in the reference)."""
+    """A3: rates over the window total, as the reference defines them (so
+    fp_rate is fp / total, not the usual fp / negatives)."""
     tot = F.col("total")
     return df.withColumns({
         "fp_rate": F.col("fp") / tot,
@@ -60,7 +66,7 @@ def confusion_by_window(df: DataFrame, time_col: str = "kafka_ts",
     cols = ["window_start", "window_end", "fp", "fn", "tp", "tn", "total",
             "fp_rate", "fn_rate", "attack_true_rate", "attack_pred_rate"]
     if keep_counts:
-        cols += ["attack_true_cnt", "attack_pred_cnt"]
+        cols += ["attack_true_cnt", "attack_pred_cnt", "labelled_total"]
     return out.select(*cols)
 
 
