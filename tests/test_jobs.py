@@ -63,6 +63,17 @@ def test_train_then_stream_score(spark, labelled_csv):
     assert ev.columns == ENRICHED_COLUMNS and ev.count() == 500
     assert ev.filter(F.col("event_id").isNull() | F.col("predicted_attack").isNull()).count() == 0
     assert spark.read.parquet(f"{out}/metrics").columns == METRICS_COLUMNS
+    # stream = batch: the same bundle over the same payloads as a batch table
+    from vigil.ml.bundle import load_bundle
+    model, labels, _ = load_bundle(spark, model_dir)
+    env = spark.read.text(events_in).select(
+        F.lit("t").alias("topic"), F.current_timestamp().alias("kafka_ts"),
+        F.lit(0).alias("partition"), F.lit(0).cast("long").alias("offset"),
+        F.col("value").alias("json_str"))
+    batch = score.enrich(env, model, labels, sjob).select("raw_input", "predicted_attack",
+                                                         "confidence", "severity")
+    streamed = ev.select("raw_input", "predicted_attack", "confidence", "severity")
+    assert batch.exceptAll(streamed).count() == 0 and streamed.exceptAll(batch).count() == 0
 
 
 def test_replay_payload_shape(spark, labelled_csv):
