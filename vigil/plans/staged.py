@@ -25,31 +25,57 @@ from vigil.sources.tables import decode_props, read_table
 BLANK_EVERY = 50
 
 
-def write_ordered_csv(df: DataFrame, order: str, cols: list[str], path: str) -> None:
-    """Headerless CSV whose part files, in name order, hold rows in ``order``."""
-    df.orderBy(order).select(*cols).write.mode("overwrite").csv(path)
+def _ordered(df: DataFrame, order: str, by: str | None) -> DataFrame:
+    """Rows range-partitioned and sorted so part files in name order (inside
+    each ``by`` folder) hold the rows in ``order``; the sort also satisfies the
+    writer's per-folder ordering, so no second sort is added."""
+    keys = ([by] if by else []) + [order]
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+
+
+def _write(df: DataFrame, fmt: str, path: str, by: str | None, header: bool = False) -> None:
+    w = df.write.mode("overwrite").option("header", str(header).lower())
+    if by:
+        w = w.partitionBy(by)
+    w.format(fmt).save(path)
+
+
+def write_ordered_csv(df: DataFrame, order: str, cols: list[str], path: str,
+                      by: str | None = None) -> None:
+    """Headerless CSV whose part files, in name order, hold rows in ``order``
+    (one folder ``by=<value>`` per group when ``by`` is given)."""
+    _write(_ordered(df, order, by).select(*cols, *([by] if by else [])), "csv", path, by)
 
 
 def write_layout_a(df: DataFrame, order: str, label: str, path: str,
-                   bom_first: bool = True, blank_every: int = BLANK_EVERY) -> None:
-    """Label file, layout A: one value per line, BOM on the first, blank lines
-    after every ``blank_every``-th row (all derived from the rows)."""
-    base = df.select(F.col(order).cast("bigint").alias("_o"),
+                   bom_first: bool = True, blank_every: int = BLANK_EVERY,
+                   by: str | None = None) -> None:
+    """Label file, layout A: one value per line, BOM on each group's first,
+    blank lines after every ``blank_every``-th row (all derived from the rows)."""
+    g = [F.col(by)] if by else []
+    base = df.select(*g, F.col(order).cast("bigint").alias("_o"),
                      F.col(label).cast("string").alias("value"))
-    first = base.agg(F.min("_o")).first()[0]
-    text = F.when(F.lit(bom_first) & (F.col("_o") == F.lit(first)),
+    firsts = base.groupBy(*g).agg(F.min("_o").alias("_first"))  # one row per group
+    if by:
+        base = base.join(F.broadcast(firsts), by)
+    else:
+        base = base.withColumn("_first", F.lit(firsts.first()[0]))
+    text = F.when(F.lit(bom_first) & (F.col("_o") == F.col("_first")),
                   F.concat(F.lit("\ufeff"), F.col("value"))).otherwise(F.col("value"))
-    rows = base.select((F.col("_o") * 2).alias("_k"), text.alias("value"))
+    rows = base.select(*g, (F.col("_o") * 2).alias("_k"), text.alias("value"))
     blanks = base.filter(F.col("_o") % blank_every == 0).select(
-        (F.col("_o") * 2 + 1).alias("_k"), F.lit("   ").alias("value"))
-    rows.unionByName(blanks).orderBy("_k").select("value").write.mode("overwrite").text(path)
+        *g, (F.col("_o") * 2 + 1).alias("_k"), F.lit("   ").alias("value"))
+    out = _ordered(rows.unionByName(blanks), "_k", by).select("value", *([by] if by else []))
+    _write(out, "text", path, by)
 
 
-def write_layout_b(df: DataFrame, order: str, label: str, path: str) -> None:
+def write_layout_b(df: DataFrame, order: str, label: str, path: str,
+                   by: str | None = None) -> None:
     """Label file, layout B: header ``"",x`` in every part, index then label."""
-    (df.orderBy(order).select(F.col(order).cast("string").alias(""),
-                              F.col(label).cast("int").alias("x"))
-     .write.mode("overwrite").option("header", "true").csv(path))
+    out = _ordered(df, order, by).select(F.col(order).cast("string").alias(""),
+                                         F.col(label).cast("int").alias("x"),
+                                         *([by] if by else []))
+    _write(out, "csv", path, by, header=True)
 
 
 def q_positional_label_join(spark, sf_dir):
@@ -89,17 +115,30 @@ BUILD_CAPTURES = {
 
 
 def _stage_build(spark, sf_dir) -> list[tuple]:
+    """One partitioned write per file layout (not one write per capture)."""
     base = scratch_path(spark, "build_dataset")
     ev = decode_props(read_table(spark, sf_dir, "events"), "props", "k").withColumn(
         "label", (F.col("value") > 100).cast("int"))
+    kind = F.col("event_type")
+
+    def names(pred):
+        return [n for n, spec in BUILD_CAPTURES.items() if pred(spec)]
+
+    indexed, plain = names(lambda s: s[0]), names(lambda s: not s[0])
+    lay_a, lay_b = names(lambda s: s[1] == "A"), names(lambda s: s[1] == "B")
+    write_ordered_csv(ev.filter(kind.isin(indexed)), "event_id",
+                      ["event_id", "value", "k"], f"{base}/x_indexed", by="event_type")
+    write_ordered_csv(ev.filter(kind.isin(plain)), "event_id", ["value", "k"],
+                      f"{base}/x_plain", by="event_type")
+    write_layout_a(ev.filter(kind.isin(lay_a)), "event_id", "label", f"{base}/y_a",
+                   by="event_type")
+    write_layout_b(ev.filter(kind.isin(lay_b)), "event_id", "label", f"{base}/y_b",
+                   by="event_type")
     sources = []
-    for name, (indexed, layout) in BUILD_CAPTURES.items():
-        part = ev.filter(F.col("event_type") == name)
-        cols = (["event_id"] if indexed else []) + ["value", "k"]
-        write_ordered_csv(part, "event_id", cols, f"{base}/{name}_dataset")
-        writer = write_layout_a if layout == "A" else write_layout_b
-        writer(part, "event_id", "label", f"{base}/{name}_labels")
-        sources.append((name, f"{base}/{name}_dataset", f"{base}/{name}_labels"))
+    for name, (has_index, layout) in BUILD_CAPTURES.items():
+        x = f"{base}/x_indexed" if has_index else f"{base}/x_plain"
+        y = f"{base}/y_a" if layout == "A" else f"{base}/y_b"
+        sources.append((name, f"{x}/event_type={name}", f"{y}/event_type={name}"))
     return sources, base
 
 
