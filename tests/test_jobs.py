@@ -100,3 +100,25 @@ def test_ensemble_train_and_consume(spark, labelled_csv):
     rows = out.collect()
     assert out.columns == ENSEMBLE_COLUMNS and len(rows) == 500
     assert all(r.pred_final is not None and r.iso_is_anom in (0, 1) for r in rows)
+
+
+def test_score_continuous_mode_starts_on_empty_output(spark, labelled_csv):
+    model_dir = scratch_path(spark, "t_model_c")
+    train.run(spark, train.TrainJob(labelled_csv, model_dir, "csv", N,
+                                    train.ForestConfig(num_trees=3, max_depth=3)))
+    events_in = scratch_path(spark, "t_events_c")
+    replay.replay_frame(spark.read.option("header", "true").csv(labelled_csv)) \
+        .write.text(events_in)
+    out = scratch_path(spark, "t_scored_c")
+    sjob = score.ScoreJob(model_dir=model_dir, checkpoint_dir=f"{out}/ck", source="files",
+                          input=events_in, output=out, enable_metrics=True, n_features=N,
+                          watermark="0 seconds")
+    qs = score.start(spark, sjob)
+    try:
+        assert len(qs) == 2
+        qs[0].processAllAvailable()
+        qs[1].processAllAvailable()
+    finally:
+        for q in qs:
+            q.stop()
+    assert spark.read.parquet(f"{out}/events").count() == 500

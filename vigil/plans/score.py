@@ -154,8 +154,8 @@ def start(spark: SparkSession, job: ScoreJob):
     if job.enable_metrics:
         if job.available_now:
             queries[0].awaitTermination()
-        enriched = spark.readStream.schema(spark.read.parquet(events_path).schema) \
-            .parquet(events_path)
+        # the enriched plan's own schema: the folder may still be empty
+        enriched = spark.readStream.schema(out.schema).parquet(events_path)
         mw = (window_metrics(enriched, job).writeStream.format("parquet")
               .option("path", f"{job.output.rstrip('/')}/metrics")
               .option("checkpointLocation", f"{ck}/metrics").outputMode("append"))
