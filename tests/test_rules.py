@@ -90,3 +90,14 @@ def test_pred_logic_suspect(spark):
                                "id int, label int, suspect boolean, attack_name string")
     out = {r.id: r.tp for r in rules.truth_layer(df, pred_logic="suspect").collect()}
     assert out == {1: 1, 2: 0}
+
+
+
+def test_lookup_class_names_matches_array_lookup(spark):
+    from vigil.functions.columns import class_lookup
+    vocab = ["benign", "a", "b"]
+    vdf = spark.createDataFrame(list(enumerate(vocab)), "idx int, name string")
+    df = spark.createDataFrame([(0, 0.0), (1, 2.0), (2, 3.0), (3, None)], "id int, p double")
+    joined = {r.id: r.predicted_attack for r in rules.lookup_class_names(df, "p", vdf).collect()}
+    direct = {r.id: r.c for r in df.select("id", class_lookup(vocab, "p", "unknown").alias("c")).collect()}
+    assert joined == direct == {0: "benign", 1: "b", 2: "unknown", 3: "unknown"}
