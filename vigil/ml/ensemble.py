@@ -58,7 +58,7 @@ class EnsembleConfig:
 @dataclass
 class EnsembleModel:
     scaler: ArrayScaler
-    iforest: IsolationForestModel
+    iforest: IsolationForestModel | None
     lr: PipelineModel | None = None
     gbt: PipelineModel | None = None
     classes: list = field(default_factory=list)
@@ -71,18 +71,20 @@ def _prepared(df: DataFrame, features_col: str) -> DataFrame:
 def fit_ensemble(df: DataFrame, features_col: str, key_col: str,
                  cfg: EnsembleConfig = EnsembleConfig(), label: str = "label",
                  attack: str = "attack_name", with_lr: bool = True,
-                 with_gbt: bool = True) -> EnsembleModel:
+                 with_gbt: bool = True, with_iforest: bool = True) -> EnsembleModel:
     """``df``: features as ARRAY<DOUBLE>, a unique integer key, label, attack name."""
     finite = F.forall(features_col, lambda x: f32_finite(x.cast("double")))
     clean = df.filter(finite)
     scaler = fit_scaler(clean, features_col, "__z")
     scaled = scaler.transform(clean).withColumn("__zx", _vec_to_arr("__z"))
     scaled = scaled.withColumn("u", hash_uniform(F.col(key_col), cfg.seed))
-    # isolation forest on benign rows, capped
-    benign = sample.benign_cap(scaled, cfg.benign_cap, ["u", key_col], label,
-                               cfg.benign_min)
-    iso = fit_iforest(benign, "__zx", key_col, cfg.n_trees, cfg.max_samples, cfg.contamination,
-                      cfg.seed)
+    iso = None
+    if with_iforest:
+        # isolation forest on benign rows, capped
+        benign = sample.benign_cap(scaled, cfg.benign_cap, ["u", key_col], label,
+                                   cfg.benign_min)
+        iso = fit_iforest(benign, "__zx", key_col, cfg.n_trees, cfg.max_samples,
+                          cfg.contamination, cfg.seed)
     model = EnsembleModel(scaler, iso)
     if not (with_lr or with_gbt):
         return model
@@ -147,7 +149,12 @@ def score_ensemble(df: DataFrame, model: EnsembleModel, features_col: str,
     x = _scale(model.scaler, x)
     preds = rule_predicates or (f"{f1} > {COMPOUND_RULE_F1}", f"{f2} > {COMPOUND_RULE_F2}")
     x = rules.any_rule(x, list(preds))
-    x = score_iforest(x, model.iforest, "__zx")
+    if model.iforest is not None:
+        x = score_iforest(x, model.iforest, "__zx")
+    else:
+        x = x.withColumns({"iso_raw": F.lit(None).cast("double"),
+                           "iso_score": F.lit(None).cast("double"),
+                           "iso_is_anom": F.lit(None).cast("int")})
     x = _predict_names(model.lr, x, "pred_lr")
     x = _predict_names(model.gbt, x, "pred_xgb")
     x = rules.decision_cascade(x)
@@ -165,12 +172,14 @@ def save_ensemble(spark, model: EnsembleModel, path: str) -> None:
     from vigil.ml.bundle import write_json
     d = path.rstrip("/")
     model.scaler.model.write().overwrite().save(f"{d}/scaler")
-    model.iforest.save(spark, f"{d}/iso_forest")
+    if model.iforest is not None:
+        model.iforest.save(spark, f"{d}/iso_forest")
     if model.lr is not None:
         model.lr.write().overwrite().save(f"{d}/attack_classifier_lr")
     if model.gbt is not None:
         model.gbt.write().overwrite().save(f"{d}/attack_classifier_gbt")
     write_json(spark, f"{d}/classes.json", {"classes": model.classes,
+                                            "has_iforest": model.iforest is not None,
                                             "has_lr": model.lr is not None,
                                             "has_gbt": model.gbt is not None})
 
@@ -181,7 +190,8 @@ def load_ensemble(spark, path: str, array_col: str = "features") -> EnsembleMode
     d = path.rstrip("/")
     meta = read_json(spark, f"{d}/classes.json")
     scaler = ArrayScaler(StandardScalerModel.load(f"{d}/scaler"), array_col)
-    iso = IsolationForestModel.load(spark, f"{d}/iso_forest")
+    iso = (IsolationForestModel.load(spark, f"{d}/iso_forest")
+           if meta.get("has_iforest", True) else None)
     lr = PipelineModel.load(f"{d}/attack_classifier_lr") if meta["has_lr"] else None
     gbt = PipelineModel.load(f"{d}/attack_classifier_gbt") if meta["has_gbt"] else None
     return EnsembleModel(scaler, iso, lr, gbt, meta["classes"])

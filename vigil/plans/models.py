@@ -55,9 +55,10 @@ def _ensemble_input(spark, sf_dir):
     })
 
 
-def _ensemble(spark, sf_dir, with_lr, with_gbt):
+def _ensemble(spark, sf_dir, with_lr, with_gbt, with_iforest=True):
     rows = _ensemble_input(spark, sf_dir)
-    m = fit_ensemble(rows, "features", "vec_id", ENS_CFG, with_lr=with_lr, with_gbt=with_gbt)
+    m = fit_ensemble(rows, "features", "vec_id", ENS_CFG, with_lr=with_lr, with_gbt=with_gbt,
+                     with_iforest=with_iforest)
     return score_ensemble(rows, m, "features", rule_predicates=ENS_CFG.rule_predicates)
 
 
@@ -69,13 +70,13 @@ def q_iforest_score(spark, sf_dir):
 
 def q_lr_score(spark, sf_dir):
     """Multinomial logistic regression on the scaled features."""
-    out = _ensemble(spark, sf_dir, True, False)
+    out = _ensemble(spark, sf_dir, True, False, with_iforest=False)
     return out.select("vec_id", "label", "attack_name", "pred_lr")
 
 
 def q_gbt_score(spark, sf_dir):
     """One-vs-rest boosted trees on the scaled features."""
-    out = _ensemble(spark, sf_dir, False, True)
+    out = _ensemble(spark, sf_dir, False, True, with_iforest=False)
     return out.select("vec_id", "label", "attack_name", "pred_xgb")
 
 
