@@ -132,3 +132,18 @@ def test_build_fails_on_malformed_capture(spark, tmp):
     _write(f"{tmp}/A_y.csv", ["0", "1"])
     with pytest.raises(Exception, match=r"\[A\] malformed row: 3,x"):
         build_global(spark, [("A", f"{tmp}/A_x.csv", f"{tmp}/A_y.csv")], n_features=2).collect()
+
+
+def test_positional_join_same_files_new_split_size(spark, tmp):
+    # a second read of the same files with other split settings must not
+    # reuse the first read's split table
+    x, y = _pairs(spark, tmp, 20000, 20000)
+    assert positional_join(x, y).count() == 20000
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        x2, y2 = _pairs(spark, tmp, 20000, 20000)
+        out = positional_join(x2, y2).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(out) == 20000 and all(int(r.f0) == r.pos for r in out)

@@ -63,6 +63,7 @@ def train_forest(df: DataFrame, features: Sequence[str], cfg: ForestConfig = For
                            "The data needs label == 0 rows.")
     pred = model.transform(test)
     m = metrics.multiclass_metrics(pred, "label_idx", "prediction").first()
+    data.unpersist()
     return model, labels, {"accuracy": m["accuracy"], "f1": m["weighted_f1"]}, pred
 
 

@@ -21,6 +21,20 @@ from pyspark.sql import functions as F
 BROADCAST_SPLITS_MAX = 200_000
 
 
+def frozen(df: DataFrame) -> DataFrame:
+    """Materialise a small derived table with a reliable checkpoint.
+
+    Not ``persist()``: Spark's cache matches by logical plan, so a cached
+    split table could be served to a later read of the same path made with
+    other split settings or after the files changed, silently misaligning
+    rows.  A checkpoint is tied to this computation, lives in the shared
+    ``spark.checkpoint.dir`` and survives executor loss.
+    """
+    from vigil.session import checkpoint_root
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def split_offsets(df: DataFrame, capture: str = "capture") -> DataFrame:
     """Per (capture, file, block) split: first row id, rows, rows before it."""
     blocks = df.groupBy(capture, "_file", "_block").agg(
@@ -39,7 +53,7 @@ def add_positions(df: DataFrame, capture: str = "capture",
     shuffle-joined otherwise.
     """
     if offsets is None:
-        offsets = split_offsets(df, capture).persist()
+        offsets = frozen(split_offsets(df, capture))
     if n_splits is None:
         n_splits = offsets.count()
     side = offsets.select(capture, "_file", "_block", "_rid0", "_before")
@@ -67,11 +81,11 @@ def positional_join(features: DataFrame, labels: DataFrame, capture: str = "capt
     ``feature_counts`` is an optional lighter read of the same feature files
     (same splits, so the same row ids) used only to count rows per split.
     """
-    # the split tables are tiny (one row per file split); keep them for
+    # the split tables are tiny (one row per file split); freeze them for
     # the count check and the offset joins instead of scanning twice more
-    xo = split_offsets(feature_counts if feature_counts is not None else features,
-                       capture).persist()
-    yo = split_offsets(labels, capture).persist()
+    xo = frozen(split_offsets(feature_counts if feature_counts is not None else features,
+                              capture))
+    yo = frozen(split_offsets(labels, capture))
     nx, ny = capture_counts(xo, capture), capture_counts(yo, capture)
     if check_counts:
         for cap in sorted(set(nx) | set(ny)):

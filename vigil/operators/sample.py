@@ -95,7 +95,8 @@ def hash_prefix(df: DataFrame, u_col: str, cap: int, group_col: str | None = Non
         return pre if pre.count() >= cap else df
     g = F.col(group_col)
     th = df.groupBy(g.alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
-    th = th.withColumn("_cut", _threshold(F.col("_n"), cap)).persist()
+    from vigil.operators.align import frozen
+    th = frozen(th.withColumn("_cut", _threshold(F.col("_n"), cap)))
     n_groups = th.count()
 
     def keep(table: DataFrame) -> DataFrame:
