@@ -130,22 +130,27 @@ class IsolationForestModel:
 
 
 def raw_scores(x: np.ndarray, arrays, psi: int) -> np.ndarray:
-    """-(2 ** (-mean path length / c(psi))) for each row of x."""
+    """-(2 ** (-mean path length / c(psi))) for each row of x.
+
+    All trees are walked at once: ``node`` is a rows x trees index matrix
+    advanced one level per step, so the loop runs tree depth times (at most
+    ceil(log2 psi) + 1), not trees x depth times.
+    """
     feat, thr, left, right, leaf_len = arrays
-    n = x.shape[0]
-    total = np.zeros(n)
-    rows = np.arange(n)
-    for t in range(feat.shape[0]):
-        node = np.zeros(n, np.int32)
-        active = feat[t, node] >= 0
-        while active.any():
-            a = rows[active]
-            f = feat[t, node[a]]
-            go_left = x[a, f] <= thr[t, node[a]]
-            node[a] = np.where(go_left, left[t, node[a]], right[t, node[a]])
-            active[a] = feat[t, node[a]] >= 0
-        total += leaf_len[t, node]
-    mean_len = total / feat.shape[0]
+    n, t = x.shape[0], feat.shape[0]
+    trees = np.broadcast_to(np.arange(t), (n, t))
+    rows = np.broadcast_to(np.arange(n)[:, None], (n, t))
+    node = np.zeros((n, t), np.int32)
+    while True:
+        f = feat[trees, node]
+        inner = f >= 0
+        if not inner.any():
+            break
+        xv = x[rows, np.where(inner, f, 0)]
+        go_left = xv <= thr[trees, node]
+        nxt = np.where(go_left, left[trees, node], right[trees, node])
+        node = np.where(inner, nxt, node)
+    mean_len = leaf_len[trees, node].sum(axis=1) / t
     return -np.power(2.0, -mean_len / average_path_length([psi])[0])
 
 
@@ -188,7 +193,9 @@ def fit_iforest(df: DataFrame, features_col: str, key_col: str, n_trees: int = I
     nodes = (sub.select("tree", "_h", "_key", "x").groupBy("tree")
              .applyInPandas(_grow, NODE_SCHEMA).toPandas())
     model = IsolationForestModel(nodes, psi, 0.0, n_trees)
-    scored = score_iforest(df, model, features_col, spark=spark)
+    # the fit rows' scores feed several aggregate passes: compute them once
+    from vigil.operators.align import frozen
+    scored = frozen(score_iforest(df, model, features_col, spark=spark).select("iso_raw"))
     # exact interpolated quantile, as the reference computes it
     from vigil.operators.metrics import exact_quantile
     q = exact_quantile(scored, "iso_raw", contamination).first()["quantile"]

@@ -116,7 +116,8 @@ def q_daily_upsert(spark, sf_dir):
         s = _events_stream(spark, src, schema)
         s = s.withColumn("event_id", event_key("topic", "partition", "offset"))
         s = s.select("event_id", "topic", "partition", "offset", "kafka_ts", "f1")
-        run_foreach_batch(s, daily_store_sink(table, "kafka_ts"), ckpt)
+        run_foreach_batch(s, daily_store_sink(table, "kafka_ts", ["topic", "partition",
+                                                                  "offset"]), ckpt)
 
     ev.write.mode("append").parquet(src)
     run()
