@@ -135,3 +135,14 @@ def test_labelled_total_counts_known_truth(spark):
         "is_attack_pred boolean")
     r = metrics.confusion_by_window(df, "ts", "1 hour", keep_counts=True).first()
     assert (r.total, r.labelled_total, r.fp) == (2, 1, 1)
+
+
+
+def test_read_sink_of_empty_stream(spark):
+    base = scratch_path(spark, "t_empty")
+    import os
+    os.makedirs(f"{base}/in".replace("file:", ""), exist_ok=True)
+    s = spark.readStream.schema(SCHEMA).parquet(f"{base}/in")
+    m = metrics.confusion_by_window(s, "ts", "1 minute", watermark="5 minutes")
+    run_available_now(m, f"{base}/out", f"{base}/ck")
+    assert read_sink(spark, f"{base}/out", schema=m.schema).count() == 0

@@ -69,7 +69,7 @@ def q_confusion_window_stream(spark, sf_dir):
     m = metrics.confusion_by_window(scored, "kafka_ts", METRICS_WINDOW, watermark=WATERMARK)
     base = scratch_path(spark, "confusion_window_stream")
     run_available_now(m, f"{base}/out", f"{base}/checkpoint")
-    return _metrics_text(read_sink(spark, f"{base}/out"))
+    return _metrics_text(read_sink(spark, f"{base}/out", schema=m.schema))
 
 
 def _stage_events(spark, sf_dir, base, replay=None) -> str:
@@ -89,10 +89,10 @@ def q_stream_dedup(spark, sf_dir):
     schema = read_table(spark, sf_dir, "events").schema
     s = _events_stream(spark, src, schema)
     s = s.withColumn("event_id", event_key("topic", "partition", "offset"))
-    d = dedup_events(s, ["event_id"], "kafka_ts", WATERMARK)
-    run_available_now(d.select("event_id", "topic", "partition", "offset", "f1"),
-                      f"{base}/out", f"{base}/checkpoint")
-    return read_sink(spark, f"{base}/out")
+    d = dedup_events(s, ["event_id"], "kafka_ts", WATERMARK).select(
+        "event_id", "topic", "partition", "offset", "f1")
+    run_available_now(d, f"{base}/out", f"{base}/checkpoint")
+    return read_sink(spark, f"{base}/out", schema=d.schema)
 
 
 def _replay_errors(ev: DataFrame) -> DataFrame:

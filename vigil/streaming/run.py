@@ -39,6 +39,16 @@ def run_foreach_batch(df: DataFrame, fn, checkpoint: str, output_mode: str = "ap
         raise q.exception()
 
 
-def read_sink(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Batch view of a file sink (only committed files are listed)."""
-    return spark.read.format(fmt).load(path)
+def read_sink(spark: SparkSession, path: str, fmt: str = "parquet",
+              schema=None) -> DataFrame:
+    """Batch view of a file sink (only committed files are listed).
+
+    With ``schema`` given, a sink no batch has written to yet (empty input)
+    reads as an empty table instead of failing.
+    """
+    try:
+        return spark.read.format(fmt).load(path)
+    except Exception:  # noqa: BLE001 - PATH_NOT_FOUND / unable to infer schema
+        if schema is None:
+            raise
+        return spark.createDataFrame([], schema)
