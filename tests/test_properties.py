@@ -70,3 +70,20 @@ def test_positional_join_any_split_size(spark, n, split_bytes, n_files):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert len(out) == n
     assert all(int(r.f0) == r.pos and r.label == r.pos % 2 for r in out)
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.floats(min_value=-1e6, max_value=1e6, allow_nan=False),
+                          st.sampled_from([0.0, 1.5, -2.0])), min_size=1, max_size=400),
+       st.floats(min_value=0.0, max_value=1.0))
+def test_exact_quantile_equals_percentile(spark, values, q):
+    import vigil.operators.metrics as M
+    df = spark.createDataFrame([(v,) for v in values], "s double")
+    old = M.QUANTILE_BAND_MAX
+    M.QUANTILE_BAND_MAX = 7            # force the narrowing loop on small inputs
+    try:
+        got = M.exact_quantile(df, "s", q, accuracy=50).first()["quantile"]
+    finally:
+        M.QUANTILE_BAND_MAX = old
+    want = df.agg(F.percentile("s", F.lit(q))).first()[0]
+    assert abs(got - want) <= 1e-9 * max(1.0, abs(want))
