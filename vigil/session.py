@@ -93,6 +93,7 @@ def ship_package(spark: SparkSession) -> None:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg)
+    # code, not data: the driver serves this zip to the executors itself
     out = os.path.join(tempfile.mkdtemp(prefix="vigil-pyfiles-"), "vigil.zip")
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
         for d, _, files in os.walk(pkg):
