@@ -98,3 +98,13 @@ def test_hash_prefix_null_group(spark):
     got = sample.class_capped_sample(df, "g", 50, ["u", "id"])
     counts = {r.g: r["count"] for r in got.groupBy("g").count().collect()}
     assert counts == {None: 50, "a": 50}
+
+
+
+def test_null_hash_rows_lead_the_order(spark):
+    df = spark.range(3000).select("id", F.lit("a").alias("g"),
+                                  F.when(F.col("id") < 3, None)
+                                  .otherwise(sample.uniform_from_key(F.col("id"))).alias("u"))
+    got = {r.id for r in sample.class_capped_sample(df, "g", 40, ["u", "id"]).collect()}
+    want = {r.id for r in df.orderBy("u", "id").limit(40).collect()}
+    assert got == want and {0, 1, 2} <= got

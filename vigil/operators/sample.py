@@ -86,12 +86,13 @@ def hash_prefix(df: DataFrame, u_col: str, cap: int, group_col: str | None = Non
     the whole input.
     """
     u = F.col(u_col)
+    # a null hash sorts first (ascending), so it always belongs to the prefix
     if group_col is None:
         n = df.count()
         cut = _threshold(n, cap)
         if cut >= 1.0:
             return df
-        pre = df.filter(u <= F.lit(cut))
+        pre = df.filter(u.isNull() | (u <= F.lit(cut)))
         return pre if pre.count() >= cap else df
     g = F.col(group_col)
     th = df.groupBy(g.alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
@@ -102,7 +103,7 @@ def hash_prefix(df: DataFrame, u_col: str, cap: int, group_col: str | None = Non
     def keep(table: DataFrame) -> DataFrame:
         side = F.broadcast(table) if n_groups <= BROADCAST_GROUPS_MAX else table
         return (df.join(side, g.eqNullSafe(F.col("_g")))
-                .filter(u <= F.col("_cut")))
+                .filter(u.isNull() | (u <= F.col("_cut"))))
 
     pre = keep(th)
     kept = pre.groupBy(F.col("_g").alias("_kg")).agg(F.count(F.lit(1)).alias("_k"))
