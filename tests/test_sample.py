@@ -108,3 +108,14 @@ def test_null_hash_rows_lead_the_order(spark):
     got = {r.id for r in sample.class_capped_sample(df, "g", 40, ["u", "id"]).collect()}
     want = {r.id for r in df.orderBy("u", "id").limit(40).collect()}
     assert got == want and {0, 1, 2} <= got
+
+
+def test_hash_prefix_group_caps(spark):
+    df = _skewed(spark)
+    pre = sample.hash_prefix(df, "u", 10, "c", {"hot": 300}, materialize=True)
+    rows = df.collect()
+    kept = {r.id for r in pre.collect()}
+    for c, cap in [("hot", 300), ("mid", 10), ("rest", 10)]:
+        first = sorted((r for r in rows if r.c == c), key=lambda r: (r.u, r.id))[:cap]
+        assert {r.id for r in first} <= kept
+    assert pre.filter("c = 'hot'").count() < 600

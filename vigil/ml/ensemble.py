@@ -78,21 +78,28 @@ def fit_ensemble(df: DataFrame, features_col: str, key_col: str,
     scaler = fit_scaler(clean, features_col, "__z")
     scaled = scaler.transform(clean).withColumn("__zx", _vec_to_arr("__z"))
     scaled = scaled.withColumn("u", hash_uniform(F.col(key_col), cfg.seed))
+    labelled = scaled.withColumn("__label", F.coalesce(F.col(label).cast("int"), F.lit(1)))
+    labelled = labelled.withColumn(
+        "class_name", F.when(F.col("__label") == 0, F.lit(BENIGN))
+        .otherwise(F.coalesce(F.col(attack), F.lit("unknown"))))
+    # one exact hash cut serves both samples (benign cap for the forest,
+    # per-class cap for LR / GBT); it is frozen once, so the big input is
+    # read twice here (counts, cut) and everything after reads the bounded
+    # candidate table
+    caps = {BENIGN: cfg.benign_cap} if with_iforest else {}
+    per_class = cfg.per_class if (with_lr or with_gbt) else 0
+    cand = sample.hash_prefix(labelled, "u", per_class, "class_name", caps, materialize=True)
     iso = None
     if with_iforest:
-        # isolation forest on benign rows, capped
-        benign = sample.benign_cap(scaled, cfg.benign_cap, ["u", key_col], label,
+        # isolation forest on benign rows (null label counts as attack), capped
+        benign = sample.benign_cap(cand, cfg.benign_cap, ["u", key_col], "__label",
                                    cfg.benign_min)
         iso = fit_iforest(benign, "__zx", key_col, cfg.n_trees, cfg.max_samples,
                           cfg.contamination, cfg.seed)
     model = EnsembleModel(scaler, iso)
     if not (with_lr or with_gbt):
         return model
-    labelled = scaled.withColumn("__label", F.coalesce(F.col(label).cast("int"), F.lit(1)))
-    labelled = labelled.withColumn(
-        "class_name", F.when(F.col("__label") == 0, F.lit(BENIGN))
-        .otherwise(F.coalesce(F.col(attack), F.lit("unknown"))))
-    train = sample.class_capped_sample(labelled, "class_name", cfg.per_class, ["u", key_col])
+    train = sample.class_capped_sample(cand, "class_name", cfg.per_class, ["u", key_col])
     train = train.withColumn("features", array_to_vector("__zx")).select(
         "features", "class_name")
     # the capped set is bounded (per_class x classes): size its partitions to

@@ -74,7 +74,8 @@ def _threshold(n: Column | int, cap: int):
     return F.when(n <= cap, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.lit(margin) / n))
 
 
-def hash_prefix(df: DataFrame, u_col: str, cap: int, group_col: str | None = None) -> DataFrame:
+def hash_prefix(df: DataFrame, u_col: str, cap: int, group_col: str | None = None,
+                group_caps: dict | None = None, materialize: bool = False) -> DataFrame:
     """Rows that can be among the first ``cap`` (per group) in ``u_col`` order.
 
     ``u_col`` is uniform on [0, 1) (a hash), so the first ``cap`` rows of a
@@ -83,7 +84,9 @@ def hash_prefix(df: DataFrame, u_col: str, cap: int, group_col: str | None = Non
     second count proves every group kept at least min(cap, n) rows; a group
     that did not (probability ~1e-9) keeps all its rows.  The result is
     exact, and what follows sorts about ``cap`` rows per group instead of
-    the whole input.
+    the whole input.  ``group_caps`` raises the cap of single groups;
+    ``materialize`` freezes the (bounded) result with a checkpoint and runs
+    the proof on it, so the big input is read twice in all.
     """
     u = F.col(u_col)
     # a null hash sorts first (ascending), so it always belongs to the prefix
@@ -94,10 +97,17 @@ def hash_prefix(df: DataFrame, u_col: str, cap: int, group_col: str | None = Non
             return df
         pre = df.filter(u.isNull() | (u <= F.lit(cut)))
         return pre if pre.count() >= cap else df
-    g = F.col(group_col)
-    th = df.groupBy(g.alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
     from vigil.operators.align import frozen
-    th = frozen(th.withColumn("_cut", _threshold(F.col("_n"), cap)))
+    g = F.col(group_col)
+    caps = {k: max(v, cap) for k, v in (group_caps or {}).items()}
+    cap_of = F.lit(cap)
+    for k, v in caps.items():
+        cap_of = F.when(F.col("_g") == F.lit(k), F.lit(v)).otherwise(cap_of)
+    th = df.groupBy(g.alias("_g")).agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_cap", cap_of)
+    margin = F.col("_cap") + F.lit(6.0) * F.sqrt(F.col("_cap")) + F.lit(16.0)
+    th = frozen(th.withColumn("_cut", F.when(F.col("_n") <= F.col("_cap"), F.lit(1.0))
+                              .otherwise(F.least(F.lit(1.0), margin / F.col("_n")))))
     n_groups = th.count()
 
     def keep(table: DataFrame) -> DataFrame:
@@ -106,16 +116,20 @@ def hash_prefix(df: DataFrame, u_col: str, cap: int, group_col: str | None = Non
                 .filter(u.isNull() | (u <= F.col("_cut"))))
 
     pre = keep(th)
+    if materialize:
+        pre = frozen(pre)
     kept = pre.groupBy(F.col("_g").alias("_kg")).agg(F.count(F.lit(1)).alias("_k"))
     short = (th.join(kept, F.col("_g").eqNullSafe(F.col("_kg")), "left")
-             .filter(F.coalesce(F.col("_k"), F.lit(0)) < F.least(F.col("_n"), F.lit(cap)))
+             .filter(F.coalesce(F.col("_k"), F.lit(0)) < F.least(F.col("_n"), F.col("_cap")))
              .select("_g"))
     if short.limit(1).count() > 0:
         short_keys = short.select(F.col("_g").alias("_sg"), F.lit(True).alias("_short"))
         fixed = th.join(short_keys, F.col("_g").eqNullSafe(F.col("_sg")), "left").withColumn(
             "_cut", F.when(F.col("_short"), F.lit(1.0)).otherwise(F.col("_cut")))
-        pre = keep(fixed.select("_g", "_n", "_cut"))
-    return pre.drop("_g", "_n", "_cut")
+        pre = keep(fixed.select("_g", "_n", "_cap", "_cut"))
+        if materialize:
+            pre = frozen(pre)
+    return pre.drop("_g", "_n", "_cap", "_cut")
 
 
 def class_capped_sample(df: DataFrame, class_col: str, cap: int,
