@@ -99,8 +99,10 @@ def q_confusion_window(spark, sf_dir):
     return _metrics_text(out)
 
 
-def _metrics_text(out: DataFrame) -> DataFrame:
+def _metrics_text(out: DataFrame, extra=()) -> DataFrame:
+    """Metrics rows with window bounds as text and rates rounded (oracle form)."""
     return out.select(
+        *extra,
         _ts("window_start").alias("window_start"), _ts("window_end").alias("window_end"),
         "fp", "fn", "tp", "tn", "total",
         *[_r(c).alias(c) for c in ["fp_rate", "fn_rate", "attack_true_rate",

@@ -22,7 +22,6 @@ from vigil.streaming.store import daily_store_sink, read_store
 WATERMARK = "5 minutes"
 METRICS_WINDOW = "1 hour"
 DAILY_WINDOW = "1 minute"
-TS_FMT = "yyyy-MM-dd HH:mm:ss"
 
 
 def _events_glob(sf_dir: str) -> str:
@@ -45,22 +44,17 @@ def _events_stream(spark: SparkSession, path: str, schema) -> DataFrame:
         F.col("event_type").alias("attack_name"))
 
 
+def _metrics_text(out: DataFrame, extra=()) -> DataFrame:
+    from vigil.plans.catalog import _metrics_text as text
+    return text(out, extra)
+
+
 def _score(df: DataFrame) -> DataFrame:
     from vigil.plans.catalog import R2_F1, R2_F2
     df = rules.compound_rule(decode_props(df), f1_threshold=R2_F1, f2_threshold=R2_F2)
     return rules.truth_layer(df, pred_logic="rule")
 
 
-def _metrics_text(out: DataFrame, extra=()) -> DataFrame:
-    return out.select(
-        *extra,
-        F.date_format("window_start", TS_FMT).alias("window_start"),
-        F.date_format("window_end", TS_FMT).alias("window_end"),
-        "fp", "fn", "tp", "tn", "total",
-        *[F.round(c, 9).alias(c) for c in ["fp_rate", "fn_rate", "attack_true_rate",
-                                            "attack_pred_rate"]])
-
-
 def q_confusion_window_stream(spark, sf_dir):
     """Watermarked tumbling-window metrics, append mode."""
     src = _events_glob(sf_dir)
