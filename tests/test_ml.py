@@ -97,3 +97,16 @@ def test_exact_quantile_matches_percentile(spark, monkeypatch):
         got = M.exact_quantile(df, "s", q, accuracy=100).first()["quantile"]
         want = df.agg(F.percentile("s", F.lit(q))).first()[0]
         assert abs(got - want) <= 1e-12 * max(1.0, abs(want)), (q, got, want)
+
+
+
+def test_exact_quantile_ignores_nan_and_infinities(spark):
+    import vigil.operators.metrics as M
+    rows = [(float("nan"),)] * 50 + [(float(v),) for v in range(100)] + \
+        [(float("inf"),), (float("-inf"),), (None,)]
+    df = spark.createDataFrame(rows, "s double")
+    clean = df.filter(~F.isnan("s"))
+    for q in [0.0, 0.5, 0.999, 1.0]:
+        got = M.exact_quantile(df, "s", q, accuracy=20).first()["quantile"]
+        want = clean.agg(F.percentile("s", F.lit(q))).first()[0]
+        assert got == want or (np.isinf(got) and got == want), (q, got, want)

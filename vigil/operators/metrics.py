@@ -142,9 +142,12 @@ def exact_quantile(df: DataFrame, col: str, q: float, accuracy: int = 10_000) ->
     it are ranked.  Each step is one aggregate pass; the ranking sorts at
     most QUANTILE_BAND_MAX rows.  Interpolation follows Spark's
     ``percentile``: position (n - 1) * q between the neighbouring ranks.
+    Null and NaN values are left out.
     """
     spark = df.sparkSession
-    x = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    # null and NaN count as missing (Spark would sort NaN above +Infinity)
+    x = df.select(F.col(col).cast("double").alias("x")).filter(
+        F.col("x").isNotNull() & ~F.isnan("x"))
     margin = 3.0 / accuracy
     first = x.agg(F.count(F.lit(1)).alias("n"),
                   F.percentile_approx("x", [max(0.0, q - margin), min(1.0, q + margin)],
@@ -160,6 +163,8 @@ def exact_quantile(df: DataFrame, col: str, q: float, accuracy: int = 10_000) ->
         st = x.agg(F.count_if(F.col("x") < F.lit(lo)).alias("below"),
                    F.count_if(F.col("x").between(F.lit(lo), F.lit(hi))).alias("band")).first()
         below, band = st["below"], st["band"]
+        if lo == -inf and hi == inf:
+            break                      # the band is everything: nothing to prove
         if below > k0:
             lo = -inf
             continue
