@@ -31,3 +31,8 @@ def test_entry_smoke(spark):
     assert len(rows) > 0
     assert df.columns == ["true_class", "rule_alert", "severity", "n", "tp", "fp", "fn",
                           "tn", "mean_anomaly_score"]
+
+
+def test_every_query_is_mapped_to_operators():
+    from vigil.plans.catalog import QUERY_OPERATORS
+    assert set(QUERY_OPERATORS) == set(QUERIES)
