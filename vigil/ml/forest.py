@@ -75,15 +75,33 @@ def bundle_metadata(cfg: ForestConfig, source: str, scores: dict, n_features: in
     return meta
 
 
+def after_assembler(model):
+    """The fitted stages that follow the VectorAssembler (scaler, forest)."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import VectorAssembler
+    stages = list(model.stages)
+    cut = next(i for i, st in enumerate(stages) if isinstance(st, VectorAssembler))
+    return PipelineModel(stages=stages[cut + 1:]), stages[cut].getOutputCol()
+
+
 def score_events(df: DataFrame, model, labels: Sequence[str],
                  anomaly_threshold: float = ANOMALY_THRESHOLD,
                  confidence_threshold: float = CONFIDENCE_THRESHOLD,
-                 pred_logic: str = "predicted_attack") -> DataFrame:
+                 pred_logic: str = "predicted_attack",
+                 features_vector: str | None = None) -> DataFrame:
     """M7 + R3-R8: pipeline inference then the alert and truth layers.
 
-    Works unchanged on a stream.  Only JVM expressions are involved.
+    Works unchanged on a stream.  Only JVM expressions are involved.  With
+    ``features_vector`` (a vector column already holding the raw features)
+    the assembler is skipped, so 115 feature columns never have to exist as
+    top-level columns (more than 100 fields switch whole-stage codegen off).
     """
-    scored = model.transform(df).withColumn("prob_arr", vector_to_array(F.col("probability")))
+    if features_vector is not None:
+        rest, raw_col = after_assembler(model)
+        scored = rest.transform(df.withColumnRenamed(features_vector, raw_col))
+    else:
+        scored = model.transform(df)
+    scored = scored.withColumn("prob_arr", vector_to_array(F.col("probability")))
     scored = rules.alert_layer(scored, "prob_arr", labels, prediction_col="prediction",
                                anomaly_threshold=anomaly_threshold,
                                confidence_threshold=confidence_threshold)

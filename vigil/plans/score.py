@@ -28,13 +28,12 @@ from vigil.functions.columns import event_key
 from vigil.ml.bundle import load_bundle
 from vigil.ml.forest import score_events
 from vigil.operators import metrics
-from vigil.operators.clean import fill_features
 from vigil.schema import (ANOMALY_THRESHOLD, CONFIDENCE_THRESHOLD, ENRICHED_COLUMNS,
                           MAX_OFFSETS_PER_TRIGGER, METRICS_COLUMNS, METRICS_WINDOW,
                           N_FEATURES_DEFAULT, WATERMARK_DELAY, feature_names,
                           raw_event_schema)
 from vigil.sinks.kafka import encode_events
-from vigil.sources.stream import decode_payload, envelope, kafka_source
+from vigil.sources.stream import envelope, kafka_source
 
 
 @dataclass(frozen=True)
@@ -109,13 +108,25 @@ def source_frame(spark: SparkSession, job: ScoreJob) -> DataFrame:
 
 
 def enrich(df: DataFrame, model, labels, job: ScoreJob) -> DataFrame:
-    """Decode -> P8 -> inference -> R3-R8 -> P19/P20 -> 24-column output."""
-    feats = feature_names(job.n_features)
-    parsed = fill_features(decode_payload(df, raw_event_schema(job.n_features),
-                                          keep=["topic", "kafka_ts", "partition", "offset",
-                                                "json_str"]), feats)
+    """Decode -> P8 -> inference -> R3-R8 -> P19/P20 -> 24-column output.
+
+    The payload is parsed into one struct and the feature vector is built
+    from its fields directly (null / NaN -> 0.0, as ``fillna`` does), so the
+    plan never carries 115 top-level feature columns and the decode, the
+    rules and the output projection stay in whole-stage codegen.
+    """
+    from pyspark.ml.functions import array_to_vector
+    j = F.from_json(F.col("json_str"), raw_event_schema(job.n_features))
+    parsed = df.select("topic", "kafka_ts", "partition", "offset", "json_str", j.alias("j"))
+    raw = F.array(*[F.nanvl(F.coalesce(F.col("j").getField(c), F.lit(0.0)), F.lit(0.0))
+                    for c in feature_names(job.n_features)])
+    parsed = parsed.select("topic", "kafka_ts", "partition", "offset", "json_str",
+                           F.col("j.label").alias("label"),
+                           F.col("j.attack_name").alias("attack_name"),
+                           array_to_vector(raw).alias("__features_raw"))
     scored = score_events(parsed, model, labels, job.anomaly_threshold,
-                          job.confidence_threshold, job.pred_logic)
+                          job.confidence_threshold, job.pred_logic,
+                          features_vector="__features_raw")
     return scored.select(
         F.current_timestamp().alias("processing_ts"),
         event_key("topic", "partition", "offset").alias("event_id"),
