@@ -23,7 +23,7 @@ from vigil.operators.clean import features_array
 from vigil.schema import ENSEMBLE_COLUMNS, feature_names, feature_schema
 from vigil.sinks.kafka import encode_events
 from vigil.sources.capture import discover_features
-from vigil.sources.stream import decode_payload, envelope, kafka_source
+from vigil.sources.stream import envelope, kafka_source
 
 
 def train(spark: SparkSession, df: DataFrame, out: str,
@@ -37,14 +37,20 @@ def train(spark: SparkSession, df: DataFrame, out: str,
 
 
 def enrich_frame(env: DataFrame, model, n_features: int = 115) -> DataFrame:
-    """Envelope (with key) -> decoded features -> ensemble -> 11 columns."""
+    """Envelope (with key) -> decoded features -> ensemble -> 11 columns.
+
+    The payload is parsed into one struct and the feature array is built
+    from its fields, so the plan never holds 115 top-level columns.
+    """
     feats = feature_names(n_features)
-    parsed = decode_payload(env, feature_schema(n_features),
-                            keep=["kafka_ts", "topic", "partition", "offset", "key"])
-    x = parsed.select("kafka_ts", F.col("topic").alias("kafka_topic"),
-                      F.col("partition").alias("kafka_partition"),
-                      F.col("offset").alias("kafka_offset"), F.col("key").alias("kafka_key"),
-                      "f1", "f2", features_array(feats, "features"))
+    j = F.col("j")
+    x = env.select("kafka_ts", "topic", "partition", "offset", "key",
+                   F.from_json(F.col("json_str"), feature_schema(n_features)).alias("j"))
+    x = x.select("kafka_ts", F.col("topic").alias("kafka_topic"),
+                 F.col("partition").alias("kafka_partition"),
+                 F.col("offset").alias("kafka_offset"), F.col("key").alias("kafka_key"),
+                 j.getField("f1").alias("f1"), j.getField("f2").alias("f2"),
+                 F.array(*[j.getField(c) for c in feats]).alias("features"))
     out = score_ensemble(x, model, "features")
     return out.select(*ENSEMBLE_COLUMNS)
 
