@@ -49,7 +49,11 @@ def get_spark(app: str = "vigil", master: str | None = None,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by the session; set a local one only if unset."""
+    """The shared folder named by the session; set a local one only if unset.
+
+    Also makes sure the SparkContext checkpoints there, so reliable
+    ``DataFrame.checkpoint()`` works whenever the folder is known.
+    """
     root = None
     try:
         root = spark.conf.get("spark.checkpoint.dir", None)
@@ -60,14 +64,16 @@ def checkpoint_root(spark: SparkSession) -> str:
             root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
         except Exception:  # noqa: BLE001
             root = None
+    try:
+        sc_dir = spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001
+        sc_dir = None
     if not root:
-        try:
-            root = spark.sparkContext.getCheckpointDir()
-        except Exception:  # noqa: BLE001
-            root = None
+        root = sc_dir
     if not root:
         # tests / single machine only: nothing configured
         root = tempfile.mkdtemp(prefix="vigil-ckpt-")
+    if not sc_dir:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
