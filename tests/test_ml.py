@@ -110,3 +110,30 @@ def test_exact_quantile_ignores_nan_and_infinities(spark):
         got = M.exact_quantile(df, "s", q, accuracy=20).first()["quantile"]
         want = clean.agg(F.percentile("s", F.lit(q))).first()[0]
         assert got == want or (np.isinf(got) and got == want), (q, got, want)
+
+
+
+def test_benign_guards(spark):
+    import pytest
+    from vigil.ml.bundle import write_json
+    from vigil.operators import rules
+    df = spark.createDataFrame([([0.5, 0.5],)], "p array<double>")
+    with pytest.raises(ValueError, match="benign"):
+        rules.alert_layer(df, "p", ["a", "b"])
+    d = scratch_path(spark, "t_nobenign")
+    write_json(spark, f"{d}/labels.json", {"labels": ["a", "b"]})
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import SQLTransformer
+    Pipeline(stages=[SQLTransformer(statement="SELECT * FROM __THIS__")]).fit(df) \
+        .write().overwrite().save(f"{d}/pipeline")
+    with pytest.raises(RuntimeError, match="benign"):
+        load_bundle(spark, d)
+
+
+def test_empty_classification_sample_raises(spark):
+    import pytest
+    from vigil.ml.ensemble import EnsembleConfig, fit_ensemble
+    df = spark.createDataFrame([(1, [float("nan"), 1.0], 0, "x")],
+                               "k long, features array<double>, label int, attack_name string")
+    with pytest.raises(Exception):
+        fit_ensemble(df, "features", "k", EnsembleConfig(benign_min=0), with_iforest=False)

@@ -105,6 +105,8 @@ def fit_ensemble(df: DataFrame, features_col: str, key_col: str,
     # the capped set is bounded (per_class x classes): size its partitions to
     # about 100k rows so the iterative fits do not schedule empty tasks
     n_train = train.count()
+    if n_train == 0:
+        raise ValueError("no rows sampled for the classifiers (all features non-finite?)")
     train = train.coalesce(max(1, math.ceil(n_train / ROWS_PER_PARTITION))).persist()
     # M2: alphabetical class index, fitted once and shared by both models
     indexer = StringIndexer(inputCol="class_name", outputCol="y",
