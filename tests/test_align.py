@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vigil.operators.align import positional_join
-from vigil.plans.build import build_global
+from vigil.plans.build import build_labelled_table
 from vigil.sources.capture import (discover_features, file_position_columns, read_features,
                                    validate_rows)
 from vigil.sources.labels import label_layout, read_labels
@@ -89,12 +89,12 @@ def test_positional_join_length_guard(spark, tmp, n_labels, msg):
         positional_join(x, y)
 
 
-def test_build_global_two_captures(spark, tmp):
+def test_build_labelled_table_two_captures(spark, tmp):
     _write(f"{tmp}/A_x.csv", [f"{i},{i},{i * 2}" for i in range(5)])      # leading index
     _write(f"{tmp}/A_y.csv", ["0", "1", "0", "1", "0"], bom=True)
     _write(f"{tmp}/B_x.csv", [f"{i},{i + 100}" for i in range(3)])
     _write(f"{tmp}/B_y.csv", ['"","x"', '"1",1', '"2",1', '"3",0'])
-    df = build_global(spark, [("A", f"{tmp}/A_x.csv", f"{tmp}/A_y.csv"),
+    df = build_labelled_table(spark, [("A", f"{tmp}/A_x.csv", f"{tmp}/A_y.csv"),
                               ("B", f"{tmp}/B_x.csv", f"{tmp}/B_y.csv")], n_features=2)
     rows = sorted((r.attack_name, r.f0, r.f1, r.label) for r in df.collect())
     assert rows[:2] == [("A", 0.0, 0.0, 0), ("A", 1.0, 2.0, 1)]
@@ -131,7 +131,7 @@ def test_build_fails_on_malformed_capture(spark, tmp):
     _write(f"{tmp}/A_x.csv", ["1,2", "3,x"])
     _write(f"{tmp}/A_y.csv", ["0", "1"])
     with pytest.raises(Exception, match=r"\[A\] malformed row: 3,x"):
-        build_global(spark, [("A", f"{tmp}/A_x.csv", f"{tmp}/A_y.csv")], n_features=2).collect()
+        build_labelled_table(spark, [("A", f"{tmp}/A_x.csv", f"{tmp}/A_y.csv")], n_features=2).collect()
 
 
 def test_positional_join_same_files_new_split_size(spark, tmp):

@@ -29,7 +29,7 @@ def test_build_train_replay_score(spark):
         writer = staged.write_layout_a if k != 2 else staged.write_layout_b
         writer(part, "vec_id", "label", f"{base}/cap{k}_y")
         sources.append((f"cap{k}", f"{base}/cap{k}_x", f"{base}/cap{k}_y"))
-    built = build.build_global(spark, sources, n_features=N)
+    built = build.build_labelled_table(spark, sources, n_features=N)
     build.write_csv(built, f"{base}/global_csv")
 
     job = train.parse_args(["--input", f"{base}/global_csv", "--model_dir", f"{base}/model",

@@ -36,7 +36,7 @@ def read_capture_pair(spark: SparkSession, name: str, features_path: str,
             y.withColumn("capture", tag))
 
 
-def build_global(spark: SparkSession, sources: Sequence[tuple], n_features: int = 115,
+def build_labelled_table(spark: SparkSession, sources: Sequence[tuple], n_features: int = 115,
                  label: str = "label", strict: bool = True) -> DataFrame:
     """sources: (capture, features_path, labels_path[, label_layout]) tuples.
 
@@ -90,7 +90,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--n_features", type=int, default=N_FEATURES_DEFAULT)
     args = ap.parse_args(argv)
     spark = get_spark("vigil-build")
-    df = build_global(spark, reference_sources(args.data_dir), args.n_features)
+    df = build_labelled_table(spark, reference_sources(args.data_dir), args.n_features)
     (write_parquet if args.format == "parquet" else write_csv)(df, args.out)
     for r in spark.read.format(args.format).option("header", "true").load(args.out) \
             .groupBy("attack_name").count().orderBy("attack_name").collect():

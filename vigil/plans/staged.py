@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.operators.align import positional_join
-from vigil.plans.build import build_global, write_parquet
+from vigil.plans.build import build_labelled_table, write_parquet
 from vigil.operators import metrics
 from vigil.session import scratch_path
 from vigil.sources.capture import file_position_columns, read_features
@@ -144,7 +144,7 @@ def _stage_build(spark, sf_dir) -> list[tuple]:
 
 def built_table(spark, sf_dir) -> DataFrame:
     sources, base = _stage_build(spark, sf_dir)
-    write_parquet(build_global(spark, sources, n_features=2), f"{base}/global")
+    write_parquet(build_labelled_table(spark, sources, n_features=2), f"{base}/global")
     return spark.read.parquet(f"{base}/global")
 
 
