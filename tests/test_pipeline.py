@@ -61,3 +61,18 @@ def test_cli_help(mod):
                          capture_output=True, text=True, timeout=120,
                          cwd=__file__.rsplit("/tests/", 1)[0])
     assert out.returncode == 0 and "usage" in out.stdout
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import os
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_CPUS="2",
+               BENCH_QUERIES="alert_counts,confusion_window_stream", BENCH_MEM="2g")
+    root = __file__.rsplit("/tests/", 1)[0]
+    out = subprocess.run([sys.executable, "bench.py"], capture_output=True, text=True,
+                         timeout=600, cwd=root, env=env)
+    lines = [ln for ln in out.stdout.splitlines() if ln.strip()]
+    assert out.returncode == 0 and len(lines) == 1
+    d = json.loads(lines[0])
+    assert d["unit"] == "sec" and set(d["queries"]) == {"alert_counts", "confusion_window_stream"}
+    assert d["value"] > 0 and d["sf"] == 0.001 and "throughput" in d
