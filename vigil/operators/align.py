@@ -36,7 +36,12 @@ def frozen(df: DataFrame) -> DataFrame:
 
 
 def split_offsets(df: DataFrame, capture: str = "capture") -> DataFrame:
-    """Per (capture, file, block) split: first row id, rows, rows before it."""
+    """Per (capture, file, block) split: first row id, rows, rows before it.
+
+    The running sum is a window over split rows (input bytes / split size of
+    them), partitioned by capture; with a single constant capture Spark
+    notes that the window has no partition key, which is fine at this size.
+    """
     blocks = df.groupBy(capture, "_file", "_block").agg(
         F.min("_rid").alias("_rid0"), F.count(F.lit(1)).alias("_n"))
     w = (Window.partitionBy(capture).orderBy("_file", "_block")

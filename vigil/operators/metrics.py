@@ -181,7 +181,8 @@ def exact_quantile(df: DataFrame, col: str, q: float, accuracy: int = 10_000) ->
             break
         lo, hi = new["b"]
     # rank distinct values with their counts: ties (even a third of all rows
-    # on one value) collapse in the partial aggregate before any sorting
+    # on one value) collapse in the partial aggregate before any sorting; the
+    # global window then sorts at most QUANTILE_BAND_MAX distinct values
     counts = (x.filter(F.col("x").between(F.lit(lo), F.lit(hi)))
               .groupBy("x").agg(F.count(F.lit(1)).alias("c")))
     w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -184,7 +184,8 @@ def label_vocab(df: DataFrame, class_col: str) -> DataFrame:
     """M1 / M2 / U7 as a table: class, count, frequency index, alphabetical index.
 
     Frequency order breaks ties by name, as StringIndexer does.  The global
-    windows run on the grouped table, whose size is the number of classes.
+    windows run on the grouped table, whose size is the number of classes
+    (Spark's "no partition defined" notice is expected here).
     """
     counts = df.groupBy(class_col).agg(F.count(F.lit(1)).alias("n"))
     by_freq = Window.orderBy(F.col("n").desc(), F.col(class_col).asc())
