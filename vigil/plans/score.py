@@ -48,6 +48,7 @@ class ScoreJob:
     output: str | None = None
     starting_offsets: str = "latest"
     max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER
+    max_files_per_trigger: int = 1
     anomaly_threshold: float = ANOMALY_THRESHOLD
     confidence_threshold: float = CONFIDENCE_THRESHOLD
     model_version: str = "rf_v1"
@@ -72,6 +73,8 @@ def parse_args(argv: Sequence[str] | None = None) -> ScoreJob:
     ap.add_argument("--output")
     ap.add_argument("--starting_offsets", choices=["latest", "earliest"], default="latest")
     ap.add_argument("--max_offsets_per_trigger", type=int, default=MAX_OFFSETS_PER_TRIGGER)
+    ap.add_argument("--max_files_per_trigger", type=int, default=1,
+                    help="back-pressure of the file source (files per micro-batch)")
     ap.add_argument("--anomaly_threshold", type=float, default=ANOMALY_THRESHOLD)
     ap.add_argument("--confidence_threshold", type=float, default=CONFIDENCE_THRESHOLD)
     ap.add_argument("--model_version", default="rf_v1")
@@ -95,7 +98,7 @@ def source_frame(spark: SparkSession, job: ScoreJob) -> DataFrame:
         return envelope(kafka_source(spark, job.bootstrap_servers, job.topic_in,
                                      job.starting_offsets, job.max_offsets_per_trigger))
     raw = (spark.readStream.format("text")
-           .option("maxFilesPerTrigger", "1").load(job.input))
+           .option("maxFilesPerTrigger", str(job.max_files_per_trigger)).load(job.input))
     # event time: the payload's send time when present, else the file's time;
     # offset: a content hash (identical lines of one file share it)
     sent = F.timestamp_seconds(F.get_json_object("value", "$.ts").try_cast("double"))
