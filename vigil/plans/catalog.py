@@ -380,6 +380,7 @@ QUERY_OPERATORS = {
     "build_dataset": "S2, S3, P1-P7, P22, J1, U1, K1",
     "source_counts": "A7",
     "rf_score": "M1, M3, M4, M6, M7, S10, K10, R3-R8",
+    "stream_score": "K3, S8, S9, W5-W9, W11, M7, R3-R8, P19-P21",
     "iforest_score": "M9, X1, X2, A9, M5, U6",
     "lr_score": "M10, X3, M2, U5",
     "gbt_score": "M11, X4, M2, U5",

@@ -46,6 +46,32 @@ def q_rf_score(spark, sf_dir):
                       "is_attack_true", "is_attack_pred", "fp", "fn", "tp", "tn")
 
 
+def q_stream_score(spark, sf_dir):
+    """K3 + S8 + S9 + W11 + M7 + R3-R8 + P19-P21: the streaming scoring job.
+
+    The feature rows are replayed as raw-event JSON, scored by the forest
+    bundle in a file-stream twin of the Kafka source (available-now, with
+    the metrics query reading the enriched output), and the enriched events
+    are returned (``processing_ts`` left out: it is the wall clock).
+    """
+    from vigil.plans.score import ScoreJob, start
+    from vigil.sinks.kafka import replay_payload
+    rows = _feature_rows(spark, sf_dir)
+    feats = [f"f{i}" for i in range(N_FEAT)]
+    model, labels, scores, _ = train_forest(rows, feats, RF_CFG)
+    d = scratch_path(spark, "stream_score")
+    save_bundle(spark, f"{d}/model", model, labels,
+                bundle_metadata(RF_CFG, f"{sf_dir}/embeddings.parquet", scores, N_FEAT,
+                                spark.version))
+    replay_payload(rows, feats).write.text(f"{d}/in")
+    job = ScoreJob(model_dir=f"{d}/model", checkpoint_dir=f"{d}/checkpoint", source="files",
+                   input=f"{d}/in", output=f"{d}/out", n_features=N_FEAT,
+                   enable_metrics=True, available_now=True, max_files_per_trigger=8)
+    for q in start(spark, job):
+        q.awaitTermination()
+    return spark.read.parquet(f"{d}/out/events").drop("processing_ts")
+
+
 def _ensemble_input(spark, sf_dir):
     e = embeddings_features(spark, sf_dir)
     return e.withColumns({
@@ -89,6 +115,7 @@ def q_ensemble_decision(spark, sf_dir):
 
 MODEL_QUERIES = {
     "rf_score": q_rf_score,
+    "stream_score": q_stream_score,
     "iforest_score": q_iforest_score,
     "lr_score": q_lr_score,
     "gbt_score": q_gbt_score,
