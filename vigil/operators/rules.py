@@ -121,13 +121,18 @@ def truth_layer(df: DataFrame, label: str = "label", attack: str = "attack_name"
     })
 
 
+VOCAB_BROADCAST_MAX = 100_000
+
+
 def lookup_class_names(df: DataFrame, idx_col: str, vocab: DataFrame,
                        out: str = "predicted_attack") -> DataFrame:
     """J2, relational form: class index -> name by joining a vocabulary table
-    (``idx INT, name STRING``).  The vocabulary is one row per class, so it
-    is broadcast; an index it does not know gives 'unknown'."""
-    v = F.broadcast(vocab.select(F.col("idx").cast("int").alias("__idx"),
-                                 F.col("name").alias("__name")))
+    (``idx INT, name STRING``).  The vocabulary is one row per class; it is
+    broadcast after its size is counted (shuffle-joined above
+    VOCAB_BROADCAST_MAX rows).  An index it does not know gives 'unknown'."""
+    v = vocab.select(F.col("idx").cast("int").alias("__idx"), F.col("name").alias("__name"))
+    if v.count() <= VOCAB_BROADCAST_MAX:
+        v = F.broadcast(v)
     j = df.join(v, F.col(idx_col).cast("int") == F.col("__idx"), "left")
     return j.withColumn(out, F.coalesce(F.col("__name"), F.lit(UNKNOWN_ATTACK))).drop(
         "__idx", "__name")
