@@ -57,7 +57,7 @@ def write_layout_a(df: DataFrame, order: str, label: str, path: str,
                      F.col(label).cast("string").alias("value"))
     firsts = base.groupBy(*g).agg(F.min("_o").alias("_first"))  # one row per group
     if by:
-        base = base.join(F.broadcast(firsts), by)
+        base = base.join(firsts, by)   # one row per group; AQE sizes the join
     else:
         base = base.withColumn("_first", F.lit(firsts.first()[0]))
     text = F.when(F.lit(bom_first) & (F.col("_o") == F.col("_first")),
