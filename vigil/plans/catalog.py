@@ -191,7 +191,7 @@ def q_decision_cascade(spark, sf_dir):
 
 def q_feature_stats(spark, sf_dir):
     emb = read_table(spark, sf_dir, "embeddings")
-    n = len(emb.select("embedding").first()[0])
+    n = emb.agg(F.max(F.size("embedding"))).first()[0]
     cols = [f"f{i}" for i in range(n)]
     wide = emb.select(*[F.get("embedding", i).cast("double").alias(c)
                         for i, c in enumerate(cols)])
