@@ -55,7 +55,7 @@ def test_build_train_replay_score(spark):
     assert truth <= {0, 1}
 
 
-@pytest.mark.parametrize("mod", ["build", "train", "score", "replay", "enrich"])
+@pytest.mark.parametrize("mod", ["build", "train", "score", "replay", "enrich", "compact"])
 def test_cli_help(mod):
     out = subprocess.run([sys.executable, "-m", f"vigil.plans.{mod}", "--help"],
                          capture_output=True, text=True, timeout=120,

@@ -146,3 +146,24 @@ def test_read_sink_of_empty_stream(spark):
     m = metrics.confusion_by_window(s, "ts", "1 minute", watermark="5 minutes")
     run_available_now(m, f"{base}/out", f"{base}/ck")
     assert read_sink(spark, f"{base}/out", schema=m.schema).count() == 0
+
+
+def test_compact_job_rewrites_only_multi_version_days(spark):
+    from vigil.plans import compact
+    base = scratch_path(spark, "t_compact")
+    table = f"{base}/table"
+    keys = ["topic", "partition", "offset"]
+    rows = spark.createDataFrame(
+        [("t", 0, 1, dt.datetime(2024, 1, 1, 1), 1.0), ("t", 0, 2, dt.datetime(2024, 1, 2, 1), 2.0),
+         ("t", 0, 3, dt.datetime(2024, 1, 3, 1), 3.0)],
+        "topic string, partition int, offset long, kafka_ts timestamp, f1 double")
+    sink = daily_store_sink(table, "kafka_ts")
+    sink(rows, 0)
+    sink(rows.filter("offset < 3").withColumn("f1", F.lit(9.0)), 1)
+    done = compact.run(spark, table, keys, f"{base}/staging", before="2024.01.02")
+    assert done == ["2024.01.01"]
+    t = spark.read.parquet(table)
+    assert t.filter("day = '2024.01.01'").count() == 1
+    assert t.filter("day = '2024.01.02'").count() == 2          # not before the bound
+    assert {r.offset: r.f1 for r in read_store(spark, table, keys).collect()} == \
+        {1: 9.0, 2: 9.0, 3: 3.0}
