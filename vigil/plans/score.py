@@ -1,9 +1,9 @@
 """Streaming scoring job: source -> model -> alert layer -> enriched sink,
 plus optional watermarked window metrics (M12 argument surface, W1-W9).
 
-The metrics query reads the enriched output as a stream instead of
-re-reading the source, so inference runs once per event (the reference
-runs it twice, once per query).
+With the file source the metrics query reads the enriched output as a
+stream instead of re-reading the source, so inference runs once per event;
+with Kafka it is a second query on the same plan, as in the reference.
 
     python -m vigil.plans.score --model_dir DIR --checkpoint_dir DIR
         [--source kafka|files] [--bootstrap_servers H] [--topic_in T] [--topic_out T]
