@@ -89,16 +89,31 @@ def fit_ensemble(df: DataFrame, features_col: str, key_col: str,
     caps = {BENIGN: cfg.benign_cap} if with_iforest else {}
     per_class = cfg.per_class if (with_lr or with_gbt) else 0
     cand = sample.hash_prefix(labelled, "u", per_class, "class_name", caps, materialize=True)
-    iso = None
-    if with_iforest:
-        # isolation forest on benign rows (null label counts as attack), capped
-        benign = sample.benign_cap(cand, cfg.benign_cap, ["u", key_col], "__label",
-                                   cfg.benign_min)
-        iso = fit_iforest(benign, "__zx", key_col, cfg.n_trees, cfg.max_samples,
-                          cfg.contamination, cfg.seed)
-    model = EnsembleModel(scaler, iso)
-    if not (with_lr or with_gbt):
-        return model
+    # the three models only share the frozen candidates: fit them side by
+    # side from driver threads (Spark runs jobs of several threads at once)
+    from concurrent.futures import ThreadPoolExecutor
+    model = EnsembleModel(scaler, None)
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        iso_f = pool.submit(_fit_iso, cand, key_col, cfg) if with_iforest else None
+        clf_f = (pool.submit(_fit_classifiers, cand, key_col, cfg, with_lr, with_gbt)
+                 if (with_lr or with_gbt) else None)
+        if iso_f is not None:
+            model.iforest = iso_f.result()
+        if clf_f is not None:
+            model.lr, model.gbt, model.classes = clf_f.result()
+    return model
+
+
+def _fit_iso(cand: DataFrame, key_col: str, cfg: EnsembleConfig) -> IsolationForestModel:
+    """Isolation forest on benign rows (null label counts as attack), capped."""
+    benign = sample.benign_cap(cand, cfg.benign_cap, ["u", key_col], "__label", cfg.benign_min)
+    return fit_iforest(benign, "__zx", key_col, cfg.n_trees, cfg.max_samples,
+                       cfg.contamination, cfg.seed)
+
+
+def _fit_classifiers(cand: DataFrame, key_col: str, cfg: EnsembleConfig, with_lr: bool,
+                     with_gbt: bool):
+    """LR and one-vs-rest boosted trees on the per-class capped sample."""
     train = sample.class_capped_sample(cand, "class_name", cfg.per_class, ["u", key_col])
     train = train.withColumn("features", array_to_vector("__zx")).select(
         "features", "class_name")
@@ -111,24 +126,33 @@ def fit_ensemble(df: DataFrame, features_col: str, key_col: str,
     # M2: alphabetical class index, fitted once and shared by both models
     indexer = StringIndexer(inputCol="class_name", outputCol="y",
                             stringOrderType="alphabetAsc").fit(train)
-    model.classes = list(indexer.labels)
+    classes = list(indexer.labels)
     indexed = indexer.transform(train)
-    if with_lr:
+
+    def fit_lr():
         lr = LogisticRegression(featuresCol="features", labelCol="y", family="multinomial",
                                 maxIter=cfg.lr_max_iter, standardization=False,
                                 regParam=1.0 / max(n_train, 1))
-        model.lr = PipelineModel(stages=[indexer, lr.fit(indexed)])
-    if with_gbt:
+        return PipelineModel(stages=[indexer, lr.fit(indexed)])
+
+    def fit_gbt():
         gbt = GBTClassifier(featuresCol="features", labelCol="y", maxIter=cfg.gbt_rounds,
                             maxDepth=cfg.gbt_depth, stepSize=cfg.gbt_step,
                             subsamplingRate=cfg.gbt_subsample,
                             featureSubsetStrategy=str(cfg.gbt_subsample), seed=cfg.seed)
         # one binary booster per class, fitted side by side (bounded by 16)
         ovr = OneVsRest(classifier=gbt, featuresCol="features", labelCol="y",
-                        parallelism=max(1, min(len(model.classes), 16)))
-        model.gbt = PipelineModel(stages=[indexer, ovr.fit(indexed)])
+                        parallelism=max(1, min(len(classes), 16)))
+        return PipelineModel(stages=[indexer, ovr.fit(indexed)])
+
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        lr_f = pool.submit(fit_lr) if with_lr else None
+        gbt_f = pool.submit(fit_gbt) if with_gbt else None
+        lr_m = lr_f.result() if lr_f is not None else None
+        gbt_m = gbt_f.result() if gbt_f is not None else None
     train.unpersist()
-    return model
+    return lr_m, gbt_m, classes
 
 
 def _vec_to_arr(c: str):
