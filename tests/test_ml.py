@@ -137,3 +137,30 @@ def test_empty_classification_sample_raises(spark):
                                "k long, features array<double>, label int, attack_name string")
     with pytest.raises(Exception):
         fit_ensemble(df, "features", "k", EnsembleConfig(benign_min=0), with_iforest=False)
+
+
+def test_vectorised_walk_equals_naive_traversal():
+    import pandas as pd
+    from vigil.ml.iforest import IsolationForestModel, raw_scores
+    rng = np.random.default_rng(11)
+    rows = []
+    for t in range(7):
+        x = rng.normal(size=(64, 3))
+        rows += [(t,) + r for r in grow_tree(x, np.random.default_rng([2, t]), 6)]
+    nodes = pd.DataFrame(rows, columns=["tree", "node", "feature", "threshold", "left",
+                                        "right", "size", "depth"])
+    model = IsolationForestModel(nodes, 64, 0.0, 7)
+    xs = rng.normal(size=(200, 3)) * 2
+    got = raw_scores(xs, model.arrays(), 64)
+    by_tree = {t: g.set_index("node") for t, g in nodes.groupby("tree")}
+    want = []
+    for x in xs:
+        total = 0.0
+        for t, g in by_tree.items():
+            k = 0
+            while g.loc[k, "feature"] >= 0:
+                f = g.loc[k, "feature"]
+                k = g.loc[k, "left"] if x[f] <= g.loc[k, "threshold"] else g.loc[k, "right"]
+            total += g.loc[k, "depth"] + average_path_length([g.loc[k, "size"]])[0]
+        want.append(-2.0 ** (-(total / 7) / average_path_length([64])[0]))
+    assert np.allclose(got, want, rtol=0, atol=1e-12)
