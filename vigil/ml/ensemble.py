@@ -114,7 +114,8 @@ def _fit_iso(cand: DataFrame, key_col: str, cfg: EnsembleConfig) -> IsolationFor
 def _fit_classifiers(cand: DataFrame, key_col: str, cfg: EnsembleConfig, with_lr: bool,
                      with_gbt: bool):
     """LR and one-vs-rest boosted trees on the per-class capped sample."""
-    train = sample.class_capped_sample(cand, "class_name", cfg.per_class, ["u", key_col])
+    train = sample.class_capped_sample(cand, "class_name", cfg.per_class, ["u", key_col],
+                                       materialize=False)   # cand is frozen already
     train = train.withColumn("features", array_to_vector("__zx")).select(
         "features", "class_name")
     # the capped set is bounded (per_class x classes): size its partitions to

@@ -96,6 +96,9 @@ def hash_prefix(df: DataFrame, u_col: str, cap: int, group_col: str | None = Non
         if cut >= 1.0:
             return df
         pre = df.filter(u.isNull() | (u <= F.lit(cut)))
+        if materialize:
+            from vigil.operators.align import frozen
+            pre = frozen(pre)
         return pre if pre.count() >= cap else df
     from vigil.operators.align import frozen
     g = F.col(group_col)
@@ -134,7 +137,7 @@ def hash_prefix(df: DataFrame, u_col: str, cap: int, group_col: str | None = Non
 
 def class_capped_sample(df: DataFrame, class_col: str, cap: int,
                         order: Sequence[str], salts: int = 64,
-                        uniform_first: bool = True) -> DataFrame:
+                        uniform_first: bool = True, materialize: bool = True) -> DataFrame:
     """At most ``cap`` rows per class, the first ones in hash ``order``.
 
     With ``uniform_first`` (``order[0]`` is a [0, 1) hash) the input is first
@@ -147,7 +150,7 @@ def class_capped_sample(df: DataFrame, class_col: str, cap: int,
     row among a class's first ``cap`` is among its sub-group's.
     """
     if uniform_first:
-        df = hash_prefix(df, order[0], cap, class_col)
+        df = hash_prefix(df, order[0], cap, class_col, materialize=materialize)
     ordering = [F.col(c) for c in order]
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(salts))
     w1 = Window.partitionBy(class_col, "_salt").orderBy(*ordering)
@@ -171,7 +174,7 @@ def benign_cap(df: DataFrame, cap: int, order: Sequence[str], label: str = "labe
     over the capped rows only.
     """
     from vigil.operators.clean import benign_only
-    benign = hash_prefix(benign_only(df, label), order[0], cap)
+    benign = hash_prefix(benign_only(df, label), order[0], cap, materialize=True)
     capped = ordered_limit(benign, cap, order)
     n = capped.count()
     if n < min_rows:
