@@ -122,3 +122,17 @@ def test_score_continuous_mode_starts_on_empty_output(spark, labelled_csv):
         for q in qs:
             q.stop()
     assert spark.read.parquet(f"{out}/events").count() == 500
+
+
+def test_train_from_partitioned_parquet(spark, labelled_csv):
+    from vigil.plans.build import write_parquet
+    df = spark.read.option("header", "true").csv(labelled_csv)
+    df = df.withColumns({f"f{i}": F.col(f"f{i}").cast("double") for i in range(N)}).withColumn(
+        "label", F.col("label").cast("int"))
+    pq = scratch_path(spark, "t_global_pq")
+    write_parquet(df, pq)                                   # partitioned by attack_name
+    job = train.parse_args(["--input", pq, "--format", "parquet", "--model_dir",
+                            scratch_path(spark, "t_model_pq"), "--num_trees", "3",
+                            "--max_depth", "3", "--n_features", str(N)])
+    res = train.run(spark, job)
+    assert "benign" in res["labels"] and len(res["labels"]) == 10
