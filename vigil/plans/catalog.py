@@ -26,7 +26,6 @@ R1_THRESHOLD = 113.0
 R2_F1, R2_F2 = 150.0, 90.0
 SOFTMAX_K, SOFTMAX_SCALE = 10, 20.0
 METRICS_WINDOW = "1 hour"
-WATERMARK = "5 minutes"
 MODEL_VERSION = "vigil_v1"
 
 
