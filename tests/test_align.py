@@ -147,3 +147,15 @@ def test_positional_join_same_files_new_split_size(spark, tmp):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert len(out) == 20000 and all(int(r.f0) == r.pos for r in out)
+
+
+def test_build_glob_paths_fall_back_to_per_capture_scans(spark, tmp):
+    _write(f"{tmp}/A_x.csv", [f"{i},{i},{i * 2}" for i in range(5)])
+    _write(f"{tmp}/A_y.csv", ["0", "1", "0", "1", "0"], bom=True)
+    _write(f"{tmp}/B_x.csv", [f"{i},{i + 100}" for i in range(3)])
+    _write(f"{tmp}/B_y.csv", ['"","x"', '"1",1', '"2",1', '"3",0'])
+    plain = [("A", f"{tmp}/A_x.csv", f"{tmp}/A_y.csv"), ("B", f"{tmp}/B_x.csv", f"{tmp}/B_y.csv")]
+    globbed = [("A", f"{tmp}/A_[x].csv", f"{tmp}/A_y.csv"), ("B", f"{tmp}/B_x.csv", f"{tmp}/B_y.csv")]
+    a = build_labelled_table(spark, plain, n_features=2)
+    b = build_labelled_table(spark, globbed, n_features=2)
+    assert a.count() == 8 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -105,27 +105,34 @@ def features_array(cols: Sequence[str], name: str = "features") -> Column:
     return F.array(*[F.col(c).cast("double") for c in cols]).alias(name)
 
 
+def _source_prefix(source: str, source_col: Column | None) -> Column:
+    if source_col is None:
+        return F.lit(f"[{source}] ")
+    return F.concat(F.lit("["), source_col, F.lit("] "))
+
+
 def parse_labels(df: DataFrame, col: str = "label_text", out: str = "label",
-                 source: str = "labels") -> DataFrame:
+                 source: str = "labels", source_col: Column | None = None) -> DataFrame:
     """P5 + P6: trim, drop blank, numeric text -> int (truncates toward zero).
 
     Non-numeric text raises at run time (``raise_error``), naming the source.
     """
     t = F.trim(F.regexp_replace(F.col(col), "^\ufeff", ""))
     num = t.try_cast("double")
-    checked = F.when(num.isNull(), F.raise_error(
-        F.concat(F.lit(f"[{source}] label is not a number: "), t))).otherwise(num)
+    checked = F.when(num.isNull(), F.raise_error(F.concat(
+        _source_prefix(source, source_col), F.lit("label is not a number: "), t))
+    ).otherwise(num)
     return (df.withColumn(col, t).filter(F.col(col) != "")
             .withColumn(out, checked.cast("int")))
 
 
 def check_label_domain(df: DataFrame, col: str = "label", allowed=(0, 1),
-                       source: str = "labels") -> DataFrame:
+                       source: str = "labels", source_col: Column | None = None) -> DataFrame:
     """Fail at run time on a label outside ``allowed``, listing the value.
 
     Expressed as a per-row guard so it needs no extra pass over the data.
     """
     bad = ~F.col(col).isin(*allowed)
     return df.withColumn(col, F.when(bad, F.raise_error(F.concat(
-        F.lit(f"[{source}] label values outside {set(allowed)}: "),
+        _source_prefix(source, source_col), F.lit(f"label values outside {set(allowed)}: "),
         F.col(col).cast("string")))).otherwise(F.col(col)))

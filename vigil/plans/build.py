@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 
 from vigil.operators.align import positional_join
 from vigil.schema import N_FEATURES_DEFAULT, REFERENCE_SOURCES, feature_names
-from vigil.sources.capture import csv_width, file_position_columns, read_features
+from vigil.operators.clean import check_label_domain, parse_labels
+from vigil.schema import feature_schema
+from vigil.sources.capture import (csv_width, file_position_columns, has_glob, probe,
+                                   read_features, source_column)
 from vigil.sources.labels import read_labels
 
 
@@ -36,16 +39,93 @@ def read_capture_pair(spark: SparkSession, name: str, features_path: str,
             y.withColumn("capture", tag))
 
 
+def _feature_scans(spark: SparkSession, members: list, n_features: int, width: int,
+                   strict: bool):
+    """One scan over every capture of one width -> (data read, count read)."""
+    keys = [(name, key, exact) for name, _, key, exact in members]
+    paths = [fp for _, fp, _, _ in members]
+
+    def scan(guard: bool) -> DataFrame:
+        schema = feature_schema(n_features, prefix_index=(width == n_features + 1))
+        if guard:
+            schema = schema.add("_corrupt_record", "string")
+        df = (spark.read.schema(schema).option("header", "false").option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", "_corrupt_record").csv(paths))
+        df = df.withColumn("capture", source_column(keys))
+        if guard:
+            bad = F.col("_corrupt_record")
+            df = df.filter(F.when(bad.isNotNull(), F.raise_error(F.concat(
+                F.lit("["), F.col("capture"), F.lit("] malformed row: "), bad)))
+                .otherwise(F.lit(True))).drop("_corrupt_record")
+        if width == n_features + 1:
+            df = df.drop("_index")
+        return file_position_columns(df)
+
+    return scan(strict), scan(False)
+
+
+def _label_scan(spark: SparkSession, layout: str, members: list) -> DataFrame:
+    """One scan over every label file set of one layout (and header)."""
+    keys = [(name, key, exact) for name, _, key, exact in members]
+    paths = [lp for _, lp, _, _ in members]
+    if layout == "A":
+        raw = spark.read.text(paths).withColumnRenamed("value", "label_text")
+    else:
+        raw = spark.read.option("header", "true").csv(paths)
+        cols = [c.lstrip("\ufeff").strip('"') for c in raw.columns]
+        raw = raw.toDF(*cols)
+        raw = raw.select(F.col("x" if "x" in cols else cols[-1]).alias("label_text"))
+    t = F.trim(F.regexp_replace(F.coalesce(F.col("label_text"), F.lit("")), "^\ufeff", ""))
+    df = raw.select(source_column(keys).alias("capture"), t.alias("label_text"))
+    df = file_position_columns(df.filter(F.col("label_text") != ""))
+    df = parse_labels(df, "label_text", "label", source_col=F.col("capture"))
+    return check_label_domain(df, "label", (0, 1), source_col=F.col("capture")).drop(
+        "label_text")
+
+
 def build_labelled_table(spark: SparkSession, sources: Sequence[tuple], n_features: int = 115,
-                 label: str = "label", strict: bool = True) -> DataFrame:
+                         label: str = "label", strict: bool = True) -> DataFrame:
     """sources: (capture, features_path, labels_path[, label_layout]) tuples.
 
-    All captures go through one plan: the feature scans are unioned, the
-    label scans are unioned, and a single positional join aligns them.
+    All captures go through one plan (U1): every capture's files are probed
+    once (first line, and the key that recognises its rows), captures of one
+    width are read by one multi-file scan and tagged by file path, label
+    files likewise per layout, and a single positional join aligns them.
     Feature files are read twice: once counting rows per split (no column
     parsed) and once for the data, where ``strict`` fails the job on any
     malformed row, as the reference's reader does.
     """
+    if any(has_glob(src[1]) or has_glob(src[2]) for src in sources):
+        return _build_per_capture(spark, sources, n_features, label, strict)
+    by_width: dict = {}
+    by_layout: dict = {}
+    for src in sources:
+        name, fp, lp = src[:3]
+        line, key, exact = probe(spark, fp, name)
+        width = len(line.split(","))
+        if width not in (n_features, n_features + 1):
+            raise ValueError(f"[{name}] unexpected column count: {width} "
+                             f"(expected {n_features} or {n_features + 1})")
+        by_width.setdefault(width, []).append((name, fp, key, exact))
+        lline, lkey, lexact = probe(spark, lp, name)
+        layout = src[3] if len(src) > 3 and src[3] else ("B" if "," in lline else "A")
+        header = lline if layout == "B" else ""
+        by_layout.setdefault((layout, header), []).append((name, lp, lkey, lexact))
+    scans = [_feature_scans(spark, m, n_features, w, strict) for w, m in by_width.items()]
+    ys = [_label_scan(spark, layout, m) for (layout, _), m in by_layout.items()]
+
+    def union(dfs):
+        return reduce(lambda a, b: a.unionByName(b), dfs)
+
+    joined = positional_join(union([x for x, _ in scans]), union(ys), "capture",
+                             feature_counts=union([xc for _, xc in scans]))
+    return joined.select(*feature_names(n_features), F.col("label").alias(label),
+                         F.col("capture").alias("attack_name"))
+
+
+def _build_per_capture(spark: SparkSession, sources: Sequence[tuple], n_features: int,
+                       label: str, strict: bool) -> DataFrame:
+    """Fallback for glob paths: one scan per capture, unioned."""
     xs, xcs, ys = [], [], []
     for src in sources:
         name, fp, lp = src[:3]

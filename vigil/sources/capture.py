@@ -30,6 +30,43 @@ def first_line(spark: SparkSession, path: str, source: str | None = None) -> str
     return row[0].lstrip("\ufeff")
 
 
+def probe(spark: SparkSession, path: str, source: str | None = None) -> tuple[str, str, bool]:
+    """First line of a file set, and how to recognise its rows in a shared scan.
+
+    Returns (first line, match key, exact): the key is spelled the way
+    ``_metadata.file_path`` spells paths (taken from that very column), so
+    rows of this source are those whose file path equals the key (a single
+    file) or starts with it (a folder).
+    """
+    from urllib.parse import unquote
+    try:
+        row = (spark.read.text(path)
+               .select("value", F.col("_metadata.file_path").alias("f")).limit(1).first())
+    except Exception as e:  # noqa: BLE001 - Spark's PATH_NOT_FOUND and friends
+        raise FileNotFoundError(f"[{source or path}] input not found: {path}") from e
+    if row is None:
+        raise ValueError(f"[{source or path}] input is empty: {path}")
+    first = row["f"]
+    leaf = unquote(first.rsplit("/", 1)[-1])
+    if unquote(path.rstrip("/")).rsplit("/", 1)[-1] == leaf:
+        return row["value"].lstrip("\ufeff"), first, True
+    return row["value"].lstrip("\ufeff"), first.rsplit("/", 1)[0] + "/", False
+
+
+def source_column(keys: list[tuple[str, str, bool]]):
+    """Row -> source name, from (name, key, exact) triples made by :func:`probe`."""
+    fp = F.col("_metadata.file_path")
+    out = None
+    for name, key, exact in keys:
+        cond = (fp == F.lit(key)) if exact else fp.startswith(key)
+        out = F.when(cond, F.lit(name)) if out is None else out.when(cond, F.lit(name))
+    return out
+
+
+def has_glob(path: str) -> bool:
+    return any(ch in path for ch in "*?[{")
+
+
 def csv_width(spark: SparkSession, path: str, source: str | None = None) -> int:
     return len(first_line(spark, path, source).split(","))
 
