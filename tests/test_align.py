@@ -159,3 +159,17 @@ def test_build_glob_paths_fall_back_to_per_capture_scans(spark, tmp):
     a = build_labelled_table(spark, plain, n_features=2)
     b = build_labelled_table(spark, globbed, n_features=2)
     assert a.count() == 8 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_strict_build_supports_actions_that_prune_features(spark, tmp):
+    _write(f"{tmp}/A_x.csv", ["1,2", "3,4"])
+    _write(f"{tmp}/A_y.csv", ["0", "1"])
+    src = [("A", f"{tmp}/A_x.csv", f"{tmp}/A_y.csv")]
+    assert build_labelled_table(spark, src, n_features=2).count() == 2
+    assert build_labelled_table(spark, src, n_features=2).groupBy("attack_name").count() \
+        .first()["count"] == 2
+    _write(f"{tmp}/B_x.csv", ["1,2", "3,x"])
+    _write(f"{tmp}/B_y.csv", ["0", "1"])
+    with pytest.raises(Exception, match=r"\[B\] malformed row: 3,x"):
+        build_labelled_table(spark, [("B", f"{tmp}/B_x.csv", f"{tmp}/B_y.csv")],
+                             n_features=2).count()

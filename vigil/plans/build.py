@@ -19,8 +19,8 @@ from vigil.operators.align import positional_join
 from vigil.schema import N_FEATURES_DEFAULT, REFERENCE_SOURCES, feature_names
 from vigil.operators.clean import check_label_domain, parse_labels
 from vigil.schema import feature_schema
-from vigil.sources.capture import (csv_width, file_position_columns, has_glob, probe,
-                                   read_features, source_column)
+from vigil.sources.capture import (csv_width, file_position_columns, has_glob,
+                                   malformed_guard, probe, read_features, source_column)
 from vigil.sources.labels import read_labels
 
 
@@ -53,10 +53,7 @@ def _feature_scans(spark: SparkSession, members: list, n_features: int, width: i
               .option("columnNameOfCorruptRecord", "_corrupt_record").csv(paths))
         df = df.withColumn("capture", source_column(keys))
         if guard:
-            bad = F.col("_corrupt_record")
-            df = df.filter(F.when(bad.isNotNull(), F.raise_error(F.concat(
-                F.lit("["), F.col("capture"), F.lit("] malformed row: "), bad)))
-                .otherwise(F.lit(True))).drop("_corrupt_record")
+            df = df.filter(malformed_guard(schema, F.col("capture"))).drop("_corrupt_record")
         if width == n_features + 1:
             df = df.drop("_index")
         return file_position_columns(df)

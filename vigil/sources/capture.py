@@ -82,6 +82,21 @@ def _capture_schema(spark: SparkSession, path: str, n_features: int, source: str
                      f"(expected {n_features} or {n_features + 1})")
 
 
+def malformed_guard(schema, source):
+    """Filter condition that fails the job on a malformed row (P3 per row).
+
+    The error text also names every parsed column, so whatever the query
+    keeps, the scan still parses them all: Spark flags malformed rows only
+    in the columns it parses, and refuses a scan that reads nothing but the
+    corrupt-record column.  The text is built only for a bad row.
+    """
+    bad = F.col("_corrupt_record")
+    parsed = [F.col(c) for c in schema.fieldNames() if c != "_corrupt_record"]
+    message = F.concat(F.lit("["), source, F.lit("] malformed row: "), bad,
+                       F.lit(" (parsed as "), F.to_json(F.array(*parsed)), F.lit(")"))
+    return F.when(bad.isNotNull(), F.raise_error(message)).otherwise(F.lit(True))
+
+
 def malformed_rows(spark: SparkSession, path: str, n_features: int = 115,
                    source: str | None = None) -> DataFrame:
     """(source, line) of rows with another width or a non-numeric field.
@@ -131,10 +146,7 @@ def read_features(spark: SparkSession, path: str, n_features: int = 115,
     df = (spark.read.schema(schema).option("header", "false").option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_corrupt_record").csv(path))
     if strict:
-        bad = F.col("_corrupt_record")
-        df = df.filter(F.when(bad.isNotNull(), F.raise_error(F.concat(
-            F.lit(f"[{source or path}] malformed row: "), bad))).otherwise(F.lit(True)))
-        df = df.drop("_corrupt_record")
+        df = df.filter(malformed_guard(schema, F.lit(source or path))).drop("_corrupt_record")
     return df.drop("_index") if width == n_features + 1 else df
 
 
