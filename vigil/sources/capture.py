@@ -57,7 +57,9 @@ def source_column(keys: list[tuple[str, str, bool]]):
     """Row -> source name, from (name, key, exact) triples made by :func:`probe`."""
     fp = F.col("_metadata.file_path")
     out = None
-    for name, key, exact in keys:
+    # exact files first, then longer (more specific) folder keys, so a folder
+    # nested in another capture's folder keeps its own rows
+    for name, key, exact in sorted(keys, key=lambda k: (not k[2], -len(k[1]))):
         cond = (fp == F.lit(key)) if exact else fp.startswith(key)
         out = F.when(cond, F.lit(name)) if out is None else out.when(cond, F.lit(name))
     return out
