@@ -15,17 +15,62 @@ def op5_line_dedup(spark, sf_dir):
     return line_digest(_table(spark, sf_dir, "documents"))
 
 
+def op6_secret_scan(spark, sf_dir):
+    from vigil.llm.secrets import secret_digest
+    return secret_digest(_table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark, sf_dir):
     from vigil.llm.decontaminate import decontaminate
     return decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op5_line_dedup, op8_decontaminate)}
+    op5_line_dedup, op6_secret_scan, op8_decontaminate)}
 
 # fixed values: the white space trimmed from line ends, as DuckDB text
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+
+def _secret_sql() -> str:
+    """Spans from the pieces between matches, kind by kind, in RE2 spelling."""
+    either = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w)
+                      for w in ("password", "passwd", "secret", "token", "api_?key"))
+    kinds = [  # kind, pattern, counted group, least length
+        ("assign", "(?:" + either + """)["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 1, 12),
+        ("access", "AKIA[A-Z0-9]+", 0, 18),
+        ("hex", "[0-9a-f]+", 0, 16),
+        ("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0),
+        ("github", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 40),
+        ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0)]
+    one = " UNION ALL ".join(f"""
+  SELECT doc_id, {k} AS k, '{name}' AS kind, {least} AS least,
+         regexp_split_to_array(t, '{p}') AS gaps, regexp_extract_all(t, '{p}', 0) AS found,
+         regexp_extract_all(t, '{p}', {g}) AS counted FROM d"""
+                             for k, (name, p, g, least) in enumerate(kinds))
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+pieces AS ({one}),
+rows AS (SELECT doc_id, k, kind, least, unnest(range(1, len(found) + 1)) AS i, gaps, found, counted
+         FROM pieces),
+sized AS (SELECT doc_id, k, kind, least, i, length(gaps[i]) AS gap, length(found[i]) AS len,
+                 length(counted[i]) AS counted FROM rows),
+placed AS (SELECT *, CAST(sum(gap + len) OVER (PARTITION BY doc_id, k ORDER BY i) AS BIGINT) AS e
+           FROM sized),
+spans AS (SELECT doc_id, k, e - len AS s, kind || ':' || (e - len) || ':' || e AS span
+          FROM placed WHERE counted >= least),
+per_doc AS (
+  SELECT doc_id, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access,
+         count(*) FILTER (WHERE k = 2) AS n_hex,
+         string_agg(span, ',' ORDER BY s, k) FILTER (WHERE k < 3) AS base,
+         string_agg(span, ',' ORDER BY s, k) AS spans
+  FROM spans GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans
+FROM d LEFT JOIN per_doc p ON d.doc_id = p.doc_id"""
+
+
 SQL = {
     "op5_line_dedup": f"""
 WITH lines AS (
@@ -45,4 +90,6 @@ SELECT doc_id, count(*) AS n_lines,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), ''))
          AS kept_sha256
 FROM marked GROUP BY doc_id""",
+
+    "op6_secret_scan": _secret_sql(),
 }
