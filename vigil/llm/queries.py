@@ -10,6 +10,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_quality(spark, sf_dir):
+    from vigil.llm.quality import scores
+    return scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_line_dedup(spark, sf_dir):
     from vigil.llm.line_dedup import line_digest
     return line_digest(_table(spark, sf_dir, "documents"))
@@ -26,7 +31,7 @@ def op8_decontaminate(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op5_line_dedup, op6_secret_scan, op8_decontaminate)}
+    op3_quality, op5_line_dedup, op6_secret_scan, op8_decontaminate)}
 
 # fixed values: the white space trimmed from line ends, as DuckDB text
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
