@@ -30,8 +30,13 @@ def op8_decontaminate(spark, sf_dir):
     return decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op10_pii(spark, sf_dir):
+    from vigil.llm.pii import pii_digest
+    return pii_digest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op3_quality, op5_line_dedup, op6_secret_scan, op8_decontaminate)}
+    op3_quality, op5_line_dedup, op6_secret_scan, op8_decontaminate, op10_pii)}
 
 # fixed values: the white space trimmed from line ends, as DuckDB text
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
