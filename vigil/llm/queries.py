@@ -15,6 +15,11 @@ def op3_quality(spark, sf_dir):
     return scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_pieces(spark, sf_dir):
+    from vigil.llm.pieces import encode
+    return encode(_table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark, sf_dir):
     from vigil.llm.line_dedup import line_digest
     return line_digest(_table(spark, sf_dir, "documents"))
@@ -36,7 +41,7 @@ def op10_pii(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_quality, op5_line_dedup, op6_secret_scan, op8_decontaminate, op10_pii)}
+    op3_quality, op4_pieces, op5_line_dedup, op6_secret_scan, op8_decontaminate, op10_pii)}
 
 # fixed values: the white space trimmed from line ends, as DuckDB text
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
