@@ -10,6 +10,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_main_text(spark, sf_dir):
+    from vigil.llm.html import extract
+    return extract(_table(spark, sf_dir, "pages"))
+
+
 def op3_quality(spark, sf_dir):
     from vigil.llm.quality import scores
     return scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -41,7 +46,7 @@ def op10_pii(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_quality, op4_pieces, op5_line_dedup, op6_secret_scan, op8_decontaminate, op10_pii)}
+    op2_main_text, op3_quality, op4_pieces, op5_line_dedup, op6_secret_scan, op8_decontaminate, op10_pii)}
 
 # fixed values: the white space trimmed from line ends, as DuckDB text
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
