@@ -35,6 +35,11 @@ def op6_secret_scan(spark, sf_dir):
     return secret_digest(_table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark, sf_dir):
+    from vigil.llm.substring_dedup import substring_digest
+    return substring_digest(_table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark, sf_dir):
     from vigil.llm.decontaminate import decontaminate
     return decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -46,7 +51,8 @@ def op10_pii(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_main_text, op3_quality, op4_pieces, op5_line_dedup, op6_secret_scan, op8_decontaminate, op10_pii)}
+    op2_main_text, op3_quality, op4_pieces, op5_line_dedup, op6_secret_scan,
+    op7_substring_dedup, op8_decontaminate, op10_pii)}
 
 # fixed values: the white space trimmed from line ends, as DuckDB text
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
