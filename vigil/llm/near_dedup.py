@@ -85,7 +85,7 @@ def _arrivals(row, g, weight, bound):
     at, size = np.arange(len(g)), 1
     start = 0
     while len(at):          # dyadic blocks of the weight axis that the weights reach
-        seed.append(tokens.mix(g[at] + _U(size + start) * _GOLD))
+        seed.append(tokens.mix(g[at] + np.array([size + start], _U) * _GOLD))
         lo.append(np.full(len(at), start))
         width.append(np.full(len(at), size))
         owner.append(at)

@@ -10,6 +10,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_dedup(spark, sf_dir):
+    from vigil.llm.near_dedup import near_duplicates
+    return near_duplicates(_table(spark, sf_dir, "documents")).drop("k1", "k2")
+
+
 def op2_main_text(spark, sf_dir):
     from vigil.llm.html import extract
     return extract(_table(spark, sf_dir, "pages"))
@@ -45,14 +50,19 @@ def op8_decontaminate(spark, sf_dir):
     return decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op9_embedding_dedup(spark, sf_dir):
+    from vigil.llm.embedding_dedup import embedding_links
+    return embedding_links(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_pii(spark, sf_dir):
     from vigil.llm.pii import pii_digest
     return pii_digest(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_main_text, op3_quality, op4_pieces, op5_line_dedup, op6_secret_scan,
-    op7_substring_dedup, op8_decontaminate, op10_pii)}
+    op1_near_dedup, op2_main_text, op3_quality, op4_pieces, op5_line_dedup, op6_secret_scan,
+    op7_substring_dedup, op8_decontaminate, op9_embedding_dedup, op10_pii)}
 
 # fixed values: the white space trimmed from line ends, as DuckDB text
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
