@@ -39,7 +39,7 @@ THRESHOLD = 0.98
 GRID, BOX = 4, 12            # directions that order the sequence, and that bound blocks
 BLOCK_ROWS, PAIRS_A_TASK = 1024, 32
 FAN_BITS = 4                 # an interval has 16 parts
-NO_ID = -(1 << 63)
+NO_ID, _NO_IDS = -(1 << 63), 1 << 61
 
 
 def units(vectors: list) -> np.ndarray:
@@ -223,9 +223,11 @@ def embedding_links(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
     """(vec_id, n_links, component_id, kept) of every row of (vec_id, embedding, label)."""
     parts = parallelism(embeddings)
     epsilon = float(np.sqrt(2 - 2 * threshold)) + 1e-6
-    rows = embeddings.select(F.coalesce(F.col("vec_id").cast("long"), F.lit(NO_ID)).alias("id"),
+    rows = embeddings.select(F.col("vec_id").cast("long").alias("id"),
                              F.col("label").cast("long").alias("label"),
                              F.col("embedding").cast("array<double>").alias("vec"))
+    # rows without vec_id get ids below all others, one for each vector
+    rows = rows.withColumn("id", F.coalesce("id", F.lit(NO_ID) + F.pmod(_keys()["k1"], F.lit(_NO_IDS))))
     valid = rows.where(_can_link()).withColumns(_keys())
     distinct = freeze(valid.groupBy("k1", "k2").agg(
         F.min("id").alias("id"), F.first("label").alias("label"), F.first("vec").alias("vec"),
@@ -257,7 +259,7 @@ def embedding_links(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
                 F.coalesce("component", "rep").alias("comp"))
     keyed = rows.select("id", *[F.when(_can_link(), k).alias(n) for n, k in _keys().items()])
     out = keyed.join(reps, (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")), "left")
-    real = lambda c: F.when(c != NO_ID, c)
+    real = lambda c: F.when(c >= F.lit(NO_ID + _NO_IDS), c)
     comp = F.coalesce("comp", "id")
     return out.select(real(F.col("id")).alias("vec_id"),
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

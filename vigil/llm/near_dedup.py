@@ -23,9 +23,9 @@ A pair at similarity 0.8 misses all bands with a probability of 3e-5, or the
 agreement with 1e-6; pairs above are found more surely, pairs below never.
 
 Defined cases: null and blank texts are alike to nothing; texts of fewer than
-five words are one shingle; rows that share doc_id and text stay or go together;
-a null doc_id orders before all others and rows without one are told apart by
-their texts; an empty table gives an empty result.
+five words are one shingle; rows that share a doc_id are one document, linked by
+any of its texts; a null doc_id orders before all others and rows without one are
+told apart by their texts; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ ROWS, BANDS = 4, 20
 SLOTS = ROWS * BANDS
 AGREE = 45
 CELL_ROWS, CELL_BYTES = 1024, 4 << 20
-NO_ID = -(1 << 63)
+NO_ID, _NO_IDS = -(1 << 63), 1 << 61
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
 _SALT = [int(x) for x in tokens.mix(np.arange(101, 106, dtype=_U))]
@@ -160,10 +160,14 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """(id, k1, k2, text): a doc_id for every row and a 128-bit name of its text."""
-    return documents(docs).select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("k1"),
-        F.xxhash64(F.lit(7), "text").alias("k2"), "text")
+    """(id, k1, k2, text): an id for every row and a 128-bit name of its text.
+
+    Rows without doc_id get ids below all others, one for each text.
+    """
+    named = documents(docs).select("doc_id", F.xxhash64("text").alias("k1"),
+                                   F.xxhash64(F.lit(7), "text").alias("k2"), "text")
+    return named.select(F.coalesce("doc_id", F.lit(NO_ID) + F.pmod("k1", F.lit(_NO_IDS))).alias("id"),
+                        "k1", "k2", "text")
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,7 +231,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = freeze(signed.groupBy("k1", "k2").agg(
         F.min(F.struct("id", "sig", "bands")).alias("r"))
         .select("k1", "k2", "r.id", "r.sig", "r.bands"), "originals")
-    # texts may share an id (or lack one): a node is a text, named by id where that is unique
     banded = reps.select("id", "sig", F.explode("bands").alias("bucket"))
     full = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1") \
         .select("bucket", F.ceil(F.col("n") / CELL_ROWS).alias("n_blocks"))
@@ -238,7 +241,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                        .join(groups.withColumnRenamed("id", "_gid"), F.col("_id") == F.col("_gid")),
                        (F.col("id") == F.col("_id")) & (F.col("k1") == F.col("_k1"))
                        & (F.col("k2") == F.col("_k2"))) \
-        .select("id", "component", "text").dropDuplicates(["id", "component"])
+        .dropDuplicates(["id", "k1", "k2"]).select("id", "component", "text")
     size = members.groupBy("component").agg(
         F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")) \
         .select("component", F.greatest(F.ceil(F.col("n") / (CELL_ROWS // 2)),
@@ -252,7 +255,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ids = src.select("id", "k1", "k2")
     out = ids.join(named, (ids["k1"] == F.col("_k1")) & (ids["k2"] == F.col("_k2")), "left") \
         .withColumn("class", F.coalesce("class", "id"))
-    real = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
+    real = lambda c: F.when(F.col(c) >= F.lit(NO_ID + _NO_IDS), F.col(c))
     return out.select(real("id").alias("doc_id"), real("class").alias("class_id"),
                       (F.col("id") == F.col("class")).alias("kept"), "k1", "k2")
 

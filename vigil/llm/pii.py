@@ -207,11 +207,9 @@ def _softmax(x):
 
 
 def train(tokens_xy: tuple[np.ndarray, np.ndarray], chain: np.ndarray, skip: np.ndarray,
-          rounds: int = 120) -> tuple | None:
+          rounds: int = 120) -> tuple:
     """Weights (unary, chain, skip) from token features and labels, and pair counts."""
     x, y = tokens_xy
-    if not len(y):
-        return None
     w, mem = np.zeros((FEATURES, _K)), np.full((FEATURES, _K), 1e-6)
     goal = np.eye(_K)[y]
     for _ in range(rounds):
@@ -267,6 +265,8 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> tuple | None:
     rows = chosen.mapInArrow(_sample_rows, "t int, a int, b int, x array<int>") \
         .limit(SAMPLE_TOKENS).toPandas()
     tok = rows[rows.t == 0]
+    if not len(tok):
+        return None
     counts = []
     for t in (1, 2):
         c = np.zeros((_K, _K))
