@@ -27,6 +27,7 @@ all others; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -37,16 +38,17 @@ from vigil.llm import tokens
 from vigil.llm.frames import documents, parallelism
 
 WINDOW, BLOCK = 20, 10
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 _U = np.uint64
 _LOW32 = _U(0xFFFFFFFF)
 NO_ID = -(1 << 63)          # stands for a null doc_id, before all others
-# packed entries of one map piece for one bucket, or (bucket only deals them out)
-# the findings that a piece has settled by itself
-_PACKED = "bucket int, settled boolean, id long, fp long, data binary, places binary, ids binary"
-_ARROW = pa.schema([("bucket", pa.int32()), ("settled", pa.bool_()), ("id", pa.int64()),
-                    ("fp", pa.int64()), ("data", pa.binary()), ("places", pa.binary()),
-                    ("ids", pa.binary())])
+# packed entries of one map piece for one bucket; settled: what a piece has found by
+# itself, already in the form that the reduce side returns
+_PACKED = "bucket int, settled boolean, data binary, places binary, ids binary"
+_ARROW = pa.schema([("bucket", pa.int32()), ("settled", pa.bool_()), ("data", pa.binary()),
+                    ("places", pa.binary()), ("ids", pa.binary())])
+# bytes of the columns of findings: hits (id, block), repeats (id, fingerprint, start, length)
+HITS, REPEATS = (8, 4), (8, 8, 4, 4)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -65,6 +67,52 @@ def _numbers(x) -> bytes:
     return tokens.planes(np.asarray(x), 4)
 
 
+def _pack(cols, widths) -> bytes:
+    return b"".join(tokens.planes(np.asarray(c).astype(np.int64).view(_U), w) for c, w in zip(cols, widths))
+
+
+def _unpack(raws: list[bytes], widths) -> list[np.ndarray]:
+    out: list[list] = [[np.empty(0, np.int64)] for _ in widths]
+    for raw in raws:
+        n, at = len(raw) // sum(widths), 0
+        for k, w in enumerate(widths):
+            out[k].append(tokens.from_planes(raw[at:at + n * w], w).view(np.int64))
+            at += n * w
+    return [np.concatenate(x) for x in out]
+
+
+def _home(ids: np.ndarray, parts: int) -> np.ndarray:
+    return (tokens.mix(ids.view(_U)) % _U(parts)).astype(np.int64)
+
+
+def _send(cols, widths, parts: int) -> Iterator[pa.RecordBatch]:
+    """Findings to the partition that gathers those of their id, one row for each."""
+    home = _home(cols[0], parts)
+    order = np.argsort(home, kind="stable")
+    rows = [(int(home[order[a]]), _pack([c[order[a:a + n]] for c in cols], widths))
+            for a, n in zip(*_groups(home[order]))]
+    if rows:
+        to, data = zip(*rows)
+        yield pa.record_batch([pa.array(to, pa.int32()), pa.array(data, pa.binary())],
+                              names=["home", "data"])
+
+
+def gather(widths):
+    """(id, found): all findings of each id, packed without the id."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cols = _unpack([x for b in batches for x in b.column(1).to_pylist()], widths)
+        order = np.argsort(cols[0], kind="stable")
+        cols = [c[order] for c in cols]
+        starts, sizes = _groups(cols[0])
+        for k in range(0, len(starts), 5000):
+            s = list(zip(starts[k:k + 5000].tolist(), sizes[k:k + 5000].tolist()))
+            yield pa.record_batch(
+                [pa.array(cols[0][starts[k:k + 5000]]),
+                 pa.array([_pack([c[a:a + n] for c in cols[1:]], widths[1:]) for a, n in s], pa.binary())],
+                names=["id", "found"])
+    return run
+
+
 # ----------------------------------------------------------------- anchors
 def anchor_sets(parts: int):
     """Map side of the anchors: hash sets by bucket, and the blocks that ask."""
@@ -86,11 +134,9 @@ def anchor_sets(parts: int):
             many = np.repeat(size > 1, size)
             out = []
             mine = np.flatnonzero(is_block & many)
-            by = mine[np.argsort(row[mine], kind="stable")]
-            for a, n in zip(*_groups(row[by])):
-                r = int(row[by[a]])
-                out.append((int(ids[r] % parts), True, int(ids[r]), 0,
-                            _numbers(place[by[a:a + n]] // BLOCK), b"", b""))
+            if len(mine):
+                out.append((int(_home(ids[:1], parts)[0]), True,
+                            _pack((ids[row[mine]], place[mine] // BLOCK), HITS), b"", b""))
             # one entry for each distinct hash: bit 0 says that it occurs again here
             sets = (key[start] << _U(1)) | (size > 1).astype(_U)
             asks = np.flatnonzero(is_block & ~many)
@@ -102,7 +148,7 @@ def anchor_sets(parts: int):
             index = np.searchsorted(key[start], key[asks]) - edges[ask_bucket]
             for k in np.flatnonzero(np.diff(edges)).tolist():
                 q = asks[ask_edges[k]:ask_edges[k + 1]]
-                out.append((k, False, 0, 0, tokens.planes(low[edges[k]:edges[k + 1]], 5),
+                out.append((k, False, tokens.planes(low[edges[k]:edges[k + 1]], 5),
                             _numbers(index[ask_edges[k]:ask_edges[k + 1]]) + _numbers(place[q] // BLOCK),
                             tokens.planes(ids[row[q]].view(_U), 8)))
             yield _batch(out)
@@ -110,46 +156,38 @@ def anchor_sets(parts: int):
     return run
 
 
-def anchor_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Reduce side: the blocks whose hash occurs at a second place, as (id, blocks)."""
-    sets, settled = [], []
-    for b in batches:
-        for r in b.to_pylist():
+def anchor_hits(parts: int):
+    """Reduce side: the blocks whose hash occurs at a second place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for b in batches for r in b.to_pylist()]
+        ids, blocks = _unpack([r["data"] for r in rows if r["settled"]], HITS)
+        hashes, again, asked, ask_ids, ask_blocks = ([np.empty(0, t)] for t in (
+            _U, _U, _U, np.int64, np.int64))
+        for r in rows:
             if r["settled"]:
-                settled.append((r["id"], r["data"]))
-            else:
-                sets.append(r)
-    if sets:
-        hashes, again = [], []
-        for r in sets:
+                continue
             x = np.cumsum(tokens.from_planes(r["data"], 5))
-            hashes.append(((x >> _U(1)) | (_U(r["bucket"]) << _U(32))))
-            again.append((x & _U(1)).astype(bool))
-        every = np.sort(np.concatenate([*hashes, *[h[a] for h, a in zip(hashes, again)]]))
+            h = (x >> _U(1)) | (_U(r["bucket"]) << _U(32))
+            hashes.append(h)
+            again.append(h[(x & _U(1)).astype(bool)])
+            half = len(r["places"]) // 2
+            asked.append(h[tokens.from_planes(r["places"][:half], 4).astype(np.int64)])
+            ask_blocks.append(tokens.from_planes(r["places"][half:], 4).view(np.int64))
+            ask_ids.append(tokens.from_planes(r["ids"], 8).view(np.int64))
+        every = np.sort(np.concatenate([*hashes, *again]))
         twice = np.unique(every[1:][every[1:] == every[:-1]])
-        ids, blocks = [], []
-        for r, h in zip(sets, hashes):
-            places = tokens.from_planes(r["places"][:len(r["places"]) // 2], 4).astype(np.int64)
-            block = tokens.from_planes(r["places"][len(r["places"]) // 2:], 4)
-            hit = np.isin(h[places], twice)
-            ids.append(tokens.from_planes(r["ids"], 8).view(np.int64)[hit])
-            blocks.append(block[hit])
-        ids, blocks = np.concatenate(ids), np.concatenate(blocks)
-        order = np.argsort(ids, kind="stable")
-        ids, blocks = ids[order], blocks[order]
-        settled += [(int(ids[a]), _numbers(blocks[a:a + n])) for a, n in zip(*_groups(ids))]
-    if settled:
-        i, d = zip(*settled)
-        yield pa.record_batch([pa.array(i, pa.int64()), pa.array(d, pa.binary())],
-                              names=["id", "blocks"])
+        asked, ask_ids, ask_blocks = map(np.concatenate, (asked, ask_ids, ask_blocks))
+        at = np.searchsorted(twice, asked)
+        hit = at < len(twice)
+        hit[hit] = twice[at[hit]] == asked[hit]
+        yield from _send((np.concatenate([ids, ask_ids[hit]]), np.concatenate([blocks, ask_blocks[hit]])),
+                         HITS, parts)
 
-
-# ----------------------------------------------------------------- windows
-def _marks(lists) -> np.ndarray:
-    return np.concatenate([tokens.from_planes(x, 4) for x in lists]).astype(np.int64) \
-        if lists else np.empty(0, np.int64)
+    return run
 
 
+# ----------------------------------------------------------------- windows
 def window_sets(parts: int):
     """Map side of the windows: of each distinct sequence the earliest place of a piece."""
 
@@ -158,8 +196,8 @@ def window_sets(parts: int):
             ids = b.column(0).to_numpy(zero_copy_only=False)
             w = tokens.Words(b.column(1))
             hit = np.zeros(len(w) + 2 * WINDOW, bool)
-            for r, lists in enumerate(b.column(2).to_pylist()):
-                at = w.first[r] + BLOCK * _marks(lists)
+            for r, found in enumerate(b.column(2).to_pylist()):
+                at = w.first[r] + BLOCK * tokens.from_planes(found, HITS[1]).astype(np.int64)
                 hit[at[at < w.first[r + 1]]] = True
             g, at = w.grams(WINDOW)
             place = at - w.first[w.row[at]]
@@ -184,10 +222,9 @@ def window_sets(parts: int):
             fps = _fingerprints(w, b.num_rows)
             out = []
             mine = np.flatnonzero(later)
-            for a, n in zip(*_groups(row[mine])):
-                r = int(row[mine[a]])
-                out.append((int(ids[r] % parts), True, int(ids[r]), int(fps[r]),
-                            _runs(place[mine[a:a + n]]), b"", b""))
+            if len(mine):
+                out.append((int(_home(ids[:1], parts)[0]), True, _pack(
+                    _runs(ids[row[mine]], fps[row[mine]], place[mine]), REPEATS), b"", b""))
             ask = np.flatnonzero(~later)
             bucket = ((g2[ask] >> _U(32)) % _U(parts)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
@@ -196,7 +233,7 @@ def window_sets(parts: int):
                 q = ask[a:a + n]
                 at_row, per_row = _groups(row[q])
                 docs = row[q][at_row]
-                out.append((int(bucket[a]), False, 0, 0,
+                out.append((int(bucket[a]), False,
                             tokens.planes(g[q], 8) + _numbers(g2[q] & _LOW32),
                             _numbers(place[q]) + _numbers(per_row),
                             tokens.planes(ids[docs].view(_U), 8) + tokens.planes(fps[docs].view(_U), 8)))
@@ -213,59 +250,43 @@ def _fingerprints(w: tokens.Words, n: int) -> np.ndarray:
     return tokens.mix(total[w.first[1:]] - total[w.first[:-1]] + np.diff(w.first).astype(_U)).view(np.int64)
 
 
-def _runs(place: np.ndarray) -> bytes:
-    """Ascending places as runs: starts, then lengths."""
+def _runs(ids, fps, place) -> tuple:
+    """Places sorted within each text, as runs (id, fingerprint, start, length)."""
     new = np.ones(len(place), bool)
-    new[1:] = np.diff(place) != 1
+    new[1:] = (ids[1:] != ids[:-1]) | (fps[1:] != fps[:-1]) | (np.diff(place) != 1)
     at = np.flatnonzero(new)
-    return _numbers(place[at]) + _numbers(np.diff(np.append(at, len(place))))
-
+    return ids[at], fps[at], place[at], np.diff(np.append(at, len(place)))
 
-def _places(runs: bytes) -> np.ndarray:
-    x = tokens.from_planes(runs[:len(runs) // 2], 4).astype(np.int64)
-    n = tokens.from_planes(runs[len(runs) // 2:], 4).astype(np.int64)
-    return np.repeat(x - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
 
+def window_repeats(parts: int):
+    """Reduce side: all but the earliest of equal windows."""
 
-def window_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Reduce side: all but the earliest of equal windows, as (id, fp, runs)."""
-    settled, rows = [], []
-    for b in batches:
-        for r in b.to_pylist():
-            if r["settled"]:
-                settled.append((r["id"], r["fp"], r["data"]))
-            else:
-                rows.append(r)
-    if rows:
-        g, g2, ids, fps, place = [], [], [], [], []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for b in batches for r in b.to_pylist()]
+        settled = _unpack([r["data"] for r in rows if r["settled"]], REPEATS)
+        g, g2, ids, fps, place = ([np.empty(0, t)] for t in (_U, _U, np.int64, np.int64, np.int64))
         for r in rows:
+            if r["settled"]:
+                continue
             n = len(r["data"]) // 12
             g.append(tokens.from_planes(r["data"][:8 * n], 8))
             g2.append(tokens.from_planes(r["data"][8 * n:], 4))
-            place.append(tokens.from_planes(r["places"][:4 * n], 4))
+            place.append(tokens.from_planes(r["places"][:4 * n], 4).view(np.int64))
             per_row = tokens.from_planes(r["places"][4 * n:], 4).astype(np.int64)
             half = len(r["ids"]) // 2
             ids.append(np.repeat(tokens.from_planes(r["ids"][:half], 8).view(np.int64), per_row))
             fps.append(np.repeat(tokens.from_planes(r["ids"][half:], 8).view(np.int64), per_row))
-        g, g2, ids, fps = map(np.concatenate, (g, g2, ids, fps))
-        place = np.concatenate(place).astype(np.int64)
+        g, g2, ids, fps, place = map(np.concatenate, (g, g2, ids, fps, place))
         order = np.lexsort((place, ids, g2, g))
         new = np.ones(len(g), bool)
-        same_key = (g[order][1:] == g[order][:-1]) & (g2[order][1:] == g2[order][:-1])
-        new[1:] = ~same_key
+        new[1:] = (g[order][1:] != g[order][:-1]) | (g2[order][1:] != g2[order][:-1])
         head = order[np.flatnonzero(new)][np.cumsum(new) - 1]
         later = order[(ids[order] != ids[head]) | (place[order] != place[head])]
         later = later[np.lexsort((place[later], fps[later], ids[later]))]
-        i, f, p = ids[later], fps[later], place[later]
-        new = np.ones(len(i), bool)
-        new[1:] = (i[1:] != i[:-1]) | (f[1:] != f[:-1])
-        at = np.flatnonzero(new)
-        for a, e in zip(at.tolist(), np.append(at[1:], len(i)).tolist()):
-            settled.append((int(i[a]), int(f[a]), _runs(np.unique(p[a:e]))))
-    if settled:
-        cols = zip(*settled)
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary()))],
-                              names=["id", "fp", "runs"])
+        found = _runs(ids[later], fps[later], place[later])
+        yield from _send([np.concatenate(x) for x in zip(settled, found)], REPEATS, parts)
+
+    return run
 
 
 # ------------------------------------------------------------------ result
@@ -275,19 +296,17 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = b.column(2).to_pylist()
         texts = b.column(1).cast(pa.binary()).to_pylist()
         fps = _fingerprints(tokens.Words(b.column(1)), b.num_rows) if any(found) else None
+        rest = REPEATS[1:]
         n_words, n_removed, kept = [], [], []
-        for r, (text, lists) in enumerate(zip(texts, found)):
+        for r, (text, raw) in enumerate(zip(texts, found)):
             words = (text or b"").split()
             n = len(words)
-            mine = [x["runs"] for x in lists or () if x["fp"] == fps[r]]
-            if mine:
-                change = np.zeros(n + 1, np.int64)
-                for runs in mine:
-                    p = _places(runs)
-                    np.add.at(change, p, 1)
-                    np.add.at(change, np.minimum(p + WINDOW, n), -1)
-                free = np.cumsum(change[:n]) == 0
-                words = [words[i] for i in np.flatnonzero(free).tolist()]
+            if raw:
+                fp, start, size = _unpack([raw], rest)
+                start, size = start[fp == fps[r]], size[fp == fps[r]]
+                change = np.bincount(start, minlength=n + 1)
+                change -= np.bincount(np.minimum(start + size - 1 + WINDOW, n), minlength=n + 1)
+                words = list(compress(words, (np.cumsum(change[:n]) == 0).tolist()))
             n_words.append(n)
             n_removed.append(n - len(words))
             kept.append(b" ".join(words))
@@ -301,14 +320,14 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     parts = parallelism(docs)
     src = documents(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text")
     hits = src.mapInArrow(anchor_sets(parts), _PACKED).repartitionById(parts, F.col("bucket")) \
-        .mapInArrow(anchor_hits, "id long, blocks binary") \
-        .groupBy("id").agg(F.collect_list("blocks").alias("blocks"))
+        .mapInArrow(anchor_hits(parts), "home int, data binary") \
+        .repartitionById(parts, F.col("home")).mapInArrow(gather(HITS), "id long, found binary")
     # one exchange of the texts serves both joins
     texts = src.repartition(parts, "id")
-    repeats = texts.join(hits, "id").select("id", "text", "blocks") \
+    repeats = texts.join(hits, "id").select("id", "text", "found") \
         .mapInArrow(window_sets(parts), _PACKED).repartitionById(parts, F.col("bucket")) \
-        .mapInArrow(window_repeats, "id long, fp long, runs binary") \
-        .groupBy("id").agg(F.collect_list(F.struct("fp", "runs")).alias("found"))
+        .mapInArrow(window_repeats(parts), "home int, data binary") \
+        .repartitionById(parts, F.col("home")).mapInArrow(gather(REPEATS), "id long, found binary")
     return texts.join(repeats, "id", "left").select("id", "text", "found") \
         .mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept string")
 
