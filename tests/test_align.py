@@ -173,3 +173,70 @@ def test_strict_build_supports_actions_that_prune_features(spark, tmp):
     with pytest.raises(Exception, match=r"\[B\] malformed row: 3,x"):
         build_labelled_table(spark, [("B", f"{tmp}/B_x.csv", f"{tmp}/B_y.csv")],
                              n_features=2).count()
+
+
+def _changed(spark, key, value, run):
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        return run()
+    finally:
+        spark.conf.set(key, old) if old is not None else spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("key,value", [("spark.sql.files.maxPartitionBytes", "30000"),
+                                       ("spark.sql.files.minPartitionNum", "37"),
+                                       ("spark.sql.files.openCostInBytes", "1")])
+def test_positional_join_never_loses_rows_when_the_plan_changes(spark, tmp, key, value):
+    """Either all pairs, or an error: never fewer or other pairs."""
+    for part in range(6):
+        _write(f"{tmp}/x/part-0000{part}.csv",
+               [f"{i},{i * 0.5}" for i in range(part * 3000, part * 3000 + 3000 + part)][:3000])
+    _write(f"{tmp}/y.csv", [str(i % 2) for i in range(18000)])
+    x = file_position_columns(read_features(spark, f"{tmp}/x", 2, "c")).withColumn("capture", F.lit("c"))
+    y = read_labels(spark, f"{tmp}/y.csv", "c").withColumn("capture", F.lit("c"))
+    joined = positional_join(x, y)
+    try:
+        rows = _changed(spark, key, value, lambda: joined.select("*").collect())
+    except Exception as e:  # noqa: BLE001 - the job refuses
+        assert "split plan changed" in str(e)
+    else:
+        assert len(rows) == 18000 and all(int(r.f0) == r.pos and r.label == r.pos % 2 for r in rows)
+    assert joined.count() == 18000
+
+
+def test_positional_join_refuses_a_changed_split_size(spark, tmp):
+    x, y = _pairs(spark, tmp, 20000, 20000)
+    joined = positional_join(x, y)
+    with pytest.raises(Exception, match="split plan changed"):
+        _changed(spark, "spark.sql.files.maxPartitionBytes", "9000",
+                 lambda: joined.select("*").count())
+
+
+def test_part_numbers_order_files_not_their_text(spark, tmp):
+    for no, values in (("99999", ["10", "11"]), ("100000", ["12", "13"])):
+        _write(f"{tmp}/x/part-{no}-u.csv", [f"{v},1" for v in values])
+    _write(f"{tmp}/y/part-99999-u.txt", ["0", "0"])
+    _write(f"{tmp}/y/part-100000-u.txt", ["1", "1"])
+    x = file_position_columns(read_features(spark, f"{tmp}/x", 2, "c")).withColumn("capture", F.lit("c"))
+    y = read_labels(spark, f"{tmp}/y", "c", "A").withColumn("capture", F.lit("c"))
+    got = sorted((r.pos, r.f0, r.label) for r in positional_join(x, y).collect())
+    assert got == [(0, 10.0, 0), (1, 11.0, 0), (2, 12.0, 1), (3, 13.0, 1)]
+
+
+def test_capture_folder_with_sub_folders(spark, tmp):
+    _write(f"{tmp}/A/one/part-00000.csv", ["1,2", "3,4"])
+    _write(f"{tmp}/A/two/part-00000.csv", ["5,6"])
+    _write(f"{tmp}/A_y.csv", ["0", "1", "0"])
+    _write(f"{tmp}/B.csv", ["7,8"])
+    _write(f"{tmp}/B_y.csv", ["1"])
+    df = build_labelled_table(spark, [("A", f"{tmp}/A/*", f"{tmp}/A_y.csv"),
+                                      ("B", f"{tmp}/B.csv", f"{tmp}/B_y.csv")], n_features=2)
+    assert sorted((r.attack_name, r.f0, r.label) for r in df.collect()) == [
+        ("A", 1.0, 0), ("A", 3.0, 1), ("A", 5.0, 0), ("B", 7.0, 1)]
+
+
+def test_folder_key_is_the_given_folder():
+    from vigil.sources.capture import _folder_key
+    assert _folder_key("/d/A", "file:///d/A/one/part-0.csv") == "file:///d/A/"
+    assert _folder_key("hdfs://h:1/d/A b/", "hdfs://h:1/d/A%20b/x/p.csv") == "hdfs://h:1/d/A%20b/"

@@ -33,7 +33,9 @@ def test_train_args():
 
 def test_score_args():
     job = score.parse_args(["--model_dir", "m", "--checkpoint_dir", "c", "--enable_metrics",
-                            "--pred_logic", "suspect"])
+                            "--pred_logic", "suspect", "--bootstrap_servers", "h:1"])
+    with pytest.raises(SystemExit):        # no deployment's host is assumed
+        score.parse_args(["--model_dir", "m", "--checkpoint_dir", "c"])
     assert job.enable_metrics and job.pred_logic == "suspect"
     assert job.max_offsets_per_trigger == 20000 and job.watermark == "5 minutes"
     with pytest.raises(SystemExit):

@@ -167,3 +167,41 @@ def test_compact_job_rewrites_only_multi_version_days(spark):
     assert t.filter("day = '2024.01.02'").count() == 2          # not before the bound
     assert {r.offset: r.f1 for r in read_store(spark, table, keys).collect()} == \
         {1: 9.0, 2: 9.0, 3: 3.0}
+
+
+KEYS = ["topic", "partition", "offset"]
+STORE_SCHEMA = "topic string, partition int, offset long, kafka_ts timestamp, f1 double"
+
+
+def _event(offset, value, day=1):
+    return ("t", 0, offset, dt.datetime(2024, 1, day, 1), value)
+
+
+def test_replay_from_a_new_checkpoint_wins(spark):
+    """Batch numbers start at 0 again with a new checkpoint; the later write still wins."""
+    base = scratch_path(spark, "t_replay")
+    table = f"{base}/table"
+    for batch_id, value in ((0, 1.0), (7, 1.0), (0, 99.0)):
+        daily_store_sink(table, "kafka_ts")(spark.createDataFrame([_event(1, value)], STORE_SCHEMA), batch_id)
+    assert [r.f1 for r in read_store(spark, table, KEYS).collect()] == [99.0]
+
+
+def test_later_copy_in_a_batch_wins(spark):
+    for trial in range(4):
+        table = scratch_path(spark, "t_copies")
+        rows = [_event(1, float(v + trial)) for v in range(6)]
+        daily_store_sink(table, "kafka_ts")(spark.createDataFrame(rows, STORE_SCHEMA), 0)
+        assert [r.f1 for r in read_store(spark, table, KEYS).collect()] == [5.0 + trial]
+
+
+def test_compaction_keeps_what_is_appended_meanwhile(spark):
+    table = scratch_path(spark, "t_race") + "/table"
+    sink = daily_store_sink(table, "kafka_ts")
+    sink(spark.createDataFrame([_event(1, 1.0), _event(2, 2.0, 2)], STORE_SCHEMA), 0)
+    sink(spark.createDataFrame([_event(1, 5.0)], STORE_SCHEMA), 1)
+    late = spark.createDataFrame([_event(1, 8.0), _event(3, 3.0)], STORE_SCHEMA)
+    compact_days(spark, table, KEYS, ["2024.01.01"], before_swap=lambda: sink(late, 2))
+    got = {r.offset: r.f1 for r in read_store(spark, table, KEYS).collect()}
+    assert got == {1: 8.0, 2: 2.0, 3: 3.0}
+    # the merged old rows (1) and the appended ones (2) of that day
+    assert spark.read.parquet(table).filter("day = '2024.01.01'").count() == 3

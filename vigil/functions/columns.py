@@ -60,16 +60,27 @@ def softmax(arr, k: int, scale: float = 1.0) -> Column:
     ``k`` is known when the plan is built, so the function is spelled out
     element by element: plain expressions stay inside whole-stage codegen
     (lambda functions would not), and common sub-expressions are shared.
-    The sum runs left to right.  The array must hold at least ``k`` entries.
+    The largest entry is subtracted first, so no scale overflows.  The sum
+    runs left to right.  The array must hold at least ``k`` entries.
     """
     a = _c(arr)
-    ex = [F.exp(F.lit(float(scale)) * F.get(a, i).cast("double")) for i in range(k)]
+    xs = [F.lit(float(scale)) * F.get(a, i).cast("double") for i in range(k)]
+    top = F.greatest(*xs) if k > 1 else xs[0]
+    ex = [F.exp(x - top) for x in xs]
     total = ex[0]
     for e in ex[1:]:
         total = total + e
     return F.array(*[e / total for e in ex])
 
 
+def fold_scores(arr, k: int) -> Column:
+    """``k`` scores from all entries of an array: score j sums the entries i with i mod k = j."""
+    def one(j):
+        mine = F.filter(_c(arr), lambda x, i: i % F.lit(k) == F.lit(j))
+        return F.aggregate(mine, F.lit(0.0), lambda s, x: s + x.cast("double"))
+    return F.array(*[one(j) for j in range(k)])
+
+
 def argmax(arr) -> Column:
     """0-based index of the largest entry (first one on ties)."""
     arr = _c(arr)

@@ -8,6 +8,13 @@ counts are a small table (one row per split) whose running sum is a
 window partitioned by capture.  Feature row i then joins label row i on
 (capture, pos), an equi-join on a unique key, so no key is hot however
 large one capture is.
+
+The counts and the rows come from two jobs, and Spark cuts a scan into splits
+anew for each.  The split settings are therefore pinned before the count
+(:func:`pin_splits`), and every row proves its place: a row whose split was not
+counted, or whose ordinal lies outside the counted rows of its split, fails the
+job.  Any other cut shifts some row out of its counted range, so a changed plan
+can never lose or misplace rows silently.
 """
 
 from __future__ import annotations
@@ -35,6 +42,24 @@ def frozen(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def pin_splits(spark) -> None:
+    """Keep the session's scans cut alike while executors come and go.
+
+    Spark derives the split size from the cores it sees unless the least number
+    of splits is set; the other split settings only change when a job sets them.
+    """
+    key = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
+
+
+def file_order(col: str) -> list:
+    """Order of part files: by folder, part number (not its text), then name."""
+    path = F.col(col)
+    number = F.regexp_extract(path, r"/part-(\d+)[^/]*$", 1).try_cast("bigint")
+    return [F.regexp_extract(path, r"^(.*)/[^/]*$", 1), number.asc_nulls_first(), path]
+
+
 def split_offsets(df: DataFrame, capture: str = "capture") -> DataFrame:
     """Per (capture, file, block) split: first row id, rows, rows before it.
 
@@ -44,7 +69,7 @@ def split_offsets(df: DataFrame, capture: str = "capture") -> DataFrame:
     """
     blocks = df.groupBy(capture, "_file", "_block").agg(
         F.min("_rid").alias("_rid0"), F.count(F.lit(1)).alias("_n"))
-    w = (Window.partitionBy(capture).orderBy("_file", "_block")
+    w = (Window.partitionBy(capture).orderBy(*file_order("_file"), "_block")
          .rowsBetween(Window.unboundedPreceding, -1))
     return blocks.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
 
@@ -57,16 +82,26 @@ def add_positions(df: DataFrame, capture: str = "capture",
     it is broadcast when its counted size is under BROADCAST_SPLITS_MAX and
     shuffle-joined otherwise.
     """
+    pin_splits(df.sparkSession)
     if offsets is None:
         offsets = frozen(split_offsets(df, capture))
     if n_splits is None:
         n_splits = offsets.count()
-    side = offsets.select(capture, "_file", "_block", "_rid0", "_before")
+    side = offsets.select(F.col(capture).alias("_c"), F.col("_file").alias("_f"),
+                          F.col("_block").alias("_b"), "_rid0", "_n", "_before")
     if n_splits <= BROADCAST_SPLITS_MAX:
         side = F.broadcast(side)
-    out = df.join(side, [capture, "_file", "_block"])
-    return out.withColumn("pos", F.col("_before") + F.col("_rid") - F.col("_rid0")).drop(
-        "_file", "_block", "_rid", "_rid0", "_before")
+    out = df.join(side, F.col(capture).eqNullSafe(F.col("_c")) & (F.col("_file") == F.col("_f"))
+                  & (F.col("_block") == F.col("_b")), "left")
+    ordinal = F.col("_rid") - F.col("_rid0")
+    counted = F.coalesce((ordinal >= 0) & (ordinal < F.col("_n")), F.lit(False))
+    problem = F.concat(F.lit("split plan changed between count and read: "), F.col("_file"),
+                       F.lit(" at byte "), F.col("_block").cast("string"))
+    pos = F.when(counted, F.col("_before") + ordinal) \
+        .otherwise(F.raise_error(problem).cast("bigint"))
+    # the filter keeps the proof in the plan when a query prunes ``pos``
+    return out.withColumn("pos", pos).where(F.col("pos") >= 0).drop(
+        "_file", "_block", "_rid", "_rid0", "_before", "_n", "_c", "_f", "_b")
 
 
 def capture_counts(offsets: DataFrame, capture: str = "capture") -> dict:
@@ -86,6 +121,7 @@ def positional_join(features: DataFrame, labels: DataFrame, capture: str = "capt
     ``feature_counts`` is an optional lighter read of the same feature files
     (same splits, so the same row ids) used only to count rows per split.
     """
+    pin_splits(features.sparkSession)
     # the split tables are tiny (one row per file split); freeze them for
     # the count check and the offset joins instead of scanning twice more
     xo = frozen(split_offsets(feature_counts if feature_counts is not None else features,

@@ -80,12 +80,14 @@ def multiclass_metrics(df: DataFrame, label: str = "label",
     counts are shuffled; their number is bounded by classes^2.
     """
     pairs = df.groupBy(F.col(label).alias("t"), F.col(prediction).alias("p")).count()
-    truth = pairs.groupBy(F.col("t").alias("c")).agg(F.sum("count").alias("n_c"))
-    pred = pairs.groupBy(F.col("p").alias("c")).agg(F.sum("count").alias("m_c"))
-    hits = (pairs.filter(F.col("t") == F.col("p"))
-            .select(F.col("t").alias("c"), F.col("count").alias("tp_c")))
-    per = (truth.join(pred, "c", "full").join(hits, "c", "left")
-           .fillna(0, subset=["n_c", "m_c", "tp_c"]))
+    # each pair counts once for its true and once for its predicted class
+    n, none = F.col("count"), F.lit(0).cast("bigint")
+    as_truth = F.struct(F.col("t").alias("c"), n.alias("n_c"), none.alias("m_c"),
+                        F.when(F.col("t") == F.col("p"), n).otherwise(none).alias("tp_c"))
+    as_pred = F.struct(F.col("p").cast(df.schema[label].dataType).alias("c"), none.alias("n_c"),
+                       n.alias("m_c"), none.alias("tp_c"))
+    per = pairs.select(F.explode(F.array(as_truth, as_pred)).alias("x")).select("x.*") \
+        .groupBy("c").agg(*[F.sum(x).alias(x) for x in ("n_c", "m_c", "tp_c")])
     return per.agg(
         (F.sum("tp_c") / F.sum("n_c")).alias("accuracy"),
         (F.sum(F.when(F.col("n_c") > 0, F.col("n_c") * 2.0 * F.col("tp_c")

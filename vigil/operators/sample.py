@@ -175,7 +175,7 @@ def benign_cap(df: DataFrame, cap: int, order: Sequence[str], label: str = "labe
     """
     from vigil.operators.clean import benign_only
     benign = hash_prefix(benign_only(df, label), order[0], cap, materialize=True)
-    capped = ordered_limit(benign, cap, order)
+    capped = first_rows(benign, cap, order)
     n = capped.count()
     if n < min_rows:
         raise ValueError(f"not enough benign rows for the isolation forest (seen={n}, "
@@ -183,6 +183,26 @@ def benign_cap(df: DataFrame, cap: int, order: Sequence[str], label: str = "labe
     return capped
 
 
+def first_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """The first ``n`` rows in ``order``, left in their partitions.
+
+    Only the order columns are ranked (TakeOrdered); the n-th of them then
+    filters the rows.  Of rows equal to it in all order columns as many stay
+    as fill up to n.
+    """
+    last = df.select(*order).orderBy(*order).limit(n).orderBy(*[F.desc_nulls_last(c) for c in order]).first()
+    if last is None:
+        return df
+    before, equal = F.lit(False), F.lit(True)
+    for c in order:
+        v = F.lit(last[c])
+        smaller = F.col(c).isNull() & F.lit(last[c] is not None) | F.coalesce(F.col(c) < v, F.lit(False))
+        before = before | equal & smaller
+        equal = equal & F.col(c).eqNullSafe(v)
+    head = df.filter(before)
+    return head.unionByName(df.filter(equal).limit(max(0, n - head.count())))
+
+
 def label_vocab(df: DataFrame, class_col: str) -> DataFrame:
     """M1 / M2 / U7 as a table: class, count, frequency index, alphabetical index.
 

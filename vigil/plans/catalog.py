@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.functions.columns import argmax, class_lookup, event_key, softmax
+from vigil.functions.columns import argmax, class_lookup, event_key, fold_scores, softmax
 from vigil.operators import clean, metrics, rules, sample
 from vigil.sources.tables import (EMBEDDING_VOCAB, decode_props, embeddings_features,
                                   events_envelope, read_table)
@@ -71,14 +71,46 @@ def q_json_decode_flatten(spark, sf_dir):
     return clean.fill_features(out, ["k"]).select("offset", "k", "label", "attack_name", "ts")
 
 
+def _kafka_rows(spark, sf_dir) -> DataFrame:
+    """The events in the columns that a Kafka source delivers."""
+    return events_envelope(spark, sf_dir).select(
+        "topic", F.col("kafka_ts").alias("timestamp"), "partition", "offset",
+        F.col("topic").cast("binary").alias("key"), F.col("json_str").cast("binary").alias("value"))
+
+
 def q_event_envelope(spark, sf_dir):
-    env = events_envelope(spark, sf_dir)
+    from vigil.sources.stream import envelope
+    env = envelope(_kafka_rows(spark, sf_dir), with_key=True)
     return env.select(
         "topic", _ts("kafka_ts", TS_FMT_US).alias("kafka_ts"), "partition", "offset",
         "json_str", event_key("topic", "partition", "offset").alias("event_id"),
         F.lit(MODEL_VERSION).alias("model_version"))
 
 
+# planted bad fields of the replay stand-in, by l_orderkey mod 7
+REPLAY_FEATURES = ["l_quantity", "l_discount"]
+
+
+def q_replay_payload(spark, sf_dir):
+    """K3 on lineitem with planted NaN, text and null features and '1.0' labels:
+    the published JSON is parsed again and holds doubles, whole labels, text."""
+    from vigil.sinks.kafka import replay_payload
+    li = read_table(spark, sf_dir, "lineitem")
+    kind = F.col("l_orderkey") % 7
+    bad = F.when(kind == 1, F.lit("NaN")).when(kind == 2, F.lit("bad")) \
+        .when(kind == 3, F.lit(None).cast("string")).when(kind == 4, F.lit("Infinity")) \
+        .otherwise(F.col("l_quantity").cast("string"))
+    rows = li.select(
+        "l_orderkey", "l_linenumber", bad.alias("l_quantity"), "l_discount",
+        F.when(F.col("l_linenumber") % 3 == 0, F.lit("1.0")).when(F.col("l_linenumber") % 3 == 1, F.lit("0"))
+        .otherwise(F.lit("x")).alias("label"), F.col("l_returnflag").alias("attack_name"))
+    sent = replay_payload(rows, REPLAY_FEATURES, keep=["l_orderkey", "l_linenumber"])
+    j = F.from_json("value", "l_quantity DOUBLE, l_discount DOUBLE, label DOUBLE, attack_name STRING, ts DOUBLE")
+    return sent.select("l_orderkey", "l_linenumber", j.alias("j")).select(
+        "l_orderkey", "l_linenumber", "j.l_quantity", "j.l_discount", F.col("j.label").cast("int").alias("label"),
+        "j.attack_name", (F.col("j.ts") > 0).alias("has_ts"))
+
+
 def q_event_json_encode(spark, sf_dir):
     from vigil.sinks.kafka import encode_events
     env = events_envelope(spark, sf_dir).withColumn(
@@ -111,7 +143,8 @@ def _metrics_text(out: DataFrame, extra=()) -> DataFrame:
 # ------------------------------------------------------------- embeddings
 def soft_scored(spark, sf_dir, plant_nulls: bool = True) -> DataFrame:
     emb = embeddings_features(spark, sf_dir, plant_nulls=plant_nulls)
-    emb = emb.withColumn("prob_arr", softmax("embedding", SOFTMAX_K, SOFTMAX_SCALE))
+    emb = emb.withColumn("scores", fold_scores("embedding", SOFTMAX_K)) \
+        .withColumn("prob_arr", softmax("scores", SOFTMAX_K, SOFTMAX_SCALE))
     return rules.alert_layer(emb, "prob_arr", EMBEDDING_VOCAB)
 
 
@@ -131,13 +164,12 @@ def q_confusion_flags(spark, sf_dir):
 
 def q_class_name(spark, sf_dir):
     e = embeddings_features(spark, sf_dir)
-    return e.select(
-        "vec_id", "label",
-        clean.fill_binary_label("label").alias("label_filled"),
-        F.coalesce("attack_name", F.lit("unknown")).alias("attack_name_filled"),
-        F.when(clean.fill_binary_label("label") == 0, F.lit("benign"))
-        .otherwise(F.coalesce("attack_name", F.lit("unknown"))).alias("class_name"),
-        clean.true_class().alias("true_class"))
+    e = e.withColumns({"label_filled": clean.fill_binary_label("label"),
+                       "attack_name_filled": F.col("attack_name")})
+    e = clean.fill_attack_name(e, "attack_name_filled")
+    return e.select("vec_id", "label", "label_filled", "attack_name_filled",
+                    clean.class_name("label_filled", "attack_name_filled").alias("class_name"),
+                    clean.true_class().alias("true_class"))
 
 
 def _classes(spark, sf_dir) -> DataFrame:
@@ -155,7 +187,8 @@ def q_label_vocab(spark, sf_dir):
 
 def q_multiclass_metrics(spark, sf_dir):
     e = read_table(spark, sf_dir, "embeddings").withColumn(
-        "prob", softmax("embedding", SOFTMAX_K, SOFTMAX_SCALE)).withColumn(
+        "scores", fold_scores("embedding", SOFTMAX_K)).withColumn(
+        "prob", softmax("scores", SOFTMAX_K, SOFTMAX_SCALE)).withColumn(
         "prediction", argmax("prob"))
     m = metrics.multiclass_metrics(e, "label", "prediction")
     return m.select(_r("accuracy").alias("accuracy"), _r("weighted_f1").alias("weighted_f1"),
@@ -171,8 +204,8 @@ def q_pair_metrics(spark, sf_dir):
 
 def q_decision_cascade(spark, sf_dir):
     s = soft_scored(spark, sf_dir, plant_nulls=False)
-    s = s.withColumn("lr_prob", softmax(F.slice("embedding", 11, SOFTMAX_K), SOFTMAX_K,
-                                        SOFTMAX_SCALE))
+    s = s.withColumn("lr_scores", fold_scores(F.reverse("embedding"), SOFTMAX_K)) \
+        .withColumn("lr_prob", softmax("lr_scores", SOFTMAX_K, SOFTMAX_SCALE))
     s = s.withColumns({
         "iso_is_anom": F.col("suspect").cast("int"),
         "f1": F.get("embedding", 1).cast("double"),
@@ -306,6 +339,7 @@ QUERIES = {
     "json_decode_flatten": q_json_decode_flatten,
     "event_envelope": q_event_envelope,
     "event_json_encode": q_event_json_encode,
+    "replay_payload": q_replay_payload,
     "confusion_window": q_confusion_window,
     "soft_alerts": q_soft_alerts,
     "confusion_flags": q_confusion_flags,
@@ -349,6 +383,7 @@ QUERY_OPERATORS = {
     "json_decode_flatten": "S9, F11, P8",
     "event_envelope": "S8, P19, P20",
     "event_json_encode": "K3, K4, F11",
+    "replay_payload": "K3, P10 (planted NaN, text and '1.0' labels)",
     "confusion_window": "A2, A3, W2, R7, R8",
     "soft_alerts": "R3-R6, J2, F9",
     "confusion_flags": "R7, R8, P15",
@@ -370,7 +405,9 @@ QUERY_OPERATORS = {
     "clean_features": "P8, P10, P12",
     "finite_rows": "P10, P11",
     "confusion_window_stream": "W1-W5, W7, A2, A3",
-    "stream_dedup": "W10",
+    "stream_dedup": "W10 (the replay comes in later batches)",
+    "late_rows": "W4, W2, W5 (ordered batches, late rows planted in the last)",
+    "rate_limited_stream": "W5, W11",
     "daily_upsert": "K8, F14",
     "daily_metrics": "K9, W1-W3",
     "positional_label_join": "J1, P22, S3, P6",

@@ -19,18 +19,27 @@ from pyspark.sql import functions as F
 
 from vigil.ml.ensemble import (EnsembleConfig, fit_ensemble, load_ensemble,
                                save_ensemble, score_ensemble)
-from vigil.operators.clean import features_array
-from vigil.schema import ENSEMBLE_COLUMNS, feature_names, feature_schema
-from vigil.sinks.kafka import encode_events
+from vigil.operators.clean import coerce_numeric, features_array
+from vigil.schema import (ENSEMBLE_COLUMNS, MAX_OFFSETS_PER_TRIGGER, N_FEATURES_DEFAULT,
+                          feature_names, feature_schema)
+from vigil.sinks.kafka import encode_events, stream_to_kafka, whole_label
+from vigil.session import scratch_path
 from vigil.sources.capture import discover_features
-from vigil.sources.stream import envelope, kafka_source
+from vigil.sources.stream import envelope, file_lines, kafka_source
 
 
 def train(spark: SparkSession, df: DataFrame, out: str,
           cfg: EnsembleConfig = EnsembleConfig()):
+    """Fit on a labelled table whose fields may be text: numbers are coerced (P10),
+    labels go through double, and rows are keyed by a hash of all their fields."""
     feats = discover_features(df.columns)
-    rows = df.select(F.monotonically_increasing_id().alias("_key"),
-                     features_array(feats, "features"), "label", "attack_name")
+    clean = coerce_numeric(df, feats).withColumn("label", whole_label("label"))
+    rows = clean.select(F.xxhash64(*feats, "label", "attack_name").alias("_key"),
+                        features_array(feats, "features"), "label", "attack_name")
+    # the fits read the rows several times: parse and coerce the text once
+    path = scratch_path(spark, "ensemble-rows")
+    rows.write.parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
     model = fit_ensemble(rows, "features", "_key", cfg)
     save_ensemble(spark, model, out)
     return model
@@ -71,28 +80,35 @@ def main(argv: Sequence[str] | None = None) -> None:
     c.add_argument("--topic_out", default="events_enriched")
     c.add_argument("--input")
     c.add_argument("--output")
+    c.add_argument("--starting_offsets", choices=["latest", "earliest"], default="latest")
+    c.add_argument("--max_offsets_per_trigger", type=int, default=MAX_OFFSETS_PER_TRIGGER)
+    c.add_argument("--max_files_per_trigger", type=int, default=1)
+    c.add_argument("--n_features", type=int, default=N_FEATURES_DEFAULT)
+    c.add_argument("--available_now", action="store_true")
     a = ap.parse_args(argv)
     spark = get_spark("vigil-enrich")
     if a.cmd == "train":
         df = spark.read.format(a.format).option("header", "true").load(a.input)
         train(spark, df, a.out)
         return
+    consume(spark, a).awaitTermination()
+
+
+def consume(spark: SparkSession, a):
+    """Start the enrichment of a stream; ``a`` holds the options of ``consume``."""
     model = load_ensemble(spark, a.artifacts)
+    trigger = {"availableNow": True} if a.available_now else {}
     if a.bootstrap_servers:
-        env = envelope(kafka_source(spark, a.bootstrap_servers, a.topic_in), with_key=True)
-        out = encode_events(enrich_frame(env, model), ENSEMBLE_COLUMNS)
-        from vigil.sinks.kafka import stream_to_kafka
-        stream_to_kafka(out, a.bootstrap_servers, a.topic_out, a.checkpoint).awaitTermination()
-        return
-    raw = spark.readStream.format("text").load(a.input)
-    env = raw.select(F.col("_metadata.file_modification_time").alias("kafka_ts"),
-                     F.lit(a.topic_in).alias("topic"), F.lit(0).alias("partition"),
-                     F.xxhash64(F.col("_metadata.file_path"), "value").alias("offset"),
-                     F.lit(None).cast("string").alias("key"),
-                     F.col("value").alias("json_str"))
-    q = (enrich_frame(env, model).writeStream.format("parquet")
-         .option("path", a.output).option("checkpointLocation", a.checkpoint).start())
-    q.awaitTermination()
+        source = kafka_source(spark, a.bootstrap_servers, a.topic_in, a.starting_offsets,
+                              a.max_offsets_per_trigger)
+        out = encode_events(enrich_frame(envelope(source, with_key=True), model, a.n_features),
+                            ENSEMBLE_COLUMNS)
+        return stream_to_kafka(out, a.bootstrap_servers, a.topic_out, a.checkpoint, trigger=trigger)
+    env = file_lines(spark, a.input, a.topic_in, a.max_files_per_trigger).select(
+        "kafka_ts", "topic", "partition", "offset", F.lit(None).cast("string").alias("key"), "json_str")
+    w = (enrich_frame(env, model, a.n_features).writeStream.format("parquet")
+         .option("path", a.output).option("checkpointLocation", a.checkpoint))
+    return (w.trigger(**trigger) if trigger else w).start()
 
 
 if __name__ == "__main__":

@@ -23,6 +23,13 @@ _SCORED_EVENTS = f"""(SELECT *, is_attack_pred AND NOT is_attack_true AS fp_b,
                 (CASE WHEN f1 > 150 OR f2 > 90 THEN 1 ELSE 0 END) = 1 AS is_attack_pred
          FROM {_ENV}))"""
 
+def _fold(e: str) -> str:
+    """Ten scores from all entries of a list: score j sums the entries i with i mod 10 = j."""
+    parts = ", ".join(f"list_sum([CAST({e}[i + 1] AS DOUBLE) for i in range({j}, len({e}), 10)])"
+                      for j in range(10))
+    return f"[{parts}]"
+
+
 _SOFT = f"""(SELECT vec_id, class_label, label, attack_name, prob,
           {_VOCAB}[list_position(prob, list_max(prob))] AS predicted_attack,
           list_max(prob) AS confidence, prob[1] AS p_benign, 1 - prob[1] AS anomaly_score
@@ -31,7 +38,7 @@ _SOFT = f"""(SELECT vec_id, class_label, label, attack_name, prob,
          FROM (SELECT vec_id, label AS class_label,
                       CASE WHEN vec_id % 11 = 0 THEN NULL ELSE CAST(label <> 0 AS INTEGER) END AS label,
                       CASE WHEN vec_id % 7 = 0 THEN NULL ELSE 'attack_' || CAST(label AS VARCHAR) END AS attack_name,
-                      [exp(20.0 * CAST(x AS DOUBLE)) for x in embedding[1:10]] AS ex
+                      [exp(20.0 * x) for x in {_fold('embedding')}] AS ex
                FROM embeddings)))"""
 
 _ALERTS = f"""(SELECT *, anomaly_score >= 0.7 AS suspect,
@@ -156,7 +163,7 @@ FROM (SELECT CASE WHEN label = 0 THEN 'benign' ELSE 'attack_' || CAST(label AS V
 WITH pairs AS (
   SELECT label AS t, CAST(list_position(prob, list_max(prob)) - 1 AS INTEGER) AS p
   FROM (SELECT label, [x / list_sum(ex) for x in ex] AS prob
-        FROM (SELECT label, [exp(20.0 * CAST(x AS DOUBLE)) for x in embedding[1:10]] AS ex
+        FROM (SELECT label, [exp(20.0 * x) for x in {_fold('embedding')}] AS ex
               FROM embeddings)))
 SELECT * FROM {_MC}""",
 
@@ -178,7 +185,7 @@ FROM (SELECT vec_id,
                    [x / list_sum(lx) for x in lx] AS lp
             FROM {_SOFT} s
             JOIN (SELECT vec_id, embedding,
-                         [exp(20.0 * CAST(x AS DOUBLE)) for x in embedding[11:20]] AS lx
+                         [exp(20.0 * x) for x in {_fold('list_reverse(embedding)')}] AS lx
                   FROM embeddings) e USING (vec_id)))""",
 
     "feature_stats": """
@@ -258,6 +265,19 @@ _CLOSED = "HAVING w + INTERVAL {s} <= (SELECT max(ts) FROM events) - INTERVAL 5
 SQL["confusion_window_stream"] = _window_sql("1 HOUR", _CLOSED.format(s="1 HOUR"))
 SQL["daily_metrics"] = _window_sql("1 MINUTE", _CLOSED.format(s="1 MINUTE"),
                                    extra="strftime(w, '%Y.%m.%d') AS day, ")
+SQL["replay_payload"] = """
+SELECT l_orderkey, l_linenumber,
+       CASE l_orderkey % 7 WHEN 1 THEN 0.0 WHEN 2 THEN 0.0 WHEN 3 THEN 0.0 WHEN 4 THEN 0.0
+            ELSE CAST(l_quantity AS DOUBLE) END AS l_quantity,
+       CAST(l_discount AS DOUBLE) AS l_discount,
+       CASE l_linenumber % 3 WHEN 0 THEN 1 WHEN 1 THEN 0 END AS label,
+       l_returnflag AS attack_name, TRUE AS has_ts
+FROM lineitem"""
+# late rows change nothing: the same closed windows with the same counts
+SQL["late_rows"] = _window_sql("1 HOUR", _CLOSED.format(s="1 HOUR"))
+SQL["rate_limited_stream"] = """
+SELECT event_id % 4 AS batch, count(*) AS n, min(event_id) AS first_id, max(event_id) AS last_id
+FROM events GROUP BY event_id % 4"""
 SQL["stream_dedup"] = f"""
 SELECT topic || ':' || CAST("partition" AS VARCHAR) || ':' || CAST("offset" AS VARCHAR) AS event_id,
        topic, "partition", "offset", f1
@@ -266,7 +286,9 @@ SQL["daily_upsert"] = f"""
 WITH writes AS (
   SELECT kafka_ts, topic, "partition", "offset", f1, 0 AS v FROM {_ENV}
   UNION ALL
-  SELECT kafka_ts, topic, "partition", "offset", f1 * 2, 1 AS v FROM {_ENV} WHERE topic = 'error')
+  SELECT kafka_ts, topic, "partition", "offset", f1 * 2, 1 AS v FROM {_ENV} WHERE topic = 'error'
+  UNION ALL
+  SELECT kafka_ts, topic, "partition", "offset", f1 * 3, 2 AS v FROM {_ENV} WHERE topic = 'error')
 SELECT strftime(kafka_ts, '%Y.%m.%d') AS day,
        topic || ':' || CAST("partition" AS VARCHAR) || ':' || CAST("offset" AS VARCHAR) AS event_id,
        topic, "partition", "offset", f1

@@ -1,9 +1,8 @@
 """Streaming scoring job: source -> model -> alert layer -> enriched sink,
 plus optional watermarked window metrics (M12 argument surface, W1-W9).
 
-With the file source the metrics query reads the enriched output as a
-stream instead of re-reading the source, so inference runs once per event;
-with Kafka it is a second query on the same plan, as in the reference.
+The metrics query reads the enriched output (folder or topic) as a stream
+instead of re-reading the source, so inference runs once per event.
 
     python -m vigil.plans.score --model_dir DIR --checkpoint_dir DIR
         [--source kafka|files] [--bootstrap_servers H] [--topic_in T] [--topic_out T]
@@ -23,6 +22,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import (BooleanType, IntegerType, StringType, StructField, StructType,
+                               TimestampType)
 
 from vigil.functions.columns import event_key
 from vigil.ml.bundle import load_bundle
@@ -32,8 +33,8 @@ from vigil.schema import (ANOMALY_THRESHOLD, CONFIDENCE_THRESHOLD, ENRICHED_COLU
                           MAX_OFFSETS_PER_TRIGGER, METRICS_COLUMNS, METRICS_WINDOW,
                           N_FEATURES_DEFAULT, WATERMARK_DELAY, feature_names,
                           raw_event_schema)
-from vigil.sinks.kafka import encode_events
-from vigil.sources.stream import envelope, kafka_source
+from vigil.sinks.kafka import encode_events, stream_to_kafka, whole_label
+from vigil.sources.stream import envelope, file_lines, kafka_source
 
 
 @dataclass(frozen=True)
@@ -41,7 +42,7 @@ class ScoreJob:
     model_dir: str
     checkpoint_dir: str
     source: str = "kafka"
-    bootstrap_servers: str = "kafka:29092"
+    bootstrap_servers: str | None = None
     topic_in: str = "events"
     topic_out: str = "events_enriched"
     input: str | None = None
@@ -66,7 +67,7 @@ def parse_args(argv: Sequence[str] | None = None) -> ScoreJob:
     ap.add_argument("--model_dir", required=True)
     ap.add_argument("--checkpoint_dir", required=True)
     ap.add_argument("--source", choices=["kafka", "files"], default="kafka")
-    ap.add_argument("--bootstrap_servers", default="kafka:29092")
+    ap.add_argument("--bootstrap_servers")
     ap.add_argument("--topic_in", default="events")
     ap.add_argument("--topic_out", default="events_enriched")
     ap.add_argument("--input")
@@ -89,6 +90,8 @@ def parse_args(argv: Sequence[str] | None = None) -> ScoreJob:
     a = ap.parse_args(argv)
     if a.source == "files" and not (a.input and a.output):
         ap.error("--source files needs --input and --output")
+    if a.source == "kafka" and not a.bootstrap_servers:
+        ap.error("--source kafka needs --bootstrap_servers")
     return ScoreJob(**vars(a))
 
 
@@ -97,17 +100,7 @@ def source_frame(spark: SparkSession, job: ScoreJob) -> DataFrame:
     if job.source == "kafka":
         return envelope(kafka_source(spark, job.bootstrap_servers, job.topic_in,
                                      job.starting_offsets, job.max_offsets_per_trigger))
-    raw = (spark.readStream.format("text")
-           .option("maxFilesPerTrigger", str(job.max_files_per_trigger)).load(job.input))
-    # event time: the payload's send time when present, else the file's time;
-    # offset: a content hash (identical lines of one file share it)
-    sent = F.timestamp_seconds(F.get_json_object("value", "$.ts").try_cast("double"))
-    return raw.select(
-        F.lit(job.topic_in).alias("topic"),
-        F.coalesce(sent, F.col("_metadata.file_modification_time")).alias("kafka_ts"),
-        F.lit(0).alias("partition"),
-        F.xxhash64(F.col("_metadata.file_path"), F.col("value")).alias("offset"),
-        F.col("value").alias("json_str"))
+    return file_lines(spark, job.input, job.topic_in, job.max_files_per_trigger)
 
 
 def enrich(df: DataFrame, model, labels, job: ScoreJob) -> DataFrame:
@@ -119,12 +112,13 @@ def enrich(df: DataFrame, model, labels, job: ScoreJob) -> DataFrame:
     rules and the output projection stay in whole-stage codegen.
     """
     from pyspark.ml.functions import array_to_vector
-    j = F.from_json(F.col("json_str"), raw_event_schema(job.n_features))
+    # the label may come as 1, 1.0 or "1": read as text, then through double
+    j = F.from_json(F.col("json_str"), raw_event_schema(job.n_features, StringType()))
     parsed = df.select("topic", "kafka_ts", "partition", "offset", "json_str", j.alias("j"))
     raw = F.array(*[F.nanvl(F.coalesce(F.col("j").getField(c), F.lit(0.0)), F.lit(0.0))
                     for c in feature_names(job.n_features)])
     parsed = parsed.select("topic", "kafka_ts", "partition", "offset", "json_str",
-                           F.col("j.label").alias("label"),
+                           whole_label(F.col("j.label")).alias("label"),
                            F.col("j.attack_name").alias("attack_name"),
                            array_to_vector(raw).alias("__features_raw"))
     scored = score_events(parsed, model, labels, job.anomaly_threshold,
@@ -144,6 +138,28 @@ def window_metrics(enriched: DataFrame, job: ScoreJob) -> DataFrame:
                                        watermark=job.watermark).select(*METRICS_COLUMNS)
 
 
+# what the window metrics need of an enriched event
+METRICS_INPUT = StructType([StructField(n, t) for n, t in (
+    ("kafka_ts", TimestampType()), ("fp", IntegerType()), ("fn", IntegerType()),
+    ("tp", IntegerType()), ("tn", IntegerType()), ("is_attack_true", BooleanType()),
+    ("is_attack_pred", BooleanType()))])
+
+
+def decode_enriched(env: DataFrame) -> DataFrame:
+    """Enriched events read back from their topic, as the window metrics need them."""
+    return env.select(F.from_json("json_str", METRICS_INPUT).alias("j")).select("j.*")
+
+
+def broken_payloads(env: DataFrame, n_features: int = N_FEATURES_DEFAULT) -> DataFrame:
+    """Payloads that are no JSON object or hold none of the features: they are scored
+    as all zeros, so they are counted by topic."""
+    j = F.from_json(F.col("json_str"), raw_event_schema(n_features, StringType()))
+    empty = F.forall(F.array(*[F.col("j").getField(c) for c in feature_names(n_features)]),
+                     lambda x: x.isNull())
+    return env.select("topic", j.alias("j")).groupBy("topic").agg(
+        F.count("*").alias("n"), F.count_if(F.col("j").isNull() | empty).alias("broken"))
+
+
 def start(spark: SparkSession, job: ScoreJob):
     """Start the events query (and the metrics query); returns the handles."""
     model, labels, _ = load_bundle(spark, job.model_dir)
@@ -152,14 +168,18 @@ def start(spark: SparkSession, job: ScoreJob):
     trig = {"availableNow": True} if job.available_now else {}
     queries = []
     if job.source == "kafka":
-        from vigil.sinks.kafka import stream_to_kafka
         kafka_out = encode_events(out, ENRICHED_COLUMNS, key_col="event_id")
         queries.append(stream_to_kafka(kafka_out, job.bootstrap_servers, job.topic_out,
-                                       f"{ck}/events"))
+                                       f"{ck}/events", trigger=trig))
         if job.enable_metrics:
-            m = encode_events(window_metrics(out, job), METRICS_COLUMNS)
+            if job.available_now:
+                queries[0].awaitTermination()
+            # the enriched topic again: each event is scored once
+            back = envelope(kafka_source(spark, job.bootstrap_servers, job.topic_out, "earliest",
+                                         job.max_offsets_per_trigger))
+            m = encode_events(window_metrics(decode_enriched(back), job), METRICS_COLUMNS)
             queries.append(stream_to_kafka(m, job.bootstrap_servers, job.topic_metrics,
-                                           f"{ck}/metrics"))
+                                           f"{ck}/metrics", trigger=trig))
         return queries
     events_path = f"{job.output.rstrip('/')}/events"
     w = (out.writeStream.format("parquet").option("path", events_path)

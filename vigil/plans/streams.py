@@ -30,10 +30,12 @@ def _events_glob(sf_dir: str) -> str:
     return f"{sf_dir.rstrip('/')}/event[s].parquet"
 
 
-def _events_stream(spark: SparkSession, path: str, schema) -> DataFrame:
+def _events_stream(spark: SparkSession, path: str, schema, max_files: int | None = None,
+                   extra=()) -> DataFrame:
     """Stream of raw events rows -> envelope shape (topic/partition/offset/kafka_ts)."""
-    ev = file_event_source(spark, path, schema)
+    ev = file_event_source(spark, path, schema, max_files_per_trigger=max_files)
     return ev.select(
+        *extra,
         F.col("event_type").alias("topic"),
         F.col("ts").cast("timestamp").alias("kafka_ts"),
         (F.col("user_id") % 4).cast("int").alias("partition"),
@@ -66,22 +68,37 @@ def q_confusion_window_stream(spark, sf_dir):
     return _metrics_text(read_sink(spark, f"{base}/out", schema=m.schema))
 
 
-def _stage_events(spark, sf_dir, base, replay=None) -> str:
-    """Write the events table (and an optional replay) as stream input files."""
-    src = f"{base}/input"
-    ev = read_table(spark, sf_dir, "events")
-    ev.write.mode("append").parquet(src)
-    if replay is not None:
-        replay(ev).write.mode("append").parquet(src)
-    return src
+BATCHES = 4
+
+
+def _stage_in_order(spark, ev: DataFrame, src: str, parts: int = BATCHES) -> None:
+    """The events as ``parts`` files, one write after the other in time order.
+
+    The file source reads files by their time, so with one file to a trigger the
+    stream sees the events in this order over as many batches.
+    """
+    sec = F.unix_micros(F.col("ts").cast("timestamp"))
+    cuts = ev.select((sec / 1e6).alias("t")).approxQuantile(
+        "t", [k / parts for k in range(1, parts)], 0.001)
+    bounds = [None, *cuts, None]
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        part = ev
+        if lo is not None:
+            part = part.filter(sec / 1e6 > lo)
+        if hi is not None:
+            part = part.filter(sec / 1e6 <= hi)
+        part.coalesce(1).write.mode("append").parquet(src)
 
 
 def q_stream_dedup(spark, sf_dir):
-    """Original + full replay in one stream; each event comes out once."""
+    """The events in ordered batches, then a full replay in a later batch;
+    each event comes out once (kept state for the latest, lateness for the rest)."""
     base = scratch_path(spark, "stream_dedup")
-    src = _stage_events(spark, sf_dir, base, replay=lambda ev: ev)
-    schema = read_table(spark, sf_dir, "events").schema
-    s = _events_stream(spark, src, schema)
+    src = f"{base}/input"
+    ev = read_table(spark, sf_dir, "events")
+    _stage_in_order(spark, ev, src)
+    ev.coalesce(1).write.mode("append").parquet(src)
+    s = _events_stream(spark, src, ev.schema, max_files=1)
     s = s.withColumn("event_id", event_key("topic", "partition", "offset"))
     d = dedup_events(s, ["event_id"], "kafka_ts", WATERMARK).select(
         "event_id", "topic", "partition", "offset", "f1")
@@ -89,36 +106,67 @@ def q_stream_dedup(spark, sf_dir):
     return read_sink(spark, f"{base}/out", schema=d.schema)
 
 
+def q_late_rows(spark, sf_dir):
+    """Window metrics over ordered batches; the last batch holds the first
+    quarter again, far behind the watermark, and must change no window."""
+    base = scratch_path(spark, "late_rows")
+    src = f"{base}/input"
+    ev = read_table(spark, sf_dir, "events")
+    _stage_in_order(spark, ev, src)
+    sec = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
+    cut = ev.select(sec.alias("t")).approxQuantile("t", [1 / BATCHES], 0.001)[0]
+    ev.filter(sec <= cut).coalesce(1).write.mode("append").parquet(src)
+    scored = _score(_events_stream(spark, src, ev.schema, max_files=1))
+    m = metrics.confusion_by_window(scored, "kafka_ts", METRICS_WINDOW, watermark=WATERMARK)
+    run_available_now(m, f"{base}/out", f"{base}/checkpoint")
+    return _metrics_text(read_sink(spark, f"{base}/out", schema=m.schema))
+
+
+def q_rate_limited_stream(spark, sf_dir):
+    """With one file to a trigger, batch k holds the k-th file and no more."""
+    base = scratch_path(spark, "rate_limited")
+    src, out = f"{base}/input", f"{base}/out"
+    ev = read_table(spark, sf_dir, "events")
+    for k in range(BATCHES):
+        ev.filter(F.col("event_id") % BATCHES == k).coalesce(1).write.mode("append").parquet(src)
+    s = _events_stream(spark, src, ev.schema, max_files=1).select("offset")
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(out)
+
+    run_foreach_batch(s, keep, f"{base}/checkpoint")
+    return spark.read.parquet(out).groupBy("batch").agg(
+        F.count("*").alias("n"), F.min("offset").alias("first_id"), F.max("offset").alias("last_id"))
+
+
 def _replay_errors(ev: DataFrame) -> DataFrame:
-    """The replay: the 'error' topic again, with corrected values."""
-    return (ev.filter(F.col("event_type") == "error")
-            .withColumn("value", F.col("value") * 2))
+    """The replay: the 'error' topic twice in one batch, each time with new values."""
+    errors = ev.filter(F.col("event_type") == "error")
+    return errors.withColumns({"value": F.col("value") * 2, "arrival": F.lit(1).cast("bigint")}) \
+        .unionByName(errors.withColumns({"value": F.col("value") * 3,
+                                         "arrival": F.lit(2).cast("bigint")}))
 
 
 def q_daily_upsert(spark, sf_dir):
-    """K8 + F14: two micro-batches (original, then a replay) appended to a
-    day-partitioned store and read back last-write-wins per record key; the
-    second run restarts from the first run's checkpoint and sees only the
-    replay files."""
+    """K8 + F14: the events, then a replay from a *new* checkpoint (whose batch
+    numbers start at 0 again) with two copies of each record in one batch; the
+    store, read back last-write-wins per record key, has the last copy."""
     base = scratch_path(spark, "daily_upsert")
-    src = f"{base}/input"
-    ev = read_table(spark, sf_dir, "events")
-    schema = ev.schema
-    table, ckpt = f"{base}/table", f"{base}/checkpoint"
+    ev = read_table(spark, sf_dir, "events").withColumn("arrival", F.lit(0).cast("bigint"))
+    table = f"{base}/table"
+    keys = ["topic", "partition", "offset"]
 
-    def run():
-        s = _events_stream(spark, src, schema)
-        s = s.withColumn("event_id", event_key("topic", "partition", "offset"))
-        s = s.select("event_id", "topic", "partition", "offset", "kafka_ts", "f1")
-        run_foreach_batch(s, daily_store_sink(table, "kafka_ts", ["topic", "partition",
-                                                                  "offset"]), ckpt)
+    def run(src: str, checkpoint: str):
+        s = _events_stream(spark, src, ev.schema, extra=["arrival"])
+        s = s.withColumn("event_id", event_key(*keys))
+        s = s.select("event_id", *keys, "kafka_ts", "f1", "arrival")
+        run_foreach_batch(s, daily_store_sink(table, "kafka_ts", keys, order="arrival"), checkpoint)
 
-    ev.write.mode("append").parquet(src)
-    run()
-    _replay_errors(ev).write.mode("append").parquet(src)
-    run()
-    return read_store(spark, table, ["topic", "partition", "offset"]).select(
-        "day", "event_id", "topic", "partition", "offset", "f1")
+    ev.write.parquet(f"{base}/input")
+    run(f"{base}/input", f"{base}/checkpoint")
+    _replay_errors(ev).write.parquet(f"{base}/replay")
+    run(f"{base}/replay", f"{base}/checkpoint-of-the-replay")
+    return read_store(spark, table, keys).select("day", "event_id", *keys, "f1")
 
 
 def q_daily_metrics(spark, sf_dir):
@@ -137,6 +185,8 @@ def q_daily_metrics(spark, sf_dir):
 STREAM_QUERIES = {
     "confusion_window_stream": q_confusion_window_stream,
     "stream_dedup": q_stream_dedup,
+    "late_rows": q_late_rows,
+    "rate_limited_stream": q_rate_limited_stream,
     "daily_upsert": q_daily_upsert,
     "daily_metrics": q_daily_metrics,
 }

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType,
-                               LongType, StringType, StructField, StructType,
-                               TimestampType)
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 # ---------------------------------------------------------------------------
 # These must equal the reference's for the same results.
@@ -13,11 +11,6 @@ N_FEATURES_DEFAULT = 115
 BENIGN = "benign"
 UNKNOWN_ATTACK = "unknown"
 FALLBACK_ATTACK = "attack"
-# Class vocabulary shipped with the reference's model bundle, frequency order.
-REFERENCE_LABELS = [
-    "benign", "SSDP_Flood", "MitM", "Active_Wiretap", "Mirai", "Fuzzing",
-    "Video_Injection", "SSL_Renegotiation", "OS_Scan", "SYN_DoS",
-]
 # Capture sources of the global dataset: (capture, feature file, label file).
 REFERENCE_SOURCES = [
     ("Mirai", "Mirai_dataset.csv", "Mirai_labels.csv"),
@@ -81,15 +74,6 @@ def raw_event_schema(n: int = N_FEATURES_DEFAULT, label_type=IntegerType()) -> S
            StructField("ts", DoubleType(), True)])
 
 
-KAFKA_ENVELOPE = StructType([
-    StructField("key", StringType(), True),
-    StructField("json_str", StringType(), True),
-    StructField("topic", StringType(), True),
-    StructField("partition", IntegerType(), True),
-    StructField("offset", LongType(), True),
-    StructField("kafka_ts", TimestampType(), True),
-])
-
 METRICS_COLUMNS = ["window_start", "window_end", "fp", "fn", "tp", "tn", "total",
                    "fp_rate", "fn_rate", "attack_true_rate", "attack_pred_rate"]
 
@@ -103,6 +87,3 @@ ENRICHED_COLUMNS = [
 ENSEMBLE_COLUMNS = ["kafka_ts", "kafka_topic", "kafka_partition", "kafka_offset",
                     "kafka_key", "rule_alert", "iso_score", "iso_is_anom",
                     "pred_lr", "pred_xgb", "pred_final"]
-
-FEATURE_ARRAY = ArrayType(DoubleType())
-BOOL = BooleanType()

@@ -8,6 +8,7 @@ which is the case in unit tests.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -71,6 +72,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = sc_dir
     if not root:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         # tests / single machine only: nothing configured
         root = tempfile.mkdtemp(prefix="vigil-ckpt-")
     if not sc_dir:

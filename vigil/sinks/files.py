@@ -13,13 +13,3 @@ def to_console(df: DataFrame, rows: int = 20, truncate: bool = False):
     df.show(rows, truncate=truncate)
     return None
 
-
-def stream_to_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
-                    partition_by: list[str] | None = None):
-    """Append a stream to a file table with its own checkpoint (exactly-once
-    through the file sink's commit log)."""
-    w = (df.writeStream.format(fmt).option("path", path)
-         .option("checkpointLocation", checkpoint).outputMode("append"))
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    return w.start()

@@ -50,7 +50,21 @@ def probe(spark: SparkSession, path: str, source: str | None = None) -> tuple[st
     leaf = unquote(first.rsplit("/", 1)[-1])
     if unquote(path.rstrip("/")).rsplit("/", 1)[-1] == leaf:
         return row["value"].lstrip("\ufeff"), first, True
-    return row["value"].lstrip("\ufeff"), first.rsplit("/", 1)[0] + "/", False
+    return row["value"].lstrip("\ufeff"), _folder_key(path, first), False
+
+
+def _folder_key(path: str, first: str) -> str:
+    """The given folder as it is spelled in the file paths Spark reports.
+
+    Not the first file's own folder: the files may lie in sub-folders.
+    """
+    from urllib.parse import unquote
+    want = [unquote(c) for c in path.split("://")[-1].split("/") if c and not c.endswith(":")]
+    have = first.split("/")
+    for i in range(len(have) - len(want)):
+        if [unquote(c) for c in have[i:i + len(want)]] == want:
+            return "/".join(have[:i + len(want)]) + "/"
+    return first.rsplit("/", 1)[0] + "/"
 
 
 def source_column(keys: list[tuple[str, str, bool]]):
@@ -62,7 +76,7 @@ def source_column(keys: list[tuple[str, str, bool]]):
     for name, key, exact in sorted(keys, key=lambda k: (not k[2], -len(k[1]))):
         cond = (fp == F.lit(key)) if exact else fp.startswith(key)
         out = F.when(cond, F.lit(name)) if out is None else out.when(cond, F.lit(name))
-    return out
+    return out.otherwise(F.raise_error(F.concat(F.lit("file of no capture: "), fp)).cast("string"))
 
 
 def has_glob(path: str) -> bool:
