@@ -177,3 +177,27 @@ def test_cluster_without_shared_folder_is_refused(monkeypatch):
         sparkContext = conf = Context()
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.checkpoint_root(Fake())
+
+
+def test_store_job_carries_files_and_messages(spark, tmp_path):
+    import datetime as dt
+    from vigil.plans import store_job
+    from vigil.streaming.store import read_store
+    base = scratch_path(spark, "t_store_job")
+    ts = dt.datetime(2024, 1, 2, 3, 4)
+    rows = spark.createDataFrame([(ts, ts + dt.timedelta(minutes=1), 1, 0, 2, 0, 3, 0.3, 0.0, 0.6, 0.9)],
+                                 store_job.METRICS_FIELDS)
+    rows.write.parquet(f"{base}/in")
+    a = store_job.parse_args(["--kind", "metrics", "--table", f"{base}/t", "--checkpoint", f"{base}/c",
+                              "--input", f"{base}/in", "--available_now"])
+    store_job.start(spark, a).awaitTermination()
+    got = read_store(spark, f"{base}/t", ["window_start"]).collect()
+    assert [(r.day, r.fp, r.total) for r in got] == [("2024.01.02", 1, 3)]
+    msgs = spark.createDataFrame(
+        [(0, '{"topic":"x","partition":1,"offset":7,"kafka_ts":"2024-01-02T03:04:00.000Z","fp":1}'),
+         (1, "broken"), (2, '{"topic":"x"}')], "offset long, json_str string")
+    got = store_job.records(msgs, "events").collect()
+    assert [(r.topic, r.partition, r.offset, r.fp, r._at) for r in got] == [("x", 1, 7, 1, 0)]
+    with pytest.raises(SystemExit):
+        store_job.parse_args(["--kind", "events", "--table", "t", "--checkpoint", "c",
+                              "--bootstrap_servers", "h:1"])

@@ -81,7 +81,8 @@ def _label_scan(spark: SparkSession, layout: str, members: list) -> DataFrame:
 
 
 def build_labelled_table(spark: SparkSession, sources: Sequence[tuple], n_features: int = 115,
-                         label: str = "label", strict: bool = True) -> DataFrame:
+                         label: str = "label", strict: bool = True,
+                         keep_pos: bool = False) -> DataFrame:
     """sources: (capture, features_path, labels_path[, label_layout]) tuples.
 
     All captures go through one plan (U1): every capture's files are probed
@@ -93,7 +94,7 @@ def build_labelled_table(spark: SparkSession, sources: Sequence[tuple], n_featur
     malformed row, as the reference's reader does.
     """
     if any(has_glob(src[1]) or has_glob(src[2]) for src in sources):
-        return _build_per_capture(spark, sources, n_features, label, strict)
+        return _build_per_capture(spark, sources, n_features, label, strict, keep_pos)
     by_width: dict = {}
     by_layout: dict = {}
     for src in sources:
@@ -117,11 +118,11 @@ def build_labelled_table(spark: SparkSession, sources: Sequence[tuple], n_featur
     joined = positional_join(union([x for x, _ in scans]), union(ys), "capture",
                              feature_counts=union([xc for _, xc in scans]))
     return joined.select(*feature_names(n_features), F.col("label").alias(label),
-                         F.col("capture").alias("attack_name"))
+                         F.col("capture").alias("attack_name"), *(["pos"] if keep_pos else []))
 
 
 def _build_per_capture(spark: SparkSession, sources: Sequence[tuple], n_features: int,
-                       label: str, strict: bool) -> DataFrame:
+                       label: str, strict: bool, keep_pos: bool = False) -> DataFrame:
     """Fallback for glob paths: one scan per capture, unioned."""
     xs, xcs, ys = [], [], []
     for src in sources:
@@ -137,12 +138,21 @@ def _build_per_capture(spark: SparkSession, sources: Sequence[tuple], n_features
 
     joined = positional_join(union(xs), union(ys), "capture", feature_counts=union(xcs))
     return joined.select(*feature_names(n_features), F.col("label").alias(label),
-                         F.col("capture").alias("attack_name"))
+                         F.col("capture").alias("attack_name"), *(["pos"] if keep_pos else []))
+
+
+def in_row_order(df: DataFrame) -> DataFrame:
+    """Range-partitioned by (capture, position): few files for each capture, rows in
+    their order, and a large capture spread over many tasks.  Drops ``pos``."""
+    if "pos" not in df.columns:
+        return df
+    keys = ["attack_name", "pos"]
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("pos")
 
 
 def write_parquet(df: DataFrame, path: str, partition_by_attack: bool = True) -> None:
     """K1: overwrite a Parquet table, partitioned by attack for pruning."""
-    w = df.write.mode("overwrite")
+    w = in_row_order(df).write.mode("overwrite")
     if partition_by_attack:
         w = w.partitionBy("attack_name")
     w.parquet(path)
@@ -150,7 +160,7 @@ def write_parquet(df: DataFrame, path: str, partition_by_attack: bool = True) ->
 
 def write_csv(df: DataFrame, path: str) -> None:
     """K2: overwrite a CSV folder with a header in every part file."""
-    df.write.mode("overwrite").option("header", "true").csv(path)
+    in_row_order(df).write.mode("overwrite").option("header", "true").csv(path)
 
 
 def reference_sources(data_dir: str) -> list[tuple[str, str, str]]:
@@ -158,16 +168,26 @@ def reference_sources(data_dir: str) -> list[tuple[str, str, str]]:
     return [(name, f"{d}/{fx}", f"{d}/{fy}") for name, fx, fy in REFERENCE_SOURCES]
 
 
+def manifest_sources(spark: SparkSession, path: str) -> list[tuple[str, str, str]]:
+    """Captures listed in a CSV file with the header capture,features,labels."""
+    rows = spark.read.option("header", "true").csv(path).select("capture", "features", "labels")
+    return [tuple(r) for r in rows.collect()]      # one row per capture
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     from vigil.session import get_spark
     ap = argparse.ArgumentParser(description="build the global labelled table")
-    ap.add_argument("--data_dir", required=True)
+    source = ap.add_mutually_exclusive_group(required=True)
+    source.add_argument("--data_dir", help="folder with the default captures")
+    source.add_argument("--manifest", help="CSV file: capture,features,labels")
     ap.add_argument("--out", required=True)
     ap.add_argument("--format", choices=["parquet", "csv"], default="parquet")
     ap.add_argument("--n_features", type=int, default=N_FEATURES_DEFAULT)
     args = ap.parse_args(argv)
     spark = get_spark("vigil-build")
-    df = build_labelled_table(spark, reference_sources(args.data_dir), args.n_features)
+    sources = (manifest_sources(spark, args.manifest) if args.manifest
+               else reference_sources(args.data_dir))
+    df = build_labelled_table(spark, sources, args.n_features, keep_pos=True)
     (write_parquet if args.format == "parquet" else write_csv)(df, args.out)
     for r in spark.read.format(args.format).option("header", "true").load(args.out) \
             .groupBy("attack_name").count().orderBy("attack_name").collect():

@@ -104,7 +104,8 @@ def q_label_parse_guard(spark, sf_dir):
     return out.select(F.col("capture").alias("layout"), "pos", "label")
 
 
-# Captures of the build stand-in: event type -> (leading index?, label layout)
+# Captures of the build stand-in: event type -> (leading index?, label layout); a type
+# that the table holds besides gets OTHER
 BUILD_CAPTURES = {
     "click": (True, "A"),
     "error": (False, "A"),
@@ -112,6 +113,7 @@ BUILD_CAPTURES = {
     "signup": (False, "B"),
     "view": (False, "A"),
 }
+OTHER = (False, "A")
 
 
 def _stage_build(spark, sf_dir) -> list[tuple]:
@@ -120,9 +122,12 @@ def _stage_build(spark, sf_dir) -> list[tuple]:
     ev = decode_props(read_table(spark, sf_dir, "events"), "props", "k").withColumn(
         "label", (F.col("value") > 100).cast("int"))
     kind = F.col("event_type")
+    # one capture for each type of the table: a handful of values
+    types = [r[0] for r in ev.select("event_type").distinct().collect() if r[0] is not None]
+    captures = {t: BUILD_CAPTURES.get(t, OTHER) for t in sorted(types)}
 
     def names(pred):
-        return [n for n, spec in BUILD_CAPTURES.items() if pred(spec)]
+        return [n for n, spec in captures.items() if pred(spec)]
 
     indexed, plain = names(lambda s: s[0]), names(lambda s: not s[0])
     lay_a, lay_b = names(lambda s: s[1] == "A"), names(lambda s: s[1] == "B")
@@ -135,7 +140,7 @@ def _stage_build(spark, sf_dir) -> list[tuple]:
     write_layout_b(ev.filter(kind.isin(lay_b)), "event_id", "label", f"{base}/y_b",
                    by="event_type")
     sources = []
-    for name, (has_index, layout) in BUILD_CAPTURES.items():
+    for name, (has_index, layout) in captures.items():
         x = f"{base}/x_indexed" if has_index else f"{base}/x_plain"
         y = f"{base}/y_a" if layout == "A" else f"{base}/y_b"
         sources.append((name, f"{x}/event_type={name}", f"{y}/event_type={name}"))
@@ -144,7 +149,7 @@ def _stage_build(spark, sf_dir) -> list[tuple]:
 
 def built_table(spark, sf_dir) -> DataFrame:
     sources, base = _stage_build(spark, sf_dir)
-    write_parquet(build_labelled_table(spark, sources, n_features=2), f"{base}/global")
+    write_parquet(build_labelled_table(spark, sources, n_features=2, keep_pos=True), f"{base}/global")
     return spark.read.parquet(f"{base}/global")
 
 
