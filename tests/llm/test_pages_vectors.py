@@ -24,6 +24,8 @@ def test_main_text_of_a_page():
     (None, ""), ("", ""), ("plain  text", "plain text"), ("a < b & c <b>d", "a < b & c d"),
     ('<p title="a>b">q</p>', "q"), ("<div>x<script>var a='</p>'</script>y</div>", "x y".replace(" ", "")),
     ("<p>x</p><p>y", "x y"), ("<p>a&nbsp;b</p>", "a b"), ("<p class=x\">q</p>r", "q r"),
+    ("<div class='wrap no-sidebar'><article><div class='post-header'><h1>H</h1></div><p>x</article></div>",
+     "H x"), ("<article><header class='ad'>no</header><p>x</article>", "x"),
     ("<aside>no</aside><div role=navigation>no</div>yes", "yes"), ("<p>un<b>closed<p>next", "unclosed next")])
 def test_small_pages(page, text):
     assert html.main_text(page) == text
@@ -108,7 +110,7 @@ def vectors():
             for _ in range(int(rng.integers(1, 6))):
                 rows.append((k, (c + rng.normal(size=8) * 0.12).tolist(), label))
                 k += 1
-    same = [1.0, 2.0, 0.0, 0, 0, 0, 0, 0]
+    same = [1.0, 2.0] + [0.0] * 6
     rows += [(k + i, same, 1) for i in range(40)] + [(k + 40, [2 * x for x in same], 1)]
     k += 41
     rows += [(k, None, 1), (k + 1, [0.0] * 8, 1), (k + 2, [1.0, float("nan")] + [0.0] * 6, 1),

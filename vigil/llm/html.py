@@ -3,7 +3,7 @@
 The DOMs of one host merge: an element's place is its path of presentation
 (tag with class, id and role) from the root.  For every place the tree counts
 the pages that have it, how its children vary (presentation styles) and what
-its own content is (hashed texts).  The importance of a place joins the entropy
+its branch holds (hashed texts).  The importance of a place joins the entropy
 of its styles and of its contents, both to the base of its pages: a branch that
 looks and reads alike on most pages of a site is noise and is cut from each page,
 with all below it.  Elements that by their name carry no article (menus,
@@ -157,7 +157,8 @@ def _elements(node: Element) -> Iterator[Element]:
 def style_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(host, place, kind, feature, n, pages) summed over the pages of a piece.
 
-    kind 0: pages with the place; 1: sequences of child styles; 2: own contents.
+    kind 0: pages with the place; 1: sequences of child styles; 2: contents, with
+    all below, so that a branch is noise only if nothing in it varies.
     Place 0 is the whole page, with its main text as the style.
     """
     for b in tokens.chunks(batches, "html", 4 * CHUNK_BYTES):
@@ -167,15 +168,16 @@ def style_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             root = parse(page or "")
             places.add((0, 0, 0))
             features.add((0, 1, _key(text_of(root))))
-            for e in _elements(root):
-                if not e.parent:
-                    continue
-                place = e.place
-                places.add((place, 0, 0))
-                features.add((place, 1, _key("|".join(
-                    x.label for x in e.items if isinstance(x, Element)))))
-                own = _SPACE.sub(" ", "".join(x for x in e.items if isinstance(x, str))).strip()
-                features.add((place, 2, _key(own)))
+            below: dict[int, int] = {}        # hash of all that an element holds
+            for e in reversed(list(_elements(root))):
+                held = [str(below[id(x)]) if isinstance(x, Element) else _SPACE.sub(" ", x).strip()
+                        for x in e.items]
+                below[id(e)] = _key("\0".join(x for x in held if x))
+                if e.parent:
+                    places.add((e.place, 0, 0))
+                    features.add((e.place, 1, _key("|".join(
+                        x.label for x in e.items if isinstance(x, Element)))))
+                    features.add((e.place, 2, below[id(e)]))
             for k in places | features:
                 seen[(host, *k)] = seen.get((host, *k), 0) + 1
         cols = list(zip(*[(*k, n) for k, n in seen.items()]))
@@ -218,16 +220,19 @@ def low_importance(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: floa
 
 
 def _article_roots(root: Element) -> list[Element]:
-    """The outermost article (or main) elements outside noise; else the whole page."""
-    found, stack = [], [root]
-    while stack:
-        node = stack.pop()
-        if node.tag in _ARTICLE:
-            found.append(node)
-            continue
-        stack.extend(x for x in reversed(node.items) if isinstance(x, Element) and not x.noise)
-    inner = [a for f in found if f.tag == "main" for a in _article_roots_below(f)]
-    return inner or found or [root]
+    """The outermost article (or main) elements outside noise; else those anywhere (a
+    frame may be named after what it lacks); else the whole page."""
+    for enter in (lambda x: not x.noise, lambda x: x.tag not in _NO_TEXT):
+        found, stack = [], [root]
+        while stack:
+            node = stack.pop()
+            if node.tag in _ARTICLE:
+                found.append(node)
+                continue
+            stack.extend(x for x in reversed(node.items) if isinstance(x, Element) and enter(x))
+        if found:
+            return [a for f in found if f.tag == "main" for a in _article_roots_below(f)] or found
+    return [root]
 
 
 def _article_roots_below(node: Element) -> list[Element]:
@@ -270,11 +275,9 @@ def text_of(root: Element, cut: frozenset = frozenset()) -> str:
 
 
 def _dropped(e: Element, cut: frozenset, in_article: bool) -> bool:
-    if e.noise:
-        # the headline's own header stays
-        return not (e.tag == "header" and any(x.tag in _HEADING for x in _elements(e)))
-    if e.tag == "header" and not any(x.tag in _HEADING for x in _elements(e)):
-        return True
+    if e.tag == "header" or e.noise:
+        # a header with the article's own headline stays
+        return not (in_article and "header" in e.label and any(x.tag in _HEADING for x in _elements(e)))
     # an article's own paragraphs and headlines stay; frames inside it may be cut
     return bool(cut) and (not in_article or e.tag in _FRAME) and e.tag not in _HEADING \
         and e.place in cut

@@ -46,7 +46,7 @@ SHINGLE, SIMILARITY = 5, 0.8
 ROWS, BANDS = 4, 20
 SLOTS = ROWS * BANDS
 AGREE = 45
-CELL_ROWS, CELL_BYTES = 1024, 4 << 20
+CELL_ROWS, CELL_BYTES = 512, 4 << 20
 NO_ID, _NO_IDS = -(1 << 63), 1 << 61
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
@@ -244,7 +244,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .dropDuplicates(["id", "k1", "k2"]).select("id", "component", "text")
     size = members.groupBy("component").agg(
         F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")) \
-        .select("component", F.greatest(F.ceil(F.col("n") / (CELL_ROWS // 2)),
+        .select("component", F.greatest(F.ceil(F.col("n") / CELL_ROWS),
                                         F.ceil(F.col("bytes") / CELL_BYTES)).alias("n_blocks"))
     links = cells(members, "component", size, parts).mapInArrow(_verified, "a long, b long")
     classes = components(links)
