@@ -7,6 +7,7 @@ which is the case in unit tests.
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
 import tempfile
@@ -16,6 +17,7 @@ import zipfile
 from pyspark.sql import SparkSession
 
 _SHIPPED: set[str] = set()
+_SCRATCH: list[str] = []
 
 
 def get_spark(app: str = "vigil", master: str | None = None,
@@ -82,8 +84,22 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/vigil/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder under the shared checkpoint root, removed with the program."""
+    if not _SCRATCH:
+        atexit.register(clear_scratch, spark)
+    _SCRATCH.append(f"{checkpoint_root(spark)}/vigil/{name}-{uuid.uuid4().hex[:12]}")
+    return _SCRATCH[-1]
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the scratch folders of this program (frozen tables, staged files)."""
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        while _SCRATCH:
+            path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+            path.getFileSystem(conf).delete(path, True)
+    except Exception:  # noqa: BLE001 - the session has ended before
+        _SCRATCH.clear()
 
 
 def ship_package(spark: SparkSession) -> None:
