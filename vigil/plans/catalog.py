@@ -370,6 +370,8 @@ def _register_streams():
     QUERIES.update(STREAM_QUERIES)
     QUERIES.update(STAGED_QUERIES)
     QUERIES.update(MODEL_QUERIES)
+    from vigil.plans.roundtrips import ROUNDTRIP_QUERIES
+    QUERIES.update(ROUNDTRIP_QUERIES)
     from vigil.plans.model_checks import CHECK_QUERIES
     QUERIES.update(CHECK_QUERIES)
 
@@ -419,6 +421,13 @@ QUERY_OPERATORS = {
     "source_counts": "A7",
     "rf_score": "M1, M3, M4, M6, M7, S10, K10, R3-R8",
     "stream_score": "K3, S8, S9, W5-W9, W11, M7, R3-R8, P19-P21",
+    "labelled_csv": "S1, S6, K2",
+    "inferred_capture": "S4",
+    "feature_array": "P18, P12",
+    "enriched_json": "K4, P19-P21, S9",
+    "ensemble_json": "K5, R9",
+    "metrics_json": "K6, A2, A3",
+    "class_index": "M1, M2, F15",
     "rf_check": "M1, M3, M6, M7, K10, S10, R3-R6 (recomputed from the node tables)",
     "iforest_check": "M9, X1, X2, A9 (recomputed from the node table)",
     "lr_check": "M10, X3, M2 (recomputed from the coefficients)",

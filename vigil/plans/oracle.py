@@ -321,6 +321,40 @@ SELECT round(quantile_cont(anomaly_score, 0.01), 9) AS quantile FROM {_SOFT}"""
 SQL["label_domain"] = """
 SELECT quality AS label FROM labels UNION SELECT toxic FROM labels"""
 
+SQL["labelled_csv"] = """
+SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DOUBLE) AS price,
+       CAST(l_quantity > 25 AS INTEGER) AS label, l_returnflag AS attack_name
+FROM lineitem"""
+SQL["inferred_capture"] = """
+SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DOUBLE) AS price, 3 AS width FROM orders"""
+SQL["feature_array"] = """
+SELECT l_orderkey, l_linenumber, 3 AS n, CAST(l_quantity AS DOUBLE) AS x0,
+       CAST(l_discount AS DOUBLE) AS x1,
+       CASE WHEN l_linenumber IN (3, 4) THEN 0.0 ELSE CAST(l_tax AS DOUBLE) END AS x2
+FROM lineitem"""
+SQL["enriched_json"] = f"""
+WITH a AS ({SQL["soft_alerts"]}), c AS ({SQL["confusion_flags"]})
+SELECT 'embeddings:0:' || CAST(vec_id AS VARCHAR) AS key, TRUE AS has_time,
+       '2024-01-02 03:04:05' AS kafka_ts, 'embeddings:0:' || CAST(vec_id AS VARCHAR) AS event_id,
+       'embeddings' AS topic, 0 AS "partition", vec_id AS "offset",
+       '{{"vec_id":' || CAST(vec_id AS VARCHAR) || '}}' AS raw_input, 'vigil_v1' AS model_version,
+       a.predicted_attack, confidence, p_benign, anomaly_score, suspect, rule_alert, severity,
+       label, attack_name, true_class, is_attack_true, is_attack_pred, fp, fn, tp, tn
+FROM a JOIN c USING (vec_id)"""
+SQL["ensemble_json"] = f"""
+SELECT '2024-01-02 03:04:05' AS kafka_ts, 'embeddings' AS kafka_topic, 0 AS kafka_partition,
+       vec_id AS kafka_offset, CAST(vec_id AS VARCHAR) AS kafka_key, rule_alert,
+       vec_id / 8.0 AS iso_score, iso_is_anom, pred_lr, pred_xgb, pred_final
+FROM ({SQL["decision_cascade"]})"""
+SQL["metrics_json"] = SQL["confusion_window"]
+SQL["class_index"] = """
+WITH c AS (SELECT vec_id, CASE WHEN label = 0 THEN 'benign' ELSE 'attack_' || CAST(label AS VARCHAR) END
+             AS class_name FROM embeddings),
+n AS (SELECT class_name, count(*) AS n FROM c GROUP BY class_name),
+i AS (SELECT class_name, CAST(row_number() OVER (ORDER BY n DESC, class_name) - 1 AS INTEGER) AS freq_index,
+             CAST(row_number() OVER (ORDER BY class_name) - 1 AS INTEGER) AS alpha_index FROM n)
+SELECT vec_id, class_name, freq_index, alpha_index, class_name AS back FROM c JOIN i USING (class_name)"""
+
 # every verdict of the model checks holds for every row
 for _name, _facts in {
         "rf_check": ["probabilities_ok", "bundle_ok", "prediction_ok", "alert_ok"],
