@@ -36,6 +36,7 @@ from vigil.schema import (BENIGN, BENIGN_CAP, BENIGN_MIN, COMPOUND_RULE_F1, COMP
 
 
 ROWS_PER_PARTITION = 100_000
+ROWS_AT_LEAST = 5_000
 
 
 @dataclass(frozen=True)
@@ -119,11 +120,13 @@ def _fit_classifiers(cand: DataFrame, key_col: str, cfg: EnsembleConfig, with_lr
     train = train.withColumn("features", array_to_vector("__zx")).select(
         "features", "class_name")
     # the capped set is bounded (per_class x classes): size its partitions to
-    # about 100k rows so the iterative fits do not schedule empty tasks
+    # the cores at hand, of 5k to 100k rows each
     n_train = train.count()
     if n_train == 0:
         raise ValueError("no rows sampled for the classifiers (all features non-finite?)")
-    train = train.coalesce(max(1, math.ceil(n_train / ROWS_PER_PARTITION))).persist()
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    parts = max(math.ceil(n_train / ROWS_PER_PARTITION), min(cores, math.ceil(n_train / ROWS_AT_LEAST)))
+    train = train.repartition(max(1, parts)).persist()
     # M2: alphabetical class index, fitted once and shared by both models
     indexer = StringIndexer(inputCol="class_name", outputCol="y",
                             stringOrderType="alphabetAsc").fit(train)

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 # Above this many groups the threshold table is shuffle-joined, not broadcast.
 BROADCAST_GROUPS_MAX = 100_000
+# Factor by which a hash cut that kept too few rows is widened.
+WIDEN = 8.0
 
 from vigil.functions.columns import hash_uniform
 
@@ -82,7 +84,7 @@ def hash_prefix(df: DataFrame, u_col: str, cap: int, group_col: str | None = Non
     group of n lie below about cap / n.  One small aggregate gives n per
     group, a filter keeps u <= cut (cap + 6 sigma rows expected), and a
     second count proves every group kept at least min(cap, n) rows; a group
-    that did not (probability ~1e-9) keeps all its rows.  The result is
+    that did not (probability ~1e-9) gets a wider cut, step by step.  The result is
     exact, and what follows sorts about ``cap`` rows per group instead of
     the whole input.  ``group_caps`` raises the cap of single groups;
     ``materialize`` freezes the (bounded) result with a checkpoint and runs
@@ -93,13 +95,15 @@ def hash_prefix(df: DataFrame, u_col: str, cap: int, group_col: str | None = Non
     if group_col is None:
         n = df.count()
         cut = _threshold(n, cap)
-        if cut >= 1.0:
-            return df
-        pre = df.filter(u.isNull() | (u <= F.lit(cut)))
-        if materialize:
-            from vigil.operators.align import frozen
-            pre = frozen(pre)
-        return pre if pre.count() >= cap else df
+        while cut < 1.0:
+            pre = df.filter(u.isNull() | (u <= F.lit(cut)))
+            if materialize:
+                from vigil.operators.align import frozen
+                pre = frozen(pre)
+            if pre.count() >= cap:
+                return pre
+            cut *= WIDEN      # an uneven hash: step by step, not the whole input at once
+        return df
     from vigil.operators.align import frozen
     g = F.col(group_col)
     caps = {k: max(v, cap) for k, v in (group_caps or {}).items()}
@@ -118,20 +122,18 @@ def hash_prefix(df: DataFrame, u_col: str, cap: int, group_col: str | None = Non
         return (df.join(side, g.eqNullSafe(F.col("_g")))
                 .filter(u.isNull() | (u <= F.col("_cut"))))
 
-    pre = keep(th)
-    if materialize:
-        pre = frozen(pre)
-    kept = pre.groupBy(F.col("_g").alias("_kg")).agg(F.count(F.lit(1)).alias("_k"))
-    short = (th.join(kept, F.col("_g").eqNullSafe(F.col("_kg")), "left")
-             .filter(F.coalesce(F.col("_k"), F.lit(0)) < F.least(F.col("_n"), F.col("_cap")))
-             .select("_g"))
-    if short.limit(1).count() > 0:
-        short_keys = short.select(F.col("_g").alias("_sg"), F.lit(True).alias("_short"))
-        fixed = th.join(short_keys, F.col("_g").eqNullSafe(F.col("_sg")), "left").withColumn(
-            "_cut", F.when(F.col("_short"), F.lit(1.0)).otherwise(F.col("_cut")))
-        pre = keep(fixed.select("_g", "_n", "_cap", "_cut"))
+    while True:
+        pre = keep(th)
         if materialize:
             pre = frozen(pre)
+        kept = pre.groupBy(F.col("_g").alias("_kg")).agg(F.count(F.lit(1)).alias("_k"))
+        got = th.join(kept, F.col("_g").eqNullSafe(F.col("_kg")), "left")
+        short = (F.col("_cut") < 1.0) & (F.coalesce(F.col("_k"), F.lit(0)) < F.least("_n", "_cap"))
+        if got.filter(short).limit(1).count() == 0:
+            break
+        # an uneven hash: widen the cut of the groups that fell short, step by step
+        th = frozen(got.select("_g", "_n", "_cap", F.when(short, F.least(F.lit(1.0), F.col("_cut") * WIDEN))
+                               .otherwise(F.col("_cut")).alias("_cut")))
     return pre.drop("_g", "_n", "_cap", "_cut")
 
 
