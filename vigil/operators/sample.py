@@ -147,7 +147,7 @@ def class_capped_sample(df: DataFrame, class_col: str, cap: int,
     shuffle below moves a few ``cap`` rows per class, not the whole input.
     A class may hold a third of all rows, so it is never sorted in one task:
     stage 1 splits every class into ``salts`` sub-groups and keeps the first
-    ``cap`` of each (map-side too when Spark plans WindowGroupLimit); stage 2
+    ``cap`` of each; stage 2
     ranks the at most ``salts * cap`` survivors per class.  Exact, because a
     row among a class's first ``cap`` is among its sub-group's.
     """
