@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm import tokens
-from vigil.llm.frames import freeze, same
+from vigil.llm.frames import freeze, same, small_batches
 from vigil.llm.tokens import CHUNK_BYTES
 
 MIN_PAGES, MIN_SHARE, LOW_IMPORTANCE = 5, 0.5, 0.25
@@ -210,6 +210,8 @@ def low_importance(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: floa
         F.max(F.when(F.col("kind") == 0, F.col("total"))).alias("pages"),
         F.max(F.when(F.col("kind") > 0, entropy / F.greatest(F.log2("total"), F.lit(1e-9))))
         .alias("importance"))
+    # read twice below: parse the pages once
+    per_place = freeze(per_place, "places")
     # on a host of copies all looks alike, the articles too: there the tree tells nothing
     hosts = per_place.where((F.col("place") == 0) & (F.col("importance") >= DIVERSE)) \
         .select("host", F.col("pages").alias("host_pages")) \
@@ -288,6 +290,7 @@ def extract(pages: DataFrame, **options) -> DataFrame:
     src = pages.select(F.col("page_id").cast("long").alias("page_id"),
                        F.col("url").cast("string").alias("url"),
                        F.col("html").cast("string").alias("html"))
+    small_batches(pages.sparkSession)
     noise = freeze(low_importance(pages, **options), "style-tree")
     n_places = noise.agg(F.sum(F.size("places"))).first()[0] or 0
     if 8 * n_places <= SMALL_TABLE:
