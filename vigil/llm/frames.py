@@ -8,8 +8,17 @@ from pyspark.sql import functions as F
 from vigil.session import checkpoint_root, scratch_path
 
 
+def small_batches(spark) -> None:
+    """Fewer rows in an Arrow batch, unless the session has set a number: texts are large,
+    and a batch lies in the memory of the JVM and of the Python worker at once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "2000")
+
+
 def documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, text) alone: other columns, whatever their names, stay out of the work."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text).cast("string").alias("text"))
 

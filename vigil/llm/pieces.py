@@ -32,7 +32,7 @@ from vigil.llm.frames import documents
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN_PENALTY = 10.0
-REMEMBERED, LONGEST_REMEMBERED = 600_000, 40
+REMEMBERED, LONGEST_REMEMBERED = 250_000, 40
 _UNIT = re.compile(r" +[^ ]*|[^ ]+")
 _MARK = "▁"
 
@@ -205,6 +205,7 @@ def encode(docs: DataFrame, model_path: str = MODEL) -> DataFrame:
             yield pa.record_batch([b.column(0), pa.array([len(x) for x in ids], pa.int32()),
                                    _lists(ids), pa.array(same)],
                                   names=["doc_id", "n_tokens", "ids", "round_trip"])
+        codec.memory.clear()      # the worker lives on with other work
 
     return documents(docs).mapInArrow(
         run, "doc_id long, n_tokens int, ids array<int>, round_trip boolean")

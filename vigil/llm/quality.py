@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.llm import tokens
-from vigil.llm.frames import freeze
+from vigil.llm.frames import freeze, small_batches
 
 MAX_LABELS = 20_000
 TREES, DEPTH, LASSO = 24, 3, 0.002
@@ -84,6 +84,7 @@ def text_stats(col: pa.Array) -> np.ndarray:
 
 def with_stats(docs: DataFrame, text: str = "text") -> DataFrame:
     """(row, stats): each row of ``docs`` as a struct, and its statistics."""
+    small_batches(docs.sparkSession)
     src = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
                       docs[text].cast("string").alias("text"))
     schema = T.StructType([src.schema["row"], *[T.StructField(s, T.DoubleType()) for s in STATS]])

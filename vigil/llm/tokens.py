@@ -87,6 +87,8 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text",
             to = max(at + 1, int(np.searchsorted(ends, base + limit, "right")))
             yield b.slice(at, to - at)
             at = to
+    # workers live on: give what the texts took back to the machine
+    pa.default_memory_pool().release_unused()
 
 
 class Words:
