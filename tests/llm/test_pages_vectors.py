@@ -67,6 +67,24 @@ def test_copies_do_not_cut_their_own_article(spark):
     assert {r.text for r in html.extract(df).collect()} == {p[3]}
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<main><h1>H</h1><p>body</p><article>teaser</article></main><article>other</article>", "H body teaser other"),
+    ("<div><h1>H</h1><p>body</p></div><article>t1</article><article>t2</article>", "H body t1 t2"),
+    ("<main><p>a</p></main><article><p>b</p></article><div class='comments'><article>c</article></div>", "a b"),
+    ("<div class='sidebar'><article>a</article></div><p>b", "a b")])
+def test_text_beside_articles_is_kept(page, text):
+    assert html.main_text(page) == text
+
+
+def test_tree_judges_the_whole_body(spark):
+    frame = "<div class='x17'>{}</div><article><p class='c'>Read our offers</p>"
+    pages = [(i, u, h.replace("</body>", "<p>see<br>more <b>not</b> here</p></article></body>"), t)
+             for i, u, h, t in site(12, frame)]
+    pages = [(i, u, h.replace("see", f"see{i}"), f"{t} see{i} more not here") for i, u, h, t in pages]
+    df = spark.createDataFrame([p[:3] for p in pages], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html.extract(df).collect()} == {p[0]: p[3] for p in pages}
+
+
 def test_odd_rows_of_pages(spark):
     rows = [(1, None, None), (2, "nonsense", ""), (None, "http://h/", "<p>x</p>"), (3, "http://h/", "<p>x</p>"),
             (3, "http://h/", "<p>x</p>")]

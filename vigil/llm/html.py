@@ -6,9 +6,11 @@ the pages that have it, how its children vary (presentation styles) and what
 its branch holds (hashed texts).  The importance of a place joins the entropy
 of its styles and of its contents, both to the base of its pages: a branch that
 looks and reads alike on most pages of a site is noise and is cut from each page,
-with all below it.  Elements that by their name carry no article (menus,
-headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments)
-go as well, which also serves hosts with few pages.
+with all below it, wherever it stands; all other text of the body is kept, inside
+``<article>`` and ``<main>`` or not.  These tags only keep headlines below them, and a
+noisy-named frame that holds all of a page's articles.  Elements that by their
+name carry no article (menus, headers, footers, sidebars, notices, adverts,
+forms, scripts, styles, comments) go as well, which also serves hosts with few pages.
 
 The counts are summed where the pages are read, so a host with a third of all
 pages sends one row per place, style and content from each task.  Only places
@@ -50,7 +52,7 @@ _NO_TEXT = frozenset("script style noscript template head title iframe object sv
                      "button textarea form input nav footer aside dialog menu".split())
 _ARTICLE = frozenset("article main".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
-_FRAME = frozenset("div section ul ol dl table figure details span".split())
+_FRAME = frozenset("div section ul ol dl table figure details span".split())   # cut by the tree
 # an opening tag of the first kind closes an open element of the second kind
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
            "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -221,32 +223,24 @@ def low_importance(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: floa
     return noisy.groupBy("host").agg(F.sort_array(F.collect_list("place")).alias("places"))
 
 
-def _article_roots(root: Element) -> list[Element]:
-    """The outermost article (or main) elements outside noise; else those anywhere (a
-    frame may be named after what it lacks); else the whole page."""
-    for enter in (lambda x: not x.noise, lambda x: x.tag not in _NO_TEXT):
-        found, stack = [], [root]
-        while stack:
-            node = stack.pop()
-            if node.tag in _ARTICLE:
-                found.append(node)
-                continue
-            stack.extend(x for x in reversed(node.items) if isinstance(x, Element) and enter(x))
-        if found:
-            return [a for f in found if f.tag == "main" for a in _article_roots_below(f)] or found
-    return [root]
-
-
-def _article_roots_below(node: Element) -> list[Element]:
-    out, stack = [], [x for x in reversed(node.items) if isinstance(x, Element)]
+def _entered(root: Element) -> set[int]:
+    """Elements of noisy names on the way to the page's articles (or mains), if all of
+    these stand in such elements: a frame may be named after what it lacks."""
+    stack, found = [(root, False)], []
     while stack:
-        e = stack.pop()
-        if e.noise:
+        node, noisy = stack.pop()
+        if node.tag in _ARTICLE:
+            if not noisy:
+                return set()
+            found.append(node)
             continue
-        if e.tag == "article":
-            out.append(e)
-        else:
-            stack.extend(x for x in reversed(e.items) if isinstance(x, Element))
+        stack.extend((x, noisy or x.noise) for x in node.items
+                     if isinstance(x, Element) and x.tag not in _NO_TEXT)
+    out: set[int] = set()
+    for node in found:
+        while node and id(node) not in out:
+            out.add(id(node))
+            node = node.parent
     return out
 
 
@@ -256,33 +250,49 @@ def main_text(page: str | None, cut: frozenset = frozenset()) -> str:
 
 
 def text_of(root: Element, cut: frozenset = frozenset()) -> str:
+    """The text of all branches but the noisy ones."""
     parts: list[str] = []
-    for top in _article_roots(root):
-        stack: list = [(top, False)]
-        while stack:
-            node, closing = stack.pop()
-            if isinstance(node, str):
-                parts.append(_html.unescape(node) if "&" in node else node)
-                continue
-            if closing:
-                parts.append(" ")
-                continue
-            if node is not top and _dropped(node, cut, top.tag in _ARTICLE):
-                continue
-            if node.tag in _BLOCK:
-                parts.append(" ")
-                stack.append((node, True))
-            stack.extend((x, False) for x in reversed(node.items))
+    entered = _entered(root)
+    worded: dict[int, bool] = {}        # elements with words of their own
+    stack: list = [(root, False, False)]
+    while stack:
+        node, in_article, closing = stack.pop()
+        if isinstance(node, str):
+            parts.append(_html.unescape(node) if "&" in node else node)
+            continue
+        if closing:
+            parts.append(" ")
+            continue
+        if id(node) not in entered and _named_noise(node, in_article):
+            continue
+        if node.place in cut and _branch(node, in_article, worded):
+            parts.append(" ")
+            continue
+        if node.tag in _BLOCK:
+            parts.append(" ")
+            stack.append((node, in_article, True))
+        in_article = in_article or node.tag in _ARTICLE
+        stack.extend((x, in_article, False) for x in reversed(node.items))
     return _SPACE.sub(" ", "".join(parts)).strip()
 
 
-def _dropped(e: Element, cut: frozenset, in_article: bool) -> bool:
-    if e.tag == "header" or e.noise:
-        # a header with the article's own headline stays
-        return not (in_article and "header" in e.label and any(x.tag in _HEADING for x in _elements(e)))
-    # an article's own paragraphs and headlines stay; frames inside it may be cut
-    return bool(cut) and (not in_article or e.tag in _FRAME) and e.tag not in _HEADING \
-        and e.place in cut
+def _named_noise(e: Element, in_article: bool) -> bool:
+    # a header with the article's own headline stays
+    return (e.tag == "header" or e.noise) and not (
+        in_article and "header" in e.label and any(x.tag in _HEADING for x in _elements(e)))
+
+
+def _branch(e: Element, in_article: bool, worded: dict[int, bool]) -> bool:
+    """Whether the style tree may cut an element: not a break, not an article's headline,
+    and not words inside a sentence."""
+    if e.tag in _VOID or not e.parent or (in_article and e.tag in _HEADING):
+        return False
+    if e.tag in _BLOCK or e.tag in _FRAME:
+        return True
+    k = id(e.parent)
+    if k not in worded:
+        worded[k] = any(isinstance(x, str) and x.strip() for x in e.parent.items)
+    return not worded[k]
 
 
 def extract(pages: DataFrame, **options) -> DataFrame:
