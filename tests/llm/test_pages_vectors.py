@@ -76,6 +76,16 @@ def test_text_beside_articles_is_kept(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize("attrs, kept", [
+    ('style="overflow:hidden"', True), ('href="/hidden-gems"', True), ("title='the hidden truth'", True),
+    ('data-id="ad-12"', True), ('href="/p?id=related"', True), ('href=/p?id=related', True),
+    ('data-hidden="x" x-class=ad', True), ('title="class=ad id=ad"', True), ('data-x="a" hidden', False),
+    ("HIDDEN=''", False), ("title='a'hidden", False), ('id = "ad"', False), ("aria-hidden=true", False),
+    ("class=x class=ad", True), ("a= hidden", True), ('title="it\'s" id=ad', False)])
+def test_attributes_are_read_whole(attrs, kept):
+    assert html.main_text(f"<article><p>a</p><p {attrs}>b</p></article>") == ("a b" if kept else "a")
+
+
 def test_tree_judges_the_whole_body(spark):
     frame = "<div class='x17'>{}</div><article><p class='c'>Read our offers</p>"
     pages = [(i, u, h.replace("</body>", "<p>see<br>more <b>not</b> here</p></article></body>"), t)

@@ -70,8 +70,9 @@ _ATTRS = r"""(?:(?:[^<>"']++|"[^"]*+"|'[^']*+')*+(?=>)|[^<>]*+)"""
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^<>]*+>?"
                     rf"|<(script|style|textarea|noscript|template)\b{_ATTRS}>.*?(?:</\1\s*>|\Z)"
                     rf"|<(/?)([a-zA-Z][^\s/<>]*+)({_ATTRS})>", re.S | re.I)
-_ATTR = re.compile(r"""\b(class|id|role|aria-hidden|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""",
-                   re.I)
+# one attribute after the other: whole name, value
+_ATTR = re.compile(r"""([^\s/>=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?+""")
+_ASKED = frozenset("class id role aria-hidden hidden".split())
 _WORD = re.compile(r"[a-z]+")
 _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 _SPACE = re.compile(r"\s+")
@@ -134,7 +135,8 @@ def _present(tag: str, attrs: str) -> tuple[str, bool]:
         return tag, noise
     found = {}
     for k, v in _ATTR.findall(attrs):
-        found.setdefault(k.lower(), v.strip("\"'").lower())
+        if k.lower() in _ASKED:
+            found.setdefault(k.lower(), v.strip("\"'").lower())
     names = f"{found.get('class', '')} {found.get('id', '')}".strip()
     label = tag + "".join(f".{x}" for x in sorted(set(names.split())))
     if tag not in _ARTICLE and tag not in ("html", "body") and tag not in _HEADING:
