@@ -95,6 +95,13 @@ def test_tree_judges_the_whole_body(spark):
     assert {r.page_id: r.text for r in html.extract(df).collect()} == {p[0]: p[3] for p in pages}
 
 
+def test_copies_do_not_save_a_template(spark):
+    pages = site(12)
+    pages += [(100 + i, *pages[0][1:]) for i in range(30)]
+    df = spark.createDataFrame([p[:3] for p in pages], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html.extract(df).collect()} == {p[0]: p[3] for p in pages}
+
+
 def test_odd_rows_of_pages(spark):
     rows = [(1, None, None), (2, "nonsense", ""), (None, "http://h/", "<p>x</p>"), (3, "http://h/", "<p>x</p>"),
             (3, "http://h/", "<p>x</p>")]

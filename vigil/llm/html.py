@@ -12,14 +12,15 @@ noisy-named frame that holds all of a page's articles.  Elements that by their
 name carry no article (menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles, comments) go as well, which also serves hosts with few pages.
 
-The counts are summed where the pages are read, so a host with a third of all
-pages sends one row per place, style and content from each task.  Only places
-on at least ``MIN_SHARE`` of a host's pages can be cut; a host therefore keeps at
+Pages of a host with the same main text count once, so that copies do not make
+an article look like a template.  The counts are summed in each task before they
+are dealt out, so a host with a third of all pages sends one row per place,
+style and content from each task.  Only places on at least ``MIN_SHARE`` of a host's pages can be cut; a host therefore keeps at
 most (elements of a page / MIN_SHARE) of them, however many pages it has.
 
 Defined cases: null or empty html gives an empty text; a null url or one
-without a host belongs to the host ''; repeated rows count as pages of their
-own; hosts of under ``MIN_PAGES`` pages are judged by element names alone.
+without a host belongs to the host ''; hosts of under ``MIN_PAGES`` different
+main texts are judged by element names alone.
 """
 
 from __future__ import annotations
@@ -39,7 +40,6 @@ from vigil.llm.frames import freeze, same, small_batches
 from vigil.llm.tokens import CHUNK_BYTES
 
 MIN_PAGES, MIN_SHARE, LOW_IMPORTANCE = 5, 0.5, 0.25
-DIVERSE = 0.9              # least entropy of the main texts of a host that is judged
 SMALL_TABLE = 8 << 20      # bytes of cut places up to which they are broadcast
 
 # fixed values of HTML
@@ -158,37 +158,49 @@ def _elements(node: Element) -> Iterator[Element]:
         stack.extend(x for x in node.items if isinstance(x, Element))
 
 
-def style_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, place, kind, feature, n, pages) summed over the pages of a piece.
+def page_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, text, page, seen): hashes of the main text and of the page, and its places.
 
-    kind 0: pages with the place; 1: sequences of child styles; 2: contents, with
+    seen holds triples (place, kind, feature) in one array, each once.
+    kind 0: the place itself; 1: sequences of child styles; 2: contents, with
     all below, so that a branch is noise only if nothing in it varies.
-    Place 0 is the whole page, with its main text as the style.
+    Place 0 is the whole page.
     """
     for b in tokens.chunks(batches, "html", 4 * CHUNK_BYTES):
-        seen: dict[tuple, int] = {}
+        hosts, texts, pages, all_seen = [], [], [], []
         for url, page in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-            host, places, features = host_of(url), set(), set()
             root = parse(page or "")
-            places.add((0, 0, 0))
-            features.add((0, 1, _key(text_of(root))))
+            seen = {(0, 0, 0)}
             below: dict[int, int] = {}        # hash of all that an element holds
             for e in reversed(list(_elements(root))):
                 held = [str(below[id(x)]) if isinstance(x, Element) else _SPACE.sub(" ", x).strip()
                         for x in e.items]
                 below[id(e)] = _key("\0".join(x for x in held if x))
                 if e.parent:
-                    places.add((e.place, 0, 0))
-                    features.add((e.place, 1, _key("|".join(
+                    seen.add((e.place, 0, 0))
+                    seen.add((e.place, 1, _key("|".join(
                         x.label for x in e.items if isinstance(x, Element)))))
-                    features.add((e.place, 2, below[id(e)]))
-            for k in places | features:
-                seen[(host, *k)] = seen.get((host, *k), 0) + 1
-        cols = list(zip(*[(*k, n) for k, n in seen.items()]))
-        if cols:
-            yield pa.record_batch([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()),
-                                   pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int64()),
-                                   pa.array(cols[4], pa.int64())],
+                    seen.add((e.place, 2, below[id(e)]))
+            hosts.append(host_of(url))
+            texts.append(_key(text_of(root)))
+            pages.append(_key(page or ""))
+            all_seen.append([x for k in sorted(seen) for x in k])
+        yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(texts, pa.int64()),
+                               pa.array(pages, pa.int64()), pa.array(all_seen, pa.list_(pa.int64()))],
+                              names=["host", "text", "page", "seen"])
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, place, kind, feature, n): the triples of the pages of a batch, summed."""
+    for b in batches:
+        n: Counter = Counter()
+        for host, seen in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            n.update((host, *seen[i:i + 3]) for i in range(0, len(seen), 3))
+        if n:
+            host, place, kind, feature = zip(*n)
+            yield pa.record_batch([pa.array(host, pa.string()), pa.array(place, pa.int64()),
+                                   pa.array(kind, pa.int32()), pa.array(feature, pa.int64()),
+                                   pa.array(n.values(), pa.int64())],
                                   names=["host", "place", "kind", "feature", "n"])
 
 
@@ -205,7 +217,11 @@ def low_importance(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: floa
     """
     src = pages.select(F.lit(0).alias("page_id"), F.col("url").cast("string"),
                        F.col("html").cast("string"))
-    counted = src.mapInArrow(style_counts, "host string, place long, kind int, feature long, n long") \
+    # one page for each main text of a host
+    different = src.mapInArrow(page_features, "host string, text long, page long, seen array<long>") \
+        .groupBy("host", "text").agg(F.min(F.struct("page", "seen")).alias("one"))
+    counted = different.select("host", "one.seen") \
+        .mapInArrow(_counts, "host string, place long, kind int, feature long, n long") \
         .groupBy("host", "place", "kind", "feature").agg(F.sum("n").alias("n"))
     per_kind = counted.groupBy("host", "place", "kind").agg(
         F.sum("n").alias("total"), F.sum(F.col("n") * F.log2("n")).alias("nlogn"))
@@ -216,9 +232,7 @@ def low_importance(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: floa
         .alias("importance"))
     # read twice below: parse the pages once
     per_place = freeze(per_place, "places")
-    # on a host of copies all looks alike, the articles too: there the tree tells nothing
-    hosts = per_place.where((F.col("place") == 0) & (F.col("importance") >= DIVERSE)) \
-        .select("host", F.col("pages").alias("host_pages")) \
+    hosts = per_place.where("place = 0").select("host", F.col("pages").alias("host_pages")) \
         .where(F.col("host_pages") >= min_pages)
     noisy = per_place.where((F.col("place") != 0) & (F.col("importance") < low)) \
         .join(hosts, "host").where(F.col("pages") >= min_share * F.col("host_pages"))
