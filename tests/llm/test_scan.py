@@ -130,5 +130,30 @@ def test_skip_edges_carry_a_label_to_a_bare_mention():
     assert p[1].argmax() == 4 and p[1, 4] > 0.9
 
 
+def test_numbers_written_in_parts_meet_their_bare_repeats():
+    import pyarrow as pa
+    g = pii.Graph(pa.array(["tel +1 (415) 555-0123 or 4155550123 2 x, 415 555 0123, so 5550123 and 2020 5550199",
+                            "5550123 a 12 13", None, "415 555 0123 x\n77 4155550123"]))
+    pairs = {(g.text[a], g.text[b]) for a, b in g.skip.tolist()}
+    assert ("+1 (415) 555-0123", "4155550123") in pairs and ("4155550123", "415 555 0123,") in pairs
+    assert {b for _, b in pairs} >= {"5550123"} and not any("5550199" in x for p in pairs for x in p)
+    assert ("415 555 0123", "4155550123") in {(g.text[a], g.text[b]) for a, b in g.skip.tolist() if g.row[a] == 3}
+    assert all(g.row[a] == g.row[b] for a, b in g.skip.tolist())
+
+
+def test_messages_reach_the_end_of_a_long_chain():
+    import numpy as np
+    n = 60
+    unary = np.zeros((n, pii._K))
+    unary[0, 4] = 30.0
+    agree = np.where(np.eye(pii._K) > 0, 8.0, 0.0)
+    pairs = np.column_stack([np.arange(n - 1), np.arange(1, n)])
+    none = np.empty((0, 2), np.int64)
+    p = pii.marginals(unary, [(none, agree), (pairs, agree)])
+    t = np.exp(agree) / np.exp(agree).sum(axis=1, keepdims=True)
+    want = np.linalg.matrix_power(t, n - 1)[4]
+    assert np.allclose(p[-1], want, atol=1e-4) and p[-1, 4] > 0.8
+
+
 def test_personal_data_empty_table(spark):
     assert pii.pii_digest(cases.frame(spark, [])).count() == 0

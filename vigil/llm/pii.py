@@ -1,11 +1,13 @@
 """Personal data: fixed patterns plus a skip-chain conditional random field.
 
-The patterns find the base spans.  The field then labels every token that holds
-a digit or an ``@``: unary potentials come from the token's shape and its
-neighbours, chain edges join neighbouring tokens, and skip edges join each token
-to the previous one in the document with the same letters and digits.  Loopy
-message passing makes far-apart mentions agree, so a number that is spelled out
-once as a phone number is also found where it stands bare.  Tokens with a
+The patterns find the base spans.  The field then labels every candidate: a token
+that holds a digit or an ``@``, or a number written in several tokens.  Unary
+potentials come from the candidate's shape and its neighbours, chain edges join
+neighbours, and skip edges join each candidate to the previous one in the document
+with the same letters and digits, and numbers of which one is the end of the
+other (7 digits at least).  Messages pass until they settle and make far-apart
+mentions agree, so a number that is spelled out once as a phone number is also
+found where it stands bare.  Candidates with a
 marginal of at least ``confidence`` outside the base spans become added spans.
 
 The field is trained piecewise on a bounded sample of documents (``SAMPLE_DOCS``
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,7 +51,7 @@ _DIGITS = re.compile(r"[0-9]")
 SAMPLE_DOCS, SAMPLE_TOKENS = 4000, 100_000
 FEATURES = 1 << 12
 CONFIDENCE = 0.95
-ROUNDS = 8
+SETTLED = 1e-5              # change of a message that counts as none
 _K = len(KINDS) + 1          # label 0: no personal data
 
 
@@ -111,8 +114,92 @@ def _feature(name: str) -> int:
     return int.from_bytes(hashlib.blake2b(name.encode(), digest_size=4).digest(), "big") % FEATURES
 
 
+_NUMBER = re.compile(r"[+(]*[0-9][0-9+().,;:!?/-]*")     # a token of a number written in parts
+_WHOLE, _SUFFIX, _LONGEST = 9, 7, 19    # digits: whole by itself, told by its end, of any number
+
+
+def _digits(text: str) -> str:
+    return "".join(_DIGITS.findall(text))
+
+
+def _units(texts: list[str], start: list, end: list, spaced: list, spans: list, text: str) -> list:
+    """(first token, last token, key) of the candidates of one row, in order.
+
+    Tokens under one base span are one candidate, keyed by the span's own letters and
+    digits.  Of the other tokens, a run of number tokens with single spaces between
+    is cut where its parts say again (the end of) a number that the row holds;
+    otherwise a run of the size of one number stays whole.
+    """
+    n = len(texts)
+    owner: list = [None] * n
+    units, k = [], 0
+    for a, _, b in spans:
+        while k < n and end[k] <= a:
+            k += 1
+        j = k
+        while j < n and start[j] < b:
+            j += 1
+        if j > k and not any(owner[k:j]):
+            owner[k:j] = [True] * (j - k)
+            units.append((k, j - 1, _KEEP.sub("", text[a:b].lower())))
+    runs, i = [], 0
+    while i < n:
+        j = i + 1
+        if not owner[i] and _NUMBER.fullmatch(texts[i]):
+            while j < n and spaced[j] and not owner[j] and texts[j][0] != "+" \
+                    and _NUMBER.fullmatch(texts[j]):
+                j += 1
+        if not owner[i]:
+            runs.append((i, j, [_digits(t) for t in texts[i:j]]))
+        i = j
+    parted = [r for r in runs if r[1] - r[0] > 1]
+    whole = {r[0] for r in parted if _SUFFIX <= sum(map(len, r[2])) <= _LONGEST
+             and max(map(len, r[2])) < _WHOLE}
+    ends: set = set()
+    if parted:
+        known = {key for _, _, key in units if key.isdigit()}
+        known.update(d for i, j, ds in runs if j - i == 1 or i not in whole
+                     for t, d in zip(texts[i:j], ds) if _NUMBER.fullmatch(t))
+        known.update("".join(ds) for i, _, ds in parted if i in whole)
+        ends = {d[x:] for d in known if len(d) <= _LONGEST for x in range(len(d) - _SUFFIX + 1)}
+    for i, j, ds in runs:
+        at = i
+        while at < j:
+            size, best, key = 0, at, ""
+            for to in range(at, j if j - i > 1 else at):
+                size += len(ds[to - i])
+                if size > _LONGEST:
+                    break
+                if size >= _SUFFIX and (d := "".join(ds[at - i:to - i + 1])) in ends:
+                    best, key = to, d
+            units.append((at, best, key if best > at else _KEEP.sub("", texts[at].lower())))
+            at = best + 1
+    return sorted(units)
+
+
+def _links(keys: list[str]) -> list[tuple[int, int]]:
+    """Pairs of candidates of one row: each with the one before of its key, and the first of
+    a key with the nearest of the longest key that is its end.  A forest."""
+    places: dict[str, list[int]] = {}
+    for i, key in enumerate(keys):
+        if len(key) >= 4:
+            places.setdefault(key, []).append(i)
+    out = [(a, b) for at in places.values() for a, b in zip(at[:-1], at[1:])]
+    for key, at in places.items():
+        if key.isdigit() and len(key) <= _LONGEST:
+            for x in range(1, len(key) - _SUFFIX + 1):
+                if key[x:] in places:
+                    ends = places[key[x:]]
+                    k = bisect(ends, at[0])
+                    near = min(ends[max(0, k - 1):k + 1], key=lambda i: abs(i - at[0]))
+                    out.append((min(near, at[0]), max(near, at[0])))
+                    break
+    return out
+
+
 class Graph:
-    """Candidate tokens of the rows of a text column, with features and edges."""
+    """Candidates of the rows of a text column (tokens, or numbers of several tokens),
+    with base spans, features and edges."""
 
     def __init__(self, col: pa.Array):
         w = tokens.Words(col)
@@ -122,23 +209,37 @@ class Graph:
         self.live = np.diff(before[off]) > 0                      # rows with any candidate
         at = np.flatnonzero(before[w.end] > before[w.start])
         chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80, dtype=np.int64)])
-        self.row = w.row[at]
-        base = chars[off[self.row]]
-        self.start, self.end = chars[w.start[at]] - base, chars[w.end[at]] - base
-        self.text = [data[a:b].tobytes().decode() for a, b in zip(w.start[at], w.end[at])]
-        shapes = [shape(t) for t in self.text]
-        n = len(at)
-        near = np.zeros(n, bool)                                   # next to the one before
-        near[1:] = (np.diff(at) == 1) & (np.diff(self.row) == 0)
+        row = w.row[at]
+        base = chars[off[row]]
+        start, end = (chars[w.start[at]] - base).tolist(), (chars[w.end[at]] - base).tolist()
+        text = [data[a:b].tobytes().decode() for a, b in zip(w.start[at], w.end[at])]
+        next_to = np.zeros(len(at), bool)                          # next to the one before
+        next_to[1:] = (np.diff(at) == 1) & (np.diff(row) == 0)
+        spaced = next_to.copy()                                    # by a single space
+        spaced[1:] &= (w.start[at][1:] - w.end[at][:-1] == 1) & (data[w.start[at][1:] - 1] == 32)
+        self.spans: list[list] = [[]] * len(self.live)
+        rows, first, last, skip, self.text = [], [], [], [], []
+        bounds = np.searchsorted(row, np.arange(len(self.live) + 1))
+        for r in np.flatnonzero(self.live).tolist():
+            a, b = bounds[r], bounds[r + 1]
+            whole = data[off[r]:off[r + 1]].tobytes().decode()
+            self.spans[r] = base_spans(whole)
+            units = _units(text[a:b], start[a:b], end[a:b], spaced[a:b], self.spans[r], whole)
+            skip += [(len(rows) + x, len(rows) + y) for x, y in _links([k for *_, k in units]) if y - x > 1
+                     or not next_to[a + units[y][0]]]
+            for i, j, _ in units:
+                rows.append(r)
+                first.append(a + i)
+                last.append(a + j)
+                self.text.append(whole[start[a + i]:end[a + j]])
+        n = len(rows)
+        self.row = np.array(rows, np.int64)
+        self.start = np.array([start[i] for i in first], np.int64)
+        self.end = np.array([end[i] for i in last], np.int64)
+        near = next_to[np.array(first, np.int64)] if n else np.zeros(0, bool)
         self.chain = np.column_stack([np.flatnonzero(near) - 1, np.flatnonzero(near)])
-        skip, last = [], {}
-        for i, (t, r) in enumerate(zip(self.text, self.row.tolist())):
-            key = (r, _KEEP.sub("", t.lower()))
-            if len(key[1]) >= 4:
-                if key in last and last[key] != i - 1:
-                    skip.append((last[key], i))
-                last[key] = i
         self.skip = np.array(skip, np.int64).reshape(-1, 2)
+        shapes = [shape(t) for t in self.text]
         feats = np.zeros((n, 7), np.int64)
         for i, t in enumerate(self.text):
             digits = sum(c.isdigit() for c in t)
@@ -150,45 +251,62 @@ class Graph:
         self.feats = feats
 
 
-def spans_of_rows(g: Graph, texts: list) -> list[list]:
-    return [base_spans(t) if live and t else [] for t, live in zip(texts, g.live)]
-
-
-def token_labels(g: Graph, spans: list[list]) -> np.ndarray:
-    """1 + the kind of the base span that meets a token, or 0."""
+def token_labels(g: Graph) -> np.ndarray:
+    """1 + the kind of the base span that meets a candidate, or 0."""
     y = np.zeros(len(g.row), np.int64)
+    before, at = -1, 0
     for i, r in enumerate(g.row.tolist()):
-        for a, k, b in spans[r]:
-            if a < g.end[i] and g.start[i] < b:
-                y[i] = k + 1
+        spans = g.spans[r]
+        if r != before:
+            before, at = r, 0
+        while at < len(spans) and spans[at][2] <= g.start[i]:
+            at += 1
+        x = at
+        while x < len(spans) and spans[x][0] < g.end[i]:
+            if g.start[i] < spans[x][2]:
+                y[i] = spans[x][1] + 1
                 break
+            x += 1
     return y
 
 
 def marginals(unary: np.ndarray, edges: list[tuple[np.ndarray, np.ndarray]],
-              rounds: int = ROUNDS) -> np.ndarray:
+              rounds: int | None = None) -> np.ndarray:
     """Sum-product message passing; edges: (pairs, log potentials) of each kind.
 
-    Exact on forests once the rounds reach their depth, approximate on loops.
+    Messages pass until they settle: an edge is worked on as long as what comes in at
+    its source changes.  Exact on forests, approximate on loops, where ``rounds``
+    (by default four for each candidate, which the longest path needs at most,
+    and 200) ends a graph that swings.
     """
     n = len(unary)
     src = np.concatenate([np.concatenate([p[:, 0], p[:, 1]]) for p, _ in edges])
     dst = np.concatenate([np.concatenate([p[:, 1], p[:, 0]]) for p, _ in edges])
     if not len(src):
         return _softmax(unary)
-    pot = np.concatenate([np.concatenate([np.broadcast_to(w, (len(p), _K, _K)),
-                                          np.broadcast_to(w.T, (len(p), _K, _K))])
-                          for p, w in edges])
+    kind = np.concatenate([np.repeat([2 * k, 2 * k + 1], len(p)) for k, (p, _) in enumerate(edges)])
+    pot = np.stack([x for _, w in edges for x in (w, w.T)])
     # the message that runs against each edge's own
     back = np.concatenate([base + np.concatenate([np.arange(len(p)) + len(p), np.arange(len(p))])
                            for (p, _), base in zip(edges, np.cumsum(
                                [0] + [2 * len(p) for p, _ in edges])[:-1])])
     m = np.zeros((len(src), _K))
-    for _ in range(rounds):
-        into = _gather(m, dst, n)
-        out = _logsum(unary[src][:, :, None] + (into[src] - m[back])[:, :, None] + pot)
+    into = np.zeros((n, _K))
+    work = np.arange(len(src))
+    for _ in range(4 * n + 200 if rounds is None else rounds):
+        out = _logsum((unary[src[work]] + into[src[work]] - m[back[work]])[:, :, None] + pot[kind[work]])
         out -= out.max(axis=1, keepdims=True)
-        m = 0.5 * m + 0.5 * out
+        step = 0.5 * (out - m[work])
+        m[work] += step
+        moved = np.abs(step).max(axis=1) > SETTLED
+        if not moved.any():
+            break
+        np.add.at(into, dst[work], step)
+        touched = np.zeros(n, bool)
+        touched[dst[work[moved]]] = True
+        again = touched[src]
+        again[work[moved]] = True
+        work = np.flatnonzero(again)
     return _softmax(unary + _gather(m, dst, n))
 
 
@@ -226,12 +344,12 @@ def train(tokens_xy: tuple[np.ndarray, np.ndarray], chain: np.ndarray, skip: np.
     return w, ratio(chain), ratio(skip)
 
 
-def added_spans(g: Graph, spans: list[list], model: tuple, confidence: float) -> list[tuple]:
-    """(row, start, kind, end) of confident tokens outside the base spans; neighbours merge."""
+def added_spans(g: Graph, model: tuple, confidence: float) -> list[tuple]:
+    """(row, start, kind, end) of confident candidates outside the base spans; neighbours merge."""
     w, chain, skip = model
     p = marginals(w[g.feats].sum(axis=1), [(g.chain, chain), (g.skip, skip)])
     kind = p.argmax(axis=1)
-    sure = (kind > 0) & (p.max(axis=1) >= confidence) & (token_labels(g, spans) == 0)
+    sure = (kind > 0) & (p.max(axis=1) >= confidence) & (token_labels(g) == 0)
     follows = set(map(tuple, g.chain.tolist()))
     out: list[list] = []
     last = None
@@ -248,7 +366,7 @@ def _sample_rows(batches):
     """Training rows of a sample: one per token (t = 0) and one per edge (1 chain, 2 skip)."""
     for b in tokens.chunks(batches):
         g = Graph(b.column(1))
-        y = token_labels(g, spans_of_rows(g, b.column(1).to_pylist()))
+        y = token_labels(g)
         t = [0] * len(y) + [1] * len(g.chain) + [2] * len(g.skip)
         first = [*y.tolist(), *y[g.chain[:, 0]].tolist(), *y[g.skip[:, 0]].tolist()]
         second = [0] * len(y) + y[g.chain[:, 1]].tolist() + y[g.skip[:, 1]].tolist()
@@ -297,13 +415,10 @@ def pii_digest(docs: DataFrame, confidence: float = CONFIDENCE) -> DataFrame:
             counts = np.zeros((n, len(KINDS)), np.int64)
             sha, spelled = [nothing] * n, [""] * n
             live = np.flatnonzero(g.live)
-            texts = b.column(1)
-            spans: list[list] = [[]] * n
-            for r in live.tolist():
-                spans[r] = base_spans(texts[r].as_py())
+            spans = g.spans
             more: dict[int, list] = {}
             if model is not None and len(live):
-                for r, a, k, e in added_spans(g, spans, model, confidence):
+                for r, a, k, e in added_spans(g, model, confidence):
                     more.setdefault(r, []).append((a, k, e))
             for r in live.tolist():
                 for _, k, _ in spans[r]:
