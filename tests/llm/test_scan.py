@@ -1,5 +1,6 @@
 import re
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -131,7 +132,6 @@ def test_skip_edges_carry_a_label_to_a_bare_mention():
 
 
 def test_numbers_written_in_parts_meet_their_bare_repeats():
-    import pyarrow as pa
     g = pii.Graph(pa.array(["tel +1 (415) 555-0123 or 4155550123 2 x, 415 555 0123, so 5550123 and 2020 5550199",
                             "5550123 a 12 13", None, "415 555 0123 x\n77 4155550123"]))
     pairs = {(g.text[a], g.text[b]) for a, b in g.skip.tolist()}
@@ -155,5 +155,19 @@ def test_messages_reach_the_end_of_a_long_chain():
     assert np.allclose(p[-1], want, atol=1e-4) and p[-1, 4] > 0.8
 
 
+def test_edges_and_rare_forms_are_learned_from_all_documents(spark):
+    rows = [(i, f"row {i} of 4 5 and +1 (415) 555-0123 or 4155550123") for i in range(6000)]
+    rows.append((-1, "key zz-12@3 at a.b@c.de x a.b@c.de"))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    table = {(r.t, r.a, r.b, tuple(r.x or ())): r.n for r in pii.training_table(df).collect()}
+    assert table[2, 4, 0, ()] == 6000 and table[2, 1, 1, ()] == 1
+    assert sum(n for (t, *_), n in table.items() if t == 0) == sum(
+        len(pii.Graph(pa.array([t])).row) for _, t in rows)
+    w, _, _ = pii.fit(df)
+    g = pii.Graph(pa.array([rows[-1][1]]))
+    assert pii._softmax(w[g.feats].sum(axis=1))[1].argmax() == 1      # the e-mail of one document
+    assert pii.fit(df, max_forms=1) is not None
+
+
 def test_personal_data_empty_table(spark):
     assert pii.pii_digest(cases.frame(spark, [])).count() == 0

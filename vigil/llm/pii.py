@@ -10,9 +10,11 @@ mentions agree, so a number that is spelled out once as a phone number is also
 found where it stands bare.  Candidates with a
 marginal of at least ``confidence`` outside the base spans become added spans.
 
-The field is trained piecewise on a bounded sample of documents (``SAMPLE_DOCS``
-in the mean, chosen by a hash of the id), with the base spans as labels: softmax
-regression for the unaries, smoothed log ratios of pair counts for the edges.
+The field is trained piecewise with the base spans as labels: smoothed log ratios
+of the label pairs of all edges of the corpus, and softmax regression for the
+unaries.  Candidates with the same features and label form one training row with
+their number in the corpus as its weight; of over ``MAX_FORMS`` such forms, those
+with the lowest hashes (some half of the bound at least) are learned from.
 Documents without a digit or an ``@`` hold no personal data of these kinds and
 cost one look at their bytes.  Repeats are linked in a chain, so the graph stays
 linear in the document's length.
@@ -27,6 +29,7 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm import tokens
-from vigil.llm.frames import documents
+from vigil.llm.frames import documents, freeze
 
 # fixed values: kinds in their listed order, and their patterns; the look-behinds
 # and possessive quantifiers only spare work on long runs
@@ -48,7 +51,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]")
 
-SAMPLE_DOCS, SAMPLE_TOKENS = 4000, 100_000
+MAX_FORMS = 100_000          # different forms of candidates the unaries learn from
 FEATURES = 1 << 12
 CONFIDENCE = 0.95
 SETTLED = 1e-5              # change of a message that counts as none
@@ -324,14 +327,14 @@ def _softmax(x):
     return e / e.sum(axis=1, keepdims=True)
 
 
-def train(tokens_xy: tuple[np.ndarray, np.ndarray], chain: np.ndarray, skip: np.ndarray,
-          rounds: int = 120) -> tuple:
-    """Weights (unary, chain, skip) from token features and labels, and pair counts."""
-    x, y = tokens_xy
+def train(x: np.ndarray, y: np.ndarray, weight: np.ndarray, chain: np.ndarray,
+          skip: np.ndarray, rounds: int = 120) -> tuple:
+    """Weights (unary, chain, skip) from features and labels with weights, and pair counts."""
+    weight = (weight / weight.sum())[:, None]
     w, mem = np.zeros((FEATURES, _K)), np.full((FEATURES, _K), 1e-6)
     goal = np.eye(_K)[y]
     for _ in range(rounds):
-        err = (_softmax(w[x].sum(axis=1)) - goal) / len(y)
+        err = (_softmax(w[x].sum(axis=1)) - goal) * weight
         grad = np.column_stack([np.bincount(x.ravel(), np.repeat(err[:, k], x.shape[1]), FEATURES)
                                 for k in range(_K)]) + 1e-5 * w
         mem += grad ** 2
@@ -362,37 +365,47 @@ def added_spans(g: Graph, model: tuple, confidence: float) -> list[tuple]:
     return [tuple(x) for x in out]
 
 
-def _sample_rows(batches):
-    """Training rows of a sample: one per token (t = 0) and one per edge (1 chain, 2 skip)."""
+def _train_rows(batches):
+    """(t, a, b, x, n), summed over a piece: candidates (t = 0) with their label and features,
+    and label pairs of edges (1 chain, 2 skip)."""
     for b in tokens.chunks(batches):
         g = Graph(b.column(1))
         y = token_labels(g)
-        t = [0] * len(y) + [1] * len(g.chain) + [2] * len(g.skip)
-        first = [*y.tolist(), *y[g.chain[:, 0]].tolist(), *y[g.skip[:, 0]].tolist()]
-        second = [0] * len(y) + y[g.chain[:, 1]].tolist() + y[g.skip[:, 1]].tolist()
-        feats = [*g.feats.tolist(), *[None] * (len(t) - len(y))]
-        yield pa.record_batch([pa.array(t, pa.int32()), pa.array(first, pa.int32()),
-                               pa.array(second, pa.int32()), pa.array(feats, pa.list_(pa.int32()))],
-                              names=["t", "a", "b", "x"])
-
-
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> tuple | None:
-    src = documents(docs)
-    part = int(min(1.0, sample_docs / max(1, docs.count())) * (1 << 31))
-    chosen = src.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) <= part)
-    rows = chosen.mapInArrow(_sample_rows, "t int, a int, b int, x array<int>") \
-        .limit(SAMPLE_TOKENS).toPandas()
-    tok = rows[rows.t == 0]
-    if not len(tok):
+        n = Counter((0, k, 0, tuple(x)) for k, x in zip(y.tolist(), g.feats.tolist()))
+        for t, pairs in ((1, g.chain), (2, g.skip)):
+            n.update((t, p, q, None) for p, q in zip(y[pairs[:, 0]].tolist(), y[pairs[:, 1]].tolist()))
+        if n:
+            t, first, second, feats = zip(*n)
+            yield pa.record_batch([pa.array(t, pa.int32()), pa.array(first, pa.int32()),
+                                   pa.array(second, pa.int32()), pa.array(feats, pa.list_(pa.int32())),
+                                   pa.array(n.values(), pa.int64())], names=["t", "a", "b", "x", "n"])
+
+
+def training_table(docs: DataFrame) -> DataFrame:
+    """(t, a, b, x, n, level) of all documents; level: leading zero bits of the form's hash."""
+    rows = documents(docs).mapInArrow(_train_rows, "t int, a int, b int, x array<int>, n long") \
+        .groupBy("t", "a", "b", "x").agg(F.sum("n").alias("n"))
+    return rows.withColumn("level", F.lit(64) - F.length(F.bin(F.xxhash64("a", "x"))))
+
+
+def fit(docs: DataFrame, max_forms: int = MAX_FORMS) -> tuple | None:
+    table = freeze(training_table(docs), "pii-training")
+    sizes = {r.level: r.n for r in
+             table.where("t = 0").groupBy("level").agg(F.count("*").alias("n")).collect()}
+    if not sizes:
         return None
-    counts = []
-    for t in (1, 2):
-        c = np.zeros((_K, _K))
-        pairs = rows[rows.t == t]
-        np.add.at(c, (pairs.a.to_numpy(), pairs.b.to_numpy()), 1)
-        counts.append(c)
-    x = np.array(tok.x.tolist(), np.int64).reshape(len(tok), -1)
-    return train((x, tok.a.to_numpy(np.int64)), *counts)
+    # the lowest level from which on the forms fit the bound
+    least, kept = max(sizes), sizes[max(sizes)]
+    for k in sorted(sizes, reverse=True)[1:]:
+        if kept + sizes[k] > max_forms:
+            break
+        least, kept = k, kept + sizes[k]
+    forms = table.where((F.col("t") == 0) & (F.col("level") >= least)).orderBy("a", "x").toPandas()
+    counts = np.zeros((3, _K, _K))
+    for r in table.where("t > 0").collect():
+        counts[r.t, r.a, r.b] = r.n
+    x = np.array(forms.x.tolist(), np.int64).reshape(len(forms), -1)
+    return train(x, forms.a.to_numpy(np.int64), forms.n.to_numpy(np.float64), counts[1], counts[2])
 
 
 def _spell(spans) -> str:
