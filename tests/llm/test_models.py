@@ -116,6 +116,17 @@ def test_leaks_are_found_and_clean_documents_left(spark, benchmark):
     assert clean.columns == docs.columns and clean.count() == len(rows) - 4
 
 
+def test_short_and_unspaced_items_match_where_they_stand_whole(spark):
+    items = spark.createDataFrame([(1, "Who wrote Emma?"), (2, "\u4e2d\u56fd\u7684\u9996\u90fd\u662f\u54ea\u5ea7\u57ce\u5e02\uff1f"),
+                                   (3, "\u0e01\u0e23\u0e38\u0e07\u0e40\u0e17\u0e1e"), (4, "?!"), (5, "Emma")],
+                                  "item_id long, text string")
+    rows = [(1, "ask: who wrote emma, then"), (2, "who wrote it"), (3, "\u95ee\uff1a\u4e2d\u56fd\u7684\u9996\u90fd\u3001\u662f\u54ea\u5ea7\u57ce\u5e02\u3002\u7b54"),
+            (4, "\u4e2d\u56fd\u7684"), (5, "x\u0e01\u0e23\u0e38\u0e07\u0e40\u0e17\u0e1ey"), (6, "emmanuel ?! wrote"), (7, None)]
+    got = sorted((r.doc_id, r.item_id, r.coverage) for r in decontaminate.matches(
+        cases.frame(spark, rows), items).collect())
+    assert got == [(1, 1, 1.0), (1, 5, 1.0), (3, 2, 1.0), (5, 3, 1.0)]
+
+
 def test_empty_benchmark_and_documents(spark, benchmark):
     docs = cases.frame(spark, cases.odd_texts())
     none = decontaminate.decontaminate(docs, benchmark[1].limit(0))

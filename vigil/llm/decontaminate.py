@@ -1,7 +1,8 @@
 """Benchmark decontamination by greedy string tiling.
 
 Documents and benchmark items become sequences of normalised tokens (case of
-A-Z and ASCII punctuation do not count).  Seeds of ``min_match`` tokens that a
+A-Z and punctuation do not count; in scripts written without spaces each
+character is a token).  Seeds of ``min_match`` tokens that a
 document shares with an item select the (document, item) pairs; a pair goes on
 only if its seeds could still cover the threshold, which no tiling can exceed.
 Greedy string tiling then marks the longest common runs first, never overlapping,
@@ -13,7 +14,8 @@ The benchmark goes to the executors in blocks of bounded size, each against all
 documents; no text is shuffled and no pair leaves its task.
 
 Defined cases: a null or empty text is clean; an item of under ``min_match``
-tokens is too short to be evidence and never matches; several items of equal
+tokens matches where it stands whole, as one run; an item without tokens never
+matches; several items of equal
 coverage: the smallest item_id is named; rows that share a doc_id share the
 verdict (the highest coverage); a null doc_id is an id like any other; with an
 empty benchmark all documents are clean.
@@ -52,6 +54,15 @@ class Items:
         # bit table that passes every seed and few other hashes
         self.sieve = np.zeros(1 << _BITS, bool)
         self.sieve[self.seed >> np.uint64(64 - _BITS)] = True
+        # items of fewer tokens, by their length: hash of the whole item, item
+        sizes = np.diff(w.first)
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for n in range(1, min_match):
+            whole, at = w.grams(n)
+            mine = sizes[w.row[at]] == n
+            if mine.any():
+                order = np.argsort(whole[mine], kind="stable")
+                self.short[n] = whole[mine][order], w.row[at][mine][order]
 
 
 def greedy_tiles(item: np.ndarray, doc: np.ndarray, starts: np.ndarray,
@@ -115,6 +126,18 @@ def _scan(item, doc, starts, free_i, free_d, length):
     return longest, found
 
 
+def _short_hits(items: Items, w: tokens.Words) -> Iterator[tuple[int, int, int]]:
+    """(row, item, tokens) of the items under min_match tokens that stand whole in a row."""
+    for n, (whole, item) in items.short.items():
+        h, at = w.grams(n)
+        hit = np.flatnonzero(np.isin(h, whole))
+        row, seen = np.unique(np.stack([w.row[at[hit]].astype(np.uint64), h[hit]]), axis=1)
+        lo, hi = np.searchsorted(whole, seen, "left"), np.searchsorted(whole, seen, "right")
+        for r, a, b in zip(row.tolist(), lo.tolist(), hi.tolist()):
+            for k in item[a:b].tolist():
+                yield r, k, n
+
+
 def _matcher(block, min_match: int, threshold: float):
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("coverage", pa.float64()),
                         ("n_tiles", pa.int32()), ("matched", pa.int32())])
@@ -147,6 +170,7 @@ def _matcher(block, min_match: int, threshold: float):
                 matched = sum(t[2] for t in tiles)
                 if matched >= threshold * len(item):
                     out.append((ids[row], items.ids[k], matched / len(item), len(tiles), matched))
+            out.extend((ids[row], items.ids[k], 1.0, 1, n) for row, k, n in _short_hits(items, w))
             if out:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), schema.types)],
                                       schema=schema)

@@ -54,6 +54,13 @@ _PUNCT = WHITE.copy()
 _PUNCT[[c for c in range(128) if not chr(c).isalnum()]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+# scripts written without spaces between words: each character is a normalised token
+UNSPACED = [(0x0E00, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x3005, 0x3007),
+            (0x3031, 0x312F), (0x31A0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA9E0, 0xA9FF),
+            (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF)]
+# their spaces and punctuation separate like those of ASCII
+WIDE_PUNCT = [(0x3000, 0x3004), (0x3008, 0x3030), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20),
+              (0xFF3B, 0xFF40), (0xFF5B, 0xFF65)]
 
 
 def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -69,6 +76,29 @@ def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0]:off[-1]], off - off[0]
 
 
+def _within(code: np.ndarray, ranges: list) -> np.ndarray:
+    flat = np.array(ranges).ravel()
+    flat[1::2] += 1
+    return np.searchsorted(flat, code, "right") % 2 == 1
+
+
+def _unspaced(data: np.ndarray, inside: np.ndarray, edge: np.ndarray) -> None:
+    """Word edges around each character of unspaced scripts; wide punctuation is outside."""
+    for lead, size in ((0xE0, 3), (0xF0, 4)):
+        at = np.flatnonzero((data >= lead) & (data < lead + (16 if size == 3 else 8)))
+        at = at[at + size <= len(data)]
+        if not len(at):
+            continue
+        code = (data[at] & (0x0F if size == 3 else 0x07)).astype(np.int64)
+        for k in range(1, size):
+            code = (code << 6) | (data[at + k] & 0x3F)
+        alone = at[_within(code, UNSPACED)]
+        edge[alone] = edge[alone + size] = True
+        wide = at[_within(code, WIDE_PUNCT)]
+        for k in range(size):
+            inside[wide + k] = False
+
+
 def chunks(batches: Iterator[pa.RecordBatch], text: str = "text",
            limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches by rows so that the texts of a piece stay near ``limit`` bytes.
@@ -96,7 +126,8 @@ class Words:
 
     ``start``/``end``: byte spans; ``row``: the row of each word; ``first``:
     n + 1 offsets of each row's words; ``hash``: 64-bit word hashes.
-    ``normal``: case of A-Z and ASCII punctuation do not count.
+    ``normal``: case of A-Z and punctuation do not count, and each character of a
+    script written without spaces (``UNSPACED``) is a word.
     """
 
     def __init__(self, col: pa.Array, normal: bool = False):
@@ -106,6 +137,8 @@ class Words:
         n = len(data)
         edge = np.zeros(n + 1, bool)
         edge[off] = True
+        if normal and n and data.max() >= 0xE0:
+            _unspaced(data, inside, edge)
         before = np.empty(n, bool)
         after = np.empty(n, bool)
         if n:
