@@ -1,14 +1,17 @@
 """Models: bundle round trip, score invariants, isolation forest, metrics."""
 
 import numpy as np
+import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from tests.conftest import SF01
 from vigil.ml.bundle import load_bundle, save_bundle
+from vigil.ml.ensemble import EnsembleConfig
 from vigil.ml.forest import ForestConfig, score_events, train_forest
 from vigil.ml.iforest import average_path_length, fit_iforest, grow_tree, score_iforest
 from vigil.operators import metrics
+from vigil.plans import models
 from vigil.session import scratch_path
 from vigil.plans.models import _feature_rows
 
@@ -35,6 +38,27 @@ def test_forest_bundle_round_trip(spark):
     assert all(abs(r.t - 1) < 1e-9 and abs(r.one - 1) < 1e-12 for r in s)
 
 
+def test_width_comes_from_the_data(spark, tmp_path):
+    def table(*sizes):
+        d = str(tmp_path / "-".join(map(str, sizes)))
+        spark.createDataFrame([(i, [float(x) for x in range(n)], i % 3) for i, n in enumerate(sizes)],
+                              "vec_id long, embedding array<float>, label int").write.parquet(
+            f"{d}/embeddings.parquet")
+        return d
+    rows = models._feature_rows(spark, table(70, 70, 70))
+    assert models._feats(rows) == [f"f{i}" for i in range(70)]
+    assert rows.select("f69").first()[0] == 69.0
+    with pytest.raises(ValueError, match="70 to 71"):
+        models._feature_rows(spark, table(70, 71))
+
+
+def test_boosted_queries_have_the_reference_settings():
+    full = EnsembleConfig()
+    assert (models.ENS_CFG.gbt_rounds, models.ENS_CFG.gbt_depth) == (full.gbt_rounds, full.gbt_depth) == (300, 8)
+    assert {"gbt_score", "gbt_score_10x4", "ensemble_decision", "ensemble_decision_10x4"} <= set(
+        models.MODEL_QUERIES)
+
+
 def test_average_path_length():
     got = average_path_length([0, 1, 2, 256])
     assert got[0] == 0 and got[1] == 0 and got[2] == 1

@@ -436,4 +436,6 @@ QUERY_OPERATORS = {
     "lr_score": "M10, X3, M2, U5",
     "gbt_score": "M11, X4, M2, U5",
     "ensemble_decision": "M9-M11, R2, R9, X1-X4",
+    "gbt_score_10x4": "M11, X4, M2, U5 (10 rounds of depth 4)",
+    "ensemble_decision_10x4": "M9-M11, R2, R9, X1-X4 (10 rounds of depth 4)",
 }

@@ -18,7 +18,7 @@ from vigil.ml.bundle import load_bundle, save_bundle
 from vigil.ml.ensemble import fit_ensemble, score_ensemble
 from vigil.ml.forest import bundle_metadata, score_events, train_forest
 from vigil.ml.iforest import EULER_GAMMA, NODE_SCHEMA
-from vigil.plans.models import ENS_CFG, N_FEAT, RF_CFG, _ensemble_input, _feature_rows
+from vigil.plans.models import ENS_CFG, RF_CFG, _ensemble_input, _feats, _feature_rows
 from vigil.schema import (ALERT_HIGH, ALERT_LOW, ALERT_NONE, ANOMALY_THRESHOLD, CONFIDENCE_THRESHOLD,
                           SEVERITY_HIGH, SEVERITY_MEDIUM, SEVERITY_NONE)
 from vigil.session import scratch_path
@@ -59,10 +59,11 @@ def _forest_nodes(spark, forest) -> DataFrame:
 def q_rf_check(spark, sf_dir):
     """Class probabilities from the node tables."""
     rows = _feature_rows(spark, sf_dir)
-    model, labels, scores, _ = train_forest(rows, [f"f{i}" for i in range(N_FEAT)], RF_CFG)
+    feats = _feats(rows)
+    model, labels, scores, _ = train_forest(rows, feats, RF_CFG)
     path = scratch_path(spark, "rf_check")
     save_bundle(spark, path, model, labels,
-                bundle_metadata(RF_CFG, f"{sf_dir}/embeddings.parquet", scores, N_FEAT, spark.version))
+                bundle_metadata(RF_CFG, f"{sf_dir}/embeddings.parquet", scores, len(feats), spark.version))
     loaded, names, benign = load_bundle(spark, path)
     nodes = _forest_nodes(spark, loaded.stages[-1])
     fitted = model.transform(rows).select("vec_id", vector_to_array("probability").alias("p_fitted"))
@@ -148,14 +149,14 @@ def q_stream_score_check(spark, sf_dir):
     from vigil.plans.score import ScoreJob, start
     from vigil.sinks.kafka import replay_payload
     rows = _feature_rows(spark, sf_dir)
-    feats = [f"f{i}" for i in range(N_FEAT)]
+    feats = _feats(rows)
     model, labels, scores, _ = train_forest(rows, feats, RF_CFG)
     d = scratch_path(spark, "stream_check")
     save_bundle(spark, f"{d}/model", model, labels,
-                bundle_metadata(RF_CFG, f"{sf_dir}/embeddings.parquet", scores, N_FEAT, spark.version))
+                bundle_metadata(RF_CFG, f"{sf_dir}/embeddings.parquet", scores, len(feats), spark.version))
     replay_payload(rows, feats).write.text(f"{d}/in")
     job = ScoreJob(model_dir=f"{d}/model", checkpoint_dir=f"{d}/checkpoint", source="files",
-                   input=f"{d}/in", output=f"{d}/out", n_features=N_FEAT, enable_metrics=True,
+                   input=f"{d}/in", output=f"{d}/out", n_features=len(feats), enable_metrics=True,
                    available_now=True, max_files_per_trigger=2)
     for q in start(spark, job):
         q.awaitTermination()

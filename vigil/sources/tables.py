@@ -65,3 +65,12 @@ def embeddings_features(spark: SparkSession, sf_dir: str, n: int = 10,
 def embedding_columns(df: DataFrame, n: int, col: str = "embedding") -> DataFrame:
     """Unpack the first n array entries into f0..f{n-1} DOUBLE columns."""
     return df.withColumns({f"f{i}": F.get(F.col(col), i).cast("double") for i in range(n)})
+
+
+def array_width(df: DataFrame, col: str = "embedding") -> int:
+    """The number of entries that all arrays of the column have; null arrays do not count."""
+    n = F.when(F.col(col).isNotNull(), F.size(col))
+    lo, hi = df.agg(F.min(n), F.max(n)).first()
+    if lo is None or lo != hi:
+        raise ValueError(f"{col}: arrays of {lo} to {hi} entries, one width is needed")
+    return hi
