@@ -2,10 +2,12 @@
 stream = batch on closed windows."""
 
 import datetime as dt
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from vigil.operators import metrics
+from vigil.plans.streams import _stage_in_order
 from vigil.session import scratch_path
 from vigil.streaming.dedup import dedup_events
 from vigil.streaming.run import read_sink, run_available_now, run_foreach_batch
@@ -25,6 +27,23 @@ def _write(spark, rows, path):
     spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
+def test_staged_batches_are_split_and_keep_rows_without_time(spark):
+    for n in (400, 3):
+        src = f"{scratch_path(spark, 't_staged')}/{n}"
+        rows = _rows(range(n)) + [(n, None, 0, 0, 1, 0, True, True)]
+        files = _stage_in_order(spark, spark.createDataFrame(rows, SCHEMA), src, 4)
+        assert files == spark.sparkContext.defaultParallelism
+        got = spark.read.schema(SCHEMA).parquet(src).select("id", "_metadata.file_path",
+                                                            "_metadata.file_modification_time")
+        assert sorted(r.id for r in got.collect()) == list(range(n + 1))
+        at = sorted((p.stat().st_mtime_ns, p.name) for p in Path(src.removeprefix("file:")).glob("*.parquet"))
+        assert len(at) == 4 * files
+        batch = {name: k // files for k, (_, name) in enumerate(at)}
+        of = {r.id: batch[r.file_path.rsplit("/", 1)[1]] for r in got.collect()}
+        assert of[n] == 0 and [of[i] for i in range(n)] == sorted(of[i] for i in range(n))
+        assert len({r.file_path for r in got.collect()}) > 4 or n == 3
+
+
 def test_late_rows_dropped_and_restart(spark):
     base = scratch_path(spark, "t_late")
     src, out, ck = f"{base}/in", f"{base}/out", f"{base}/ck"

@@ -71,12 +71,27 @@ def q_confusion_window_stream(spark, sf_dir):
 BATCHES = 4
 
 
-def _stage_in_order(spark, ev: DataFrame, src: str, parts: int = BATCHES) -> None:
-    """The events as ``parts`` files, one write after the other in time order.
+def _stage(batch: DataFrame, src: str) -> int:
+    """Append the rows as one batch of files; the number of files.
 
-    The file source reads files by their time, so with one file to a trigger the
-    stream sees the events in this order over as many batches.
+    The file source reads files by their time, so with that number of files to a
+    trigger the stream sees write after write.  Every task writes one file; where
+    rows are too few for that, empty files make up the number.
     """
+    spark = batch.sparkSession
+    files = spark.sparkContext.defaultParallelism
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(f"{src}/*.parquet")
+    fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    before = len(fs.globStatus(fs_path))
+    batch.repartition(files).write.mode("append").parquet(src)
+    for _ in range(len(fs.globStatus(fs_path)) - before, files):
+        batch.limit(0).coalesce(1).write.mode("append").parquet(src)
+    return files
+
+
+def _stage_in_order(spark, ev: DataFrame, src: str, parts: int = BATCHES) -> int:
+    """The events as ``parts`` batches of files, one write after the other in time
+    order, rows without a time in the first; the number of files of a batch."""
     sec = F.unix_micros(F.col("ts").cast("timestamp"))
     cuts = ev.select((sec / 1e6).alias("t")).approxQuantile(
         "t", [k / parts for k in range(1, parts)], 0.001)
@@ -86,8 +101,10 @@ def _stage_in_order(spark, ev: DataFrame, src: str, parts: int = BATCHES) -> Non
         if lo is not None:
             part = part.filter(sec / 1e6 > lo)
         if hi is not None:
-            part = part.filter(sec / 1e6 <= hi)
-        part.coalesce(1).write.mode("append").parquet(src)
+            within = sec / 1e6 <= hi
+            part = part.filter(within if lo is not None else within | sec.isNull())
+        files = _stage(part, src)
+    return files
 
 
 def q_stream_dedup(spark, sf_dir):
@@ -97,8 +114,8 @@ def q_stream_dedup(spark, sf_dir):
     src = f"{base}/input"
     ev = read_table(spark, sf_dir, "events")
     _stage_in_order(spark, ev, src)
-    ev.coalesce(1).write.mode("append").parquet(src)
-    s = _events_stream(spark, src, ev.schema, max_files=1)
+    files = _stage(ev, src)
+    s = _events_stream(spark, src, ev.schema, max_files=files)
     s = s.withColumn("event_id", event_key("topic", "partition", "offset"))
     d = dedup_events(s, ["event_id"], "kafka_ts", WATERMARK).select(
         "event_id", "topic", "partition", "offset", "f1")
@@ -115,21 +132,21 @@ def q_late_rows(spark, sf_dir):
     _stage_in_order(spark, ev, src)
     sec = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
     cut = ev.select(sec.alias("t")).approxQuantile("t", [1 / BATCHES], 0.001)[0]
-    ev.filter(sec <= cut).coalesce(1).write.mode("append").parquet(src)
-    scored = _score(_events_stream(spark, src, ev.schema, max_files=1))
+    files = _stage(ev.filter(sec <= cut), src)
+    scored = _score(_events_stream(spark, src, ev.schema, max_files=files))
     m = metrics.confusion_by_window(scored, "kafka_ts", METRICS_WINDOW, watermark=WATERMARK)
     run_available_now(m, f"{base}/out", f"{base}/checkpoint")
     return _metrics_text(read_sink(spark, f"{base}/out", schema=m.schema))
 
 
 def q_rate_limited_stream(spark, sf_dir):
-    """With one file to a trigger, batch k holds the k-th file and no more."""
+    """With the files of one write to a trigger, batch k holds the k-th write and no more."""
     base = scratch_path(spark, "rate_limited")
     src, out = f"{base}/input", f"{base}/out"
     ev = read_table(spark, sf_dir, "events")
     for k in range(BATCHES):
-        ev.filter(F.col("event_id") % BATCHES == k).coalesce(1).write.mode("append").parquet(src)
-    s = _events_stream(spark, src, ev.schema, max_files=1).select("offset")
+        files = _stage(ev.filter(F.col("event_id") % BATCHES == k), src)
+    s = _events_stream(spark, src, ev.schema, max_files=files).select("offset")
 
     def keep(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(out)
