@@ -148,13 +148,13 @@ FROM marked GROUP BY doc_id""",
     "op11_hard_negatives": """
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
   SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike,
-         CAST(coalesce(list_sum(list_transform(range(1, len(a.x) + 1), i -> a.x[i] * b.x[i])), 0) AS BIGINT) AS score
+         CAST(coalesce(list_sum(list_transform(range(1, len(a.x) + 1), lambda i: a.x[i] * b.x[i])), 0) AS BIGINT) AS score
   FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)),
 positives AS (
   SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE alike
@@ -175,8 +175,8 @@ WITH RECURSIVE own AS (
   FROM conversations WHERE conv_id IS NOT NULL),
 convs AS (
   SELECT conv_id, xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
-             string_split(conv_id::VARCHAR, ''), c -> list_concat([ascii(c)::BIGINT], list_transform(range(8), k -> -1::BIGINT))))),
-           (a, x) -> CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295) % 6 AS h
+             string_split(conv_id::VARCHAR, ''), lambda c: list_concat([ascii(c)::BIGINT], list_transform(range(8), lambda k: -1::BIGINT))))),
+           lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295) % 6 AS h
   FROM (SELECT DISTINCT conv_id FROM own)),
 turns AS (
   SELECT c.conv_id, o.i, 0 AS part, o.role, o.text FROM convs c JOIN own o
