@@ -144,7 +144,7 @@ def hypergeometric(population: str, marked: str, drawn: str, u: str) -> str:
 # a multivariate draw: source after source, each from the blocks that are left
 _TOTAL = "aggregate({}, 0L, (a, x) -> a + x)"
 _UNIFORM = f"shiftrightunsigned(xxhash64({SEED}, node, i), 11) / {float(1 << 53)!r}D"
-_DRAW = f"""aggregate(sequence(0, size(quotas) - 1),
+_DRAW = f"""aggregate(slice(sequence(0, size(quotas)), 1, size(quotas)),
     named_struct('left', cast(array() AS array<bigint>), 'population', {_TOTAL.format("quotas")}),
     (acc, i) -> named_struct(
         'left', concat(acc.left, array({hypergeometric(
