@@ -2,8 +2,9 @@
 
 The reference trains these on one machine and scores them through four
 Python UDFs that each re-run the scaler.  Here the scaler is fitted once
-with MLlib, LR and boosted trees are MLlib models applied in the JVM, and
-only the isolation forest runs in Python (one Arrow UDF per batch).
+with MLlib, LR is an MLlib model applied in the JVM, and the isolation forest
+and the boosted trees (:mod:`vigil.ml.boost`, one joint softmax booster) run in
+one Arrow UDF each per batch.
 
 Training data, as in the reference:
 * scaler     : every row whose features are all finite;
@@ -18,17 +19,19 @@ import math
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsRest)
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.columns import hash_uniform
+from vigil.ml.boost import BoostConfig, BoostModel, fit_boost, score_boost
 from vigil.ml.iforest import IsolationForestModel, fit_iforest, score_iforest
 from vigil.ml.scaling import ArrayScaler, fit_scaler
 from vigil.operators import rules, sample
 from vigil.functions.columns import f32_finite
+from vigil.operators.align import frozen
 from vigil.operators.clean import zero_nonfinite_array
 from vigil.schema import (BENIGN, BENIGN_CAP, BENIGN_MIN, COMPOUND_RULE_F1, COMPOUND_RULE_F2,
                           GBT_DEPTH, GBT_ROUNDS, GBT_STEP, GBT_SUBSAMPLE, ISO_CONTAMINATION,
@@ -61,7 +64,7 @@ class EnsembleModel:
     scaler: ArrayScaler
     iforest: IsolationForestModel | None
     lr: PipelineModel | None = None
-    gbt: PipelineModel | None = None
+    gbt: BoostModel | None = None
     classes: list = field(default_factory=list)
 
 
@@ -114,7 +117,7 @@ def _fit_iso(cand: DataFrame, key_col: str, cfg: EnsembleConfig) -> IsolationFor
 
 def _fit_classifiers(cand: DataFrame, key_col: str, cfg: EnsembleConfig, with_lr: bool,
                      with_gbt: bool):
-    """LR and one-vs-rest boosted trees on the per-class capped sample."""
+    """LR and softmax boosted trees on the per-class capped sample."""
     train = sample.class_capped_sample(cand, "class_name", cfg.per_class, ["u", key_col],
                                        materialize=False)   # cand is frozen already
     train = train.withColumn("features", array_to_vector("__zx")).select(
@@ -126,7 +129,8 @@ def _fit_classifiers(cand: DataFrame, key_col: str, cfg: EnsembleConfig, with_lr
         raise ValueError("no rows sampled for the classifiers (all features non-finite?)")
     cores = train.sparkSession.sparkContext.defaultParallelism
     parts = max(math.ceil(n_train / ROWS_PER_PARTITION), min(cores, math.ceil(n_train / ROWS_AT_LEAST)))
-    train = train.repartition(max(1, parts)).persist()
+    # written to the shared folder: a lost executor does not sample and split again
+    train = frozen(train.repartition(max(1, parts)))
     # M2: alphabetical class index, fitted once and shared by both models
     indexer = StringIndexer(inputCol="class_name", outputCol="y",
                             stringOrderType="alphabetAsc").fit(train)
@@ -140,14 +144,9 @@ def _fit_classifiers(cand: DataFrame, key_col: str, cfg: EnsembleConfig, with_lr
         return PipelineModel(stages=[indexer, lr.fit(indexed)])
 
     def fit_gbt():
-        gbt = GBTClassifier(featuresCol="features", labelCol="y", maxIter=cfg.gbt_rounds,
-                            maxDepth=cfg.gbt_depth, stepSize=cfg.gbt_step,
-                            subsamplingRate=cfg.gbt_subsample,
-                            featureSubsetStrategy=str(cfg.gbt_subsample), seed=cfg.seed)
-        # one binary booster per class, fitted side by side (bounded by 16)
-        ovr = OneVsRest(classifier=gbt, featuresCol="features", labelCol="y",
-                        parallelism=max(1, min(len(classes), 16)))
-        return PipelineModel(stages=[indexer, ovr.fit(indexed)])
+        boost = BoostConfig(cfg.gbt_rounds, cfg.gbt_depth, cfg.gbt_step, cfg.gbt_subsample, cfg.gbt_subsample,
+                            seed=cfg.seed)
+        return fit_boost(indexed.select(_vec_to_arr("features").alias("x"), "y"), classes, boost)
 
     from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=2) as pool:
@@ -155,7 +154,6 @@ def _fit_classifiers(cand: DataFrame, key_col: str, cfg: EnsembleConfig, with_lr
         gbt_f = pool.submit(fit_gbt) if with_gbt else None
         lr_m = lr_f.result() if lr_f is not None else None
         gbt_m = gbt_f.result() if gbt_f is not None else None
-    train.unpersist()
     return lr_m, gbt_m, classes
 
 
@@ -193,7 +191,8 @@ def score_ensemble(df: DataFrame, model: EnsembleModel, features_col: str,
                            "iso_score": F.lit(None).cast("double"),
                            "iso_is_anom": F.lit(None).cast("int")})
     x = _predict_names(model.lr, x, "pred_lr")
-    x = _predict_names(model.gbt, x, "pred_xgb")
+    x = score_boost(x, model.gbt, "__zx", "pred_xgb") if model.gbt is not None \
+        else x.withColumn("pred_xgb", F.lit(None).cast("string"))
     x = rules.decision_cascade(x)
     return x.drop("__x", "__z", "__zx", "iso_raw")
 
@@ -214,7 +213,7 @@ def save_ensemble(spark, model: EnsembleModel, path: str) -> None:
     if model.lr is not None:
         model.lr.write().overwrite().save(f"{d}/attack_classifier_lr")
     if model.gbt is not None:
-        model.gbt.write().overwrite().save(f"{d}/attack_classifier_gbt")
+        model.gbt.save(spark, f"{d}/attack_classifier_gbt")
     write_json(spark, f"{d}/classes.json", {"classes": model.classes,
                                             "has_iforest": model.iforest is not None,
                                             "has_lr": model.lr is not None,
@@ -230,5 +229,5 @@ def load_ensemble(spark, path: str, array_col: str = "features") -> EnsembleMode
     iso = (IsolationForestModel.load(spark, f"{d}/iso_forest")
            if meta.get("has_iforest", True) else None)
     lr = PipelineModel.load(f"{d}/attack_classifier_lr") if meta["has_lr"] else None
-    gbt = PipelineModel.load(f"{d}/attack_classifier_gbt") if meta["has_gbt"] else None
+    gbt = BoostModel.load(spark, f"{d}/attack_classifier_gbt") if meta["has_gbt"] else None
     return EnsembleModel(scaler, iso, lr, gbt, meta["classes"])

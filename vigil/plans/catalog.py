@@ -431,6 +431,7 @@ QUERY_OPERATORS = {
     "rf_check": "M1, M3, M6, M7, K10, S10, R3-R6 (recomputed from the node tables)",
     "iforest_check": "M9, X1, X2, A9 (recomputed from the node table)",
     "lr_check": "M10, X3, M2 (recomputed from the coefficients)",
+    "gbt_check": "M11, X4 (scores from the node tables, leaves from their rows)",
     "stream_score_check": "K3, S8, S9, W5-W9, W11, M7 (stream equals batch)",
     "iforest_score": "M9, X1, X2, A9, M5, U6",
     "lr_score": "M10, X3, M2, U5",

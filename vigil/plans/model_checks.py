@@ -11,19 +11,21 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.ml.bundle import load_bundle, save_bundle
 from vigil.ml.ensemble import fit_ensemble, score_ensemble
 from vigil.ml.forest import bundle_metadata, score_events, train_forest
 from vigil.ml.iforest import EULER_GAMMA, NODE_SCHEMA
+from vigil.operators.align import frozen
 from vigil.plans.models import ENS_CFG, RF_CFG, _ensemble_input, _feats, _feature_rows
 from vigil.schema import (ALERT_HIGH, ALERT_LOW, ALERT_NONE, ANOMALY_THRESHOLD, CONFIDENCE_THRESHOLD,
                           SEVERITY_HIGH, SEVERITY_MEDIUM, SEVERITY_NONE)
 from vigil.session import scratch_path
 
 CLOSE = 1e-9
+CHECKED_ROUND = 5
 
 
 def walk(rows: DataFrame, nodes: DataFrame, n_trees: int, depth: int, key: str, x: str) -> DataFrame:
@@ -176,7 +178,76 @@ def q_stream_score_check(spark, sf_dir):
         F.lit(copies == 0).alias("ids_unique"))
 
 
+def q_gbt_check(spark, sf_dir):
+    """Scores from the node tables, and each leaf of one round from its rows.
+
+    Every row's softmax scores are the sums of the leaves it reaches over all
+    rounds; the leaves of ``CHECKED_ROUND`` hold -step G / (H + lambda) of the training
+    rows that reach them, with the chances that the rounds before give those rows.
+    """
+    from vigil.ml.boost import NODES, sampled, score_boost
+    from vigil.ml.ensemble import _prepared, _scale
+    rows = _ensemble_input(spark, sf_dir)
+    m = fit_ensemble(rows, "features", "vec_id", ENS_CFG, with_lr=False, with_iforest=False)
+    gbt, cfg = m.gbt, m.gbt.cfg
+    x = _scale(m.scaler, _prepared(rows, "features")).select("vec_id", F.col("__zx").alias("x"))
+    scored = score_boost(x, gbt, "x", "pred", "scores").select("vec_id", "pred", "scores")
+    again = score_ensemble(rows, m, "features", rule_predicates=ENS_CFG.rule_predicates).select("vec_id", "pred_xgb")
+    n = len(gbt.classes)
+    nodes = frozen(spark.createDataFrame(gbt.nodes, NODES).withColumn("tree", F.col("round") * n + F.col("cls")))
+
+    def reached(of: DataFrame, key: str, some: DataFrame, first: int, trees: int) -> DataFrame:
+        """(key, tree, value) of the leaf that each row reaches in each of some trees."""
+        shifted = some.withColumn("tree", F.col("tree") - first)
+        at = walk(of, shifted, trees, cfg.depth, key, "x").withColumnRenamed("node", "_node")
+        values = shifted.select(F.col("tree").alias("_tree"), F.col("node").alias("_leaf"), "value", "g", "h", "cls")
+        return at.join(values, (F.col("tree") == F.col("_tree")) & (F.col("_node") == F.col("_leaf")))
+
+    def sums(leaves: DataFrame, key: str) -> DataFrame:
+        return leaves.groupBy(key, "cls").agg(F.sum("value").alias("s"))
+
+    # trees of one leaf give every row the same: only the others are walked, renumbered without gaps
+    size = nodes.groupBy("tree").agg(F.count("*").alias("n"))
+    flat = nodes.join(size.where("n = 1"), "tree").groupBy("cls").agg(F.sum("value").alias("b"))
+    order = Window.orderBy("tree")     # one row a tree
+    number = frozen(size.where("n > 1").select("tree", (F.row_number().over(order) - 1).alias("new")))
+    tall = nodes.join(number, "tree").drop("tree").withColumnRenamed("new", "tree")
+    n_tall = number.count()
+    every = x.select("vec_id", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("cls"))
+    total = every.join(F.broadcast(flat), "cls", "left").join(
+        sums(reached(x, "vec_id", tall, 0, n_tall), "vec_id"), ["vec_id", "cls"], "left") \
+        .select("vec_id", "cls", (F.coalesce("b", F.lit(0.0)) + F.coalesce("s", F.lit(0.0))).alias("s"))
+    got = scored.select("vec_id", F.posexplode("scores").alias("cls", "score"))
+    apart = got.join(total, ["vec_id", "cls"], "left").groupBy("vec_id").agg(
+        F.max(F.abs(F.col("score") - F.col("s"))).alias("apart"), F.count("s").alias("n"),
+        F.max_by("cls", F.struct("s", -F.col("cls"))).alias("best"))
+
+    # the leaves of one round, from the training rows
+    r = CHECKED_ROUND
+    before = nodes.where(F.col("round") < r)
+    margin = sums(reached(gbt.rows, "rid", before, 0, r * n), "rid")
+    top = margin.groupBy("rid").agg(F.sum(F.exp("s")).alias("z"))
+    mine = nodes.where(F.col("round") == r)
+    leaf = reached(gbt.rows.where(sampled(F.col("rid"), r, cfg)), "rid", mine, r * n, n)
+    p = F.exp("s") / F.col("z")
+    grads = leaf.join(margin, ["rid", "cls"]).join(top, "rid").join(gbt.rows.select("rid", "y"), "rid") \
+        .groupBy("cls", "_leaf").agg(F.sum(p - (F.col("y") == F.col("cls")).cast("int")).alias("sg"),
+                                     F.sum(2 * p * (1 - p)).alias("sh"), F.first("g").alias("g"),
+                                     F.first("h").alias("h"), F.first("value").alias("value"))
+    bad = (F.abs(F.col("sg") - F.col("g")) > 1e-6) | (F.abs(F.col("sh") - F.col("h")) > 1e-6) \
+        | (F.abs(F.col("value") + cfg.step * F.col("sg") / (F.col("sh") + cfg.reg)) > 1e-6)
+    counted = grads.agg(F.count("*").alias("n"), F.count_if(bad).alias("bad")).first()
+    leaves_ok = counted["bad"] == 0 and counted["n"] == mine.where("feature < 0").count()
+    falls = len(gbt.losses) == cfg.rounds and all(b < a for a, b in zip(gbt.losses, gbt.losses[1:]))
+    names = F.array(*[F.lit(c) for c in gbt.classes])
+    return scored.join(apart, "vec_id").join(again, "vec_id").select(
+        "vec_id", ((F.col("apart") < 1e-6) & (F.col("n") == n)).alias("scores_ok"),
+        ((F.get(names, F.col("best")) == F.col("pred")) & (F.col("pred") == F.col("pred_xgb"))).alias("class_ok"),
+        F.lit(leaves_ok).alias("leaves_ok"), F.lit(falls).alias("loss_falls"))
+
+
 CHECK_QUERIES = {
+    "gbt_check": q_gbt_check,
     "rf_check": q_rf_check,
     "iforest_check": q_iforest_check,
     "lr_check": q_lr_check,

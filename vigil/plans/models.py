@@ -2,8 +2,8 @@
 
 All fit on the ``embeddings`` stand-in with the jobs' default settings and score
 the whole table.  One thing differs, because of the stand-in: the least number
-of benign rows (it has few).  The boosted trees run 300 rounds of depth 8 for each
-class; ``gbt_score_10x4`` and ``ensemble_decision_10x4`` are the same queries with
+of benign rows (it has few).  The boosted trees run 300 rounds of depth 8, one tree a
+class in each; ``gbt_score_10x4`` and ``ensemble_decision_10x4`` are the same queries with
 10 rounds of depth 4.  The number of features is that of the data.
 """
 
@@ -108,7 +108,7 @@ def q_lr_score(spark, sf_dir):
 
 
 def q_gbt_score(spark, sf_dir, cfg=ENS_CFG):
-    """One-vs-rest boosted trees on the scaled features."""
+    """Softmax boosted trees on the scaled features."""
     out = _ensemble(spark, sf_dir, False, True, with_iforest=False, cfg=cfg)
     return out.select("vec_id", "label", "attack_name", "pred_xgb")
 
