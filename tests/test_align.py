@@ -240,3 +240,47 @@ def test_folder_key_is_the_given_folder():
     from vigil.sources.capture import _folder_key
     assert _folder_key("/d/A", "file:///d/A/one/part-0.csv") == "file:///d/A/"
     assert _folder_key("hdfs://h:1/d/A b/", "hdfs://h:1/d/A%20b/x/p.csv") == "hdfs://h:1/d/A%20b/"
+
+
+def _label_pairs(spark, tmp, labels):
+    _write(f"{tmp}/l_x.csv", [f"{i},{i * 0.5}" for i in range(len(labels))])
+    _write(f"{tmp}/l_y.csv", labels)
+    x = file_position_columns(read_features(spark, f"{tmp}/l_x.csv", 2, "cap")).withColumn("capture", F.lit("cap"))
+    y = file_position_columns(spark.read.text(f"{tmp}/l_y.csv")).withColumn("capture", F.lit("cap"))
+    return x, y.withColumn("label", F.col("value").cast("int")).drop("value")
+
+
+@pytest.mark.parametrize("labels", [
+    ["0"] * 9000, ["0"] * 5000 + ["1"] * 6000, [str(i * i % 7 % 2) for i in range(13001)], ["1"], ["1", "0"] * 32,
+    ["0"] * 4096 + ["1"]])
+def test_packed_labels_join_like_rows(spark, tmp, monkeypatch, labels):
+    from vigil.operators import align
+    x, y = _label_pairs(spark, tmp, labels)
+    packed = positional_join(x, y)
+    assert " Exchange hashpartitioning" not in packed._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    monkeypatch.setattr(align, "LABEL_BYTES_MAX", 0)
+    rows = positional_join(x, y)
+    assert packed.schema["label"].dataType == rows.schema["label"].dataType and set(packed.columns) == set(rows.columns)
+    got, want = (sorted((r.pos, r.f0, r.label) for r in d.collect()) for d in (packed, rows))
+    assert got == want == [(i, float(i), int(v)) for i, v in enumerate(labels)]
+
+
+def test_other_labels_join_row_by_row(spark, tmp):
+    """Labels outside 0 and 1, and nulls, are no bits."""
+    from vigil.operators.align import add_positions, packed_labels
+    labels = [("null" if i % 5 == 0 else str(i % 4)) for i in range(500)]
+    x, y = _label_pairs(spark, tmp, labels)
+    y = y.drop("label").withColumn("label", F.when(F.col("_rid") >= 0, F.lit(3)))
+    assert packed_labels(add_positions(y), "label") is None
+    assert {r.label for r in positional_join(x, y).collect()} == {3}
+    y = y.withColumn("label", F.lit(None).cast("int"))
+    assert positional_join(x, y).where("label IS NULL").count() == 500
+
+
+def test_long_runs_take_no_words(spark, tmp):
+    from vigil.operators.align import add_positions, packed_labels
+    _, y = _label_pairs(spark, tmp, ["0"] * 8192 + ["1"] * 8192 + ["0", "1"] * 50)
+    bits = packed_labels(add_positions(y), "label").orderBy("_chunk").collect()
+    assert [(r["_one"], r["_words"] and len(r["_words"]), r["_all"]) for r in bits] == [
+        (0, None, 4096), (0, None, 4096), (1, None, 4096), (1, None, 4096), (None, 2, 100)]

@@ -5,9 +5,11 @@ capture is the number of rows in earlier (file, block) splits plus its
 ordinal inside its own split.  The ordinal comes from the row id attached
 on the scan stage (ids are consecutive inside a split); the per-split
 counts are a small table (one row per split) whose running sum is a
-window partitioned by capture.  Feature row i then joins label row i on
-(capture, pos), an equi-join on a unique key, so no key is hot however
-large one capture is.
+window partitioned by capture.  Feature row i then meets label row i at
+(capture, pos).  Binary labels are packed to a bit a row (a run of equal labels
+to less) and broadcast while their counted bytes are bounded, so feature columns
+are not shuffled; beyond that, and for other labels, rows join on (capture, pos), an
+equi-join on a unique key, so no key is hot however large one capture is.
 
 The counts and the rows come from two jobs, and Spark cuts a scan into splits
 anew for each.  The split settings are therefore pinned before the count
@@ -23,7 +25,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
+# Packed labels: positions a chunk, and the bytes up to which they are broadcast.
+CHUNK_BITS, LABEL_BYTES_MAX = 12, 32 << 20
 # Above this many splits the offset table is joined by shuffle, not broadcast.
 BROADCAST_SPLITS_MAX = 200_000
 
@@ -139,9 +144,59 @@ def positional_join(features: DataFrame, labels: DataFrame, capture: str = "capt
                                  f"(features={a}, labels={b})")
     x = add_positions(features, capture, xo, sum(v[1] for v in nx.values()))
     y = add_positions(labels, capture, yo, sum(v[1] for v in ny.values()))
+    payload = [f for f in y.schema.fields if f.name not in (capture, "pos")]
+    if len(payload) == 1 and isinstance(payload[0].dataType, IntegralType):
+        bits = packed_labels(y, payload[0].name, capture)
+        if bits is not None:
+            return _with_bits(x, bits, payload[0], capture)
     return x.join(y, [capture, "pos"])
 
 
+def packed_labels(y: DataFrame, label: str, capture: str = "capture",
+                  max_bytes: int | None = None) -> DataFrame | None:
+    """(capture, chunk, one, words): the 0/1 labels of ``CHUNK`` positions as bits.
+
+    64 neighbours become one word inside the task that reads them.  A chunk of one
+    single run keeps its label in ``one`` and no words, so long runs cost a row a
+    chunk.  None if a label is null or not 0 or 1, or if the counted bytes are over
+    ``max_bytes``: then the labels have to be joined row by row.
+    """
+    word = F.shiftright("pos", 6)
+    words = y.groupBy(capture, word.alias("_w")).agg(
+        F.expr(f"bit_or(shiftleft(cast(`{label}` AS bigint), cast(pos & 63 AS int)))").alias("_bits"),
+        F.min(label).alias("_lo"), F.max(label).alias("_hi"), F.count(label).alias("_n"), F.count(F.lit(1)).alias("_all"))
+    chunks = frozen(words.groupBy(capture, F.shiftright("_w", CHUNK_BITS - 6).alias("_chunk")).agg(
+        F.sort_array(F.collect_list(F.struct("_w", "_bits"))).alias("_s"),      # at most CHUNK / 64
+        F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.sum("_n").alias("_n"), F.sum("_all").alias("_all"))
+        .select(F.col(capture).alias("_c"), "_chunk", "_lo", "_hi", "_n", "_all",
+                F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).cast("int").alias("_one"),
+                F.when(F.col("_lo") != F.col("_hi"), F.transform("_s", lambda v: v["_bits"])).alias("_words")))
+    size = chunks.agg(F.min("_lo").alias("lo"), F.max("_hi").alias("hi"),
+                      F.sum(F.col("_all") - F.col("_n")).alias("nulls"),
+                      F.sum(64 + F.length("_c") + 8 * F.coalesce(F.size("_words"), F.lit(0))).alias("bytes")).first()
+    if size["bytes"] is None or size["nulls"] or size["lo"] < 0 or size["hi"] > 1 \
+            or size["bytes"] > (LABEL_BYTES_MAX if max_bytes is None else max_bytes):
+        return None
+    return chunks.select("_c", "_chunk", "_one", "_words", "_all")
+
+
+def _with_bits(x: DataFrame, bits: DataFrame, label, capture: str) -> DataFrame:
+    """Each feature row with its bit: no feature column is shuffled."""
+    met = x.join(F.broadcast(bits), (F.col(capture) == F.col("_c"))
+                 & (F.shiftright("pos", CHUNK_BITS) == F.col("_chunk")), "left")
+    at = F.col("pos").bitwiseAND(F.lit((1 << CHUNK_BITS) - 1)).cast("int")
+    bit = F.expr(f"shiftright(get(_words, shiftright(cast(pos & {(1 << CHUNK_BITS) - 1} AS int), 6)),"
+                 " cast(pos & 63 AS int)) & 1")
+    known = F.coalesce(at < F.col("_all"), F.lit(False))
+    lost = F.concat(F.lit("no label for row "), F.col("pos").cast("string"), F.lit(" of "),
+                    F.coalesce(F.col(capture).cast("string"), F.lit("null")))
+    value = F.when(known, F.coalesce(F.col("_one").cast("bigint"), bit)).otherwise(F.raise_error(lost).cast("bigint"))
+    rest = [c for c in x.columns if c not in (capture, "pos")]
+    # the filter keeps the proof in the plan when a query prunes the label
+    return met.withColumn("_label", value).where(F.col("_label") >= 0).select(
+        capture, "pos", *rest, F.col("_label").cast(label.dataType).alias(label.name))
+
+
 def union_tagged(parts: list[tuple[str, DataFrame]], col: str = "attack_name") -> DataFrame:
     """U1 + P4: tag each part with its source name and UNION ALL by name."""
     tagged = [df.withColumn(col, F.lit(name)) for name, df in parts]
