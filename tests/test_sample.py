@@ -119,3 +119,33 @@ def test_hash_prefix_group_caps(spark):
         first = sorted((r for r in rows if r.c == c), key=lambda r: (r.u, r.id))[:cap]
         assert {r.id for r in first} <= kept
     assert pre.filter("c = 'hot'").count() < 600
+
+
+def test_buckets_follow_the_order(spark):
+    df = spark.range(1, 40000).select((F.col("id") * F.col("id") % 2147483647 / float(1 << 31)).alias("u"))
+    edges = spark.range(0, 32).select((F.pow(F.lit(2.0), F.col("id")) / float(1 << 31)).alias("u"))
+    below = edges.select(F.greatest(F.col("u") - 1 / float(1 << 31), F.lit(0.0)).alias("u"))
+    rows = df.union(edges).union(below).select("u", sample.hash_bucket(F.col("u")).alias("b")).orderBy("u").collect()
+    assert all(x.b <= y.b for x, y in zip(rows, rows[1:])) and rows[0].b >= 0
+
+
+def test_equal_rows_are_sampled_like_others(spark):
+    """A third of 30,000 rows equal: keyed by place too, few candidates and even salts."""
+    df = spark.range(0, 30000, 1, 6).select((F.col("id") % 2).alias("c"), F.when(F.col("id") % 3 == 0, 0)
+                                            .otherwise(F.col("id")).alias("x"))
+    df = df.withColumn("k", F.xxhash64("c", "x", F.monotonically_increasing_id())).checkpoint()
+    df = df.withColumn("u", sample.uniform_from_key("k"))
+    cand = sample.hash_prefix(df, "u", 1000, "c", materialize=True)
+    assert all(1000 <= r["count"] <= 1100 for r in cand.groupBy("c").count().collect())
+    got = sample.class_capped_sample(cand, "c", 1000, ["u", "k"], uniform_first=False)
+    for r in got.groupBy("c").agg(F.count("*").alias("n"), F.count_if(F.col("x") == 0).alias("k")).collect():
+        assert r.n == 1000 and 240 < r.k < 430
+    most = cand.groupBy("c", sample.salt_of(16).alias("s")).count().agg(F.max("count")).first()[0]
+    assert most < 2 * 1000 / 16
+
+
+def test_one_hash_for_many_rows_still_cuts_exactly(spark):
+    """Rows that share hash and order are spread over the salts; as many stay as fill the cap."""
+    df = spark.range(5000).select("id", F.lit("a").alias("c"), F.lit(0.25).alias("u"))
+    got = sample.class_capped_sample(df, "c", 70, ["u"])
+    assert got.count() == 70

@@ -11,7 +11,6 @@ Two families:
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,8 +18,6 @@ from pyspark.sql import functions as F
 
 # Above this many groups the threshold table is shuffle-joined, not broadcast.
 BROADCAST_GROUPS_MAX = 100_000
-# Factor by which a hash cut that kept too few rows is widened.
-WIDEN = 8.0
 
 from vigil.functions.columns import hash_uniform
 
@@ -68,73 +65,56 @@ def ordered_limit(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def _threshold(n: Column | int, cap: int):
-    """Hash cut keeping about cap + 6 sigma rows of n uniform draws (1.0 = all)."""
-    margin = cap + 6.0 * math.sqrt(cap) + 16.0
-    if isinstance(n, int):
-        return 1.0 if n <= cap else min(1.0, margin / n)
-    return F.when(n <= cap, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.lit(margin) / n))
+# A bucket of the hash is this fraction of its values' size, so a cut overshoots by as little.
+BUCKETS_A_DOUBLING, HASH_BITS = 1024, 31
+
+
+def hash_bucket(u) -> Column:
+    """Monotone bucket of a number in [0, 1): 1,024 to each doubling, null first.
+
+    Buckets get finer towards 0, so the cut of a cap is met within 0.1 % of it
+    whatever share of a group the cap is.
+    """
+    h = F.greatest(F.floor(u * float(1 << HASH_BITS)), F.lit(0))
+    e = F.floor(F.log2(F.greatest(h, F.lit(1)).cast("double")))
+    within = F.floor((h / F.pow(F.lit(2.0), e) - 1) * BUCKETS_A_DOUBLING)
+    return F.when(u.isNull(), F.lit(-1)).when(h < 1, F.lit(0)) \
+        .otherwise((e + 1) * BUCKETS_A_DOUBLING + within).cast("int")
 
 
 def hash_prefix(df: DataFrame, u_col: str, cap: int, group_col: str | None = None,
                 group_caps: dict | None = None, materialize: bool = False) -> DataFrame:
     """Rows that can be among the first ``cap`` (per group) in ``u_col`` order.
 
-    ``u_col`` is uniform on [0, 1) (a hash), so the first ``cap`` rows of a
-    group of n lie below about cap / n.  One small aggregate gives n per
-    group, a filter keeps u <= cut (cap + 6 sigma rows expected), and a
-    second count proves every group kept at least min(cap, n) rows; a group
-    that did not (probability ~1e-9) gets a wider cut, step by step.  The result is
-    exact, and what follows sorts about ``cap`` rows per group instead of
-    the whole input.  ``group_caps`` raises the cap of single groups;
-    ``materialize`` freezes the (bounded) result with a checkpoint and runs
-    the proof on it, so the big input is read twice in all.
+    A bottom-k summary finds each group's cut in one pass: rows are counted by
+    (group, bucket of the hash), which merges in every task (at most 33 x 1,024 counts
+    a group), and running counts give the bucket in which the cap is reached.  The
+    counts are exact, so the buckets up to it hold the first ``cap`` rows for certain and
+    few more; what follows sorts those, not the whole input.  A null hash sorts
+    first.  ``group_caps`` raises the cap of single groups; ``materialize`` freezes the
+    bounded result, so the big input is read twice in all.
     """
-    u = F.col(u_col)
-    # a null hash sorts first (ascending), so it always belongs to the prefix
-    if group_col is None:
-        n = df.count()
-        cut = _threshold(n, cap)
-        while cut < 1.0:
-            pre = df.filter(u.isNull() | (u <= F.lit(cut)))
-            if materialize:
-                from vigil.operators.align import frozen
-                pre = frozen(pre)
-            if pre.count() >= cap:
-                return pre
-            cut *= WIDEN      # an uneven hash: step by step, not the whole input at once
-        return df
     from vigil.operators.align import frozen
-    g = F.col(group_col)
+    g = F.lit(0) if group_col is None else F.col(group_col)
     caps = {k: max(v, cap) for k, v in (group_caps or {}).items()}
     cap_of = F.lit(cap)
     for k, v in caps.items():
         cap_of = F.when(F.col("_g") == F.lit(k), F.lit(v)).otherwise(cap_of)
-    th = df.groupBy(g.alias("_g")).agg(F.count(F.lit(1)).alias("_n")).withColumn(
-        "_cap", cap_of)
-    margin = F.col("_cap") + F.lit(6.0) * F.sqrt(F.col("_cap")) + F.lit(16.0)
-    th = frozen(th.withColumn("_cut", F.when(F.col("_n") <= F.col("_cap"), F.lit(1.0))
-                              .otherwise(F.least(F.lit(1.0), margin / F.col("_n")))))
-    n_groups = th.count()
-
-    def keep(table: DataFrame) -> DataFrame:
-        side = F.broadcast(table) if n_groups <= BROADCAST_GROUPS_MAX else table
-        return (df.join(side, g.eqNullSafe(F.col("_g")))
-                .filter(u.isNull() | (u <= F.col("_cut"))))
-
-    while True:
-        pre = keep(th)
-        if materialize:
-            pre = frozen(pre)
-        kept = pre.groupBy(F.col("_g").alias("_kg")).agg(F.count(F.lit(1)).alias("_k"))
-        got = th.join(kept, F.col("_g").eqNullSafe(F.col("_kg")), "left")
-        short = (F.col("_cut") < 1.0) & (F.coalesce(F.col("_k"), F.lit(0)) < F.least("_n", "_cap"))
-        if got.filter(short).limit(1).count() == 0:
-            break
-        # an uneven hash: widen the cut of the groups that fell short, step by step
-        th = frozen(got.select("_g", "_n", "_cap", F.when(short, F.least(F.lit(1.0), F.col("_cut") * WIDEN))
-                               .otherwise(F.col("_cut")).alias("_cut")))
-    return pre.drop("_g", "_n", "_cap", "_cut")
+    counts = df.groupBy(g.alias("_g"), hash_bucket(F.col(u_col)).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    # the buckets that start below the cap
+    cuts = frozen(counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+                  .where(F.col("_before") < cap_of).groupBy("_g").agg(F.max("_b").alias("_cut")))
+    side = F.broadcast(cuts) if cuts.count() <= BROADCAST_GROUPS_MAX else cuts
+    pre = df.join(side, g.eqNullSafe(F.col("_g"))).filter(hash_bucket(F.col(u_col)) <= F.col("_cut")) \
+        .drop("_g", "_cut")
+    return frozen(pre) if materialize else pre
+
+
+def salt_of(salts: int) -> Column:
+    """Deals rows to ``salts`` even groups by their place, whatever they hold: equal
+    rows, and rows with one hash, are spread like all others."""
+    return F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
 
 
 def class_capped_sample(df: DataFrame, class_col: str, cap: int,
@@ -149,15 +129,14 @@ def class_capped_sample(df: DataFrame, class_col: str, cap: int,
     stage 1 splits every class into ``salts`` sub-groups and keeps the first
     ``cap`` of each; stage 2
     ranks the at most ``salts * cap`` survivors per class.  Exact, because a
-    row among a class's first ``cap`` is among its sub-group's.
+    row among a class's first ``cap`` is among its sub-group's, however rows are dealt.
     """
     if uniform_first:
         df = hash_prefix(df, order[0], cap, class_col, materialize=materialize)
     ordering = [F.col(c) for c in order]
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(salts))
     w1 = Window.partitionBy(class_col, "_salt").orderBy(*ordering)
     w2 = Window.partitionBy(class_col).orderBy(*ordering)
-    stage1 = (df.withColumn("_salt", salt)
+    stage1 = (df.withColumn("_salt", salt_of(salts))
               .withColumn("_rn", F.row_number().over(w1))
               .filter(F.col("_rn") <= cap))
     stage2 = stage1.withColumn("_rn", F.row_number().over(w2)).filter(F.col("_rn") <= cap)

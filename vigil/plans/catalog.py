@@ -294,6 +294,39 @@ def q_ordered_limit(spark, sf_dir):
         "event_id", _ts("ts", TS_FMT_US).alias("ts"), "value")
 
 
+DUPLICATE_CAP, DUPLICATE_SALTS = 2000, 16
+
+
+def q_duplicate_sample(spark, sf_dir):
+    """U5 with a third of all rows equal: sampled in proportion, few candidates, even salts."""
+    from vigil.session import scratch_path
+    li = read_table(spark, sf_dir, "lineitem")
+    copy = F.col("l_orderkey") % 3 == 0
+    features = [F.when(copy, F.lit(0)).otherwise(F.col(c)).cast("double").alias(c)
+                for c in ("l_quantity", "l_extendedprice", "l_partkey")]
+    rows = li.select("l_returnflag", copy.alias("copy"), *features).select(
+        "*", F.xxhash64("l_returnflag", "l_quantity", "l_extendedprice", "l_partkey",
+                        F.monotonically_increasing_id()).alias("_key"))
+    path = scratch_path(spark, "duplicate_sample")
+    rows.write.parquet(path)
+    rows = spark.read.parquet(path).withColumn("u", sample.uniform_from_key("_key"))
+    cand = sample.hash_prefix(rows, "u", DUPLICATE_CAP, "l_returnflag", materialize=True)
+    taken = sample.class_capped_sample(cand, "l_returnflag", DUPLICATE_CAP, ["u", "_key"],
+                                       salts=DUPLICATE_SALTS, uniform_first=False)
+    c = "l_returnflag"
+    all_rows = rows.groupBy(c).agg(F.count("*").alias("n_rows"), F.count_if("copy").alias("n_copies"))
+    salted = cand.withColumn("salt", sample.salt_of(DUPLICATE_SALTS)).groupBy(c, "salt").agg(F.count("*").alias("n")) \
+        .groupBy(c).agg(F.sum("n").alias("n_cand"), F.max("n").alias("most"))
+    got = taken.groupBy(c).agg(F.count("*").alias("n_sampled"), F.count_if("copy").alias("k"))
+    share = F.col("n_copies") / F.col("n_rows")
+    spread = 6 * F.sqrt(F.col("n_sampled") * share * (1 - share)) + 1
+    return all_rows.join(salted, c).join(got, c).select(
+        c, "n_rows", "n_copies", "n_sampled",
+        (F.col("n_cand") <= F.least(F.col("n_rows"), F.lit(2 * DUPLICATE_CAP))).alias("candidates_ok"),
+        (F.col("most") <= 2 * F.col("n_cand") / DUPLICATE_SALTS + 4).alias("salts_ok"),
+        (F.abs(F.col("k") - F.col("n_sampled") * share) <= spread).alias("proportion_ok"))
+
+
 def q_benign_cap(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events").withColumn(
         "label", (F.col("event_type") == "error").cast("int"))
@@ -358,6 +391,7 @@ QUERIES = {
     "class_capped_sample": q_class_capped_sample,
     "ordered_limit": q_ordered_limit,
     "benign_cap": q_benign_cap,
+    "duplicate_sample": q_duplicate_sample,
     "clean_features": q_clean_features,
     "finite_rows": q_finite_rows,
 }
@@ -406,6 +440,7 @@ QUERY_OPERATORS = {
     "class_capped_sample": "U5",
     "ordered_limit": "U3",
     "benign_cap": "U6, P17",
+    "duplicate_sample": "U5 (a third of the rows equal)",
     "clean_features": "P8, P10, P12",
     "finite_rows": "P10, P11",
     "confusion_window_stream": "W1-W5, W7, A2, A3",

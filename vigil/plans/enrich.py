@@ -31,11 +31,15 @@ from vigil.sources.stream import envelope, file_lines, kafka_source
 def train(spark: SparkSession, df: DataFrame, out: str,
           cfg: EnsembleConfig = EnsembleConfig()):
     """Fit on a labelled table whose fields may be text: numbers are coerced (P10),
-    labels go through double, and rows are keyed by a hash of all their fields."""
+    labels go through double, and rows are keyed by their fields and their place.
+
+    Equal rows, which flood captures are full of, thus have keys of their own: each is
+    sampled, salted and subsampled by itself.  The key is fixed when the rows are written.
+    """
     feats = discover_features(df.columns)
     clean = coerce_numeric(df, feats).withColumn("label", whole_label("label"))
-    rows = clean.select(F.xxhash64(*feats, "label", "attack_name").alias("_key"),
-                        features_array(feats, "features"), "label", "attack_name")
+    rows = clean.select(F.xxhash64(*feats, "label", "attack_name", F.monotonically_increasing_id())
+                        .alias("_key"), features_array(feats, "features"), "label", "attack_name")
     # the fits read the rows several times: parse and coerce the text once
     path = scratch_path(spark, "ensemble-rows")
     rows.write.parquet(path)

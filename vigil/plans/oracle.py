@@ -225,6 +225,10 @@ WHERE rn <= 5000""",
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, value
 FROM events ORDER BY event_id LIMIT 500""",
 
+    "duplicate_sample": """
+SELECT l_returnflag, count(*) AS n_rows, count(*) FILTER (WHERE l_orderkey % 3 = 0) AS n_copies,
+       least(count(*), 2000) AS n_sampled, TRUE AS candidates_ok, TRUE AS salts_ok, TRUE AS proportion_ok
+FROM lineitem GROUP BY l_returnflag""",
     "benign_cap": """
 SELECT event_id, value FROM events WHERE event_type <> 'error'
 ORDER BY ((((event_id % 2147483648) * 1103515245 + 12345) % 2147483648) / 2147483648.0), event_id
