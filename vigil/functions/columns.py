@@ -73,11 +73,18 @@ def softmax(arr, k: int, scale: float = 1.0) -> Column:
     return F.array(*[e / total for e in ex])
 
 
-def fold_scores(arr, k: int) -> Column:
-    """``k`` scores from all entries of an array: score j sums the entries i with i mod k = j."""
+def fold_scores(arr, k: int, width: int) -> Column:
+    """``k`` scores from an array of ``width`` entries: score j sums the entries i with i mod k = j.
+
+    The sums are spelled out, from the left, so they stay in whole-stage codegen.
+    """
+    a = _c(arr)
+
     def one(j):
-        mine = F.filter(_c(arr), lambda x, i: i % F.lit(k) == F.lit(j))
-        return F.aggregate(mine, F.lit(0.0), lambda s, x: s + x.cast("double"))
+        total = F.lit(0.0)
+        for i in range(j, width, k):
+            total = total + F.get(a, i).cast("double")
+        return total
     return F.array(*[one(j) for j in range(k)])
 
 

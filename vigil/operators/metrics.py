@@ -133,62 +133,62 @@ def score_quantile(df: DataFrame, col: str, q: float, exact: bool = True) -> Dat
 QUANTILE_BAND_MAX = 1_000_000
 
 
-def exact_quantile(df: DataFrame, col: str, q: float, accuracy: int = 10_000) -> DataFrame:
+def _bracket(x: DataFrame, low: float, high: float, size: int) -> tuple:
+    """(rows, about the values at two rank shares) from a mergeable KLL sketch of a size, one pass."""
+    margin = 12 / size
+    shares = f"array({max(0.0, low - margin)!r}D, {min(1.0, high + margin)!r}D)"
+    r = x.agg(F.count(F.lit(1)).alias("n"), F.expr(f"kll_sketch_agg_double(x, {size})").alias("s")) \
+        .select("n", F.expr(f"if(n > 0, kll_sketch_get_quantile_double(s, {shares}), NULL)").alias("b")).first()
+    return r["n"], r["b"]
+
+
+def exact_quantile(df: DataFrame, col: str, q: float, accuracy: int = 4096) -> DataFrame:
     """Exact interpolated quantile without holding all values in one buffer.
 
-    Spark's ``percentile`` keeps every distinct value of the group in one
-    aggregation buffer.  Here ``percentile_approx`` (rank error below
-    n / accuracy) brackets the two target ranks, a count pass proves the
-    bracket holds them (widening it otherwise), the bracket is narrowed again
-    while it holds more than QUANTILE_BAND_MAX rows, and only the rows inside
-    it are ranked.  Each step is one aggregate pass; the ranking sorts at
-    most QUANTILE_BAND_MAX rows.  Interpolation follows Spark's
-    ``percentile``: position (n - 1) * q between the neighbouring ranks.
+    The scores are written once as a table of one column, however dear they are to
+    compute, and read twice: a KLL sketch (of size ``accuracy``) brackets the two target ranks, then one
+    aggregate counts the rows below the bracket and each distinct value inside it.
+    Should the bracket miss a rank it is opened on that side, and while it holds more than
+    QUANTILE_BAND_MAX values it is narrowed by a sketch of its own.  Interpolation
+    follows Spark's ``percentile``: position (n - 1) * q between the neighbouring ranks.
     Null and NaN values are left out.
     """
+    from vigil.operators.align import frozen
     spark = df.sparkSession
     # null and NaN count as missing (Spark would sort NaN above +Infinity)
-    x = df.select(F.col(col).cast("double").alias("x")).filter(
-        F.col("x").isNotNull() & ~F.isnan("x"))
-    margin = 3.0 / accuracy
-    first = x.agg(F.count(F.lit(1)).alias("n"),
-                  F.percentile_approx("x", [max(0.0, q - margin), min(1.0, q + margin)],
-                                      accuracy).alias("b")).first()
-    n = first["n"]
+    x = frozen(df.select(F.col(col).cast("double").alias("x")).filter(
+        F.col("x").isNotNull() & ~F.isnan("x")))
+    n, b = _bracket(x, q, q, accuracy)
     if n == 0:
         return spark.createDataFrame([(None,)], "quantile double")
     pos = (n - 1) * q
     k0, k1 = int(math.floor(pos)), int(math.ceil(pos))
-    lo, hi = first["b"]
+    lo, hi = b
     inf = float("inf")
     while True:
-        st = x.agg(F.count_if(F.col("x") < F.lit(lo)).alias("below"),
-                   F.count_if(F.col("x").between(F.lit(lo), F.lit(hi))).alias("band")).first()
+        side = F.when(F.col("x") < F.lit(lo), -1).when(F.col("x") > F.lit(hi), 1).otherwise(0)
+        # ties (even a third of all rows on one value) collapse in each task
+        counts = frozen(x.select(side.alias("side"), F.when(side == 0, F.col("x")).alias("x"))
+                        .groupBy("side", "x").agg(F.count(F.lit(1)).alias("c")))
+        st = counts.agg(F.coalesce(F.sum(F.when(F.col("side") < 0, F.col("c"))), F.lit(0)).alias("below"),
+                        F.coalesce(F.sum(F.when(F.col("side") == 0, F.col("c"))), F.lit(0)).alias("band"),
+                        F.count_if(F.col("side") == 0).alias("values")).first()
         below, band = st["below"], st["band"]
-        if lo == -inf and hi == inf:
-            break                      # the band is everything: nothing to prove
-        if below > k0:
+        if below > k0 and lo != -inf:
             lo = -inf
-            continue
-        if below + band <= k1:
+        elif below + band <= k1 and hi != inf:
             hi = inf
-            continue
-        if band <= QUANTILE_BAND_MAX:
-            break
-        inner = x.filter(F.col("x").between(F.lit(lo), F.lit(hi)))
-        f0, f1 = (k0 - below) / band, (k1 - below) / band
-        new = inner.agg(F.percentile_approx(
-            "x", [max(0.0, f0 - margin), min(1.0, f1 + margin)], accuracy).alias("b")).first()
-        if [new["b"][0], new["b"][1]] == [lo, hi]:
+        elif st["values"] <= QUANTILE_BAND_MAX:
             break
-        lo, hi = new["b"]
-    # rank distinct values with their counts: ties (even a third of all rows
-    # on one value) collapse in the partial aggregate before any sorting; the
-    # global window then sorts at most QUANTILE_BAND_MAX distinct values
-    counts = (x.filter(F.col("x").between(F.lit(lo), F.lit(hi)))
-              .groupBy("x").agg(F.count(F.lit(1)).alias("c")))
+        else:
+            inner = x.filter(F.col("x").between(F.lit(lo), F.lit(hi)))
+            new = _bracket(inner, (k0 - below) / band, (k1 - below) / band, accuracy)[1]
+            if list(new) == [lo, hi]:
+                break
+            lo, hi = new
+    # the global window sorts at most QUANTILE_BAND_MAX distinct values
     w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.withColumn("end", F.sum("c").over(w) + F.lit(below)) \
+    ranked = counts.where("side = 0").withColumn("end", F.sum("c").over(w) + F.lit(below)) \
         .withColumn("start", F.col("end") - F.col("c"))
 
     def at(k):

@@ -12,7 +12,7 @@ import argparse
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.operators.align import positional_join
@@ -150,17 +150,39 @@ def in_row_order(df: DataFrame) -> DataFrame:
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("pos")
 
 
-def write_parquet(df: DataFrame, path: str, partition_by_attack: bool = True) -> None:
+def write_parquet(df: DataFrame, path: str, partition_by_attack: bool = True,
+                  ordered: bool = False) -> None:
     """K1: overwrite a Parquet table, partitioned by attack for pruning."""
-    w = in_row_order(df).write.mode("overwrite")
+    w = (df if ordered else in_row_order(df)).write.mode("overwrite")
     if partition_by_attack:
         w = w.partitionBy("attack_name")
     w.parquet(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_counted(df: DataFrame, path: str, sources: Sequence[str], fmt: str = "parquet") -> dict:
+    """K1 / K2 + A7: write the table, and return the rows of each source as the write saw them.
+
+    The counts are observed metrics of the write itself (rows pass by after the last
+    shuffle, a repeated task counts once), so no second read or build is needed.
+    """
+    seen = Observation("rows by source")
+    ordered = in_row_order(df)
+    counted = ordered.observe(seen, F.count(F.lit(1)).alias("all"), *[
+        F.count_if(F.col("attack_name") == F.lit(s)).alias(f"n{i}") for i, s in enumerate(sources)])
+    if fmt == "parquet":
+        write_parquet(counted, path, ordered=True)
+    else:
+        write_csv(counted, path, ordered=True)
+    got = seen.get
+    counts = {s: got[f"n{i}"] for i, s in enumerate(sources)}
+    if sum(counts.values()) != got["all"]:
+        raise ValueError(f"{got['all'] - sum(counts.values())} rows of no known source were written")
+    return counts
+
+
+def write_csv(df: DataFrame, path: str, ordered: bool = False) -> None:
     """K2: overwrite a CSV folder with a header in every part file."""
-    in_row_order(df).write.mode("overwrite").option("header", "true").csv(path)
+    (df if ordered else in_row_order(df)).write.mode("overwrite").option("header", "true").csv(path)
 
 
 def reference_sources(data_dir: str) -> list[tuple[str, str, str]]:
@@ -188,10 +210,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     sources = (manifest_sources(spark, args.manifest) if args.manifest
                else reference_sources(args.data_dir))
     df = build_labelled_table(spark, sources, args.n_features, keep_pos=True)
-    (write_parquet if args.format == "parquet" else write_csv)(df, args.out)
-    for r in spark.read.format(args.format).option("header", "true").load(args.out) \
-            .groupBy("attack_name").count().orderBy("attack_name").collect():
-        print(f"OK: {r[0]} -> {r[1]} rows written")
+    counts = write_counted(df, args.out, [src[0] for src in sources], args.format)
+    for name, n in sorted(counts.items()):
+        print(f"OK: {name} -> {n} rows written")
 
 
 if __name__ == "__main__":

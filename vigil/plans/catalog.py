@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions.columns import argmax, class_lookup, event_key, fold_scores, softmax
 from vigil.operators import clean, metrics, rules, sample
-from vigil.sources.tables import (EMBEDDING_VOCAB, decode_props, embeddings_features,
+from vigil.sources.tables import (EMBEDDING_VOCAB, array_width, decode_props, embeddings_features,
                                   events_envelope, read_table)
 
 DIGITS = 9
@@ -143,7 +143,7 @@ def _metrics_text(out: DataFrame, extra=()) -> DataFrame:
 # ------------------------------------------------------------- embeddings
 def soft_scored(spark, sf_dir, plant_nulls: bool = True) -> DataFrame:
     emb = embeddings_features(spark, sf_dir, plant_nulls=plant_nulls)
-    emb = emb.withColumn("scores", fold_scores("embedding", SOFTMAX_K)) \
+    emb = emb.withColumn("scores", fold_scores("embedding", SOFTMAX_K, array_width(emb))) \
         .withColumn("prob_arr", softmax("scores", SOFTMAX_K, SOFTMAX_SCALE))
     return rules.alert_layer(emb, "prob_arr", EMBEDDING_VOCAB)
 
@@ -186,8 +186,8 @@ def q_label_vocab(spark, sf_dir):
 
 
 def q_multiclass_metrics(spark, sf_dir):
-    e = read_table(spark, sf_dir, "embeddings").withColumn(
-        "scores", fold_scores("embedding", SOFTMAX_K)).withColumn(
+    e = read_table(spark, sf_dir, "embeddings")
+    e = e.withColumn("scores", fold_scores("embedding", SOFTMAX_K, array_width(e))).withColumn(
         "prob", softmax("scores", SOFTMAX_K, SOFTMAX_SCALE)).withColumn(
         "prediction", argmax("prob"))
     m = metrics.multiclass_metrics(e, "label", "prediction")
@@ -204,7 +204,8 @@ def q_pair_metrics(spark, sf_dir):
 
 def q_decision_cascade(spark, sf_dir):
     s = soft_scored(spark, sf_dir, plant_nulls=False)
-    s = s.withColumn("lr_scores", fold_scores(F.reverse("embedding"), SOFTMAX_K)) \
+    width = array_width(read_table(spark, sf_dir, "embeddings"))
+    s = s.withColumn("lr_scores", fold_scores(F.reverse("embedding"), SOFTMAX_K, width)) \
         .withColumn("lr_prob", softmax("lr_scores", SOFTMAX_K, SOFTMAX_SCALE))
     s = s.withColumns({
         "iso_is_anom": F.col("suspect").cast("int"),
@@ -432,6 +433,7 @@ QUERY_OPERATORS = {
     "pair_metrics": "A4",
     "decision_cascade": "R9, R2, F2",
     "feature_stats": "A5",
+    "feature_stats_incremental": "A5 (a state of moments, capture by capture)",
     "score_quantile": "A9",
     "label_domain": "A8, P7",
     "standardize": "M4, M5",

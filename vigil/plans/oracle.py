@@ -351,6 +351,7 @@ SELECT '2024-01-02 03:04:05' AS kafka_ts, 'embeddings' AS kafka_topic, 0 AS kafk
        vec_id / 8.0 AS iso_score, iso_is_anom, pred_lr, pred_xgb, pred_final
 FROM ({SQL["decision_cascade"]})"""
 SQL["metrics_json"] = SQL["confusion_window"]
+SQL["feature_stats_incremental"] = SQL["feature_stats"]
 SQL["class_index"] = """
 WITH c AS (SELECT vec_id, CASE WHEN label = 0 THEN 'benign' ELSE 'attack_' || CAST(label AS VARCHAR) END
              AS class_name FROM embeddings),

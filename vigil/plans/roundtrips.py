@@ -114,7 +114,28 @@ def q_class_index(spark, sf_dir):
                        F.col("alpha").cast("int").alias("alpha_index"), "back")
 
 
+def q_feature_stats_incremental(spark, sf_dir):
+    """A5: a state of three captures, then two more folded in; only the new ones are read."""
+    from vigil.operators.moments import add_capture, merged, read_moments
+    from vigil.sources.tables import array_width
+    emb = read_table(spark, sf_dir, "embeddings")
+    cols = [f"f{i}" for i in range(array_width(emb))]
+    base = scratch_path(spark, "feature_stats_incremental")
+    wide = emb.select("vec_id", *[F.get("embedding", i).cast("double").alias(c) for i, c in enumerate(cols)])
+    wide.withColumn("capture", F.pmod(F.coalesce("vec_id", F.lit(0)), F.lit(5))).write.partitionBy("capture") \
+        .parquet(f"{base}/captures")
+    state = f"{base}/state"
+    for some in (range(3), range(3, 5)):
+        for k in some:
+            path = f"{base}/captures/capture={k}"
+            add_capture(spark.read.schema(wide.schema).parquet(path), cols, f"capture {k}", state)
+    add_capture(spark.read.schema(wide.schema).parquet(path), cols, "capture 4", state)   # again: nothing changes
+    return merged(read_moments(spark, state)).select(
+        "feature", "n", F.round("mean", 9).alias("mean"), F.round("std", 9).alias("std"))
+
+
 ROUNDTRIP_QUERIES = {
+    "feature_stats_incremental": q_feature_stats_incremental,
     "labelled_csv": q_labelled_csv,
     "inferred_capture": q_inferred_capture,
     "feature_array": q_feature_array,

@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.operators.align import positional_join
-from vigil.plans.build import build_labelled_table, write_parquet
-from vigil.operators import metrics
+from vigil.plans.build import build_labelled_table, write_counted, write_parquet
 from vigil.session import scratch_path
 from vigil.sources.capture import file_position_columns, read_features
 from vigil.sources.labels import read_labels
@@ -166,7 +165,11 @@ def q_build_dataset(spark, sf_dir):
 
 
 def q_source_counts(spark, sf_dir):
-    return metrics.class_counts(built_table(spark, sf_dir), "attack_name")
+    """Rows by source, observed by the write of the build itself."""
+    sources, base = _stage_build(spark, sf_dir)
+    counts = write_counted(build_labelled_table(spark, sources, n_features=2, keep_pos=True),
+                           f"{base}/global", [s[0] for s in sources])
+    return spark.createDataFrame(list(counts.items()), "attack_name string, n long")
 
 
 STAGED_QUERIES = {

@@ -68,9 +68,10 @@ def embedding_columns(df: DataFrame, n: int, col: str = "embedding") -> DataFram
 
 
 def array_width(df: DataFrame, col: str = "embedding") -> int:
-    """The number of entries that all arrays of the column have; null arrays do not count."""
+    """The number of entries that all arrays of the column have; null arrays do not count
+    (0 if there are no arrays)."""
     n = F.when(F.col(col).isNotNull(), F.size(col))
     lo, hi = df.agg(F.min(n), F.max(n)).first()
-    if lo is None or lo != hi:
+    if lo != hi:
         raise ValueError(f"{col}: arrays of {lo} to {hi} entries, one width is needed")
-    return hi
+    return hi or 0
