@@ -160,7 +160,8 @@ def test_edges_and_rare_forms_are_learned_from_all_documents(spark):
     rows.append((-1, "key zz-12@3 at a.b@c.de x a.b@c.de"))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     table = {(r.t, r.a, r.b, tuple(r.x or ())): r.n for r in pii.training_table(df).collect()}
-    assert table[2, 4, 0, ()] == 6000 and table[2, 1, 1, ()] == 1
+    # a bare repeat of a phone number is taught as one
+    assert table[2, 4, 4, ()] == 6000 and table[2, 1, 1, ()] == 1
     assert sum(n for (t, *_), n in table.items() if t == 0) == sum(
         len(pii.Graph(pa.array([t])).row) for _, t in rows)
     w, _, _ = pii.fit(df)
@@ -169,5 +170,44 @@ def test_edges_and_rare_forms_are_learned_from_all_documents(spark):
     assert pii.fit(df, max_forms=1) is not None
 
 
+@pytest.mark.parametrize("repeated", [2000, 200, 0])
+def test_bare_repeats_are_found_and_other_numbers_are_not(spark, repeated):
+    """Numbers of the same form that repeat nothing, years, prices and codes stay."""
+    import random
+    rnd = random.Random(repeated)
+    rows, planted, others = [], [], 0
+    for i in range(2000):
+        area, last = rnd.randint(200, 989), rnd.randint(0, 9999)
+        text = f"call +1 ({area}) 555-{last:04d} today"
+        if i < repeated:
+            text += " and later once again dial "
+            planted.append((i, len(text), len(text) + 10))
+            text += f"{area}555{last:04d} thanks"
+        text += f" in {rnd.randint(1990, 2030)} for {rnd.randint(1, 999)}.{rnd.randint(10, 99)} code x{rnd.randint(10, 99)}z"
+        others += 3
+        if i % 4 == 0:
+            text += f" order {rnd.randint(10 ** 9, 10 ** 10 - 1)} and {rnd.randint(10 ** 9, 10 ** 10 - 1)}"
+            others += 2
+        rows.append((i, text))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    added = set()
+    for r in pii.pii_digest(df).collect():
+        base = {(a, k, b) for a, k, b in pii.base_spans(rows[r.doc_id][1])}
+        spans = [s.split(":") for s in r.spans.split(",") if s]
+        new = {(int(a), pii.KINDS.index(k), int(b)) for k, a, b in spans} - base
+        assert len(base) == 1 and r.n_phone == 1
+        added |= {(r.doc_id, a, b) for a, _, b in new}
+    hit = added & set(planted)
+    assert len(hit) >= 0.9 * len(planted) and len(added - hit) <= 0.01 * others
+
+
+def test_hidden_labels_are_those_of_the_repeated_span():
+    g = pii.Graph(pa.array(["+1 (415) 555-0123 then 4155550123 or 9876543210 and 9876543210 at 10.1.2.33 no 101233"]))
+    y, said = pii.taught_labels(g)
+    got = {t: (a, b) for t, a, b in zip(g.text, y.tolist(), said.tolist())}
+    assert got["4155550123"] == (4, 4) and got["9876543210"] == (0, -1)
+    assert got["10.1.2.33"] == (2, -1) and got["101233"] == (0, -1)
+
+
 def test_personal_data_empty_table(spark):
     assert pii.pii_digest(cases.frame(spark, [])).count() == 0

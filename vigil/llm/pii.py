@@ -10,9 +10,15 @@ mentions agree, so a number that is spelled out once as a phone number is also
 found where it stands bare.  Candidates with a
 marginal of at least ``confidence`` outside the base spans become added spans.
 
-The field is trained piecewise with the base spans as labels: smoothed log ratios
-of the label pairs of all edges of the corpus, and softmax regression for the
-unaries.  Candidates with the same features and label form one training row with
+The field is trained on the base spans.  A candidate outside them that skip edges
+connect to one is not known to be harmless: its label is hidden, and taken to be that
+of the span it repeats.  All other candidates are negatives.  Chain potentials are
+smoothed log ratios of the label pairs of all edges of the corpus.  The skip potential
+is tied to agreement: one weight, the log odds of the corpus's skip pairs to agree,
+with a prior that mentions of one number differ in kind once in 100,000 times.
+Unaries are a softmax regression, for hidden labels given what the skip edges say, so
+a form that is personal only where it repeats a span is not personal by itself.
+Candidates with the same features, label and skip neighbour form one training row with
 their number in the corpus as its weight; of over ``MAX_FORMS`` such forms, those
 with the lowest hashes (some half of the bound at least) are learned from.
 Documents without a digit or an ``@`` hold no personal data of these kinds and
@@ -21,7 +27,9 @@ linear in the document's length.
 
 Defined cases: null and empty texts have no spans; repeated rows each get their
 row; a null doc_id is passed through; without any training token only the base
-spans are returned.
+spans are returned; keys of under four letters and digits get no skip edge, and an
+address's key keeps its dots; a group of repeats that meets spans of two kinds is
+taught the kind of most of them, and of equally many the one listed first.
 """
 
 from __future__ import annotations
@@ -56,6 +64,9 @@ FEATURES = 1 << 12
 CONFIDENCE = 0.95
 SETTLED = 1e-5              # change of a message that counts as none
 _K = len(KINDS) + 1          # label 0: no personal data
+# log odds that skip neighbours agree: pairs believed before any is seen, and the bounds
+AGREE_PRIOR, AGREE_LEAST, AGREE_MOST = 100_000, 6.0, 12.0
+OBSERVED = 30.0              # what a base span's label counts in its candidate's unary
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -110,7 +121,7 @@ def shape(token: str) -> str:
     """Runs of digits, letters and others each become one character."""
     for pattern, sign in _RUNS:
         token = pattern.sub(sign, token)
-    return token[:24]
+    return token
 
 
 def _feature(name: str) -> int:
@@ -136,7 +147,7 @@ def _units(texts: list[str], start: list, end: list, spaced: list, spans: list,
     n = len(texts)
     owner: list = [None] * n
     units, k = [], 0
-    for a, _, b in spans:
+    for a, kind, b in spans:
         while k < n and end[k] <= a:
             k += 1
         j = k
@@ -144,7 +155,7 @@ def _units(texts: list[str], start: list, end: list, spaced: list, spans: list,
             j += 1
         if j > k and not any(owner[k:j]):
             owner[k:j] = [True] * (j - k)
-            units.append((k, j - 1, _KEEP.sub("", text[a:b].lower())))
+            units.append((k, j - 1, text[a:b] if KINDS[kind] == "ip" else _KEEP.sub("", text[a:b].lower())))
     runs, i = [], 0
     while i < n:
         j = i + 1
@@ -249,7 +260,7 @@ class Graph:
             left = shapes[i - 1] if near[i] else "-"
             right = shapes[i + 1] if i + 1 < n and near[i + 1] else "-"
             feats[i] = [_feature(f) for f in (
-                "bias", f"shape {shapes[i]}", f"digits {min(digits, 20)}", f"size {min(len(t), 24)}",
+                "bias", f"shape {shapes[i]}", f"digits {digits}", f"size {len(t)}",
                 f"left {left}", f"right {right}", f"dots {min(t.count('.'), 5)} at {t.count('@')}")]
         self.feats = feats
 
@@ -273,6 +284,33 @@ def token_labels(g: Graph) -> np.ndarray:
     return y
 
 
+def taught_labels(g: Graph) -> tuple[np.ndarray, np.ndarray]:
+    """The labels to learn (hidden ones are those of the spans they repeat), and for each
+    hidden one what its skip neighbours say (-1 for all others)."""
+    y = token_labels(g)
+    root = np.arange(len(y))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+    for a, b in g.skip.tolist():
+        root[find(a)] = find(b)
+    linked = np.unique(g.skip)
+    groups: dict[int, list[int]] = {}
+    for i in linked.tolist():
+        groups.setdefault(find(i), []).append(i)
+    said = np.full(len(y), -1, np.int64)
+    for at in groups.values():
+        known = Counter(y[at][y[at] > 0].tolist())
+        label = min(known, key=lambda k: (-known[k], k)) if known else 0
+        if label:
+            hidden = [i for i in at if y[i] == 0]
+            y[hidden] = said[hidden] = label
+    return y, said
+
+
 def marginals(unary: np.ndarray, edges: list[tuple[np.ndarray, np.ndarray]],
               rounds: int | None = None) -> np.ndarray:
     """Sum-product message passing; edges: (pairs, log potentials) of each kind.
@@ -327,14 +365,17 @@ def _softmax(x):
     return e / e.sum(axis=1, keepdims=True)
 
 
-def train(x: np.ndarray, y: np.ndarray, weight: np.ndarray, chain: np.ndarray,
+def train(x: np.ndarray, y: np.ndarray, said: np.ndarray, weight: np.ndarray, chain: np.ndarray,
           skip: np.ndarray, rounds: int = 120) -> tuple:
-    """Weights (unary, chain, skip) from features and labels with weights, and pair counts."""
+    """Weights (unary, chain, skip) from features, labels, skip neighbours and pair counts."""
+    same = np.trace(skip)
+    agree = float(np.clip(np.log((same + AGREE_PRIOR) / (skip.sum() - same + 1)), AGREE_LEAST, AGREE_MOST))
+    given = np.where(said[:, None] == np.arange(_K), agree, 0.0)
     weight = (weight / weight.sum())[:, None]
     w, mem = np.zeros((FEATURES, _K)), np.full((FEATURES, _K), 1e-6)
     goal = np.eye(_K)[y]
     for _ in range(rounds):
-        err = (_softmax(w[x].sum(axis=1)) - goal) * weight
+        err = (_softmax(w[x].sum(axis=1) + given) - goal) * weight
         grad = np.column_stack([np.bincount(x.ravel(), np.repeat(err[:, k], x.shape[1]), FEATURES)
                                 for k in range(_K)]) + 1e-5 * w
         mem += grad ** 2
@@ -344,15 +385,18 @@ def train(x: np.ndarray, y: np.ndarray, weight: np.ndarray, chain: np.ndarray,
         c = c + c.T + 1.0
         return np.clip(np.log(c / c.sum()) - np.log(np.outer(c.sum(1), c.sum(0)) / c.sum() ** 2),
                        -3, 3)
-    return w, ratio(chain), ratio(skip)
+    return w, ratio(chain), agree * np.eye(_K)
 
 
 def added_spans(g: Graph, model: tuple, confidence: float) -> list[tuple]:
     """(row, start, kind, end) of confident candidates outside the base spans; neighbours merge."""
     w, chain, skip = model
-    p = marginals(w[g.feats].sum(axis=1), [(g.chain, chain), (g.skip, skip)])
+    y = token_labels(g)
+    unary = w[g.feats].sum(axis=1)
+    unary[np.flatnonzero(y), y[y > 0]] += OBSERVED
+    p = marginals(unary, [(g.chain, chain), (g.skip, skip)])
     kind = p.argmax(axis=1)
-    sure = (kind > 0) & (p.max(axis=1) >= confidence) & (token_labels(g) == 0)
+    sure = (kind > 0) & (p.max(axis=1) >= confidence) & (y == 0)
     follows = set(map(tuple, g.chain.tolist()))
     out: list[list] = []
     last = None
@@ -366,12 +410,12 @@ def added_spans(g: Graph, model: tuple, confidence: float) -> list[tuple]:
 
 
 def _train_rows(batches):
-    """(t, a, b, x, n), summed over a piece: candidates (t = 0) with their label and features,
-    and label pairs of edges (1 chain, 2 skip)."""
+    """(t, a, b, x, n), summed over a piece: candidates (t = 0) with their label, that of their
+    skip neighbours, and features; and label pairs of edges (1 chain, 2 skip)."""
     for b in tokens.chunks(batches):
         g = Graph(b.column(1))
-        y = token_labels(g)
-        n = Counter((0, k, 0, tuple(x)) for k, x in zip(y.tolist(), g.feats.tolist()))
+        y, said = taught_labels(g)
+        n = Counter((0, k, o, tuple(x)) for k, o, x in zip(y.tolist(), said.tolist(), g.feats.tolist()))
         for t, pairs in ((1, g.chain), (2, g.skip)):
             n.update((t, p, q, None) for p, q in zip(y[pairs[:, 0]].tolist(), y[pairs[:, 1]].tolist()))
         if n:
@@ -385,7 +429,7 @@ def training_table(docs: DataFrame) -> DataFrame:
     """(t, a, b, x, n, level) of all documents; level: leading zero bits of the form's hash."""
     rows = documents(docs).mapInArrow(_train_rows, "t int, a int, b int, x array<int>, n long") \
         .groupBy("t", "a", "b", "x").agg(F.sum("n").alias("n"))
-    return rows.withColumn("level", F.lit(64) - F.length(F.bin(F.xxhash64("a", "x"))))
+    return rows.withColumn("level", F.lit(64) - F.length(F.bin(F.xxhash64("a", "b", "x"))))
 
 
 def fit(docs: DataFrame, max_forms: int = MAX_FORMS) -> tuple | None:
@@ -400,12 +444,12 @@ def fit(docs: DataFrame, max_forms: int = MAX_FORMS) -> tuple | None:
         if kept + sizes[k] > max_forms:
             break
         least, kept = k, kept + sizes[k]
-    forms = table.where((F.col("t") == 0) & (F.col("level") >= least)).orderBy("a", "x").toPandas()
+    forms = table.where((F.col("t") == 0) & (F.col("level") >= least)).orderBy("a", "b", "x").toPandas()
     counts = np.zeros((3, _K, _K))
     for r in table.where("t > 0").collect():
         counts[r.t, r.a, r.b] = r.n
     x = np.array(forms.x.tolist(), np.int64).reshape(len(forms), -1)
-    return train(x, forms.a.to_numpy(np.int64), forms.n.to_numpy(np.float64), counts[1], counts[2])
+    return train(x, forms.a.to_numpy(np.int64), forms.b.to_numpy(np.int64), forms.n.to_numpy(np.float64), counts[1], counts[2])
 
 
 def _spell(spans) -> str:
