@@ -70,6 +70,22 @@ def test_ledger_scans_only_unseen_blobs(spark, tmp_path):
     assert found[0].findings == found[1].findings and found[0].findings
 
 
+def test_blobs_appended_twice_count_once(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    docs = cases.frame(spark, SECRET_TEXTS[:4])
+    secrets.update_ledger(docs, path)
+    again = spark.createDataFrame(spark.read.schema(secrets.LEDGER).parquet(path).collect(), secrets.LEDGER)
+    again.write.mode("append").partitionBy("rule_version").parquet(path)     # a run that overlapped
+    assert secrets.findings(docs, path).count() == 4
+    assert secrets.RULE_VERSION != "1" and "2-" + secrets.hashlib.sha256(
+        repr(secrets.RULES[:-1]).encode()).hexdigest()[:16] != secrets.RULE_VERSION
+
+
+def test_other_errors_of_a_ledger_are_not_an_empty_one(spark, tmp_path):
+    with pytest.raises(Exception, match="(?i)scheme|filesystem"):
+        secrets.read_ledger(spark, "nosuchscheme://x/ledger").count()
+
+
 def test_secrets_empty_table(spark):
     assert secrets.secret_digest(cases.frame(spark, [])).count() == 0
 

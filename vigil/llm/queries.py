@@ -36,8 +36,12 @@ def op5_line_dedup(spark, sf_dir):
 
 
 def op6_secret_scan(spark, sf_dir):
-    from vigil.llm.secrets import secret_digest
-    return secret_digest(_table(spark, sf_dir, "documents"))
+    """Two runs over one ledger: an older state of the table (one language), then all of it."""
+    from vigil.llm.secrets import secret_digest, update_ledger
+    from vigil.session import scratch_path
+    docs, ledger = _table(spark, sf_dir, "documents"), scratch_path(spark, "ledger")
+    update_ledger(docs.where(F.col("lang") == "en"), ledger)
+    return secret_digest(docs, ledger)
 
 
 def op7_substring_dedup(spark, sf_dir):

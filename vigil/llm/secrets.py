@@ -5,6 +5,8 @@ ledger is a Parquet table (rule_version, blob, findings); a run scans only the
 blobs that have no entry under its rule version, appends them, and joins the
 findings back to all paths.  A text that a third of the paths share is scanned
 once, and a later run over the same or a grown table scans only what is new.
+The rule version is a hash of the rules, so changed rules never serve old findings.
+Runs that overlap may append a blob twice; entries fold to one when they are read.
 
 DataFrame functions only.  Spans come from the pieces between the matches
 (``split``) and the matches (``regexp_extract_all``): a running sum of both
@@ -19,6 +21,8 @@ length test is dropped without a retry inside it.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +42,8 @@ RULES = [
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0, "eyJ"),
 ]
 BASE_KINDS = 3
-RULE_VERSION = "1"
+# the count goes up when the scan itself changes, not only the rules
+RULE_VERSION = "2-" + hashlib.sha256(repr(RULES).encode()).hexdigest()[:16]
 
 _FINDING = T.ArrayType(T.StructType([
     T.StructField("start", T.LongType()), T.StructField("kind", T.IntegerType()),
@@ -88,8 +93,10 @@ def scan(blobs: DataFrame) -> DataFrame:
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.schema(LEDGER).parquet(path)
-    except AnalysisException:     # no run has written here yet
-        return spark.createDataFrame([], LEDGER)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LEDGER)     # no run has written here yet
 
 
 def update_ledger(docs: DataFrame, path: str, rule_version: str = RULE_VERSION) -> DataFrame:
@@ -109,7 +116,7 @@ def findings(docs: DataFrame, ledger_path: str | None = None,
     """(doc_id, findings) of every row: findings are (start, kind, end), kind into RULES."""
     path = ledger_path or scratch_path(docs.sparkSession, "ledger")
     ledger = update_ledger(docs, path, rule_version) \
-        .where(F.col("rule_version") == rule_version).select("blob", "findings")
+        .where(F.col("rule_version") == rule_version).select("blob", "findings").dropDuplicates(["blob"])
     paths = documents(docs).select("doc_id", blob_id(F.col("text")).alias("_blob"))
     return paths.join(ledger, same(paths["_blob"], ledger["blob"]), "left") \
         .select("doc_id", "findings")
