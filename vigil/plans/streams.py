@@ -199,7 +199,24 @@ def q_daily_metrics(spark, sf_dir):
     return _metrics_text(read_store(spark, table, ["window_start"]), extra=["day"])
 
 
+def q_paced_replay(spark, sf_dir):
+    """K3: the events released an eighth at a time, with a restart half way."""
+    from vigil.streaming import paced
+    d = scratch_path(spark, "paced_replay")
+    n = paced.store_positioned(read_table(spark, sf_dir, "events").select("event_id"), ["event_id"], f"{d}/rows")
+    rate = max(1, -(-n // 8))
+
+    def send(rows, batch):
+        rows.select("event_id", "pos").write.mode("overwrite").parquet(f"{d}/out/batch={batch}")
+
+    for until in (4, None):
+        paced.replay(spark, f"{d}/rows", n, rate, f"{d}/checkpoint", send, seconds=0.05, until=until)
+    return read_sink(spark, f"{d}/out", schema="event_id bigint, pos bigint, batch int") \
+        .select("event_id", "pos", "batch")
+
+
 STREAM_QUERIES = {
+    "paced_replay": q_paced_replay,
     "confusion_window_stream": q_confusion_window_stream,
     "stream_dedup": q_stream_dedup,
     "late_rows": q_late_rows,

@@ -33,17 +33,19 @@ def whole_label(col) -> Column:
 
 
 def replay_payload(df: DataFrame, features: Sequence[str], label: str | None = "label",
-                   attack: str | None = "attack_name", keep: Sequence[str] = ()) -> DataFrame:
+                   attack: str | None = "attack_name", keep: Sequence[str] = (),
+                   also: Sequence[str] = (), sent: Column | None = None) -> DataFrame:
     """K3: table rows as raw-event JSON: features as doubles (null, text, NaN and
     infinities -> 0.0, which JSON can hold), label as int, attack as string,
-    ``ts`` = send time in epoch seconds.  ``keep`` lists columns to carry along."""
+    ``ts`` = send time in epoch seconds (now, if ``sent`` does not say).  ``keep`` lists
+    columns to carry along, ``also`` columns to add to the JSON."""
     cols = [finite_or_zero(F.col(c).cast("string").try_cast("double")).alias(c) for c in features]
     if label:
         cols.append(whole_label(label).alias("label"))
     if attack:
         cols.append(F.col(attack).cast("string").alias("attack_name"))
-    ts = F.unix_micros(F.current_timestamp()) / F.lit(1e6)
-    return df.select(*keep, F.to_json(F.struct(*cols, ts.alias("ts"))).alias("value"))
+    ts = F.unix_micros(F.current_timestamp()) / F.lit(1e6) if sent is None else sent
+    return df.select(*keep, F.to_json(F.struct(*cols, *also, ts.alias("ts"))).alias("value"))
 
 
 def write_kafka(df: DataFrame, servers: str, topic: str, options: dict | None = None):
