@@ -224,3 +224,30 @@ def test_compaction_keeps_what_is_appended_meanwhile(spark):
     assert got == {1: 8.0, 2: 2.0, 3: 3.0}
     # the merged old rows (1) and the appended ones (2) of that day
     assert spark.read.parquet(table).filter("day = '2024.01.01'").count() == 3
+
+
+def test_hot_key_of_a_batch_is_folded_in_its_tasks(spark):
+    """A third of the rows on one key: one row a task goes on, the latest."""
+    import datetime as dt
+    from vigil.streaming import dedup
+    t0 = dt.datetime(2024, 1, 1)
+    df = spark.range(0, 3000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+        (F.lit(t0) + F.make_dt_interval(secs=F.col("id"))).alias("ts"), "id")
+    out = dedup.fold_in_task(df, ["k"], "ts")
+    got = out.withColumn("part", F.spark_partition_id()).where("k = 'hot'").collect()
+    assert len(got) == 6 and {r.id for r in got} == {498, 999, 1497, 1998, 2499, 2997}
+    assert out.where("k <> 'hot'").count() == 2000
+
+
+def test_folded_stream_gives_each_key_once(spark):
+    """Null keys and null times too; a late copy never hides one in time."""
+    import datetime as dt
+    base = scratch_path(spark, "t_fold")
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(k, t0 + dt.timedelta(seconds=i)) for i in range(50) for k in ("hot", None, f"k{i}")] + [("x", None)]
+    spark.createDataFrame(rows, "id string, ts timestamp").repartition(5).write.parquet(f"{base}/in")
+    s = spark.readStream.schema("id string, ts timestamp").parquet(f"{base}/in")
+    run_available_now(dedup_events(s, ["id"], "ts"), f"{base}/out", f"{base}/ck")
+    got = [r.id for r in spark.read.parquet(f"{base}/out").collect()]
+    assert sorted(got, key=str) == sorted(["hot", None, "x"] + [f"k{i}" for i in range(50)], key=str)

@@ -470,6 +470,7 @@ QUERY_OPERATORS = {
     "lr_check": "M10, X3, M2 (recomputed from the coefficients)",
     "score_metrics": "W1-W3, W5, W8, W9 (metrics of the scoring job, listener counts)",
     "paced_replay": "K3 (so many rows a batch, restarted half way)",
+    "artifacts_check": "K11 (saved, loaded, scored again)",
     "gbt_check": "M11, X4 (scores from the node tables, leaves from their rows)",
     "stream_score_check": "K3, S8, S9, W5-W9, W11, M7 (stream equals batch)",
     "iforest_score": "M9, X1, X2, A9, M5, U6",

@@ -180,6 +180,22 @@ def q_stream_score_check(spark, sf_dir):
 METRICS_START, METRICS_STEP = 1_704_067_200, 7     # seconds: the first event, and between two
 
 
+def q_artifacts_check(spark, sf_dir):
+    """Every artifact of the ensemble, saved and loaded again, scores alike."""
+    from vigil.ml.ensemble import load_ensemble, save_ensemble
+    from vigil.plans.models import ENS_10X4
+    rows = _ensemble_input(spark, sf_dir)
+    m = fit_ensemble(rows, "features", "vec_id", ENS_10X4)
+    path = scratch_path(spark, "artifacts")
+    save_ensemble(spark, m, path)
+    cols = ("rule_alert", "iso_score", "iso_is_anom", "pred_lr", "pred_xgb", "pred_final")
+    fitted, loaded = (score_ensemble(rows, x, "features", rule_predicates=ENS_CFG.rule_predicates)
+                      .select("vec_id", F.struct(*cols).alias(n)) for x, n in
+                      ((m, "a"), (load_ensemble(spark, path), "b")))
+    return fitted.join(loaded, "vec_id").select("vec_id", F.col("a").eqNullSafe(F.col("b")).alias("same_scores"),
+                                                F.col("b.pred_final").isNotNull().alias("decided"))
+
+
 def q_score_metrics(spark, sf_dir):
     """The metrics of the scoring job are those of its own events.
 
@@ -304,6 +320,7 @@ def q_gbt_check(spark, sf_dir):
 
 CHECK_QUERIES = {
     "score_metrics": q_score_metrics,
+    "artifacts_check": q_artifacts_check,
     "gbt_check": q_gbt_check,
     "rf_check": q_rf_check,
     "iforest_check": q_iforest_check,

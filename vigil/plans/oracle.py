@@ -364,6 +364,7 @@ SELECT vec_id, class_name, freq_index, alpha_index, class_name AS back FROM c JO
 for _name, _facts in {
         "rf_check": ["probabilities_ok", "bundle_ok", "prediction_ok", "alert_ok"],
         "iforest_check": ["score_ok", "flag_ok"], "lr_check": ["largest_logit", "class_known"],
+        "artifacts_check": ["same_scores", "decided"],
         "gbt_check": ["scores_ok", "class_ok", "leaves_ok", "loss_falls"],
         "stream_score_check": ["scored_once", "like_batch", "ids_unique"]}.items():
     SQL[_name] = "SELECT vec_id, " + ", ".join(f"TRUE AS {f}" for f in _facts) + " FROM embeddings"

@@ -65,16 +65,23 @@ def file_event_source(spark: SparkSession, path: str, schema: StructType,
     return r.load(path)
 
 
+# a file of JSON lines is one record of the scan: larger ones are refused
+FILE_BYTES_MAX = 256 << 20
+
+
 def file_lines(spark: SparkSession, path: str, topic: str, max_files_per_trigger: int = 1) -> DataFrame:
     """Files of raw JSON lines in the envelope's columns, without a broker.
 
     The whole file is one record of the scan, so a line's place in its file is
     known and two equal lines stay two events: partition = a hash of the file's
     path, offset = the line's number.  Files should be kept at the size of a
-    Kafka batch.  The event time is the payload's send time, else the file's.
+    Kafka batch; one over ``FILE_BYTES_MAX`` fails the batch with its name.  The event time is the payload's send time, else the file's.
     """
     raw = (spark.readStream.format("text").option("wholetext", "true")
            .option("maxFilesPerTrigger", str(max_files_per_trigger)).load(path))
+    size, name = F.col("_metadata.file_size"), F.col("_metadata.file_path")
+    large = F.concat(F.lit(f"over {FILE_BYTES_MAX} bytes, split it: "), name)
+    raw = raw.where(F.when(size > FILE_BYTES_MAX, F.raise_error(large).cast("boolean")).otherwise(True))
     lines = raw.select(
         F.pmod(F.xxhash64(F.col("_metadata.file_path")), F.lit((1 << 31) - 1)).cast("int").alias("partition"),
         F.col("_metadata.file_modification_time").alias("_modified"),
