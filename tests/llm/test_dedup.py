@@ -26,6 +26,21 @@ def test_lines_hot_key_is_split_and_whole(spark):
     assert got == sorted(cases.lines_expected(rows), key=repr)
 
 
+def test_emptied_documents_go_and_blank_ones_stay(spark):
+    rows = [(1, "the same long line\nanother line here"), (2, "another line here\nthe same long line"),
+            (3, "  \n the same long line"), (4, "short\nthe same long line"), (5, ""), (6, None), (7, " \n ")]
+    got = line_dedup.dedup_lines(cases.frame(spark, rows), keep_emptied=False).collect()
+    assert {r.doc_id: r.text for r in got} == {1: rows[0][1], 4: "short", 5: "", 6: "", 7: " \n "}
+    assert line_dedup.dedup_lines(cases.frame(spark, rows)).count() == 7
+
+
+def test_columns_named_like_the_operators_own(spark):
+    df = spark.createDataFrame([(1, "a long enough line", 5, "k", 7, "r"), (2, "a long enough line\nx", 6, "l", 8, "s")],
+                               "doc_id long, text string, _n_dropped long, _kept string, _n_lines long, _rest string")
+    got = {tuple(r) for r in line_dedup.dedup_lines(df).collect()}
+    assert got == {(1, "a long enough line", 5, "k", 7, "r"), (2, "x", 6, "l", 8, "s")}
+
+
 def test_line_bitmaps_are_runs(spark):
     rows = [(1, "line number one\nline number two\nline number three"),
             (2, "x\nline number one\nline number two\nnew line here\nline number three\ny")]

@@ -127,8 +127,19 @@ def line_digest(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
                       F.sha2("_kept", 256).alias("kept_sha256"))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` with ``text`` (and ``n_chars``, where there is one) cut to the kept lines."""
-    out = apply_bitmaps(docs, keep_bitmaps(docs, min_chars))
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, keep_emptied: bool = True) -> DataFrame:
+    """``docs`` with ``text`` (and ``n_chars``, where there is one) cut to the kept lines.
+
+    Without ``keep_emptied`` documents that lose lines and keep nothing but white space go;
+    texts that were blank before stay.  The other columns may have any names.
+    """
+    cut = ("text", "n_chars")
+    rest = [c for c in docs.columns if c not in cut]
+    # under one name, so that no column of the input meets one of the operator's
+    held = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_rest"))
+    out = apply_bitmaps(held, keep_bitmaps(docs, min_chars))
+    if not keep_emptied:
+        out = out.where((F.col("_n_dropped") == 0) | (F.btrim("_kept", F.lit(BLANKS)) != ""))
     new = {"text": F.col("_kept"), "n_chars": F.char_length("_kept").cast("long")}
-    return out.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
+    return out.select(*[new[c].alias(c) if c in cut else F.col("_rest").getField(c).alias(c)
+                        for c in docs.columns])
