@@ -24,8 +24,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated lines go; text and n_chars are those of the lines that stay."""
-    return dedup_lines(docs)
+    """Repeated lines go; text and n_chars are those of the lines that stay.
+
+    A document that loses all its text with them goes as well.  Null and blank texts
+    stay as they are, a line stays in the smallest doc_id (null first), rows that repeat
+    are cut alike.
+    """
+    return dedup_lines(docs, keep_emptied=False)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
