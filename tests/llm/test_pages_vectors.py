@@ -102,6 +102,107 @@ def test_copies_do_not_save_a_template(spark):
     assert {r.page_id: r.text for r in html.extract(df).collect()} == {p[0]: p[3] for p in pages}
 
 
+def plain_noise(roots, low=html.LOW_IMPORTANCE):
+    """The noisy paths of one host, by the formulas, on one machine."""
+    def elements(e, path):
+        kids = [x for x in e.items if isinstance(x, html.Element) and x.tag not in html._UNSEEN]
+        yield path, e, kids
+        for k in kids:
+            yield from elements(k, (*path, k.label))
+    on, styles, words, shares = {}, {}, {}, {}
+    for i, root in enumerate(roots):
+        for path, e, kids in elements(root, ()):
+            on.setdefault(path, set()).add(i)
+            kids = [k for k in kids if k.items or k.link]
+            styles.setdefault(path, {}).setdefault(tuple(k.label for k in kids), set()).add(i)
+            own = {w for x in e.items if isinstance(x, str) for w in x.split()} | ({e.link} - {""})
+            for w in own:
+                words.setdefault(path, {}).setdefault(w, set()).add(i)
+            for name in [*[k.label for k in kids], *([None] if own else [])]:
+                part = shares.setdefault(path, {})
+                part[name] = part.get(name, 0) + 1 / (len(kids) + bool(own))
+    kept = {p for p, s in on.items() if len(s) >= html.MIN_PAGES and len(s) >= html.MIN_SHARE * len(roots)}
+
+    def content(p):
+        m = len(set().union(*words[p].values()))
+        return 1.0 if m < html.MIN_PAGES else 1 - sum(math.log(len(x)) / math.log(m)
+                                                     for x in words[p].values()) / len(words[p])
+
+    def judge(p):
+        """(importance, noise) of a place."""
+        if p not in kept:
+            return 1.0, False
+        if p not in shares:
+            return 0.0, True
+        parts = {k: (content(p), content(p) < low) if k is None else judge((*p, k)) for k in shares[p]}
+        if set(parts) == {None}:
+            return parts[None]
+        n = [len(x) for x in styles[p].values()]
+        h = -sum(x / sum(n) * math.log(x / sum(n)) for x in n) / math.log(len(on[p]))
+        deep = html.GAMMA ** len(n)
+        whole = sum(shares[p].values())
+        imp = (1 - deep) * min(h, 1.0) + deep * sum(shares[p][k] / whole * parts[k][0] for k in parts)
+        return imp, imp < low and all(x[1] for x in parts.values())
+    return {p for p in kept if p and p in shares and judge(p)[1]}
+
+
+def nameless_sites():
+    """Ten hosts whose menus, notices and footers have no telling names and vary by page."""
+    rnd = random.Random(5)
+    for h in range(10):
+        menu = [f"m{h}x{k}" for k in range(8)]
+        notes = [f"note{h} {k} of this house" for k in range(3)]
+        for i in range(12 + 4 * h):
+            items = "".join(f"<li><a href='/{m}'>{m}</a></li>" for m in rnd.sample(menu, 5))
+            body = [" ".join(f"w{rnd.randrange(99999)}" for _ in range(20)) for _ in range(rnd.randrange(1, 5))]
+            yield (h * 100 + i, f"http://h{h}/{i}",
+                   f"<body><div class='k1'><ul>{items}</ul></div><div class='k2'>{rnd.choice(notes)}</div>"
+                   f"<div class='k3'>{''.join(f'<p>{b}</p>' for b in body)}</div>"
+                   f"<div class='k4'>(c) h{h} all rights {2000 + i % 3}</div></body>", " ".join(body))
+
+
+def test_nameless_templates_are_cut_by_their_importance(spark):
+    pages = list(nameless_sites())
+    df = spark.createDataFrame([p[:3] for p in pages], "page_id long, url string, html string")
+    for names in (True, False):
+        got = {r.page_id: r.text for r in html.extract(df.repartition(5), names=names).collect()}
+        assert got == {p[0]: p[3] for p in pages}
+
+
+def test_noisy_places_equal_a_plain_version(spark):
+    rnd = random.Random(9)
+    pages = [p[:3] for p in nameless_sites()]
+    for i in range(60):                 # hosts with rare, shared and changing parts in all mixtures
+        rows = "".join(f"<tr><td class=c{rnd.randrange(3)}>a{rnd.randrange(4)} b{rnd.randrange(60)}<td><img "
+                       f"src=/i{rnd.randrange(2)}></tr>" for _ in range(rnd.randrange(4)))
+        odd = f"<section>r{rnd.randrange(9)}<br></section>" if rnd.random() < .12 else "<hr><i></i>"
+        pages.append((5000 + i, f"http://mixed{i % 2}/", f"<main>{i} <table>{rows}</table>{odd}</main>"
+                                f"<p>s{rnd.randrange(2)} t{rnd.randrange(9)}</p>"))
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    for low in (0.2, html.LOW_IMPORTANCE, 0.7):
+        want = {}
+        for host in {html.host_of(p[1]) for p in pages}:
+            roots = {html.text_of(r): r for r in (html.parse(p[2]) for p in pages if html.host_of(p[1]) == host)}
+            keys = set()
+            for path in plain_noise(list(roots.values()), low):
+                at = html.Element("", None)
+                for label in path:
+                    at = html.Element("", at, label)
+                keys.add(at.place)
+            want[host] = sorted(keys)
+        assert any(want.values())
+        got = {r.host: r.places for r in html.low_importance(df, low=low).collect()}
+        assert {h: got.get(h, []) for h in want} == want
+
+
+def test_a_page_of_nothing_but_template_keeps_its_text(spark):
+    rows = [(i, "http://h/", f"<body><h1>T{i}</h1><div>the same words on each page of the host</div></body>")
+            for i in range(20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html.extract(df).collect()} == {
+        i: f"T{i} the same words on each page of the host" for i in range(20)}
+
+
 def test_odd_rows_of_pages(spark):
     rows = [(1, None, None), (2, "nonsense", ""), (None, "http://h/", "<p>x</p>"), (3, "http://h/", "<p>x</p>"),
             (3, "http://h/", "<p>x</p>")]

@@ -1,35 +1,51 @@
 """Main text of web pages by a site style tree.
 
 The DOMs of one host merge: an element's place is its path of presentation
-(tag with class, id and role) from the root.  For every place the tree counts
-the pages that have it, how its children vary (presentation styles) and what
-its branch holds (hashed texts).  The importance of a place joins the entropy
-of its styles and of its contents, both to the base of its pages: a branch that
-looks and reads alike on most pages of a site is noise and is cut from each page,
-with all below it, wherever it stands; all other text of the body is kept, inside
+(tag with class and id) from the root.  The tree counts, for every place, how its
+child sequences (presentation styles) vary and on how many pages each single
+content feature (word, link, image) of its own stands.  m is the number of pages
+that have a place; every page counts a style or feature of a place once.
+
+* content importance of a place: 1 - mean over its features of log_m(pages of the
+  feature): 0 if all pages say the same, near 1 if each says something else;
+* style importance: entropy of its child sequences to the base m;
+* composite importance, from the leaves up: a leaf has its content importance; else,
+  with l child sequences, (1 - GAMMA^l) * style importance + GAMMA^l * mean importance
+  of its children and own texts, weighted by their share of the sequences.
+
+A branch is noise, and cut from each page, if it and all below it stay under
+``LOW_IMPORTANCE``, wherever it stands; all other text of the body is kept, inside
 ``<article>`` and ``<main>`` or not.  These tags only keep headlines below them, and a
 noisy-named frame that holds all of a page's articles.  Elements that by their
 name carry no article (menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles, comments) go as well, which also serves hosts with few pages.
+forms, scripts, styles, comments) go as well, which also serves hosts with few pages
+and templates whose words change from page to page.  A page of which the tree would
+leave no words but headlines is judged by names alone.
 
 Pages of a host with the same main text count once, so that copies do not make
 an article look like a template.  The counts are summed in each task before they
 are dealt out, so a host with a third of all pages sends one row per place,
-style and content from each task.  Only places on at least ``MIN_SHARE`` of a host's pages can be cut; a host therefore keeps at
-most (elements of a page / MIN_SHARE) of them, however many pages it has.
+style and feature from each task.  Places on less than ``MIN_SHARE`` of a host's
+pages, or on under ``MIN_PAGES`` of them, count as important, as do rare features;
+a host therefore keeps at most (elements of a page / MIN_SHARE) places, however many
+pages it has, and these are combined in one task.
 
 Defined cases: null or empty html gives an empty text; a null url or one
 without a host belongs to the host ''; hosts of under ``MIN_PAGES`` different
-main texts are judged by element names alone.
+main texts are judged by element names alone; repeated rows each give their row, an
+empty table none; columns beyond the three asked for stay out, whatever their names.
 """
 
 from __future__ import annotations
 
 import html as _html
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -39,7 +55,10 @@ from vigil.llm import tokens
 from vigil.llm.frames import freeze, same, small_batches
 from vigil.llm.tokens import CHUNK_BYTES
 
-MIN_PAGES, MIN_SHARE, LOW_IMPORTANCE = 5, 0.5, 0.25
+MIN_PAGES, MIN_SHARE, LOW_IMPORTANCE, GAMMA = 5, 0.1, 0.4, 0.9
+PAGES, STYLE, TEXTS, ABOVE, BELOW, OWN = range(6)      # kinds of counts, see page_features
+SUMMED_AT_ONCE = 1 << 19   # content features that a task sums in one table
+UNIT = 1 << 20             # a whole share of a child sequence, as an integer
 SMALL_TABLE = 8 << 20      # bytes of cut places up to which they are broadcast
 
 # fixed values of HTML
@@ -50,6 +69,9 @@ _BLOCK = frozenset("address article aside blockquote body br caption center dd d
                    "tr ul".split())
 _NO_TEXT = frozenset("script style noscript template head title iframe object svg math canvas select "
                      "button textarea form input nav footer aside dialog menu".split())
+# raw or invisible content, no part of the tree
+_UNSEEN = frozenset("script style noscript template head title iframe object svg math canvas "
+                    "select textarea".split())
 _ARTICLE = frozenset("article main".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 _FRAME = frozenset("div section ul ol dl table figure details span".split())   # cut by the tree
@@ -72,17 +94,17 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^<>]*+>
                     rf"|<(/?)([a-zA-Z][^\s/<>]*+)({_ATTRS})>", re.S | re.I)
 # one attribute after the other: whole name, value
 _ATTR = re.compile(r"""([^\s/>=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?+""")
-_ASKED = frozenset("class id role aria-hidden hidden".split())
+_ASKED = frozenset("class id role aria-hidden hidden href src".split())
 _WORD = re.compile(r"[a-z]+")
 _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 _SPACE = re.compile(r"\s+")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "label", "place", "noise", "items")
+    __slots__ = ("tag", "parent", "label", "place", "noise", "link", "items")
 
-    def __init__(self, tag, parent, label="", noise=False):
-        self.tag, self.parent, self.label, self.noise = tag, parent, label, noise
+    def __init__(self, tag, parent, label="", noise=False, link=""):
+        self.tag, self.parent, self.label, self.noise, self.link = tag, parent, label, noise, link
         # the hash of the labels from the root; never 0, which stands for the page
         self.place = _key(label, parent.place) or 1 if parent else 0
         self.items: list = []           # texts and elements in page order
@@ -117,8 +139,7 @@ def parse(page: str) -> Element:
             while node.tag in closes and at is not node.parent:
                 opened[at.tag] -= 1
                 at = at.parent
-        label, noise = _present(tag, m.group(4))
-        child = Element(tag, at, label, noise)
+        child = Element(tag, at, *_present(tag, m.group(4)))
         at.items.append(child)
         if tag not in _VOID and not m.group(4).rstrip().endswith("/"):
             opened[tag] += 1
@@ -128,11 +149,11 @@ def parse(page: str) -> Element:
     return root
 
 
-def _present(tag: str, attrs: str) -> tuple[str, bool]:
-    """The presentation label of an element, and whether its names speak of noise."""
+def _present(tag: str, attrs: str) -> tuple[str, bool, str]:
+    """The presentation label of an element, whether its names speak of noise, its link."""
     noise = tag in _NO_TEXT
     if not attrs.strip():
-        return tag, noise
+        return tag, noise, ""
     found = {}
     for k, v in _ATTR.findall(attrs):
         if k.lower() in _ASKED:
@@ -142,7 +163,8 @@ def _present(tag: str, attrs: str) -> tuple[str, bool]:
     if tag not in _ARTICLE and tag not in ("html", "body") and tag not in _HEADING:
         noise = noise or bool(_NOISE.intersection(_WORD.findall(names))) \
             or found.get("role") in _NOISE_ROLES
-    return label, noise or "hidden" in found or found.get("aria-hidden") == "true"
+    return label, noise or "hidden" in found or found.get("aria-hidden") == "true", \
+        found.get("href") or found.get("src") or ""
 
 
 def host_of(url: str | None) -> str:
@@ -158,85 +180,167 @@ def _elements(node: Element) -> Iterator[Element]:
         stack.extend(x for x in node.items if isinstance(x, Element))
 
 
-def page_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, text, page, seen): hashes of the main text and of the page, and its places.
+def features(root: Element) -> tuple[Counter, dict[int, set]]:
+    """The counts of a page by (place, kind, feature), and the content features of its places.
 
-    seen holds triples (place, kind, feature) in one array, each once.
-    kind 0: the place itself; 1: sequences of child styles; 2: contents, with
-    all below, so that a branch is noise only if nothing in it varies.
-    Place 0 is the whole page.
+    PAGES: the place is on the page (place 0 is the whole page); STYLE: one of its child
+    sequences; TEXTS: it has content features of its own; ABOVE: its shares of the child
+    sequences of the place above, named by the feature; BELOW: all shares of its own
+    child sequences; OWN: those of its own content among them.
     """
+    counts: Counter = Counter({(0, PAGES, 0): 1})
+    words: dict[int, set] = {}
+    stack = [root]
+    while stack:
+        e = stack.pop()
+        children = [x for x in e.items if isinstance(x, Element) and x.tag not in _UNSEEN]
+        stack.extend(children)
+        own = {w for x in e.items if isinstance(x, str) for w in x.split()}
+        if e.link:
+            own.add(e.link)
+        if own:
+            words.setdefault(e.place, set()).update(own)
+            counts[e.place, TEXTS, 0] = 1
+        counts[e.place, PAGES, 0] = 1
+        # what holds nothing, like a break, is no part of a sequence
+        children = [x for x in children if x.items or x.link]
+        counts[e.place, STYLE, _key("|".join(x.label for x in children))] = 1
+        n = len(children) + bool(own)
+        if not n:
+            continue
+        for x in children:
+            counts[x.place, ABOVE, e.place] += UNIT // n
+        counts[e.place, BELOW, 0] += n * (UNIT // n)
+        if own:
+            counts[e.place, OWN, 0] += UNIT // n
+    return counts, words
+
+
+def page_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, text, page, seen, words): hashes of the main text and of the page; its counts
+    as (place, kind, feature, n) after one another in one array; its content features, a
+    place and their number before the hashes of each place's."""
     for b in tokens.chunks(batches, "html", 4 * CHUNK_BYTES):
-        hosts, texts, pages, all_seen = [], [], [], []
+        rows: list[list] = [[], [], [], [], []]
         for url, page in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
             root = parse(page or "")
-            seen = {(0, 0, 0)}
-            below: dict[int, int] = {}        # hash of all that an element holds
-            for e in reversed(list(_elements(root))):
-                held = [str(below[id(x)]) if isinstance(x, Element) else _SPACE.sub(" ", x).strip()
-                        for x in e.items]
-                below[id(e)] = _key("\0".join(x for x in held if x))
-                if e.parent:
-                    seen.add((e.place, 0, 0))
-                    seen.add((e.place, 1, _key("|".join(
-                        x.label for x in e.items if isinstance(x, Element)))))
-                    seen.add((e.place, 2, below[id(e)]))
-            hosts.append(host_of(url))
-            texts.append(_key(text_of(root)))
-            pages.append(_key(page or ""))
-            all_seen.append([x for k in sorted(seen) for x in k])
-        yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(texts, pa.int64()),
-                               pa.array(pages, pa.int64()), pa.array(all_seen, pa.list_(pa.int64()))],
-                              names=["host", "text", "page", "seen"])
-
-
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, place, kind, feature, n): the triples of the pages of a batch, summed."""
+            counts, words = features(root)
+            flat = []
+            for place in sorted(words):
+                flat += [place, len(words[place]), *sorted(_key(w) for w in words[place])]
+            for column, x in zip(rows, (host_of(url), _key(text_of(root)), _key(page or ""),
+                                        [x for k in sorted(counts) for x in (*k, counts[k])], flat)):
+                column.append(x)
+        longs = pa.list_(pa.int64())
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(
+            rows, (pa.string(), pa.int64(), pa.int64(), longs, longs))],
+            names=["host", "text", "page", "seen", "words"])
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, place, kind, feature, n): the counts of the pages of a batch, summed; kind -1
+    are the content features, whose n is the number of pages."""
+    def table(hosts, tables):
+        t = pa.table([hosts.take(pa.array(np.repeat([i for i, _ in tables], [len(x) for _, x in tables]))),
+                      *[pa.array(c) for c in np.concatenate([x for _, x in tables]).T]],
+                     names=["host", "place", "kind", "feature", "n"])
+        g = t.group_by(["host", "place", "kind", "feature"]).aggregate([("n", "sum")])
+        yield from g.rename_columns(t.column_names).combine_chunks().to_batches(max_chunksize=1 << 16)
+
     for b in batches:
-        n: Counter = Counter()
-        for host, seen in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            n.update((host, *seen[i:i + 3]) for i in range(0, len(seen), 3))
-        if n:
-            host, place, kind, feature = zip(*n)
-            yield pa.record_batch([pa.array(host, pa.string()), pa.array(place, pa.int64()),
-                                   pa.array(kind, pa.int32()), pa.array(feature, pa.int64()),
-                                   pa.array(n.values(), pa.int64())],
-                                  names=["host", "place", "kind", "feature", "n"])
+        tables, size = [], 0
+        for i, (seen, words) in enumerate(zip(b.column(1), b.column(2))):
+            w = words.values.to_numpy()
+            heads, at = [], 0
+            while at < len(w):
+                heads.append(at)
+                at += 2 + int(w[at + 1])
+            heads = np.array(heads, int)
+            inside = np.ones(len(w), bool)
+            inside[heads] = inside[heads + 1] = False
+            of = np.repeat(w[heads], w[heads + 1])
+            one = np.ones(len(of), np.int64)
+            tables += [(i, seen.values.to_numpy().reshape(-1, 4)),
+                       (i, np.stack([of, -one, w[inside], one], axis=1))]
+            size += len(of)
+            if size > SUMMED_AT_ONCE:
+                yield from table(b.column(0), tables)
+                tables, size = [], 0
+        if tables:
+            yield from table(b.column(0), tables)
 
 
 def _key(text: str, seed: int = 0) -> int:
     return xxhash.xxh64_intdigest(text, seed & 0xFFFFFFFFFFFFFFFF) - (1 << 63)
 
 
+def _noise_places(low: float):
+    """The places of a host whose branches are noise: importances from the leaves up."""
+    def run(site: pd.DataFrame) -> pd.DataFrame:
+        rows = {r.place: r for r in site.itertuples(index=False)}
+        children: dict[int, list] = {}
+        for r in rows.values():
+            children.setdefault(r.parent, []).append(r)
+        order, stack = [], [0]
+        while stack:
+            at = stack.pop()
+            order.append(at)
+            stack.extend(r.place for r in children.get(at, ()))
+        importance: dict[int, float] = {}
+        noise: dict[int, bool] = {}
+        for at in reversed(order):
+            r, kids = rows.get(at), children.get(at, [])
+            if r is None or not r.below:
+                importance[at], noise[at] = 0.0, r is not None
+                continue
+            known = sum(k.above for k in kids) + r.own
+            inner = sum(k.above * importance[k.place] for k in kids) + r.own * r.content \
+                + (r.below - known)               # rare children are important
+            if r.own == r.below:
+                importance[at] = r.content
+            else:
+                deep = GAMMA ** r.styles
+                importance[at] = (1 - deep) * r.style + deep * inner / r.below
+            noise[at] = round(importance[at], 6) < low and r.below == known \
+                and (not r.own or round(r.content, 6) < low) and all(noise[k.place] for k in kids)
+        found = sorted(p for p in order if p and noise[p] and rows[p].below)
+        return pd.DataFrame({"host": [site["host"].iloc[0]], "places": [found]})
+    return run
+
+
 def low_importance(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE,
                    low: float = LOW_IMPORTANCE) -> DataFrame:
-    """(host, places): the places of each host whose branches are noise.
-
-    importance = the larger of the normalised entropies (0 alike on all pages,
-    1 different on each) of the place's styles and of its contents.
-    """
+    """(host, places): the places of each host whose branches are noise."""
     src = pages.select(F.lit(0).alias("page_id"), F.col("url").cast("string"),
                        F.col("html").cast("string"))
     # one page for each main text of a host
-    different = src.mapInArrow(page_features, "host string, text long, page long, seen array<long>") \
-        .groupBy("host", "text").agg(F.min(F.struct("page", "seen")).alias("one"))
-    counted = different.select("host", "one.seen") \
-        .mapInArrow(_counts, "host string, place long, kind int, feature long, n long") \
+    different = src.mapInArrow(page_features, "host string, text long, page long, seen array<long>, "
+                               "words array<long>") \
+        .groupBy("host", "text").agg(F.min(F.struct("page", "seen", "words")).alias("one"))
+    counted = different.select("host", "one.seen", "one.words") \
+        .mapInArrow(_sums, "host string, place long, kind long, feature long, n long") \
         .groupBy("host", "place", "kind", "feature").agg(F.sum("n").alias("n"))
-    per_kind = counted.groupBy("host", "place", "kind").agg(
-        F.sum("n").alias("total"), F.sum(F.col("n") * F.log2("n")).alias("nlogn"))
-    entropy = F.log2("total") - F.col("nlogn") / F.col("total")
-    per_place = per_kind.groupBy("host", "place").agg(
-        F.max(F.when(F.col("kind") == 0, F.col("total"))).alias("pages"),
-        F.max(F.when(F.col("kind") > 0, entropy / F.greatest(F.log2("total"), F.lit(1e-9))))
-        .alias("importance"))
+    kind = lambda k: F.when(F.col("kind") == k, F.col("n"))
+    total = lambda k: F.coalesce(F.sum(kind(k)), F.lit(0))
+    per_place = counted.groupBy("host", "place").agg(
+        total(PAGES).alias("pages"), total(TEXTS).alias("texts"),
+        F.count(kind(STYLE)).alias("styles"), total(STYLE).alias("seqs"),
+        F.sum(kind(STYLE) * F.log("n")).alias("nlogn"),
+        F.count(kind(-1)).alias("features"), F.sum(F.log(kind(-1))).alias("logs"),
+        F.max(F.when(F.col("kind") == ABOVE, F.col("feature"))).alias("parent"),
+        total(ABOVE).alias("above"), total(BELOW).alias("below"), total(OWN).alias("own"))
     # read twice below: parse the pages once
     per_place = freeze(per_place, "places")
     hosts = per_place.where("place = 0").select("host", F.col("pages").alias("host_pages")) \
         .where(F.col("host_pages") >= min_pages)
-    noisy = per_place.where((F.col("place") != 0) & (F.col("importance") < low)) \
-        .join(hosts, "host").where(F.col("pages") >= min_share * F.col("host_pages"))
-    return noisy.groupBy("host").agg(F.sort_array(F.collect_list("place")).alias("places"))
+    entropy = F.least(F.lit(1.0), (F.log("seqs") - F.col("nlogn") / F.col("seqs")) / F.log("pages"))
+    site = per_place.where((F.col("place") != 0) & (F.col("pages") >= min_pages)) \
+        .join(hosts, "host").where(F.col("pages") >= min_share * F.col("host_pages")) \
+        .select("host", "place", F.coalesce("parent", F.lit(0)).alias("parent"), "above", "below", "own",
+                "styles", entropy.alias("style"),
+                F.when(F.col("texts") >= min_pages, 1 - F.col("logs") / F.log("texts") / F.col("features"))
+                .otherwise(1.0).alias("content"))
+    return site.groupBy("host").applyInPandas(_noise_places(low), "host string, places array<long>")
 
 
 def _entered(root: Element) -> set[int]:
@@ -260,14 +364,15 @@ def _entered(root: Element) -> set[int]:
     return out
 
 
-def main_text(page: str | None, cut: frozenset = frozenset()) -> str:
+def main_text(page: str | None, cut: frozenset = frozenset(), names: bool = True) -> str:
     """The article text of a page; ``cut`` holds keys of places to leave out."""
-    return text_of(parse(page), cut) if page else ""
+    return text_of(parse(page), cut, names) if page else ""
 
 
-def text_of(root: Element, cut: frozenset = frozenset()) -> str:
-    """The text of all branches but the noisy ones."""
+def text_of(root: Element, cut: frozenset = frozenset(), names: bool = True) -> str:
+    """The text of all branches but the noisy ones; ``names`` says whether names count."""
     parts: list[str] = []
+    words = False                       # beside headlines
     entered = _entered(root)
     worded: dict[int, bool] = {}        # elements with words of their own
     stack: list = [(root, False, False)]
@@ -279,7 +384,7 @@ def text_of(root: Element, cut: frozenset = frozenset()) -> str:
         if closing:
             parts.append(" ")
             continue
-        if id(node) not in entered and _named_noise(node, in_article):
+        if node.tag in _UNSEEN or names and id(node) not in entered and _named_noise(node, in_article):
             continue
         if node.place in cut and _branch(node, in_article, worded):
             parts.append(" ")
@@ -287,8 +392,12 @@ def text_of(root: Element, cut: frozenset = frozenset()) -> str:
         if node.tag in _BLOCK:
             parts.append(" ")
             stack.append((node, in_article, True))
+        if node.tag not in _HEADING:
+            words = words or any(isinstance(x, str) and not x.isspace() for x in node.items)
         in_article = in_article or node.tag in _ARTICLE
         stack.extend((x, in_article, False) for x in reversed(node.items))
+    if cut and not words:
+        return text_of(root, names=names)
     return _SPACE.sub(" ", "".join(parts)).strip()
 
 
@@ -311,8 +420,9 @@ def _branch(e: Element, in_article: bool, worded: dict[int, bool]) -> bool:
     return not worded[k]
 
 
-def extract(pages: DataFrame, **options) -> DataFrame:
-    """(page_id, url, text, n_chars) of every row of ``pages`` (page_id, url, html)."""
+def extract(pages: DataFrame, names: bool = True, **options) -> DataFrame:
+    """(page_id, url, text, n_chars) of every row of ``pages`` (page_id, url, html); without
+    ``names`` the style tree alone decides."""
     src = pages.select(F.col("page_id").cast("long").alias("page_id"),
                        F.col("url").cast("string").alias("url"),
                        F.col("html").cast("string").alias("html"))
@@ -337,7 +447,7 @@ def extract(pages: DataFrame, **options) -> DataFrame:
                     if len(sets) > 256:
                         sets.clear()
                     sets[k] = frozenset(k)
-                texts.append(main_text(page, sets[k]))
+                texts.append(main_text(page, sets[k], names))
             yield pa.record_batch([b.column(0), b.column(1), pa.array(texts, pa.string()),
                                    pa.array([len(t) for t in texts], pa.int64())],
                                   names=["page_id", "url", "text", "n_chars"])
