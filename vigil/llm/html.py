@@ -47,6 +47,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,7 +57,8 @@ from vigil.llm.frames import freeze, same, small_batches
 from vigil.llm.tokens import CHUNK_BYTES
 
 MIN_PAGES, MIN_SHARE, LOW_IMPORTANCE, GAMMA = 5, 0.1, 0.4, 0.9
-PAGES, STYLE, TEXTS, ABOVE, BELOW, OWN = range(6)      # kinds of counts, see page_features
+PAGES, STYLE, TEXTS, ABOVE, BELOW, OWN, WORDS, REGISTER = range(8)     # kinds, see features
+REGISTERS = 64             # of the sketch that bounds a place's different content features
 SUMMED_AT_ONCE = 1 << 19   # content features that a task sums in one table
 UNIT = 1 << 20             # a whole share of a child sequence, as an integer
 SMALL_TABLE = 8 << 20      # bytes of cut places up to which they are broadcast
@@ -186,7 +188,7 @@ def features(root: Element) -> tuple[Counter, dict[int, set]]:
     PAGES: the place is on the page (place 0 is the whole page); STYLE: one of its child
     sequences; TEXTS: it has content features of its own; ABOVE: its shares of the child
     sequences of the place above, named by the feature; BELOW: all shares of its own
-    child sequences; OWN: those of its own content among them.
+    child sequences; OWN: those of its own content among them; WORDS: its content features.
     """
     counts: Counter = Counter({(0, PAGES, 0): 1})
     words: dict[int, set] = {}
@@ -213,61 +215,109 @@ def features(root: Element) -> tuple[Counter, dict[int, set]]:
         counts[e.place, BELOW, 0] += n * (UNIT // n)
         if own:
             counts[e.place, OWN, 0] += UNIT // n
+    counts.update({(place, WORDS, 0): len(own) for place, own in words.items()})
     return counts, words
 
 
+_ROW = 7       # place, place above, style, ABOVE, BELOW, OWN, WORDS; -1 words: one more style
+
+
+def _packed(counts: Counter) -> list[int]:
+    """The counts of a page, one row for each place and style, after one another."""
+    places: dict[int, list] = {}
+    for (place, kind, feature), n in sorted(counts.items()):
+        row = places.setdefault(place, [0, [], 0, 0, 0, 0])
+        if kind == STYLE:
+            row[1].append(feature)
+        elif kind == ABOVE:
+            row[0], row[2] = feature, n
+        elif kind >= BELOW:
+            row[kind - 1] = n
+    flat = []
+    for place, (parent, styles, above, below, own, words) in places.items():
+        flat += [place, parent, styles[0], above, below, own, words]
+        for style in styles[1:]:
+            flat += [place, 0, style, 0, 0, 0, -1]
+    return flat
+
+
 def page_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, text, page, seen, words): hashes of the main text and of the page; its counts
-    as (place, kind, feature, n) after one another in one array; its content features, a
-    place and their number before the hashes of each place's."""
+    """(host, text, page, seen, words): hashes of the main text and of the page; its counts,
+    packed; 32-bit hashes of the content features of its places, in their order, as many for
+    each as its WORDS count says."""
+    word = xxhash.xxh32_intdigest
     for b in tokens.chunks(batches, "html", 4 * CHUNK_BYTES):
         rows: list[list] = [[], [], [], [], []]
         for url, page in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
             root = parse(page or "")
             counts, words = features(root)
-            flat = []
-            for place in sorted(words):
-                flat += [place, len(words[place]), *sorted(_key(w) for w in words[place])]
+            own = np.array([word(w) for place in sorted(words) for w in words[place]], np.uint32)
             for column, x in zip(rows, (host_of(url), _key(text_of(root)), _key(page or ""),
-                                        [x for k in sorted(counts) for x in (*k, counts[k])], flat)):
+                                        _packed(counts), own.view(np.int32))):
                 column.append(x)
-        longs = pa.list_(pa.int64())
         yield pa.record_batch([pa.array(c, t) for c, t in zip(
-            rows, (pa.string(), pa.int64(), pa.int64(), longs, longs))],
+            rows, (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())))],
             names=["host", "text", "page", "seen", "words"])
 
 
-def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, place, kind, feature, n): the counts of the pages of a batch, summed; kind -1
-    are the content features, whose n is the number of pages."""
-    def table(hosts, tables):
-        t = pa.table([hosts.take(pa.array(np.repeat([i for i, _ in tables], [len(x) for _, x in tables]))),
-                      *[pa.array(c) for c in np.concatenate([x for _, x in tables]).T]],
-                     names=["host", "place", "kind", "feature", "n"])
-        g = t.group_by(["host", "place", "kind", "feature"]).aggregate([("n", "sum")])
-        yield from g.rename_columns(t.column_names).combine_chunks().to_batches(max_chunksize=1 << 16)
+def _groups(b: pa.RecordBatch) -> Iterator[list[tuple]]:
+    """Some pages of a batch at once: (row, packed counts, words, places asked for)."""
+    pages, size = [], 0
+    asked = b.column(3) if b.num_columns > 3 else [None] * b.num_rows
+    for i, (seen, words, places) in enumerate(zip(b.column(1), b.column(2), asked)):
+        w = words.values.to_numpy().view(np.uint32).astype(np.int64)
+        pages.append((i, seen.values.to_numpy().reshape(-1, _ROW), w, places))
+        size += len(w)
+        if size > SUMMED_AT_ONCE:
+            yield pages
+            pages, size = [], 0
+    if pages:
+        yield pages
+
+
+def _summed(hosts: pa.Array, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """One row for each kind and feature of a place from (row of the host, place, kind,
+    feature, n) columns: sums, and maxima of sketch registers."""
+    columns = [np.concatenate([np.broadcast_to(p[k], p[0].shape) for p in parts]) for k in range(5)]
+    keys = ["host", "place", "kind", "feature"]
+    t = pa.table([hosts.take(pa.array(columns[0])), *[pa.array(c) for c in columns[1:]]], names=[*keys, "n"])
+    g = t.group_by(keys).aggregate([("n", "sum"), ("n", "max")])
+    n = pc.if_else(pc.equal(g["kind"], REGISTER), g["n_max"], g["n_sum"])
+    yield from g.select(keys).append_column("n", n).combine_chunks().to_batches(max_chunksize=1 << 16)
+
 
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, place, kind, feature, n): the counts of the pages, summed for some pages at once,
+    and REGISTER rows, the register and its rank, of a sketch of each place's features."""
+    for b in batches:
+        for pages in _groups(b):
+            at = np.repeat([i for i, *_ in pages], [len(x) for _, x, *_ in pages])
+            x = np.concatenate([x for _, x, *_ in pages])
+            word = np.concatenate([w for _, _, w, _ in pages])
+            first, own = x[:, 6] >= 0, x[:, 6] > 0
+            rank = 33 - REGISTERS.bit_length() + 1 - np.frexp((word // REGISTERS).astype(np.float64))[1]
+            parts = [(at, x[:, 0], STYLE, x[:, 2], 1), (at[first], x[first, 0], PAGES, 0, 1),
+                     (at[own], x[own, 0], TEXTS, 0, 1)]
+            for kind, k in ((ABOVE, 3), (BELOW, 4), (OWN, 5), (WORDS, 6)):
+                some = x[:, k] > 0
+                parts.append((at[some], x[some, 0], kind, x[some, 1] if kind == ABOVE else 0, x[some, k]))
+            n = x[own, 6]
+            parts.append((np.repeat(at[own], n), np.repeat(x[own, 0], n), REGISTER, word % REGISTERS,
+                          rank.astype(np.int64)))
+            yield from _summed(b.column(0), parts)
+
+
+def _asked_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, place, kind, feature, n): pages by content feature, at the places asked for."""
     for b in batches:
-        tables, size = [], 0
-        for i, (seen, words) in enumerate(zip(b.column(1), b.column(2))):
-            w = words.values.to_numpy()
-            heads, at = [], 0
-            while at < len(w):
-                heads.append(at)
-                at += 2 + int(w[at + 1])
-            heads = np.array(heads, int)
-            inside = np.ones(len(w), bool)
-            inside[heads] = inside[heads + 1] = False
-            of = np.repeat(w[heads], w[heads + 1])
-            one = np.ones(len(of), np.int64)
-            tables += [(i, seen.values.to_numpy().reshape(-1, 4)),
-                       (i, np.stack([of, -one, w[inside], one], axis=1))]
-            size += len(of)
-            if size > SUMMED_AT_ONCE:
-                yield from table(b.column(0), tables)
-                tables, size = [], 0
-        if tables:
-            yield from table(b.column(0), tables)
+        for pages in _groups(b):
+            parts = []
+            for i, x, word, places in pages:
+                x = x[x[:, 6] > 0]
+                of = np.repeat(x[:, 0], x[:, 6])
+                hit = np.repeat(np.isin(x[:, 0], places.values.to_numpy()), x[:, 6])
+                parts.append((np.full(int(hit.sum()), i), of[hit], WORDS, word[hit], 1))
+            yield from _summed(b.column(0), parts)
 
 
 def _key(text: str, seed: int = 0) -> int:
@@ -310,39 +360,60 @@ def _noise_places(low: float):
 
 def low_importance(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE,
                    low: float = LOW_IMPORTANCE) -> DataFrame:
-    """(host, places): the places of each host whose branches are noise."""
+    """(host, places): the places of each host whose branches are noise.
+
+    As the logarithm is concave, the content importance of a place is at least
+    1 - log_m(T / D), T its content features on all pages, D the different ones.  D comes
+    from a sketch, halved to be safe (an error of 13 % on average); places that are
+    important by this bound, like most articles, need no counts of their words, and
+    neither they nor a place above them is noise.  The others' words are counted.
+    """
+    rows = "host string, place long, kind long, feature long, n long"
     src = pages.select(F.lit(0).alias("page_id"), F.col("url").cast("string"),
                        F.col("html").cast("string"))
-    # one page for each main text of a host
-    different = src.mapInArrow(page_features, "host string, text long, page long, seen array<long>, "
-                               "words array<long>") \
+    # one page for each main text of a host; read twice below: parse the pages once
+    different = freeze(
+        src.mapInArrow(page_features, "host string, text long, page long, seen array<long>, words array<int>")
         .groupBy("host", "text").agg(F.min(F.struct("page", "seen", "words")).alias("one"))
-    counted = different.select("host", "one.seen", "one.words") \
-        .mapInArrow(_sums, "host string, place long, kind long, feature long, n long") \
-        .groupBy("host", "place", "kind", "feature").agg(F.sum("n").alias("n"))
+        .select("host", "one.seen", "one.words"), "different")
+    counted = different.mapInArrow(_sums, rows).groupBy("host", "place", "kind", "feature").agg(
+        F.when(F.col("kind") == REGISTER, F.max("n")).otherwise(F.sum("n")).alias("n"))
     kind = lambda k: F.when(F.col("kind") == k, F.col("n"))
     total = lambda k: F.coalesce(F.sum(kind(k)), F.lit(0))
-    per_place = counted.groupBy("host", "place").agg(
-        total(PAGES).alias("pages"), total(TEXTS).alias("texts"),
+    per_place = freeze(counted.groupBy("host", "place").agg(
+        total(PAGES).alias("pages"), total(TEXTS).alias("texts"), total(WORDS).alias("words"),
         F.count(kind(STYLE)).alias("styles"), total(STYLE).alias("seqs"),
         F.sum(kind(STYLE) * F.log("n")).alias("nlogn"),
-        F.count(kind(-1)).alias("features"), F.sum(F.log(kind(-1))).alias("logs"),
+        F.count(kind(REGISTER)).alias("full"), F.sum(F.pow(F.lit(2.0), -kind(REGISTER))).alias("ranks"),
         F.max(F.when(F.col("kind") == ABOVE, F.col("feature"))).alias("parent"),
-        total(ABOVE).alias("above"), total(BELOW).alias("below"), total(OWN).alias("own"))
-    # read twice below: parse the pages once
-    per_place = freeze(per_place, "places")
+        total(ABOVE).alias("above"), total(BELOW).alias("below"), total(OWN).alias("own")), "places")
     hosts = per_place.where("place = 0").select("host", F.col("pages").alias("host_pages")) \
         .where(F.col("host_pages") >= min_pages)
+    empty = REGISTERS - F.col("full")
+    many = 0.709 * REGISTERS * REGISTERS / (F.col("ranks") + empty)
+    few = F.when(empty > 0, REGISTERS * F.log(REGISTERS / empty))
     entropy = F.least(F.lit(1.0), (F.log("seqs") - F.col("nlogn") / F.col("seqs")) / F.log("pages"))
-    site = per_place.where((F.col("place") != 0) & (F.col("pages") >= min_pages)) \
+    kept = per_place.where((F.col("place") != 0) & (F.col("pages") >= min_pages)) \
         .join(hosts, "host").where(F.col("pages") >= min_share * F.col("host_pages")) \
-        .select("host", "place", F.coalesce("parent", F.lit(0)).alias("parent"), "above", "below", "own",
-                "styles", entropy.alias("style"),
-                F.when(F.col("texts") >= min_pages, 1 - F.col("logs") / F.log("texts") / F.col("features"))
-                .otherwise(1.0).alias("content"))
+        .withColumn("content", F.when(F.col("texts") < min_pages, 1.0).otherwise(
+            1 - F.log(2 * F.col("words") / F.least(many, few)) / F.log("texts")))
+    open_ = kept.where((F.col("content") < low) & (F.col("own") > 0))
+    asked = _small(freeze(open_.groupBy("host").agg(F.collect_list("place").alias("places")), "asked"))
+    words = different.join(asked, "host").select("host", "seen", "words", "places") \
+        .mapInArrow(_asked_words, rows).groupBy("host", "place", "feature").agg(F.sum("n").alias("n")) \
+        .groupBy("host", "place").agg(F.avg(F.log("n")).alias("mean"))
+    site = kept.join(words, ["host", "place"], "left").select(
+        "host", "place", F.coalesce("parent", F.lit(0)).alias("parent"), "above", "below", "own", "styles",
+        entropy.alias("style"), F.coalesce(1 - F.col("mean") / F.log("texts"), "content").alias("content"))
     return site.groupBy("host").applyInPandas(_noise_places(low), "host string, places array<long>")
 
 
+def _small(places: DataFrame) -> DataFrame:
+    """A table (host, places), marked for broadcast if its counted places are few."""
+    n = places.agg(F.sum(F.size("places"))).first()[0] or 0
+    return F.broadcast(places) if 8 * n <= SMALL_TABLE else places
+
+
 def _entered(root: Element) -> set[int]:
     """Elements of noisy names on the way to the page's articles (or mains), if all of
     these stand in such elements: a frame may be named after what it lacks."""
@@ -427,10 +498,7 @@ def extract(pages: DataFrame, names: bool = True, **options) -> DataFrame:
                        F.col("url").cast("string").alias("url"),
                        F.col("html").cast("string").alias("html"))
     small_batches(pages.sparkSession)
-    noise = freeze(low_importance(pages, **options), "style-tree")
-    n_places = noise.agg(F.sum(F.size("places"))).first()[0] or 0
-    if 8 * n_places <= SMALL_TABLE:
-        noise = F.broadcast(noise)
+    noise = _small(freeze(low_importance(pages, **options).where("size(places) > 0"), "style-tree"))
     host = F.lower(F.regexp_extract("url", _HOST.pattern, 1))
     keyed = src.withColumn("host", F.coalesce(host, F.lit("")))
     joined = keyed.join(noise.withColumnRenamed("host", "_host"),
