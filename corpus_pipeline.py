@@ -19,7 +19,11 @@ from vigil.session import ship_package
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go.
+
+    Null and empty texts are scored like any other, a score of 0.5 stays, repeated rows
+    are judged each by itself; without labels of both kinds all share one score.
+    """
     return good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -34,17 +38,28 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates the smallest doc_id stays."""
+    """Of each class of near-duplicates the smallest doc_id stays (null first).
+
+    Null and blank texts are alike to nothing and stay; rows that share a doc_id are one
+    document.
+    """
     return distinct_documents(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go.
+
+    Null and empty texts are clean; rows that share a doc_id share the verdict; with an
+    empty benchmark all stay.
+    """
     return clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, round_trip) of what is left."""
+    """(doc_id, n_tokens, ids, round_trip) of what is left.
+
+    Null and empty texts have no pieces; repeated rows give each its row, an empty table none.
+    """
     return encode(docs)
 
 
