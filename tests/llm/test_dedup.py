@@ -26,6 +26,19 @@ def test_lines_hot_key_is_split_and_whole(spark):
     assert got == sorted(cases.lines_expected(rows), key=repr)
 
 
+def test_lines_are_split_and_hashed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = cases.frame(spark, [(i, f"a line of many documents\nand line {i} of one") for i in range(40)])
+    bitmaps = line_dedup.keep_bitmaps(df.mapInArrow(counted, df.schema))
+    assert bitmaps.count() == 39 and seen.value == 40
+
+
 def test_emptied_documents_go_and_blank_ones_stay(spark):
     rows = [(1, "the same long line\nanother line here"), (2, "another line here\nthe same long line"),
             (3, "  \n the same long line"), (4, "short\nthe same long line"), (5, ""), (6, None), (7, " \n ")]

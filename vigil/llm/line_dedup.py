@@ -2,7 +2,8 @@
 
 Every line of at least ``min_chars`` code points (white space at the ends and
 the case of A-Z do not count) becomes a 128-bit hash with its document and
-position.  The hashes are range-partitioned and sorted by (hash, document,
+position, written once to the shared folder: the hot keys, the range bounds and
+the shuffle all read that table.  The hashes are range-partitioned and sorted by (hash, document,
 position); a window over that order streams each key's first document and drops
 the key's lines in all others.  Only the dropped positions leave that shuffle:
 per document they are folded to runs (start, length), a run-length compressed
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.frames import documents, parallelism, same
+from vigil.llm.frames import documents, freeze, parallelism, same
 
 MIN_CHARS = 10
 # fixed values: the ASCII white space that does not count at the ends of a line
@@ -67,7 +68,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     ``fp`` is xxhash64 of the text, ``runs`` an array of (start, len) in line
     positions, ascending and disjoint.  Texts that lose nothing have no row.
     """
-    rows = _rows(docs, min_chars)
+    rows = freeze(_rows(docs, min_chars), "line_keys")
     spark, parts = rows.sparkSession, parallelism(rows)
     hot = F.broadcast(spark.createDataFrame([(h, True) for h in hot_keys(rows, parts)],
                                             "h1 long, hot boolean"))
