@@ -82,3 +82,46 @@ def test_constant_features_leave_single_leaves(spark):
     m = boost.fit_boost(spark.createDataFrame([([1.0], i % 2) for i in range(40)], "x array<double>, y int"),
                         ["a", "b"], boost.BoostConfig(rounds=2))
     assert len(m.nodes) == 4 and (m.nodes.feature < 0).all()
+
+
+def test_a_round_over_blocks_is_one_job_and_ways_agree(spark, monkeypatch):
+    cfg = boost.BoostConfig(rounds=5, depth=3)
+    train = table(spark).checkpoint()
+    one = boost.fit_boost(train, ["a", "b", "c"], cfg)
+    monkeypatch.setattr(boost, "BLOCK_ROWS", 170)
+    monkeypatch.setattr(boost, "CLASS_KEEP_ROUNDS", 2)
+    levels = []
+    monkeypatch.setattr(boost, "_find_by_level", lambda *a, f=boost._find_by_level: levels.append(a[2]) or f(*a))
+    by_class = boost.fit_boost(train, ["a", "b", "c"], cfg)
+    assert not levels
+    by_level = boost.fit_boost(train, ["a", "b", "c"], cfg, by_level=True)
+    assert levels == [0, 1, 2, 3, 4]
+    monkeypatch.setattr(boost, "WHOLE_BYTES", 1000)
+    boost.fit_boost(train, ["a", "b", "c"], boost.BoostConfig(rounds=1, depth=2))
+    assert levels == [0, 1, 2, 3, 4, 0]      # too large for a task: level by level
+    for m in (by_class, by_level):
+        a, b = nodes_of(one), nodes_of(m)
+        for c in ("round", "cls", "node", "feature", "threshold", "left", "right"):
+            assert (a[c] == b[c]).all()
+        assert np.allclose(a[["g", "h", "value"]], b[["g", "h", "value"]], atol=1e-9)
+        assert np.allclose(one.losses, m.losses) and len(m.losses) == 5
+
+
+def test_a_worker_without_rows_or_behind_catches_up():
+    cfg, rng = boost.BoostConfig(depth=3), np.random.default_rng(1)
+    n = 200
+    r = {"n": n, "bins": rng.integers(0, 9, (n, 4), np.uint8).tobytes(), "y": rng.integers(0, 3, n).astype("<i4").tobytes(),
+         "rid": np.arange(n, dtype="<i8").tobytes(), "scores": None}
+    block, new = boost.Block(r, n_classes=3), []
+    for rnd in range(4):
+        new.append(boost._round(block, rnd, range(3), 9, cfg))
+        block.learn(new[-1], cfg)
+    boost._HELD.clear()
+    for rounds in (2, 3, 3, 4):     # a new worker, one behind, a repeated task
+        got = boost._caught_up("f", iter([r]), 0, new[:rounds], 3, cfg)
+        assert boost._HELD["f"][0] == rounds
+    assert np.array_equal(got.scores, block.scores)
+    kept = {**r, "scores": block.scores.tobytes()}
+    assert np.array_equal(boost._caught_up("other", iter([kept]), 4, [], 3, cfg).scores, block.scores)
+    assert list(boost._HELD) == ["other"]
+    boost._HELD.clear()

@@ -13,16 +13,19 @@ bounded by the nodes it opens.  A leaf holds -step * G / (H + lambda).  Rows are
 sampled by a hash of (row, round), columns by one of (round, class, feature).
 
 The training set is bounded by the caps per class.  If it fits one block, no sums have
-to cross tasks and all rounds run where that block is; more blocks meet level by level
-in the aggregate.  Both ways grow the same trees.  Blocks are written to the shared
-folder, with the scores so far every ``KEEP_ROUNDS`` rounds, so a lost executor costs
-one block's work and no fit.
+to cross tasks and all rounds run where that block is.  Up to ``WHOLE_BYTES`` of bins and
+scores a round is ONE job with a task a class: each reads all blocks, and only its tree
+leaves it, where the sums of a deep level would be as large as the rows.  Above that,
+blocks meet level by level in the aggregate.  All ways grow the same trees.  Blocks are
+written to the shared folder, with the scores so far every ``KEEP_ROUNDS`` or ``CLASS_KEEP_ROUNDS`` rounds, so a
+lost executor costs one block's work and no fit.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -34,7 +37,9 @@ from pyspark.sql import functions as F
 from vigil.operators.align import frozen
 
 BLOCK_ROWS, BINS, KEEP_ROUNDS = 8192, 256, 10
-LEAST_GAIN = 1e-6
+CLASS_KEEP_ROUNDS = 30           # workers hold the scores: only a new one learns the rounds since
+WHOLE_BYTES = 256 << 20         # bins and scores that a task may hold at once
+LEAST_GAIN, CELLS = 1e-6, 1 << 15
 SCORE_ROWS = 256
 NODES = ("round int, cls int, node int, feature int, threshold double, left int, right int, "
          "g double, h double, value double")
@@ -103,27 +108,34 @@ class Tree:
     def values(self, cfg: BoostConfig) -> np.ndarray:
         return -cfg.step * np.array(self.g) / (np.array(self.h) + cfg.reg)
 
-    def below(self, bins: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """One step down for the rows that stand on inner nodes."""
-        feature = np.array(self.feature)[at]
-        rows = np.flatnonzero(feature >= 0)
-        n = at[rows]
-        low = bins[rows, feature[rows]] <= np.array(self.cut)[n]
-        out = at.copy()
-        out[rows] = np.where(low, np.array(self.left)[n], np.array(self.right)[n])
-        return out
+    def steps(self) -> tuple:
+        """What ``below`` needs of each node; a leaf leads to itself, as no bin is over its cut."""
+        feature = np.array(self.feature)
+        inner = feature >= 0
+        return np.maximum(feature, 0), np.where(inner, self.cut, BINS), np.where(inner, self.left, np.arange(len(inner)))
+
+    @staticmethod
+    def below(steps: tuple, bin_of, at: np.ndarray) -> np.ndarray:
+        """One step down; ``bin_of`` gives each row's bin of a feature."""
+        feature, cut, low = steps
+        return low[at] + (bin_of(feature[at]) > cut[at])    # the right child is numbered after the left one
 
     def leaves(self, bins: np.ndarray, depth: int) -> np.ndarray:
         at = np.zeros(len(bins), np.int64)
+        steps, flat, first = self.steps(), bins.ravel(), np.arange(len(bins)) * bins.shape[1]
         for _ in range(depth if len(self.g) > 1 else 0):
-            at = self.below(bins, at)
+            at = self.below(steps, lambda f: flat[first + f], at)
         return at
 
+    def __getstate__(self) -> dict:
+        kinds = {"feature": np.int32, "cut": np.int16, "left": np.int32, "right": np.int32, "g": float, "h": float}
+        return {n: np.array(v, kinds[n]) for n, v in vars(self).items()}
+
 
-def grow(find, n_classes: int, cfg: BoostConfig) -> list[Tree]:
-    """The trees of a round; ``find(trees, open)`` gives (class, node) -> (G, H, feature, cut, GL, HL)."""
-    trees = [Tree() for _ in range(n_classes)]
-    open_ = [(k, 0) for k in range(n_classes)]
+def grow(find, classes, cfg: BoostConfig) -> dict[int, Tree]:
+    """Some classes' trees of a round; ``find(trees, open)`` gives (class, node) -> (G, H, feature, cut, GL, HL)."""
+    trees = {k: Tree() for k in classes}
+    open_ = [(k, 0) for k in trees]
     for _ in range(cfg.depth):
         found, deeper = find(trees, open_), []
         for k, node in open_:
@@ -143,13 +155,13 @@ def grow(find, n_classes: int, cfg: BoostConfig) -> list[Tree]:
 class Block:
     """Rows of the training set: bins, classes, and their scores so far."""
 
-    def __init__(self, r: dict, n_classes: int):
-        n = r["n"]
-        self.bins = np.frombuffer(r["bins"], np.uint8).reshape(n, -1)
-        self.y = np.frombuffer(r["y"], "<i4")
-        self.rid = np.frombuffer(r["rid"], "<i8")
-        self.scores = np.zeros((n, n_classes)) if r["scores"] is None \
-            else np.frombuffer(r["scores"], "<f8").reshape(n, n_classes).copy()
+    def __init__(self, *rs, n_classes: int):
+        n = sum(r["n"] for r in rs)
+        joined = lambda c, kind: np.frombuffer(b"".join(r[c] for r in rs), kind)
+        self.bins = joined("bins", np.uint8).reshape(n, -1)
+        self.y, self.rid = joined("y", "<i4"), joined("rid", "<i8")
+        self.scores = np.zeros((n, n_classes)) if rs[0]["scores"] is None \
+            else joined("scores", "<f8").reshape(n, n_classes).copy()
 
     def learn(self, trees: list[Tree], cfg: BoostConfig) -> None:
         for k, t in enumerate(trees):
@@ -182,39 +194,73 @@ class Block:
                      for w in (g, h))
 
 
-def best_cuts(sg: np.ndarray, sh: np.ndarray, cols: np.ndarray, cfg: BoostConfig) -> list[tuple]:
-    """For each node (G, H, feature, cut, GL, HL); feature -1 where no cut gains."""
-    gl, hl = np.cumsum(sg, axis=2), np.cumsum(sh, axis=2)
-    g, h = gl[:, :, -1:], hl[:, :, -1:]
-    gain = gl * gl / (hl + cfg.reg) + (g - gl) * (g - gl) / (h - hl + cfg.reg) - g * g / (h + cfg.reg)
-    gain[(hl < cfg.least_h) | (h - hl < cfg.least_h)] = -np.inf
-    flat = gain.reshape(len(gain), -1)
-    top = flat.argmax(axis=1)
-    out = []
-    for n, i in enumerate(top):
-        j, b = divmod(int(i), gain.shape[2])
-        ok = flat[n, i] > LEAST_GAIN
-        out.append((g[n, 0, 0], h[n, 0, 0], int(cols[j]) if ok else -1, b, gl[n, j, b], hl[n, j, b]))
-    return out
+def best_cuts(sums, cfg: BoostConfig) -> list[tuple]:
+    """For each node (G, H, feature, cut, GL, HL) from some features' sums after the other's:
+    ``sums`` gives (features, (feature, node, bin) sums of g, of h); feature -1 where no cut gains."""
+    best = None
+    for fs, sg, sh in sums:
+        gl, hl = np.cumsum(sg, axis=2), np.cumsum(sh, axis=2)
+        g, h = gl[:, :, -1:], hl[:, :, -1:]
+        gr, hr = g - gl, h - hl
+        gain = gl * gl / (hl + cfg.reg) + gr * gr / (hr + cfg.reg) - g * g / (h + cfg.reg)
+        gain[(hl < cfg.least_h) | (hr < cfg.least_h)] = -np.inf
+        cut = gain.argmax(axis=2)
+        gain = np.take_along_axis(gain, cut[:, :, None], 2)[:, :, 0]
+        n, j = np.arange(gain.shape[1]), gain.argmax(axis=0)
+        b = cut[j, n]
+        if best is None:
+            best = [g[0, :, 0], h[0, :, 0], np.full(len(n), -1), np.zeros(len(n), int), gl[0, :, 0], hl[0, :, 0]]
+            top = np.full(len(n), LEAST_GAIN)
+        more = gain[j, n] > top
+        top = np.where(more, gain[j, n], top)
+        best[2:] = [np.where(more, new, was) for new, was in zip((fs[j], b, gl[j, n, b], hl[j, n, b]), best[2:])]
+    return list(zip(*(x.tolist() for x in best)))
+
+
+def _class_tree(by_column: np.ndarray, k: int, rnd: int, n_bins: int, g: np.ndarray, h: np.ndarray,
+                cfg: BoostConfig) -> Tree:
+    """A class's tree from the sampled rows; ``by_column`` has their bins, a feature after the other."""
+    cols = columns_of(rnd, k, len(by_column), cfg)
+    place_of = np.zeros(len(by_column), int)
+    place_of[cols] = np.arange(len(cols))
+    bins, at = by_column[cols], np.zeros(len(g), np.int64)
 
+    def find(trees, open_):
+        nonlocal bins, at, g, h
+        nodes = [n for _, n in open_]
+        if len(trees[k].g) > 1:
+            flat, n = bins.ravel(), np.arange(len(at))
+            at = Tree.below(trees[k].steps(), lambda f: flat[place_of[f] * len(at) + n], at)
+        place = np.full(len(trees[k].g), -1)
+        place[nodes] = np.arange(len(nodes))
+        where = place[at]
+        if where.min(initial=0) < 0:        # rows on closed nodes stay there
+            on = np.flatnonzero(where >= 0)
+            bins, at, g, h, where = bins.take(on, axis=1), at[on], g[on], h[on], where[on]
+        cells, first = len(nodes) * n_bins, where * n_bins
+        step = min(len(cols), max(1, CELLS // max(cells, len(first))))
 
-def _local_round(block: Block, rnd: int, n_classes: int, n_bins: int, cfg: BoostConfig) -> list[Tree]:
-    """A round whose rows are all in one block."""
-    g, h = block.gradients()
-    rows = np.flatnonzero(_sampled(block.rid, rnd, cfg))
-    at = np.zeros((n_classes, len(block.y)), np.int64)
-    cols = [columns_of(rnd, k, block.bins.shape[1], cfg) for k in range(n_classes)]
+        offset = np.arange(step)[:, None] * cells + first
+        weights = [np.tile(w, step) if step > 1 else w for w in (g, h)]
+
+        def sums():     # of as many features at once as stay in a core's cache
+            for i in range(0, len(cols), step):
+                some = bins[i:i + step]
+                flat = (offset[:len(some)] + some).ravel()
+                yield cols[i:i + step], *(np.bincount(flat, w[:len(flat)], len(some) * cells)
+                                          .reshape(len(some), len(nodes), n_bins) for w in weights)
+
+        return dict(zip(open_, best_cuts(sums(), cfg)))
+
+    return grow(find, [k], cfg)[k]
 
-    def find(trees, open_):
-        found = {}
-        for k in {k for k, _ in open_}:
-            nodes = [n for c, n in open_ if c == k]
-            at[k] = trees[k].below(block.bins, at[k])
-            sums = block.sums(rows, at[k], nodes, cols[k], g[:, k], h[:, k], n_bins)
-            found.update(zip([(k, n) for n in nodes], best_cuts(*sums, cols[k], cfg)))
-        return found
 
-    return grow(find, n_classes, cfg)
+def _round(block: Block, rnd: int, classes, n_bins: int, cfg: BoostConfig) -> list[Tree]:
+    """Some classes' trees of a round whose rows are all in one block."""
+    g, h = block.gradients()
+    rows = np.flatnonzero(_sampled(block.rid, rnd, cfg))
+    by_column = np.ascontiguousarray(block.bins[rows].T)
+    return [_class_tree(by_column, k, rnd, n_bins, g[rows, k], h[rows, k], cfg) for k in classes]
 
 
 # ---------------------------------------------------------------- training set
@@ -250,8 +296,8 @@ def _to_blocks(cuts: list[np.ndarray]):
 
 
 def _node_rows(rnd: int, trees: list[Tree], cuts: list[np.ndarray], cfg: BoostConfig) -> list[tuple]:
-    return [(rnd, k, n, t.feature[n], float(cuts[t.feature[n]][t.cut[n]]) if t.feature[n] >= 0 else 0.0,
-             t.left[n], t.right[n], float(t.g[n]), float(t.h[n]), float(v))
+    return [(rnd, k, n, int(t.feature[n]), float(cuts[t.feature[n]][t.cut[n]]) if t.feature[n] >= 0 else 0.0,
+             int(t.left[n]), int(t.right[n]), float(t.g[n]), float(t.h[n]), float(v))
             for k, t in enumerate(trees) for n, v in enumerate(t.values(cfg))]
 
 
@@ -270,21 +316,72 @@ def _fit_in_block(cuts: list[np.ndarray], n_classes: int, n_bins: int, cfg: Boos
     def run(batches):
         for b in batches:
             for r in b.to_pylist():
-                block = Block(r, n_classes)
+                block = Block(r, n_classes=n_classes)
                 for rnd in range(cfg.rounds):
-                    trees = _local_round(block, rnd, n_classes, n_bins, cfg)
+                    trees = _round(block, rnd, range(n_classes), n_bins, cfg)
                     block.learn(trees, cfg)
                     yield _as_batch([*_node_rows(rnd, trees, cuts, cfg), _loss_row(rnd, block.loss() / len(block.y))])
     return run
 
 
+# ------------------------------------------------------------- a task for each class
+_HELD: dict = {}    # the rows that this Python worker holds: fit -> (rounds learnt, block)
+
+
+def _caught_up(fit: str, rows, kept: int, new: list, n_classes: int, cfg: BoostConfig) -> Block:
+    """All rows with the scores after the rounds so far.  A worker that helped with a round
+    before learns the rounds since; another starts from the scores kept in the blocks."""
+    done, block = _HELD.pop(fit, (-1, None))
+    _HELD.clear()
+    if kept <= done <= kept + len(new):
+        for _ in rows:      # the input is read to its end, or Spark ends the worker
+            pass
+    else:
+        done, block = kept, Block(*rows, n_classes=n_classes)
+    for trees in new[done - kept:]:
+        block.learn(trees, cfg)
+    _HELD[fit] = (kept + len(new), block)
+    return block
+
+
+def _class_task(fit: str, kept: int, new: list, n_tasks: int, n_classes: int, n_bins: int, cfg: BoostConfig):
+    """(class, tree, the rows' mean loss before it) of each class that falls to the partition."""
+    def run(i, rows):
+        block, classes = _caught_up(fit, rows, kept, new, n_classes, cfg), range(i, n_classes, n_tasks)
+        lost = block.loss() / len(block.y) if i == 0 else None
+        yield from ((k, t, lost) for k, t in zip(classes, _round(block, kept + len(new), classes, n_bins, cfg)))
+    return run
+
+
+def _fit_by_class(blocks: DataFrame, cuts: list, n_classes: int, n_bins: int, cfg: BoostConfig) -> list[tuple]:
+    fit, sc = uuid.uuid4().hex, blocks.sparkSession.sparkContext
+    # a class a task; with fewer cores than classes, as many in each as the cores take one after the other
+    n_tasks = math.ceil(n_classes / math.ceil(n_classes / max(1, sc.defaultParallelism)))
+    rows, new, kept, tasks = [], [], 0, None
+    for rnd in range(cfg.rounds):
+        if len(new) == CLASS_KEEP_ROUNDS:
+            blocks = frozen(blocks.mapInArrow(_rescored(new, n_classes, cfg, False), _BLOCK))
+            new, kept, tasks = [], rnd, None
+        if tasks is None:       # partitions that each read all blocks
+            tasks = sc.union([blocks.rdd.coalesce(1)] * n_tasks)
+        task = _class_task(fit, kept, list(new), n_tasks, n_classes, n_bins, cfg)
+        found = sorted(tasks.mapPartitionsWithIndex(task).collect(), key=lambda x: x[0])
+        if rnd:
+            rows.append(_loss_row(rnd - 1, found[0][2]))
+        new.append([t for _, t, _ in found])
+        rows += _node_rows(rnd, new[-1], cuts, cfg)
+    one = blocks.mapInArrow(_rescored(new, n_classes, cfg, True), "n long, loss array<double>") \
+        .agg(F.sum("n"), F.sum(F.get("loss", len(new) - 1))).first()
+    return rows + [_loss_row(cfg.rounds - 1, one[1] / one[0])]
+
+
 # ------------------------------------------------------------- levels over blocks
 def _level_sums(new: list, trees: list[Tree], open_: list, rnd: int, n_classes: int, n_bins: int, cfg: BoostConfig):
     """A block's sums for the open nodes, as rows."""
     def run(batches):
         for b in batches:
             for r in b.to_pylist():
-                block = Block(r, n_classes)
+                block = Block(r, n_classes=n_classes)
                 for t in new:
                     block.learn(t, cfg)
                 g, h = block.gradients()
@@ -334,7 +431,7 @@ def _rescored(new: list, n_classes: int, cfg: BoostConfig, losses: bool):
     def run(batches):
         for b in batches:
             for r in b.to_pylist():
-                block, lost = Block(r, n_classes), []
+                block, lost = Block(r, n_classes=n_classes), []
                 for t in new:
                     block.learn(t, cfg)
                     lost.append(block.loss())
@@ -353,7 +450,7 @@ _BLOCK = "n int, bins binary, y binary, rid binary, scores binary"
 def _fit_by_level(blocks: DataFrame, cuts: list, n_classes: int, n_bins: int, cfg: BoostConfig) -> list[tuple]:
     rows, new = [], []
     for rnd in range(cfg.rounds):
-        trees = grow(_find_by_level(blocks, list(new), rnd, n_classes, n_bins, cfg), n_classes, cfg)
+        trees = list(grow(_find_by_level(blocks, list(new), rnd, n_classes, n_bins, cfg), range(n_classes), cfg).values())
         rows += _node_rows(rnd, trees, cuts, cfg)
         new.append(trees)
         if len(new) == KEEP_ROUNDS or rnd == cfg.rounds - 1:
@@ -404,7 +501,9 @@ class BoostModel:
 
 def fit_boost(train: DataFrame, classes: list, cfg: BoostConfig = BoostConfig(),
               by_level: bool | None = None) -> BoostModel:
-    """``train``: (x array<double> of one width, without nulls; y class index)."""
+    """``train``: (x array<double> of one width, without nulls; y class index).
+
+    ``by_level``: whether blocks meet level by level; else by their size."""
     # a row's number: its partition and place, 2^20 rows and 2^11 partitions before numbers repeat
     place = F.monotonically_increasing_id()
     rid = F.shiftleft(F.shiftright(place, 33).bitwiseAND(F.lit(2047)), 20).bitwiseOR(place.bitwiseAND(F.lit(1048575)))
@@ -417,9 +516,10 @@ def fit_boost(train: DataFrame, classes: list, cfg: BoostConfig = BoostConfig(),
     n_blocks = math.ceil(size["n"] / BLOCK_ROWS)
     blocks = frozen(rows.repartition(n_blocks).mapInArrow(_to_blocks(cuts), _BLOCK))
     if by_level is None:
-        by_level = blocks.count() > 1
-    if by_level:
-        table = pd.DataFrame(_fit_by_level(blocks, cuts, len(classes), n_bins, cfg),
+        by_level = size["n"] * (len(cuts) + 8 * len(classes) + 12) > WHOLE_BYTES and n_blocks > 1
+    if by_level or blocks.count() > 1:
+        fit = _fit_by_level if by_level else _fit_by_class
+        table = pd.DataFrame(fit(blocks, cuts, len(classes), n_bins, cfg),
                              columns=[f.split()[0] for f in NODES.split(", ")])
     else:
         table = blocks.mapInArrow(_fit_in_block(cuts, len(classes), n_bins, cfg), NODES).toPandas()
@@ -439,9 +539,9 @@ def raw_scores(x: np.ndarray, arrays: tuple, depth: int) -> np.ndarray:
         f = feature[at]
         low = x[rows, np.maximum(f, 0)] <= threshold[at]
         at = np.where(f < 0, at, np.where(low, left[at], right[at]))
-    member = np.zeros((len(roots), out.shape[1]))
-    member[np.arange(len(roots)), cls] = 1
-    return out + value[at] @ member
+    for k in range(out.shape[1]):       # a row's sum is the same in any batch, which a product of matrices does not promise
+        out[:, k] += np.ascontiguousarray(value[at[:, cls == k]]).sum(axis=1)
+    return out
 
 
 def score_boost(df: DataFrame, model: BoostModel, features_col: str, out: str,
