@@ -125,3 +125,48 @@ def test_a_worker_without_rows_or_behind_catches_up():
     assert np.array_equal(boost._caught_up("other", iter([kept]), 4, [], 3, cfg).scores, block.scores)
     assert list(boost._HELD) == ["other"]
     boost._HELD.clear()
+
+
+def many(n=40_000, d=8, classes=3, seed=3):
+    rng = np.random.default_rng(seed)
+    bins = rng.integers(0, 64, (n, d), np.uint8)
+    y = ((bins[:, 0] > 30).astype(int) + (rng.random(n) < bins[:, 1] / 80)).astype("<i4")
+    return boost.Block({"n": n, "bins": bins.tobytes(), "y": y.tobytes(), "rid": np.arange(n, dtype="<i8").tobytes(),
+                        "scores": None}, n_classes=classes)
+
+
+def test_many_rows_grow_the_same_trees_from_fewer_sums(monkeypatch):
+    block, cfg, summed = many(), boost.BoostConfig(depth=6), []
+    count = lambda x, w, n, f=np.bincount: summed.append(len(x)) or f(x, w, n)
+    block.learn(boost._round(block, 0, range(3), 64, cfg), cfg)     # rows then differ in g and h
+    trees = boost._round(block, 1, range(3), 64, cfg)
+    monkeypatch.setattr(boost.np, "bincount", lambda x, w=None, n=0, minlength=0: count(x, w, n or minlength))
+    again = boost._round(block, 1, range(3), 64, cfg)
+    few, summed[:] = sum(summed), []
+    monkeypatch.setattr(boost, "MANY_ROWS", 1 << 40)
+    plain = boost._round(block, 1, range(3), 64, cfg)
+    assert few < 0.7 * sum(summed)
+    for a, b, c in zip(trees, again, plain):
+        assert len(a.g) == len(c.g) > 60 and list(a.g) == list(b.g)
+        for name in ("feature", "cut", "left", "right"):
+            assert list(getattr(a, name)) == list(getattr(c, name))
+        assert np.allclose(a.g, c.g, atol=1e-7) and np.allclose(a.h, c.h, atol=1e-7)
+
+
+def test_both_ways_down_a_tree_end_alike(monkeypatch):
+    block, cfg = many(9000), boost.BoostConfig()
+    for t in boost._round(block, 0, range(3), 64, cfg):
+        assert len(t.g) > 100
+        by_node = t.leaves(block.bins, cfg.depth)
+        assert np.array_equal(by_node, t.leaves(np.ascontiguousarray(block.bins), cfg.depth))
+        monkeypatch.setattr(boost, "PIECE_ROWS", 1000)
+        assert np.array_equal(by_node, t.leaves(block.bins, cfg.depth))
+
+
+def test_rounds_after_the_first_read_no_rows_again(spark, monkeypatch):
+    monkeypatch.setattr(boost, "BLOCK_ROWS", 170)
+    reads = []
+    monkeypatch.setattr(boost, "_class_task", lambda *a, f=boost._class_task: reads.append(a[-1]) or f(*a))
+    m = boost.fit_boost(table(spark), ["a", "b", "c"], boost.BoostConfig(rounds=30, depth=2))
+    # each worker reads the rows once, whatever their number
+    assert len(m.losses) == 30 and reads[0] and reads.count(False) == 29 and reads.count(True) < 20

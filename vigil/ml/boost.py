@@ -14,10 +14,13 @@ sampled by a hash of (row, round), columns by one of (round, class, feature).
 
 The training set is bounded by the caps per class.  If it fits one block, no sums have
 to cross tasks and all rounds run where that block is.  Up to ``WHOLE_BYTES`` of bins and
-scores a round is ONE job with a task a class: each reads all blocks, and only its tree
-leaves it, where the sums of a deep level would be as large as the rows.  Above that,
-blocks meet level by level in the aggregate.  All ways grow the same trees.  Blocks are
-written to the shared folder, with the scores so far every ``KEEP_ROUNDS`` or ``CLASS_KEEP_ROUNDS`` rounds, so a
+scores a round is ONE job with a task a class, and only its tree leaves it, where the sums
+of a deep level would be as large as the rows.  A Python worker reads the blocks once and
+holds them; a task on a worker without them says so, and runs again with the blocks as
+its input.  Above that, blocks meet level by level in the aggregate.  All ways grow the
+same trees.  Of two children of a node with many rows only the smaller one is summed:
+the other has what is left of the parent's sums.  Blocks are written to the shared
+folder, with the scores so far every ``KEEP_ROUNDS`` or ``CLASS_KEEP_ROUNDS`` rounds, so a
 lost executor costs one block's work and no fit.
 """
 
@@ -38,9 +41,14 @@ from vigil.operators.align import frozen
 
 BLOCK_ROWS, BINS, KEEP_ROUNDS = 8192, 256, 10
 CLASS_KEEP_ROUNDS = 30           # workers hold the scores: only a new one learns the rounds since
+SENT_ROUNDS = 5                 # of trees sent to a worker that holds the scores; one further behind reads them
 WHOLE_BYTES = 256 << 20         # bins and scores that a task may hold at once
 LEAST_GAIN, CELLS = 1e-6, 1 << 15
-SCORE_ROWS = 256
+MANY_ROWS = 1 << 14             # sampled rows from which a tree's larger children are not summed
+PIECE_ROWS = 1 << 15            # rows summed, or walked, at once: a core's cache holds them
+SELECT_ROWS = 1 << 12           # rows from which a tree is walked node by node, not row by row
+RESIDUE = 1e-11                 # what a difference of sums leaves where no row is
+SCORE_ROWS = 10_000
 NODES = ("round int, cls int, node int, feature int, threshold double, left int, right int, "
          "g double, h double, value double")
 
@@ -112,7 +120,8 @@ class Tree:
         """What ``below`` needs of each node; a leaf leads to itself, as no bin is over its cut."""
         feature = np.array(self.feature)
         inner = feature >= 0
-        return np.maximum(feature, 0), np.where(inner, self.cut, BINS), np.where(inner, self.left, np.arange(len(inner)))
+        return (np.maximum(feature, 0).astype(np.int64), np.where(inner, self.cut, BINS - 1).astype(np.uint8),
+                np.where(inner, self.left, np.arange(len(inner))).astype(np.int64))
 
     @staticmethod
     def below(steps: tuple, bin_of, at: np.ndarray) -> np.ndarray:
@@ -121,17 +130,51 @@ class Tree:
         return low[at] + (bin_of(feature[at]) > cut[at])    # the right child is numbered after the left one
 
     def leaves(self, bins: np.ndarray, depth: int) -> np.ndarray:
-        at = np.zeros(len(bins), np.int64)
-        steps, flat, first = self.steps(), bins.ravel(), np.arange(len(bins)) * bins.shape[1]
-        for _ in range(depth if len(self.g) > 1 else 0):
-            at = self.below(steps, lambda f: flat[first + f], at)
-        return at
+        return leaves(self.steps(), bins, depth if len(self.g) > 1 else 0)
 
     def __getstate__(self) -> dict:
         kinds = {"feature": np.int32, "cut": np.int16, "left": np.int32, "right": np.int32, "g": float, "h": float}
         return {n: np.array(v, kinds[n]) for n, v in vars(self).items()}
 
 
+def leaves(steps: tuple, bins: np.ndarray, depth: int) -> np.ndarray:
+    """The node at which each row ends."""
+    if not depth:
+        return np.zeros(len(bins), np.int64)
+    if len(bins) >= SELECT_ROWS and bins.flags.f_contiguous:
+        return _selected(steps, bins)
+    feature, cut, low = steps
+    flat, first = bins.ravel(), np.arange(len(bins)) * bins.shape[1]
+    at = low[0] + (flat[first + feature[0]] > cut[0])
+    for _ in range(depth - 1):
+        at = low[at] + (flat[first + feature[at]] > cut[at])
+    return at
+
+
+def _selected(steps: tuple, bins: np.ndarray) -> np.ndarray:
+    """``leaves`` from the last node up to the first: each has the end below it that its bin selects, and the ends,
+    256 at depth 8, fit a byte, so a step over all rows takes a few byte operations."""
+    feature, cut, low = steps
+    inner = low != np.arange(len(low))
+    ends = np.flatnonzero(~inner)
+    kind = np.min_scalar_type(len(ends) - 1)
+    number = dict(zip(ends.tolist(), np.arange(len(ends), dtype=kind)))
+    nodes = np.flatnonzero(inner)[::-1]
+    todo = list(zip(nodes.tolist(), feature[nodes].tolist(), cut[nodes], low[nodes].tolist()))
+    out = np.empty(len(bins), np.int64)
+    for i in range(0, len(bins), PIECE_ROWS):
+        columns, below = list(bins[i:i + PIECE_ROWS].T), number.copy()
+        for node, f, c, left in todo:
+            a, b = below.pop(left), below.pop(left + 1)
+            over = columns[f] > c
+            over = over.view(kind) if kind.itemsize == 1 else over.astype(kind)
+            np.negative(over, over)     # all bits
+            np.bitwise_and(over, a ^ b, over)
+            below[node] = np.bitwise_xor(over, a, over)
+        out[i:i + PIECE_ROWS] = ends[below[0]]
+    return out
+
+
 def grow(find, classes, cfg: BoostConfig) -> dict[int, Tree]:
     """Some classes' trees of a round; ``find(trees, open)`` gives (class, node) -> (G, H, feature, cut, GL, HL)."""
     trees = {k: Tree() for k in classes}
@@ -158,7 +201,8 @@ class Block:
     def __init__(self, *rs, n_classes: int):
         n = sum(r["n"] for r in rs)
         joined = lambda c, kind: np.frombuffer(b"".join(r[c] for r in rs), kind)
-        self.bins = joined("bins", np.uint8).reshape(n, -1)
+        # a feature after the other
+        self.bins = np.ascontiguousarray(joined("bins", np.uint8).reshape(n, -1).T).T
         self.y, self.rid = joined("y", "<i4"), joined("rid", "<i8")
         self.scores = np.zeros((n, n_classes)) if rs[0]["scores"] is None \
             else joined("scores", "<f8").reshape(n, n_classes).copy()
@@ -168,12 +212,17 @@ class Block:
             self.scores[:, k] += t.values(cfg)[t.leaves(self.bins, cfg.depth)]
 
     def chances(self) -> np.ndarray:
-        e = np.exp(self.scores - self.scores.max(axis=1, keepdims=True))
-        return e / e.sum(axis=1, keepdims=True)
+        out = np.empty_like(self.scores)
+        for i in range(0, len(out), PIECE_ROWS):
+            scores = self.scores[i:i + PIECE_ROWS]
+            e = np.exp(scores - scores.max(axis=1, keepdims=True))
+            np.divide(e, e.sum(axis=1, keepdims=True), out=out[i:i + PIECE_ROWS])
+        return out
 
-    def loss(self) -> float:
-        """Sum of the rows' log losses."""
-        return float(-np.log(np.maximum(self.chances()[np.arange(len(self.y)), self.y], 1e-300)).sum())
+    def loss(self, p: np.ndarray | None = None) -> float:
+        """Sum of the rows' log losses, from their chances if known."""
+        p = self.chances() if p is None else p
+        return float(-np.log(np.maximum(p[np.arange(len(self.y)), self.y], 1e-300)).sum())
 
     def gradients(self) -> tuple[np.ndarray, np.ndarray]:
         p = self.chances()
@@ -221,6 +270,8 @@ def _class_tree(by_column: np.ndarray, k: int, rnd: int, n_bins: int, g: np.ndar
                 cfg: BoostConfig) -> Tree:
     """A class's tree from the sampled rows; ``by_column`` has their bins, a feature after the other."""
     cols = columns_of(rnd, k, len(by_column), cfg)
+    if len(g) >= MANY_ROWS:
+        return grow(_find_in_many(by_column, cols, k, n_bins, g, h, cfg), [k], cfg)[k]
     place_of = np.zeros(len(by_column), int)
     place_of[cols] = np.arange(len(cols))
     bins, at = by_column[cols], np.zeros(len(g), np.int64)
@@ -255,12 +306,95 @@ def _class_tree(by_column: np.ndarray, k: int, rnd: int, n_bins: int, g: np.ndar
     return grow(find, [k], cfg)[k]
 
 
-def _round(block: Block, rnd: int, classes, n_bins: int, cfg: BoostConfig) -> list[Tree]:
-    """Some classes' trees of a round whose rows are all in one block."""
-    g, h = block.gradients()
+def _find_in_many(by_column: np.ndarray, cols: np.ndarray, k: int, n_bins: int, g: np.ndarray, h: np.ndarray,
+                  cfg: BoostConfig):
+    """``find`` of ``grow`` for one class and many rows, which are kept in the order of their open nodes."""
+    flat, n = by_column.ravel(), len(g)
+    rows, slot, last, held = np.arange(n), np.zeros(n, np.int64), None, None
+
+    def pieces(rows, slot):
+        """(rows, first cells, weights, slots) of some rows at once."""
+        for i in range(0, len(rows), PIECE_ROWS):
+            r, s = rows[i:i + PIECE_ROWS], slot[i:i + PIECE_ROWS]
+            yield r, (s - s[0]) * n_bins, g[r], h[r], s[0], s[-1] + 1
+
+    def summed(some, f, n_slots):
+        """(slot, bin) sums of g and h of a feature."""
+        sg, sh = np.zeros((n_slots, n_bins)), np.zeros((n_slots, n_bins))
+        for r, first, wg, wh, a, z in some:
+            at = first + by_column[f].take(r, mode="clip") if last is not None else by_column[f, r[0]:r[-1] + 1].astype(np.int64)
+            for out, w in ((sg, wg), (sh, wh)):
+                out[a:z] += np.bincount(at, w, (z - a) * n_bins).reshape(z - a, n_bins)
+        return sg, sh
+
+    def find(trees, open_):
+        nonlocal rows, slot, last, held
+        t, nodes = trees[k], [node for _, node in open_]
+        if last is None:
+            parents, small, from_small, family = None, np.zeros(1, int), np.ones(1, bool), np.zeros(1, int)
+            some = list(pieces(rows, slot))
+        else:
+            # of the nodes opened last, those with an open child go on
+            feature, cut, low = (np.array(c)[last] for c in (t.feature, t.cut, t.left))
+            place = np.full(len(t.g), -1)
+            place[nodes] = np.arange(len(nodes))
+            parents = np.flatnonzero((feature >= 0) & ((place[low] >= 0) | (place[low + 1] >= 0)))
+            number = np.full(len(last), -1)
+            number[parents] = np.arange(len(parents))
+            if len(parents) < len(last):
+                on = number[slot] >= 0
+                rows, slot = rows[on], slot[on]
+            over = flat.take(feature[slot] * n + rows, mode="clip") > cut[slot]
+            child = (2 * number[slot] + over).astype(np.uint16)
+            order = np.argsort(child, kind="stable")
+            rows, child = rows[order], child[order].astype(np.int64)
+            count = np.bincount(child, minlength=2 * len(parents))
+            small = 2 * np.arange(len(parents)) + (count[1::2] < count[::2])
+            is_small = np.zeros(len(count), bool)
+            is_small[small] = True
+            on = is_small[child]
+            some = list(pieces(rows[on], child[on] >> 1))
+            ids = np.stack([low[parents], low[parents] + 1], axis=1).ravel()    # the children, as numbered in ``child``
+            where = np.flatnonzero(place[ids] >= 0)
+            assert ids[where].tolist() == nodes
+            from_small, family = is_small[where], where >> 1
+            on = place[ids][child] >= 0
+            rows, slot = rows[on], place[ids][child[on]]
+        now = [np.empty((len(cols), len(nodes), n_bins)) for _ in range(2)]
+
+        def sums():
+            step = max(1, CELLS // (len(nodes) * n_bins))
+            for i in range(0, len(cols), step):
+                for j, f in enumerate(cols[i:i + step], i):
+                    got = summed(some, f, len(small))
+                    if parents is not None:
+                        rest = [all_[j, parents] - part for all_, part in zip(held, got)]
+                        none = (np.abs(rest[0]) < RESIDUE) & (np.abs(rest[1]) < RESIDUE)
+                        for r in rest:
+                            r[none] = 0
+                    for c in range(2):
+                        now[c][j, from_small] = got[c][family[from_small]]
+                        if parents is not None:
+                            now[c][j, ~from_small] = rest[c][family[~from_small]]
+                yield cols[i:i + step], now[0][i:i + step], now[1][i:i + step]
+
+        found = dict(zip(open_, best_cuts(sums(), cfg)))
+        last, held = nodes, now
+        return found
+
+    return find
+
+
+def _round(block: Block, rnd: int, classes, n_bins: int, cfg: BoostConfig, p: np.ndarray | None = None) -> list[Tree]:
+    """Some classes' trees of a round whose rows are all in one block, with chances ``p``."""
+    p = block.chances() if p is None else p
     rows = np.flatnonzero(_sampled(block.rid, rnd, cfg))
-    by_column = np.ascontiguousarray(block.bins[rows].T)
-    return [_class_tree(by_column, k, rnd, n_bins, g[rows, k], h[rows, k], cfg) for k in classes]
+    by_column, y = block.bins.T.take(rows, axis=1), block.y[rows]
+    out = []
+    for k in classes:
+        pk = p[rows, k]
+        out.append(_class_tree(by_column, k, rnd, n_bins, pk - (y == k), np.maximum(2 * pk * (1 - pk), 1e-16), cfg))
+    return out
 
 
 # ---------------------------------------------------------------- training set
@@ -295,21 +429,24 @@ def _to_blocks(cuts: list[np.ndarray]):
     return run
 
 
-def _node_rows(rnd: int, trees: list[Tree], cuts: list[np.ndarray], cfg: BoostConfig) -> list[tuple]:
-    return [(rnd, k, n, int(t.feature[n]), float(cuts[t.feature[n]][t.cut[n]]) if t.feature[n] >= 0 else 0.0,
-             int(t.left[n]), int(t.right[n]), float(t.g[n]), float(t.h[n]), float(v))
-            for k, t in enumerate(trees) for n, v in enumerate(t.values(cfg))]
-
+def _node_rows(rnd: int, trees: list[Tree], cuts: list[np.ndarray], cfg: BoostConfig) -> pd.DataFrame:
+    """A round's part of the node table."""
+    def joined(name, kind):
+        return np.concatenate([np.array(getattr(t, name), kind) for t in trees])
+    sizes, first = [len(t.g) for t in trees], np.cumsum([0, *map(len, cuts)])
+    feature = joined("feature", np.int32)
+    at = np.where(feature >= 0, first[feature] + joined("cut", np.int64), 0)
+    threshold = np.where(feature >= 0, np.concatenate([*cuts, [0.0]])[at], 0.0)
+    return pd.DataFrame({
+        "round": np.full(len(feature), rnd, np.int32), "cls": np.repeat(np.arange(len(trees), dtype=np.int32), sizes),
+        "node": np.concatenate([np.arange(n, dtype=np.int32) for n in sizes]), "feature": feature, "threshold": threshold,
+        "left": joined("left", np.int32), "right": joined("right", np.int32), "g": joined("g", float),
+        "h": joined("h", float), "value": np.concatenate([t.values(cfg) for t in trees])})
 
-def _loss_row(rnd: int, loss: float) -> tuple:
-    return (rnd, -1, -1, -1, 0.0, -1, -1, 0.0, 0.0, loss)
 
-
-def _as_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = {"int": pa.int32(), "double": pa.float64()}
-    fields = [f.split() for f in NODES.split(", ")]
-    return pa.record_batch([pa.array(c, kinds[t]) for c, (_, t) in zip(zip(*rows), fields)],
-                           names=[n for n, _ in fields])
+def _loss_row(rnd: int, loss: float) -> pd.DataFrame:
+    one = dict(zip((f.split()[0] for f in NODES.split(", ")), (rnd, -1, -1, -1, 0.0, -1, -1, 0.0, 0.0, loss)))
+    return pd.DataFrame({c: np.array([v], float if isinstance(v, float) else np.int32) for c, v in one.items()})
 
 
 def _fit_in_block(cuts: list[np.ndarray], n_classes: int, n_bins: int, cfg: BoostConfig):
@@ -320,7 +457,8 @@ def _fit_in_block(cuts: list[np.ndarray], n_classes: int, n_bins: int, cfg: Boos
                 for rnd in range(cfg.rounds):
                     trees = _round(block, rnd, range(n_classes), n_bins, cfg)
                     block.learn(trees, cfg)
-                    yield _as_batch([*_node_rows(rnd, trees, cuts, cfg), _loss_row(rnd, block.loss() / len(block.y))])
+                    for part in (_node_rows(rnd, trees, cuts, cfg), _loss_row(rnd, block.loss() / len(block.y))):
+                        yield pa.RecordBatch.from_pandas(part, preserve_index=False)
     return run
 
 
@@ -328,6 +466,12 @@ def _fit_in_block(cuts: list[np.ndarray], n_classes: int, n_bins: int, cfg: Boos
 _HELD: dict = {}    # the rows that this Python worker holds: fit -> (rounds learnt, block)
 
 
+def _holds(fit: str, since: int, upto: int) -> bool:
+    """Whether this worker holds the rows with the scores of some round so far (asked here: a function
+    made for a task has a copy of ``_HELD``)."""
+    return since <= _HELD.get(fit, (-1, None))[0] <= upto
+
+
 def _caught_up(fit: str, rows, kept: int, new: list, n_classes: int, cfg: BoostConfig) -> Block:
     """All rows with the scores after the rounds so far.  A worker that helped with a round
     before learns the rounds since; another starts from the scores kept in the blocks."""
@@ -344,35 +488,56 @@ def _caught_up(fit: str, rows, kept: int, new: list, n_classes: int, cfg: BoostC
     return block
 
 
-def _class_task(fit: str, kept: int, new: list, n_tasks: int, n_classes: int, n_bins: int, cfg: BoostConfig):
-    """(class, tree, the rows' mean loss before it) of each class that falls to the partition."""
+def _class_task(fit: str, kept: int, new: list, n_tasks: int, n_classes: int, n_bins: int, cfg: BoostConfig,
+                reads: bool):
+    """(class, tree, the rows' mean loss before it) of each class that falls to the partition, if any: other
+    tasks keep their workers up to date, as Spark gives the next round's tasks to the workers that waited longest.
+    Nothing if the task does not read the rows and its worker does not hold them."""
     def run(i, rows):
-        block, classes = _caught_up(fit, rows, kept, new, n_classes, cfg), range(i, n_classes, n_tasks)
-        lost = block.loss() / len(block.y) if i == 0 else None
-        yield from ((k, t, lost) for k, t in zip(classes, _round(block, kept + len(new), classes, n_bins, cfg)))
+        if not reads and not _holds(fit, kept, kept + len(new)):
+            for _ in rows:
+                pass
+            return
+        block = _caught_up(fit, rows, kept, new, n_classes, cfg)
+        classes = range(i, n_classes, n_tasks) if i < n_tasks else ()
+        if not classes:
+            return
+        p = block.chances()
+        lost = block.loss(p) / len(block.y) if i == 0 else None
+        yield from ((k, t, lost) for k, t in zip(classes, _round(block, kept + len(new), classes, n_bins, cfg, p)))
     return run
 
 
-def _fit_by_class(blocks: DataFrame, cuts: list, n_classes: int, n_bins: int, cfg: BoostConfig) -> list[tuple]:
+def _fit_by_class(blocks: DataFrame, cuts: list, n_classes: int, n_bins: int, cfg: BoostConfig) -> list[pd.DataFrame]:
     fit, sc = uuid.uuid4().hex, blocks.sparkSession.sparkContext
     # a class a task; with fewer cores than classes, as many in each as the cores take one after the other
     n_tasks = math.ceil(n_classes / math.ceil(n_classes / max(1, sc.defaultParallelism)))
-    rows, new, kept, tasks = [], [], 0, None
+    n_all = max(n_tasks, min(sc.defaultParallelism, 2 * n_classes))
+    empty = sc.parallelize(range(n_all), n_all)
+    tables, new, recent, kept, tasks = [], [], [], 0, None
     for rnd in range(cfg.rounds):
         if len(new) == CLASS_KEEP_ROUNDS:
             blocks = frozen(blocks.mapInArrow(_rescored(new, n_classes, cfg, False), _BLOCK))
             new, kept, tasks = [], rnd, None
-        if tasks is None:       # partitions that each read all blocks
-            tasks = sc.union([blocks.rdd.coalesce(1)] * n_tasks)
-        task = _class_task(fit, kept, list(new), n_tasks, n_classes, n_bins, cfg)
-        found = sorted(tasks.mapPartitionsWithIndex(task).collect(), key=lambda x: x[0])
+        found = []
+        if rnd:         # the workers that hold the rows need no input
+            task = _class_task(fit, rnd - len(recent), recent, n_tasks, n_classes, n_bins, cfg, False)
+            found = empty.mapPartitionsWithIndex(task).collect()
+        missing = sorted({k % n_tasks for k in set(range(n_classes)) - {k for k, _, _ in found}})
+        if missing:
+            if tasks is None:       # partitions that each read all blocks
+                tasks = sc.union([blocks.rdd.coalesce(1)] * n_all)
+            task = _class_task(fit, kept, list(new), n_tasks, n_classes, n_bins, cfg, True)
+            found += sc.runJob(tasks.mapPartitionsWithIndex(task), list, missing if rnd else range(n_all))
+        found.sort(key=lambda x: x[0])
         if rnd:
-            rows.append(_loss_row(rnd - 1, found[0][2]))
+            tables.append(_loss_row(rnd - 1, found[0][2]))
         new.append([t for _, t, _ in found])
-        rows += _node_rows(rnd, new[-1], cuts, cfg)
+        recent = [*recent, new[-1]][-SENT_ROUNDS:]
+        tables.append(_node_rows(rnd, new[-1], cuts, cfg))
     one = blocks.mapInArrow(_rescored(new, n_classes, cfg, True), "n long, loss array<double>") \
         .agg(F.sum("n"), F.sum(F.get("loss", len(new) - 1))).first()
-    return rows + [_loss_row(cfg.rounds - 1, one[1] / one[0])]
+    return [*tables, _loss_row(cfg.rounds - 1, one[1] / one[0])]
 
 
 # ------------------------------------------------------------- levels over blocks
@@ -447,19 +612,19 @@ def _rescored(new: list, n_classes: int, cfg: BoostConfig, losses: bool):
 _BLOCK = "n int, bins binary, y binary, rid binary, scores binary"
 
 
-def _fit_by_level(blocks: DataFrame, cuts: list, n_classes: int, n_bins: int, cfg: BoostConfig) -> list[tuple]:
-    rows, new = [], []
+def _fit_by_level(blocks: DataFrame, cuts: list, n_classes: int, n_bins: int, cfg: BoostConfig) -> list[pd.DataFrame]:
+    tables, new = [], []
     for rnd in range(cfg.rounds):
         trees = list(grow(_find_by_level(blocks, list(new), rnd, n_classes, n_bins, cfg), range(n_classes), cfg).values())
-        rows += _node_rows(rnd, trees, cuts, cfg)
+        tables.append(_node_rows(rnd, trees, cuts, cfg))
         new.append(trees)
         if len(new) == KEEP_ROUNDS or rnd == cfg.rounds - 1:
             lost = blocks.mapInArrow(_rescored(new, n_classes, cfg, True), "n long, loss array<double>")
             one = lost.agg(F.sum("n"), *[F.sum(F.get("loss", i)) for i in range(len(new))]).first()
-            rows += [_loss_row(rnd - len(new) + 1 + i, one[i + 1] / one[0]) for i in range(len(new))]
+            tables += [_loss_row(rnd - len(new) + 1 + i, one[i + 1] / one[0]) for i in range(len(new))]
             if rnd < cfg.rounds - 1:
                 blocks, new = frozen(blocks.mapInArrow(_rescored(new, n_classes, cfg, False), _BLOCK)), []
-    return rows
+    return tables
 
 
 # ------------------------------------------------------------------------- model
@@ -475,7 +640,7 @@ class BoostModel:
 
     def save(self, spark, path: str) -> None:
         from vigil.ml.bundle import write_json
-        spark.createDataFrame(self.nodes, NODES).write.mode("overwrite").parquet(f"{path}/nodes")
+        self.table(spark).write.mode("overwrite").parquet(f"{path}/nodes")
         write_json(spark, f"{path}/booster.json", {"classes": self.classes, "depth": self.depth, "losses": self.losses})
 
     @staticmethod
@@ -484,19 +649,32 @@ class BoostModel:
         meta = read_json(spark, f"{path}/booster.json")
         return BoostModel(spark.read.parquet(f"{path}/nodes").toPandas(), meta["classes"], meta["depth"], meta["losses"])
 
+    def table(self, spark) -> DataFrame:
+        """The node table as a DataFrame, sent by column."""
+        return spark.createDataFrame(pa.Table.from_pandas(self.nodes, preserve_index=False)).select(
+            *(F.col(c).cast(kind) for c, kind in (f.split() for f in NODES.split(", "))))
+
     def arrays(self) -> tuple:
-        """Trees end to end: (roots, class of each, feature, threshold, left, right, value, base)."""
+        """Trees end to end: (first node, nodes, class) of each and all nodes' (feature, bin of the threshold, left,
+        value), with the thresholds of each feature that make its bins, and each class's sum over trees of one leaf."""
         t = self.nodes.sort_values(["round", "cls", "node"], ignore_index=True)
         first = np.flatnonzero(t.node.to_numpy() == 0)
         size = np.diff([*first, len(t)])
-        start = np.repeat(first, size)
-        left, right = t.left.to_numpy() + start, t.right.to_numpy() + start
         cls = t.cls.to_numpy()[first]
         value = t.value.to_numpy()
         base = np.zeros(len(self.classes))
         np.add.at(base, cls[size == 1], value[first[size == 1]])     # trees of one leaf
+        feature, threshold = t.feature.to_numpy(), t.threshold.to_numpy()
+        cuts = [np.unique(threshold[feature == f]) for f in range(int(feature.max(initial=-1)) + 1)]
+        # a value is at most the threshold if no more thresholds are below it than below the threshold
+        cut = np.full(len(t), max(map(len, cuts), default=0), np.int32)
+        for f, c in enumerate(cuts):
+            cut[feature == f] = np.searchsorted(c, threshold[feature == f])
+        here = t.node.to_numpy()
         tall = size > 1
-        return (first[tall], cls[tall], t.feature.to_numpy(), t.threshold.to_numpy(), left, right, value, base)
+        return (np.stack([first[tall], size[tall], cls[tall]], axis=1), np.maximum(feature, 0).astype(np.int32),
+                cut.astype(np.min_scalar_type(int(cut.max(initial=0)))), np.where(feature < 0, here, t.left.to_numpy()).astype(np.int32),
+                value, cuts, base)
 
 
 def fit_boost(train: DataFrame, classes: list, cfg: BoostConfig = BoostConfig(),
@@ -519,8 +697,7 @@ def fit_boost(train: DataFrame, classes: list, cfg: BoostConfig = BoostConfig(),
         by_level = size["n"] * (len(cuts) + 8 * len(classes) + 12) > WHOLE_BYTES and n_blocks > 1
     if by_level or blocks.count() > 1:
         fit = _fit_by_level if by_level else _fit_by_class
-        table = pd.DataFrame(fit(blocks, cuts, len(classes), n_bins, cfg),
-                             columns=[f.split()[0] for f in NODES.split(", ")])
+        table = pd.concat(fit(blocks, cuts, len(classes), n_bins, cfg), ignore_index=True)
     else:
         table = blocks.mapInArrow(_fit_in_block(cuts, len(classes), n_bins, cfg), NODES).toPandas()
     losses = table[table.cls < 0].sort_values("round").value.tolist()
@@ -528,19 +705,22 @@ def fit_boost(train: DataFrame, classes: list, cfg: BoostConfig = BoostConfig(),
 
 
 def raw_scores(x: np.ndarray, arrays: tuple, depth: int) -> np.ndarray:
-    """(rows, classes): the sums of the leaves' values, all trees walked at once."""
-    roots, cls, feature, threshold, left, right, value, base = arrays
+    """(rows, classes): the sums of the leaves' values."""
+    trees, feature, cut, low, value, cuts, base = arrays
     out = np.tile(base, (len(x), 1))
-    if not len(roots):
+    if not len(trees):
         return out
-    at = np.tile(roots, (len(x), 1))
-    rows = np.arange(len(x))[:, None]
-    for _ in range(depth):
-        f = feature[at]
-        low = x[rows, np.maximum(f, 0)] <= threshold[at]
-        at = np.where(f < 0, at, np.where(low, left[at], right[at]))
-    for k in range(out.shape[1]):       # a row's sum is the same in any batch, which a product of matrices does not promise
-        out[:, k] += np.ascontiguousarray(value[at[:, cls == k]]).sum(axis=1)
+    bins = np.empty((len(x), len(cuts)), cut.dtype, order="F")
+    for f, c in enumerate(cuts):
+        bins[:, f] = np.searchsorted(c, x[:, f])
+    for k in range(out.shape[1]):
+        mine = trees[trees[:, 2] == k]
+        ends = np.empty((len(mine), len(x)))
+        for i, (a, n, _) in enumerate(mine):
+            steps = feature[a:a + n].astype(np.int64), cut[a:a + n], low[a:a + n].astype(np.int64)
+            ends[i] = value[a:a + n].take(leaves(steps, bins, depth))
+        # a row's sum is the same in any batch, which a product of matrices does not promise
+        out[:, k] += np.ascontiguousarray(ends.T).sum(axis=1)
     return out
 
 
