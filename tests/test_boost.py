@@ -170,3 +170,21 @@ def test_rounds_after_the_first_read_no_rows_again(spark, monkeypatch):
     m = boost.fit_boost(table(spark), ["a", "b", "c"], boost.BoostConfig(rounds=30, depth=2))
     # each worker reads the rows once, whatever their number
     assert len(m.losses) == 30 and reads[0] and reads.count(False) == 29 and reads.count(True) < 20
+
+
+def test_many_trees_are_walked_as_joins_walk_them(spark):
+    from vigil.plans.model_checks import walk, walk_many
+    m = boost.fit_boost(table(spark, 300), ["a", "b", "c"], boost.BoostConfig(rounds=3, depth=4))
+    rows = [(i, [float(v) for v in np.random.default_rng(i).normal(size=6)]) for i in range(200)]
+    rows += [(7, rows[3][1]), (None, rows[4][1]), (500, [float("nan")] * 6), (501, None), (502, [0.1, None, 0.2, 0.0, 0.0, 0.0])]
+    of = spark.createDataFrame(rows, "id long, x array<double>")
+    nodes = m.nodes.assign(tree=m.nodes["round"] * 3 + m.nodes["cls"])
+    table_ = m.table(spark).withColumn("tree", F.col("round") * 3 + F.col("cls"))
+    joined = walk(of, table_, 9, 4, "id", "x")
+    got = walk_many(of, nodes, 4, "id", "x", False)
+    assert sorted(map(str, got.collect())) == sorted(map(str, joined.collect()))
+    sums = walk_many(of, nodes, 4, "id", "x", True).groupBy("id", "cls").agg(F.sum("s").alias("s")).where("id < 400")
+    want = joined.join(table_.select("tree", "node", "cls", "value"), ["tree", "node"]).groupBy("id", "cls") \
+        .agg(F.sum("value").alias("w"))
+    apart = sums.join(want, ["id", "cls"]).agg(F.count("*"), F.max(F.abs(F.col("s") - F.col("w")))).first()
+    assert apart[0] == 600 and apart[1] < 1e-9

@@ -10,15 +10,17 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.ml.bundle import load_bundle, save_bundle
 from vigil.ml.ensemble import fit_ensemble, score_ensemble
 from vigil.ml.forest import bundle_metadata, score_events, train_forest
 from vigil.ml.iforest import EULER_GAMMA, NODE_SCHEMA
-from vigil.operators.align import frozen
 from vigil.plans.models import ENS_CFG, RF_CFG, _ensemble_input, _feats, _feature_rows
 from vigil.schema import (ALERT_HIGH, ALERT_LOW, ALERT_NONE, ANOMALY_THRESHOLD, CONFIDENCE_THRESHOLD,
                           SEVERITY_HIGH, SEVERITY_MEDIUM, SEVERITY_NONE)
@@ -26,6 +28,7 @@ from vigil.session import scratch_path
 
 CLOSE = 1e-9
 CHECKED_ROUND = 5
+WALKED_ROWS = 4096
 
 
 def walk(rows: DataFrame, nodes: DataFrame, n_trees: int, depth: int, key: str, x: str) -> DataFrame:
@@ -46,6 +49,63 @@ def walk(rows: DataFrame, nodes: DataFrame, n_trees: int, depth: int, key: str,
     return at.select(key, "tree", "node")
 
 
+def walk_many(rows: DataFrame, nodes: pd.DataFrame, depth: int, key: str, x: str, sums: bool) -> DataFrame:
+    """(key, tree, node) of ``walk`` for thousands of trees, or (key, cls, s): each row's sums of their values.
+
+    Joins would make a row of each row, tree and level.  Here a node's number leads to its
+    place in the node table, which every task has whole (bounded by trees and depth), and
+    a batch of rows goes down one tree after the other.
+    """
+    t = nodes.sort_values(["tree", "node"], ignore_index=True)
+    trees, first = np.unique(t.tree.to_numpy(), return_index=True)
+    size = np.diff([*first, len(t)])
+    if (t.node.to_numpy() != np.arange(len(t)) - np.repeat(first, size)).any():
+        raise ValueError("a tree's nodes are numbered from 0 without gaps")
+    table = [t[c].to_numpy() for c in ("feature", "threshold", "left", "right", "value")]
+    bc = rows.sparkSession.sparkContext.broadcast((trees, first, size, t.cls.to_numpy()[first], table))
+    key_type = rows.schema[key].dataType.simpleString()
+
+    def ends(x, feature, threshold, left, right, value):
+        inner = feature >= 0
+        place, feature = np.arange(len(x)) * x.shape[1], np.maximum(feature, 0).astype(np.int64)
+        # where a row goes from a node, to the left or to the right; at a leaf it stays
+        to = np.where(inner, (left, right), np.arange(len(inner))).T.ravel().astype(np.int64)
+        values, at = x.ravel(), np.zeros(len(x), np.int64)
+        for _ in range(depth):
+            over = ~(values[place + feature[at]] <= threshold[at])
+            at = to[2 * at + over]
+        return at
+
+    def run(batches):
+        trees, first, size, cls, table = bc.value
+        for b in batches:
+            for i in range(0, b.num_rows, WALKED_ROWS):
+                some = b.slice(i, WALKED_ROWS)
+                keys, m = some.column(0), some.num_rows
+                # a null array or value is over every threshold, as null is in the joins
+                values = np.array([v if v is not None else () for v in some.column(1).to_pandas()], dtype=object)
+                width = max((len(v) for v in values), default=0)
+                x = np.full((m, max(width, int(table[0].max(initial=0)) + 1)), np.nan)
+                for r, v in enumerate(values):
+                    x[r, :len(v)] = v
+                total = np.zeros((m, int(cls.max(initial=0)) + 1))
+                for tree, a, n, k in zip(trees, first, size, cls):
+                    part = [c[a:a + n] for c in table]
+                    at = ends(x, *part)
+                    if sums:
+                        total[:, k] += part[-1][at]
+                    else:
+                        yield pa.record_batch([keys, pa.array(np.full(m, tree), pa.int32()), pa.array(at, pa.int32())],
+                                              names=[key, "tree", "node"])
+                if sums:
+                    known = np.unique(cls)
+                    yield pa.record_batch([keys.take(pa.array(np.repeat(np.arange(m), len(known)))),
+                                           pa.array(np.tile(known, m), pa.int32()), pa.array(total[:, known].ravel())],
+                                          names=[key, "cls", "s"])
+
+    return rows.select(key, x).mapInArrow(run, f"{key} {key_type}, " + ("cls int, s double" if sums else "tree int, node int"))
+
+
 def _forest_nodes(spark, forest) -> DataFrame:
     path = scratch_path(spark, "forest")
     forest.write().save(path)
@@ -257,7 +317,7 @@ def q_gbt_check(spark, sf_dir):
     rounds; the leaves of ``CHECKED_ROUND`` hold -step G / (H + lambda) of the training
     rows that reach them, with the chances that the rounds before give those rows.
     """
-    from vigil.ml.boost import NODES, sampled, score_boost
+    from vigil.ml.boost import sampled, score_boost
     from vigil.ml.ensemble import _prepared, _scale
     rows = _ensemble_input(spark, sf_dir)
     m = fit_ensemble(rows, "features", "vec_id", ENS_CFG, with_lr=False, with_iforest=False)
@@ -266,28 +326,21 @@ def q_gbt_check(spark, sf_dir):
     scored = score_boost(x, gbt, "x", "pred", "scores").select("vec_id", "pred", "scores")
     again = score_ensemble(rows, m, "features", rule_predicates=ENS_CFG.rule_predicates).select("vec_id", "pred_xgb")
     n = len(gbt.classes)
-    nodes = frozen(spark.createDataFrame(gbt.nodes, NODES).withColumn("tree", F.col("round") * n + F.col("cls")))
-
-    def reached(of: DataFrame, key: str, some: DataFrame, first: int, trees: int) -> DataFrame:
-        """(key, tree, value) of the leaf that each row reaches in each of some trees."""
-        shifted = some.withColumn("tree", F.col("tree") - first)
-        at = walk(of, shifted, trees, cfg.depth, key, "x").withColumnRenamed("node", "_node")
-        values = shifted.select(F.col("tree").alias("_tree"), F.col("node").alias("_leaf"), "value", "g", "h", "cls")
-        return at.join(values, (F.col("tree") == F.col("_tree")) & (F.col("_node") == F.col("_leaf")))
-
-    def sums(leaves: DataFrame, key: str) -> DataFrame:
-        return leaves.groupBy(key, "cls").agg(F.sum("value").alias("s"))
-
-    # trees of one leaf give every row the same: only the others are walked, renumbered without gaps
-    size = nodes.groupBy("tree").agg(F.count("*").alias("n"))
-    flat = nodes.join(size.where("n = 1"), "tree").groupBy("cls").agg(F.sum("value").alias("b"))
-    order = Window.orderBy("tree")     # one row a tree
-    number = frozen(size.where("n > 1").select("tree", (F.row_number().over(order) - 1).alias("new")))
-    tall = nodes.join(number, "tree").drop("tree").withColumnRenamed("new", "tree")
-    n_tall = number.count()
+    nodes = gbt.nodes.assign(tree=gbt.nodes["round"] * n + gbt.nodes["cls"])
+    r = CHECKED_ROUND
+
+    def sums(of: DataFrame, key: str, some: pd.DataFrame) -> DataFrame:
+        """(key, cls, s): the values of the leaves that each row reaches in some trees."""
+        return walk_many(of, some, cfg.depth, key, "x", True).groupBy(key, "cls").agg(F.sum("s").alias("s"))
+
+    # trees of one leaf give every row the same: only the others are walked
+    size = nodes.groupby("tree")["node"].transform("size")
+    base = nodes[size == 1].groupby("cls", as_index=False)["value"].sum()
+    flat = spark.createDataFrame([(int(c), float(v)) for c, v in zip(base["cls"], base["value"])], "cls int, b double")
+    tall = nodes[size > 1]
     every = x.select("vec_id", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("cls"))
     total = every.join(F.broadcast(flat), "cls", "left").join(
-        sums(reached(x, "vec_id", tall, 0, n_tall), "vec_id"), ["vec_id", "cls"], "left") \
+        sums(x, "vec_id", tall), ["vec_id", "cls"], "left") \
         .select("vec_id", "cls", (F.coalesce("b", F.lit(0.0)) + F.coalesce("s", F.lit(0.0))).alias("s"))
     got = scored.select("vec_id", F.posexplode("scores").alias("cls", "score"))
     apart = got.join(total, ["vec_id", "cls"], "left").groupBy("vec_id").agg(
@@ -295,12 +348,13 @@ def q_gbt_check(spark, sf_dir):
         F.max_by("cls", F.struct("s", -F.col("cls"))).alias("best"))
 
     # the leaves of one round, from the training rows
-    r = CHECKED_ROUND
-    before = nodes.where(F.col("round") < r)
-    margin = sums(reached(gbt.rows, "rid", before, 0, r * n), "rid")
+    margin = sums(gbt.rows, "rid", nodes[nodes["round"] < r])
     top = margin.groupBy("rid").agg(F.sum(F.exp("s")).alias("z"))
-    mine = nodes.where(F.col("round") == r)
-    leaf = reached(gbt.rows.where(sampled(F.col("rid"), r, cfg)), "rid", mine, r * n, n)
+    mine = nodes[nodes["round"] == r]
+    facts = gbt.table(spark).where(F.col("round") == r).select(
+        (F.col("round") * n + F.col("cls")).alias("tree"), F.col("node").alias("_leaf"), "value", "g", "h", "cls")
+    leaf = walk_many(gbt.rows.where(sampled(F.col("rid"), r, cfg)), mine, cfg.depth, "rid", "x", False) \
+        .withColumnRenamed("node", "_leaf").join(F.broadcast(facts), ["tree", "_leaf"])
     p = F.exp("s") / F.col("z")
     grads = leaf.join(margin, ["rid", "cls"]).join(top, "rid").join(gbt.rows.select("rid", "y"), "rid") \
         .groupBy("cls", "_leaf").agg(F.sum(p - (F.col("y") == F.col("cls")).cast("int")).alias("sg"),
@@ -309,7 +363,7 @@ def q_gbt_check(spark, sf_dir):
     bad = (F.abs(F.col("sg") - F.col("g")) > 1e-6) | (F.abs(F.col("sh") - F.col("h")) > 1e-6) \
         | (F.abs(F.col("value") + cfg.step * F.col("sg") / (F.col("sh") + cfg.reg)) > 1e-6)
     counted = grads.agg(F.count("*").alias("n"), F.count_if(bad).alias("bad")).first()
-    leaves_ok = counted["bad"] == 0 and counted["n"] == mine.where("feature < 0").count()
+    leaves_ok = counted["bad"] == 0 and counted["n"] == int((mine["feature"] < 0).sum())
     falls = len(gbt.losses) == cfg.rounds and all(b < a for a, b in zip(gbt.losses, gbt.losses[1:]))
     names = F.array(*[F.lit(c) for c in gbt.classes])
     return scored.join(apart, "vec_id").join(again, "vec_id").select(
