@@ -159,7 +159,7 @@ def test_both_ways_down_a_tree_end_alike(monkeypatch):
         assert len(t.g) > 100
         by_node = t.leaves(block.bins, cfg.depth)
         assert np.array_equal(by_node, t.leaves(np.ascontiguousarray(block.bins), cfg.depth))
-        monkeypatch.setattr(boost, "PIECE_ROWS", 1000)
+        monkeypatch.setattr(boost, "BYTE_ROWS", 1000)
         assert np.array_equal(by_node, t.leaves(block.bins, cfg.depth))
 
 

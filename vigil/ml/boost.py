@@ -45,7 +45,8 @@ SENT_ROUNDS = 5                 # of trees sent to a worker that holds the score
 WHOLE_BYTES = 256 << 20         # bins and scores that a task may hold at once
 LEAST_GAIN, CELLS = 1e-6, 1 << 15
 MANY_ROWS = 1 << 14             # sampled rows from which a tree's larger children are not summed
-PIECE_ROWS = 1 << 15            # rows summed, or walked, at once: a core's cache holds them
+PIECE_ROWS = 1 << 15            # rows summed at once: a core's cache holds them
+BYTE_ROWS = 1 << 17             # the same where a row is a byte
 SELECT_ROWS = 1 << 12           # rows from which a tree is walked node by node, not row by row
 RESIDUE = 1e-11                 # what a difference of sums leaves where no row is
 SCORE_ROWS = 10_000
@@ -162,8 +163,8 @@ def _selected(steps: tuple, bins: np.ndarray) -> np.ndarray:
     nodes = np.flatnonzero(inner)[::-1]
     todo = list(zip(nodes.tolist(), feature[nodes].tolist(), cut[nodes], low[nodes].tolist()))
     out = np.empty(len(bins), np.int64)
-    for i in range(0, len(bins), PIECE_ROWS):
-        columns, below = list(bins[i:i + PIECE_ROWS].T), number.copy()
+    for i in range(0, len(bins), BYTE_ROWS):
+        columns, below = list(bins[i:i + BYTE_ROWS].T), number.copy()
         for node, f, c, left in todo:
             a, b = below.pop(left), below.pop(left + 1)
             over = columns[f] > c
@@ -171,7 +172,7 @@ def _selected(steps: tuple, bins: np.ndarray) -> np.ndarray:
             np.negative(over, over)     # all bits
             np.bitwise_and(over, a ^ b, over)
             below[node] = np.bitwise_xor(over, a, over)
-        out[i:i + PIECE_ROWS] = ends[below[0]]
+        out[i:i + BYTE_ROWS] = ends[below[0]]
     return out
 
 
